@@ -164,6 +164,6 @@ def pair_correlations(sums: Sums) -> dict[tuple[str, str], float | None]:
             if n >= 2:
                 va, vb, cov = saa - sa * sa / n, sbb - sb * sb / n, sab - sa * sb / n
                 if va > 1e-12 * max(saa, 1e-300) and vb > 1e-12 * max(sbb, 1e-300):
-                    r = min(1.0, max(-1.0, cov / float(np.sqrt(va * vb))))
+                    r = float(min(1.0, max(-1.0, cov / np.sqrt(va * vb))))
             out[a, b] = r
     return out
