@@ -177,7 +177,7 @@ RAW_SQL = f"""
 
 # Listed prices for some (model, configuration) pairs, several per pair: the last wins.
 PRICES_SQL = f"""
-    SELECT p_partkey AS at, model, configuration, price FROM (
+    SELECT p_partkey AS seq, model, configuration, price FROM (
       SELECT p_partkey,
         p_name || CASE {_k} % 9 WHEN 0 THEN ' Watch' WHEN 1 THEN ' Tab A' WHEN 2 THEN ' Band' WHEN 3 THEN ' iPad'
                        WHEN 4 THEN ' Gear S' ELSE '' END || ' ' || {text(f"{_k} % 50")} AS model,
@@ -230,4 +230,4 @@ class Inputs:
 
     @cached_property
     def prices(self) -> DataFrame:
-        return self.derive(PRICES_SQL).toDF("at", "Model", "Configuration", "Price")
+        return self.derive(PRICES_SQL).toDF("seq", "Model", "Configuration", "Price")

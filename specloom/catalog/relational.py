@@ -205,11 +205,20 @@ def _(i):
     return ranking.first_per_key(rows, ["p_brand", "p_type"], "p_partkey")
 
 
-@query("hash_sample")
+@query("hash_sample", """
+    SELECT p_partkey, p_brand FROM part ORDER BY md5(CAST(p_partkey AS VARCHAR) || '|7'), p_partkey LIMIT 50""")
 def _(i):
     return ranking.hash_sample(i.table("part").select("p_partkey", "p_brand"), 50, ["p_partkey"], seed=7)
 
 
+@query("hash_sample_per_group", """
+    SELECT p_partkey, p_brand FROM (SELECT p_partkey, p_brand, ROW_NUMBER() OVER (PARTITION BY p_brand
+      ORDER BY md5(CAST(p_partkey AS VARCHAR) || '|7'), p_partkey) AS rn FROM part) q WHERE rn <= 5""")
+def _(i):
+    rows = i.table("part").select("p_partkey", "p_brand")
+    return ranking.hash_sample(rows, 5, ["p_partkey"], seed=7, per=["p_brand"])
+
+
 @query("order_statistics", """
     SELECT pos AS position, x AS value FROM (
       SELECT value AS x, ROW_NUMBER() OVER (ORDER BY value) - 1 AS pos FROM events) q WHERE pos % 97 = 0""")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import group_of, number, strip
+from .text import group_of, let, number, strip
 
 __all__ = [
     "dimensions", "dimensions_state", "weight_g", "battery_mah", "display_size", "resolution",
@@ -38,8 +38,7 @@ def _axes(length=None, width=None, height=None, volume=None) -> Column:
     return F.struct(*[(none if v is None else v).alias(k) for k, v in named.items()])
 
 
-def dimensions(c: Column) -> Column:
-    """Length, width, height, volume from the first shape that fits."""
+def _first_shape(c: Column) -> Column:
     a, b, h = (number(group_of(c, THREE_AXES, g)) for g in (1, 2, 3))
     one = lambda p, g=1: number(group_of(c, p, g))
     return (
@@ -53,6 +52,14 @@ def dimensions(c: Column) -> Column:
     )
 
 
+def dimensions(c: Column) -> Column:
+    """Length, width, height, volume from the first shape that fits.
+
+    Bound as one value, so that reading four fields does not run the patterns four times.
+    """
+    return let(c, _first_shape)
+
+
 def _blank(c: Column) -> Column:
     return c.isNull() | strip(c).isin("", "-")
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 __all__ = [
     "group_of", "number", "strip", "clean_text", "first_number", "first_int", "max_number",
     "lookup_key", "row_signature", "is_sentinel", "comparable", "split_list", "sensor_list",
-    "canonical", "contains_any", "is_block_page", "is_stale",
+    "canonical", "contains_any", "is_block_page", "is_stale", "let",
 ]
 
 # Stand-in for a missing key part, texts that mean "no value",
@@ -63,13 +63,61 @@ def max_number(c: Column) -> Column:
     return F.array_max(F.transform(found, number))
 
 
-def _number_key(x: Column) -> Column:
+def let(value: Column, body) -> Column:
+    """`body(v)` with v bound to a value that is computed once, however often it is used.
+
+    Keeps generated code small where an expression would otherwise be repeated.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _halves(v: Column) -> tuple[Column, Column]:
+    """A double as the exact sum of two shorter ones."""
+    wide = F.lit(134217729.0) * v
+    high = wide - (wide - v)
+    return high, v - high
+
+
+def _off_tie(x: Column, seven: Column) -> Column:
+    """Move a value that sits on a rounding tie of its seventh digit to the side its bits lie on.
+
+    Java formats the shortest decimal text of a double (28565.55 rounds up), while
+    the key format rounds the stored binary value (a little below, so it rounds
+    down). x * 10^k minus the seven-digit integer, with the exact product error
+    from splitting both factors in halves, tells the side. `seven` is x with seven
+    digits and an exponent.
+    """
+    digits = F.replace(F.substring_index(seven, "e", 1), F.lit("."), F.lit("")).try_cast("long")
+    k = F.lit(6) - F.substring_index(seven, "e", -1).try_cast("int")
+
+    def moved(t: Column) -> Column:
+        power, seventh = t["power"], t["digits"]
+        product = x * power
+        (xh, xl), (ph, pl) = _halves(x), _halves(power)
+        error = ((xh * ph - product) + xh * pl + xl * ph) + xl * pl
+        side = F.sign((product - seventh.cast("double")) + error)
+        toward_even = F.when(F.floor(F.abs(seventh) / 10) % 2 == 0, -F.sign(x)).otherwise(F.sign(x))
+        step = F.when(side == 0, toward_even).otherwise(side).cast("long")
+        return number(F.concat((seventh + step).cast("string"), F.lit("e"), (-t["k"]).cast("string")))
+
+    parts = F.struct(
+        digits.alias("digits"), k.alias("k"), number(F.concat(F.lit("1e"), k.cast("string"))).alias("power")
+    )
+    on_tie = (number(seven) == x) & F.substring_index(seven, "e", 1).endswith("5") & k.between(0, 22)
+    return F.when(on_tie, let(parts, moved)).otherwise(x)
+
+
+def _number_key(value: Column) -> Column:
     """A double as key text: whole numbers as integers, others with 6 significant digits."""
-    short = F.format_string("%.6g", x)
-    short = F.regexp_replace(short, r"(\.\d*?)0+(?=$|e)", "$1")
-    short = F.regexp_replace(short, r"\.(?=$|e)", "")
-    whole = F.when(F.abs(x) < 9e15, x.cast("long").cast("string")).otherwise(F.format_string("%.0f", x))
-    return F.when(x == F.floor(x), whole).otherwise(short)
+
+    def text_of(x: Column) -> Column:
+        short = F.format_string("%.6g", let(F.format_string("%.6e", x), lambda seven: _off_tie(x, seven)))
+        short = F.regexp_replace(short, r"(\.\d*?)0+(?=$|e)", "$1")
+        short = F.regexp_replace(short, r"\.(?=$|e)", "")
+        whole = F.when(F.abs(x) < 9e15, x.cast("long").cast("string")).otherwise(F.format_string("%.0f", x))
+        return F.when(x == F.floor(x), whole).otherwise(short)
+
+    return let(value, text_of)
 
 
 def lookup_key(c: Column, dtype: str) -> Column:
@@ -81,7 +129,8 @@ def lookup_key(c: Column, dtype: str) -> Column:
     if dtype in ("tinyint", "smallint", "int", "bigint"):
         key = c.cast("string")
     elif dtype in ("double", "float") or dtype.startswith("decimal"):
-        key = F.when(~F.isnan(c.cast("double")), _number_key(c.cast("double")))
+        known = c.isNotNull() & ~F.isnan(c.cast("double"))
+        key = F.when(known, _number_key(c.cast("double")))
     else:
         text = strip(c.cast("string"))
         plain = text.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$")

@@ -5,25 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import settle
+from ..session import store
 from .ordered import quantiles
-
-# Lookup tables up to this many rows (a few tens of MB) are sent to every executor.
-BROADCAST_ROWS = 500_000
-
-
-def sized_lookup(lookup: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Compute a lookup once and broadcast it only if its counted size allows.
-
-    Beyond the limit it stays a normal side and the join shuffles.
-    """
-    frozen = settle(lookup)
-    return F.broadcast(frozen) if frozen.limit(limit + 1).count() <= limit else frozen
-
-
-def _group_fill(priced: DataFrame, keys: list[str], value: str, least: int, name: str) -> DataFrame:
-    sizes = priced.groupBy(*keys).agg(F.count("*").alias("__n")).filter(F.col("__n") >= least).drop("__n")
-    return quantiles(priced, keys, value, {name: 0.5}).join(sizes, keys, "left_semi")
+from .reshape import quoted
 
 
 def fill_cascade(df: DataFrame, value: str = "Price_EUR", model: str = "model", brand: str = "brand",
@@ -31,18 +15,25 @@ def fill_cascade(df: DataFrame, value: str = "Price_EUR", model: str = "model",
     """I01 with its trace: the filled value, and `fill_source` saying where it came from.
 
     Step 1 mean of the model, step 2 median of brand and year, step 3 median of the
-    brand. All three come from originally priced rows only. The three lookups are
-    built first, so that the wide table itself is not shuffled while they are small.
+    brand. All three come from originally priced rows only. The table is read twice:
+    once for the price counts behind the three lookups, once to be filled. The
+    lookups are stored first, so Spark knows their size: while they are small the
+    wide table is not shuffled at all.
     """
-    priced = df.filter(F.col(value).isNotNull()).select(model, brand, year, value)
+    known = df.filter(F.col(value).isNotNull())
+    counts = store(known.groupBy(model, brand, year, value).agg(F.count("*").alias("__n")), "price-counts")
+    mean = F.sum(F.col(value) * F.col("__n")) / F.sum("__n")
+    by = lambda keys, name, least: quantiles(
+        counts, keys, value, {name: 0.5}, weight="__n", least=least
+    )
     steps = [
-        ([model], priced.groupBy(model).agg(F.avg(value).alias("__by_model"))),
-        ([brand, year], _group_fill(priced, [brand, year], value, min_brand_year, "__by_brand_year")),
-        ([brand], _group_fill(priced, [brand], value, min_brand, "__by_brand")),
+        ([model], counts.groupBy(model).agg(mean.alias("__by_model"))),
+        ([brand, year], by([brand, year], "__by_brand_year", min_brand_year)),
+        ([brand], by([brand], "__by_brand", min_brand)),
     ]
     out = df
     for keys, lookup in steps:
-        out = out.join(sized_lookup(lookup), keys, "left")
+        out = out.join(store(lookup, "price-lookup"), keys, "left")
     source = (
         F.when(F.col(value).isNotNull(), "original")
         .when(F.col("__by_model").isNotNull(), "within_model")
@@ -51,7 +42,7 @@ def fill_cascade(df: DataFrame, value: str = "Price_EUR", model: str = "model",
         .otherwise("still_missing")
     )
     filled = F.coalesce(F.col(value), "__by_model", "__by_brand_year", "__by_brand")
-    return out.withColumn("fill_source", source).withColumn(value, filled).select(*df.columns, "fill_source")
+    return out.withColumn("fill_source", source).withColumn(value, filled).select(*quoted(df.columns), "fill_source")
 
 
 def impute_cascade(df: DataFrame, **names) -> DataFrame:

@@ -10,7 +10,7 @@ from ..functions import (
     clean_text, first_int, first_number, form_factor, max_number, memory_gb, row_signature, sensor_list,
 )
 from ..schemas import FOREIGN_KEYS, SIGNATURE_COLUMNS, STAGE_NAMES, STAGE_REQUIRED, STAR_SCHEMAS, UNIQUE_KEYS, Star
-from ..session import settle
+from ..session import store
 from ..sources.tables import append_table, read_table
 from .filters import drop_all_null_keys
 from .joins import attach_lookup_id, key_columns, new_rows
@@ -117,7 +117,7 @@ def open_target(spark: SparkSession, root: str, table: str) -> DataFrame:
 def append_dimension(spark: SparkSession, root: str, table: str, staged: DataFrame, ordinal: str) -> None:
     """L02 + L03 + L04 for one dimension, onto storage."""
     existing = open_target(spark, root, table)
-    fresh = settle(new_rows(dimension_rows(staged, table, ordinal), existing, UNIQUE_KEYS[table]))
+    fresh = store(new_rows(dimension_rows(staged, table, ordinal), existing, UNIQUE_KEYS[table]))
     last = existing.agg(F.coalesce(F.max("id"), F.lit(0)).alias("m")).first()["m"]
     rows = assign_ids(fresh, UNIQUE_KEYS[table], start=last)
     append_table(rows.select(*STAR_SCHEMAS[table].fieldNames()), f"{root}/{table}")
@@ -140,7 +140,7 @@ def append_facts(spark: SparkSession, root: str, staged: DataFrame) -> None:
     fields = STAR_SCHEMAS["Device"].fieldNames()
     facts = fact_rows(staged, star)
     # every column is part of the signature, so any row of a key is the same row
-    fresh = settle(new_rows(facts.dropDuplicates(["device_key"]), star.Device, ["device_key"]))
+    fresh = store(new_rows(facts.dropDuplicates(["device_key"]), star.Device, ["device_key"]))
     last = star.Device.agg(F.coalesce(F.max("id"), F.lit(0)).alias("m")).first()["m"]
     append_table(assign_ids(fresh, ["device_key"], start=last).select(*fields), f"{root}/Device")
 

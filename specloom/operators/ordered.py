@@ -13,15 +13,18 @@ from pyspark.sql import functions as F
 
 
 def ranked_value_counts(df: DataFrame, keys: list[str], value: str, ranges: int = 64,
-                        extra: dict | None = None) -> DataFrame:
-    """Distinct values per key with `n` rows each and `before` rows ranked below.
+                        extra: dict | None = None, weight: str | None = None) -> DataFrame:
+    """Distinct values per key: `n` rows each, `before` rows ranked below, `total` rows of the key.
 
-    `extra` maps names to further aggregates to carry per distinct value.
+    `extra` maps names to further aggregates to carry per distinct value; `weight`
+    names a column that says how many rows a row stands for. The input is read
+    once: splitters, range totals and ranks all reuse the counting shuffle.
     """
+    amount = F.count("*") if weight is None else F.sum(weight)
     counted = (
         df.filter(F.col(value).isNotNull())
         .groupBy(*keys, value)
-        .agg(F.count("*").alias("n"), *[c.alias(k) for k, c in (extra or {}).items()])
+        .agg(amount.alias("n"), *[c.alias(k) for k, c in (extra or {}).items()])
     )
     cuts = [i / ranges for i in range(1, ranges)]
     splitters = counted.agg(F.percentile_approx(value, cuts, 10 * ranges).alias("s")).scalar()
@@ -30,37 +33,36 @@ def ranked_value_counts(df: DataFrame, keys: list[str], value: str, ranges: int
         .withColumn("__range", F.size(F.filter("__cuts", lambda s: s < F.col(value))))
         .drop("__cuts")
     )
-    # rows below each range: at most `ranges` rows per key, whatever the data size
+    # one row per key and range: at most `ranges` rows per key, whatever the data size
     totals = placed.groupBy(*keys, "__range").agg(F.sum("n").alias("__rows"))
-    below = Window.partitionBy(*keys).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*keys)
+    below = whole.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
-        *keys, "__range", F.coalesce(F.sum("__rows").over(below), F.lit(0)).alias("__offset")
+        *keys, "__range", F.coalesce(F.sum("__rows").over(below), F.lit(0)).alias("__offset"),
+        F.sum("__rows").over(whole).alias("total"),
     )
     inside = Window.partitionBy(*keys, "__range").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
     ranked = placed.withColumn("__inside", F.coalesce(F.sum("n").over(inside), F.lit(0)))
     on = [F.col(f"r.{k}").eqNullSafe(F.col(f"o.{k}")) for k in [*keys, "__range"]]
     out = [F.col(f"r.{c}").alias(c) for c in (*keys, value, "n", *(extra or {}))]
     joined = ranked.alias("r").join(offsets.alias("o"), on, "inner")
-    return joined.select(*out, (F.col("o.__offset") + F.col("r.__inside")).alias("before"))
+    return joined.select(*out, (F.col("o.__offset") + F.col("r.__inside")).alias("before"), "o.total")
 
 
-def quantiles(df: DataFrame, keys: list[str], value: str, probs: dict[str, float], ranges: int = 64) -> DataFrame:
-    """Exact interpolated quantiles per key, one column per entry of `probs`."""
-    ranked = ranked_value_counts(df, keys, value, ranges)
-    if not keys:
-        sizes = df.agg(F.count(value).alias("total")).scalar()
-        sized = ranked.withColumn("total", sizes)
-    else:
-        sizes = df.filter(F.col(value).isNotNull()).groupBy(*keys).agg(F.count("*").alias("total"))
-        on = [F.col(f"v.{k}").eqNullSafe(F.col(f"t.{k}")) for k in keys]
-        sized = ranked.alias("v").join(sizes.alias("t"), on).select("v.*", "t.total")
+def quantiles(df: DataFrame, keys: list[str], value: str, probs: dict[str, float], ranges: int = 64,
+              weight: str | None = None, least: int = 1) -> DataFrame:
+    """Exact interpolated quantiles per key, one column per entry of `probs`.
+
+    Keys with fewer than `least` values are left out.
+    """
+    ranked = ranked_value_counts(df, keys, value, ranges, weight=weight).filter(F.col("total") >= least)
     picks = []
     for name, p in probs.items():
         place = F.lit(p) * (F.col("total") - 1)
         for side, rank in (("lo", F.floor(place)), ("hi", F.ceil(place))):
             hit = (F.col("before") <= rank) & (rank < F.col("before") + F.col("n"))
             picks.append(F.max(F.when(hit, F.col(value).cast("double"))).alias(f"__{name}_{side}"))
-    picked = sized.groupBy(*keys).agg(F.max("total").alias("__total"), *picks)
+    picked = ranked.groupBy(*keys).agg(F.max("total").alias("__total"), *picks)
 
     def blend(name, p):
         place = F.lit(p) * (F.col("__total") - 1)

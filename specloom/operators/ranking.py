@@ -86,7 +86,7 @@ def hash_sample(df: DataFrame, n: int, key: list[str], seed: int = 0, per: list[
     Rows are ordered by a seeded hash of their key columns. The limit is the
     feature here: it is the sample size.
     """
-    draw = F.xxhash64(*[F.col(k) for k in key], F.lit(seed))
+    draw = F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in key], F.lit(str(seed))))
     ties = [F.col(k) for k in key]
     if per:
         return first_ranked(df.withColumn("__draw", draw), list(per), [F.col("__draw"), *ties], n).drop("__draw")

@@ -9,6 +9,11 @@ from pyspark.sql import types as T
 from ..functions import storage_and_ram, strip
 
 
+def quoted(names) -> list[str]:
+    """Names that may hold dots or spaces, safe for select."""
+    return [f"`{c}`" for c in names]
+
+
 def flatten_columns(df: DataFrame, sep: str = "_") -> DataFrame:
     """R01 for typed nesting: every leaf becomes a column named by its path.
 
@@ -111,7 +116,7 @@ def override_price(df: DataFrame, prices: DataFrame, price: str = "Misc_Price",
         df.withColumn("__config", config)
         .join(listed, [model, "__config"], "left")
         .withColumn(price, F.when(F.col("__hit"), F.col("__listed")).otherwise(F.col(f"`{price}`")))
-        .select(*df.columns)
+        .select(*quoted(df.columns))
     )
 
 

@@ -50,8 +50,20 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/specloom/{label}-{uuid.uuid4().hex}"
 
 
+def store(df, label: str = "stage"):
+    """Write a frame to a fresh table in the shared folder and read it back.
+
+    Cuts lineage, keeps column pruning, and gives Spark the real size of the
+    result: joins then broadcast it only below spark.sql.autoBroadcastJoinThreshold.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def settle(df):
-    """Cut lineage with a reliable checkpoint, so later passes see one frozen result."""
+    """Cut lineage with a reliable checkpoint that also keeps partitions and row order."""
     spark = df.sparkSession
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from ..operators.load import load_star, stage, unseen
 from ..plans.clean import clean
 from ..schemas import RAW_SCHEMA
-from ..session import settle
+from ..session import store
 from ..sources.tables import append_table
 
 
@@ -44,7 +44,7 @@ def incremental_append(spark: SparkSession, src: str, target: str, checkpoint: s
     def each(batch: DataFrame, _: int) -> None:
         rows = batch.withColumn("__at", F.monotonically_increasing_id())
         stored = batch.sparkSession.read.schema(schema).parquet(target)
-        fresh = settle(unseen(rows, stored, keys, "__at").select(*schema.fieldNames()))
+        fresh = store(unseen(rows, stored, keys, "__at").select(*schema.fieldNames()))
         append_table(fresh, target)
 
     _drain(_stream(spark, src, schema, fmt, files_per_batch), each, checkpoint)
@@ -56,6 +56,6 @@ def incremental_load(spark: SparkSession, src: str, target: str, checkpoint: str
 
     def each(batch: DataFrame, _: int) -> None:
         staged = stage(clean(batch, prices)).withColumn("__at", F.monotonically_increasing_id())
-        load_star(batch.sparkSession, target, settle(staged), "__at")
+        load_star(batch.sparkSession, target, store(staged), "__at")
 
     _drain(_stream(spark, src, RAW_SCHEMA, fmt, files_per_batch), each, checkpoint)
