@@ -11,7 +11,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..schemas import RAW_INPUT_COLUMNS, STAR_SCHEMAS, Star
+from ..schemas import RAW_INPUT_COLUMNS
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark "
@@ -199,6 +199,24 @@ def raw_ctes(*more: tuple[str, str]) -> str:
     return "WITH " + ",\n".join(parts) + "\n"
 
 
+class DerivedStar:
+    """The star tables, each derived when first read. Stands in for `schemas.Star`."""
+
+    def __init__(self, inputs: Inputs):
+        self._inputs = inputs
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name not in STAR_SQL:
+            raise AttributeError(name)
+        table = self._inputs.derive(STAR_SQL[name])
+        setattr(self, name, table)
+        return table
+
+    def register(self) -> None:
+        for name in STAR_SQL:
+            getattr(self, name).createOrReplaceTempView(name)
+
+
 class Inputs:
     """Tables of one data folder, loaded when first asked for."""
 
@@ -215,8 +233,8 @@ class Inputs:
         return self.spark.sql(sql)
 
     @cached_property
-    def star(self) -> Star:
-        return Star(**{n: self.derive(STAR_SQL[n]) for n in STAR_SCHEMAS})
+    def star(self) -> DerivedStar:
+        return DerivedStar(self)
 
     @cached_property
     def raw(self) -> DataFrame:
