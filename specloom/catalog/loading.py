@@ -118,10 +118,12 @@ def _(i):
     return d.select("id", "year", "price_eur", row_signature(d, SIGNATURE_COLUMNS).alias("device_key"))
 
 
-def _load_once(i: Inputs, target: str):
+def _load(i: Inputs, target: str, times: int = 1):
     prices = i.prices.select("Model", "Configuration", "Price")
     staged = load.stage(plan.clean(i.raw_pages, prices, impute=False))
-    load.load_star(i.spark, target, store(staged.withColumnRenamed("part_id", "at"), "staged"), "at")
+    staged = store(staged.withColumnRenamed("part_id", "at"), "staged")
+    for _run in range(times):
+        load.load_star(i.spark, target, staged, "at")
 
 
 _COUNTS = raw_ctes(PIECES, EXPANDED, LISTED, PRICED, CHAIN, STAGED, ("t", f"""
@@ -139,8 +141,7 @@ _COUNTS = raw_ctes(PIECES, EXPANDED, LISTED, PRICED, CHAIN, STAGED, ("t", f"""
         WHERE sim_count IS NOT NULL AND sim_type IS NOT NULL) q""")
 def _(i):
     target = scratch_path(i.spark, "star-load")
-    _load_once(i, target)
-    _load_once(i, target)
+    _load(i, target, times=2)
     out = None
     for name in ("Device_Name", "OS", "Platform", "Sim"):
         one = load.open_target(i.spark, target, name).agg(F.count("*").alias("n")).withColumn("tab", F.lit(name))
@@ -151,7 +152,7 @@ def _(i):
 @query("load_star_integrity")
 def _(i):
     target = scratch_path(i.spark, "star-load")
-    _load_once(i, target)
+    _load(i, target)
     star = Star(**{t: load.open_target(i.spark, target, t) for t in STAR_SCHEMAS})
     orphans = quality.check_fk(star.Device, "device_name_id", star.Device_Name).count()
     repeated = quality.check_unique(star.Device, ["device_key"]).count()

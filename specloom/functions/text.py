@@ -71,53 +71,41 @@ def let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def _halves(v: Column) -> tuple[Column, Column]:
-    """A double as the exact sum of two shorter ones."""
-    wide = F.lit(134217729.0) * v
-    high = wide - (wide - v)
-    return high, v - high
-
-
-def _off_tie(x: Column, seven: Column) -> Column:
-    """Move a value that sits on a rounding tie of its seventh digit to the side its bits lie on.
-
-    Java formats the shortest decimal text of a double (28565.55 rounds up), while
-    the key format rounds the stored binary value (a little below, so it rounds
-    down). x * 10^k minus the seven-digit integer, with the exact product error
-    from splitting both factors in halves, tells the side. `seven` is x with seven
-    digits and an exponent.
-    """
-    digits = F.replace(F.substring_index(seven, "e", 1), F.lit("."), F.lit("")).try_cast("long")
-    k = F.lit(6) - F.substring_index(seven, "e", -1).try_cast("int")
-
-    def moved(t: Column) -> Column:
-        power, seventh = t["power"], t["digits"]
-        product = x * power
-        (xh, xl), (ph, pl) = _halves(x), _halves(power)
-        error = ((xh * ph - product) + xh * pl + xl * ph) + xl * pl
-        side = F.sign((product - seventh.cast("double")) + error)
-        toward_even = F.when(F.floor(F.abs(seventh) / 10) % 2 == 0, -F.sign(x)).otherwise(F.sign(x))
-        step = F.when(side == 0, toward_even).otherwise(side).cast("long")
-        return number(F.concat((seventh + step).cast("string"), F.lit("e"), (-t["k"]).cast("string")))
-
-    parts = F.struct(
-        digits.alias("digits"), k.alias("k"), number(F.concat(F.lit("1e"), k.cast("string"))).alias("power")
-    )
-    on_tie = (number(seven) == x) & F.substring_index(seven, "e", 1).endswith("5") & k.between(0, 22)
-    return F.when(on_tie, let(parts, moved)).otherwise(x)
+# Text of a number: whole numbers as integers, others with 6 significant digits.
+#
+# Java formats the shortest decimal text of a double (28565.55 would round up),
+# while the key format rounds the stored binary value (a little below, so it rounds
+# down). They differ only where the value has seven digits and the last is a 5. For
+# those, x * 10^k minus the seven-digit integer, with the exact product error from
+# splitting both factors in halves, tells the side the stored value lies on, and
+# the value is moved one unit of its seventh digit that way. Kept as SQL text: one
+# expression to parse instead of hundreds of Column calls.
+_TIE_SIDE = """
+    transform(array(named_struct('x', 134217729D * x - (134217729D * x - x),
+                                 'p', 134217729D * t.p - (134217729D * t.p - t.p))), h ->
+      sign((x * t.p - t.d)
+           + (((h.x * h.p - x * t.p) + h.x * (t.p - h.p) + (x - h.x) * h.p) + (x - h.x) * (t.p - h.p))))[0]"""
+_OFF_TIE = f"""
+    transform(array(format_string('%.6e', x)), s ->
+      CASE WHEN try_cast(s AS DOUBLE) = x AND substring_index(s, 'e', 1) LIKE '%5'
+                AND try_cast(substring_index(s, 'e', -1) AS INT) BETWEEN -16 AND 6
+      THEN transform(array(named_struct(
+             'd', try_cast(replace(substring_index(s, 'e', 1), '.', '') AS BIGINT),
+             'k', 6 - try_cast(substring_index(s, 'e', -1) AS INT),
+             'p', try_cast(concat('1e', 6 - try_cast(substring_index(s, 'e', -1) AS INT)) AS DOUBLE))), t ->
+             transform(array({_TIE_SIDE}), side ->
+               try_cast(concat(t.d + CAST(CASE WHEN side <> 0 THEN side WHEN (abs(t.d) DIV 10) % 2 = 0 THEN -sign(x)
+                                               ELSE sign(x) END AS BIGINT), 'e', -t.k) AS DOUBLE))[0])[0]
+      ELSE x END)[0]"""
+_NUMBER_TEXT = f"""
+    x -> CASE WHEN abs(x) >= 9e15 THEN format_string('%.0f', x)
+              WHEN x = floor(x) THEN CAST(CAST(x AS BIGINT) AS STRING)
+              ELSE regexp_replace(regexp_replace(format_string('%.6g', {_OFF_TIE}),
+                     '([.][0-9]*?)0+(?=$|e)', '$1'), '[.](?=$|e)', '') END"""
 
 
 def _number_key(value: Column) -> Column:
-    """A double as key text: whole numbers as integers, others with 6 significant digits."""
-
-    def text_of(x: Column) -> Column:
-        short = F.format_string("%.6g", let(F.format_string("%.6e", x), lambda seven: _off_tie(x, seven)))
-        short = F.regexp_replace(short, r"(\.\d*?)0+(?=$|e)", "$1")
-        short = F.regexp_replace(short, r"\.(?=$|e)", "")
-        whole = F.when(F.abs(x) < 9e15, x.cast("long").cast("string")).otherwise(F.format_string("%.0f", x))
-        return F.when(x == F.floor(x), whole).otherwise(short)
-
-    return let(value, text_of)
+    return F.get(F.call_function("transform", F.array(value), F.expr(_NUMBER_TEXT)), F.lit(0))
 
 
 def lookup_key(c: Column, dtype: str) -> Column:

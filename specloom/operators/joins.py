@@ -60,18 +60,22 @@ def key_columns(df: DataFrame, keys: list[str], prefix: str = "__k") -> dict[str
     return {f"{prefix}{i}": lookup_key(F.col(f"`{k}`"), kinds[k]) for i, k in enumerate(keys)}
 
 
+def lookup_side(dim: DataFrame, keys: list[str], id_col: str, prefix: str = "__k", dim_id: str = "id") -> DataFrame:
+    """A dimension reduced to its normalised key and the id that key stands for."""
+    names = key_columns(dim, keys, prefix)
+    return (
+        dim.select(*[c.alias(k) for k, c in names.items()], F.col(dim_id).alias(id_col))
+        .groupBy(*names)
+        .agg(F.min(id_col).alias(id_col))
+    )
+
+
 def attach_lookup_id(df: DataFrame, dim: DataFrame, keys: list[str], id_col: str, dim_id: str = "id",
                      dim_keys: list[str] | None = None) -> DataFrame:
     """Left join on normalised keys, NULL matching NULL; unmatched ids stay NULL."""
-    dim_keys = dim_keys or keys
-    right = key_columns(dim, dim_keys)
-    side = (
-        dim.select(*[c.alias(k) for k, c in right.items()], F.col(dim_id).alias(id_col))
-        .groupBy(*right)
-        .agg(F.min(id_col).alias(id_col))
-    )
-    left = df.drop(id_col).withColumns(key_columns(df, keys))
-    return left.join(side, list(right), "left").drop(*right)
+    names = key_columns(df, keys)
+    left = df.drop(id_col).withColumns(names)
+    return left.join(lookup_side(dim, dim_keys or keys, id_col, dim_id=dim_id), list(names), "left").drop(*names)
 
 
 def new_rows(df: DataFrame, existing: DataFrame, keys: list[str]) -> DataFrame:

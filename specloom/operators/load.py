@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,7 +16,7 @@ from ..schemas import FOREIGN_KEYS, SIGNATURE_COLUMNS, STAGE_NAMES, STAGE_REQUIR
 from ..session import store
 from ..sources.tables import append_table, read_table
 from .filters import drop_all_null_keys
-from .joins import attach_lookup_id, key_columns, new_rows
+from .joins import key_columns, lookup_side, new_rows
 from .ranking import first_per_key
 from .reshape import rename_and_require
 
@@ -124,14 +127,21 @@ def append_dimension(spark: SparkSession, root: str, table: str, staged: DataFra
 
 
 def fact_rows(staged: DataFrame, star: Star) -> DataFrame:
-    """Staged rows with all seven dimension ids and the row signature; NULL ids stay."""
-    kept = staged.dropDuplicates([c for c in staged.columns if c != "sensor_names"])
+    """Staged rows with all seven dimension ids and the row signature; NULL ids stay.
+
+    Only the key texts and the fact's own columns travel through the joins. Repeated
+    rows end up with equal signatures, so they need no wide comparison before.
+    """
+    keys = {}
     for fk, table in FOREIGN_KEYS.items():
         names = STAGED_AS.get(table, {})
-        keys = UNIQUE_KEYS[table]
-        kept = attach_lookup_id(kept, getattr(star, table), [names.get(k, k) for k in keys], fk, dim_keys=keys)
-    fact = kept.select(*SIGNATURE_COLUMNS)
-    return fact.select(row_signature(fact, SIGNATURE_COLUMNS).alias("device_key"), *SIGNATURE_COLUMNS)
+        keys[fk] = key_columns(staged, [names.get(k, k) for k in UNIQUE_KEYS[table]], f"__{fk}_")
+    own = [c for c in SIGNATURE_COLUMNS if c not in FOREIGN_KEYS]
+    rows = staged.select(*own, *[c.alias(k) for parts in keys.values() for k, c in parts.items()])
+    for fk, table in FOREIGN_KEYS.items():
+        side = lookup_side(getattr(star, table), UNIQUE_KEYS[table], fk, f"__{fk}_")
+        rows = rows.join(side, list(keys[fk]), "left")
+    return rows.select(row_signature(rows, SIGNATURE_COLUMNS).alias("device_key"), *SIGNATURE_COLUMNS)
 
 
 def append_facts(spark: SparkSession, root: str, staged: DataFrame) -> None:
@@ -146,8 +156,13 @@ def append_facts(spark: SparkSession, root: str, staged: DataFrame) -> None:
 
 
 def load_star(spark: SparkSession, root: str, staged: DataFrame, ordinal: str) -> None:
-    """The whole load, dimensions first. Running it again adds nothing."""
-    for table in STAR_SCHEMAS:
-        if table != "Device":
-            append_dimension(spark, root, table, staged, ordinal)
-    append_facts(spark, root, staged.drop(ordinal))
+    """The whole load, dimensions first. Running it again adds nothing.
+
+    The seven dimensions do not depend on each other, so their jobs run side by side.
+    """
+    dims = list(FOREIGN_KEYS.values())
+    with ThreadPoolExecutor(len(dims)) as pool:
+        load_one = inheritable_thread_target(spark)(append_dimension)
+        for done in [pool.submit(load_one, spark, root, table, staged, ordinal) for table in dims]:
+            done.result()
+    append_facts(spark, root, staged)

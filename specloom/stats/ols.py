@@ -46,13 +46,22 @@ class Fit:
     categorical: list[str] = field(default_factory=list)
 
 
-def _pinv(gram: np.ndarray) -> tuple[np.ndarray, int]:
-    """Pseudo-inverse and rank of a Gram matrix, scaled to a unit diagonal first."""
+def _root(gram: np.ndarray) -> np.ndarray:
+    """R with R'R the pseudo-inverse of a Gram matrix; one row per rank.
+
+    The matrix is scaled to a unit diagonal first, so predictors of very different
+    size do not lose each other's digits.
+    """
     scale = np.sqrt(np.where(np.diag(gram) > 0, np.diag(gram), 1.0))
     values, vectors = np.linalg.eigh(gram / np.outer(scale, scale))
     keep = values > values.max() * 1e-11
-    inv = (vectors[:, keep] / values[keep]) @ vectors[:, keep].T
-    return inv / np.outer(scale, scale), int(keep.sum())
+    return (vectors[:, keep] / np.sqrt(values[keep])).T / scale
+
+
+def _pinv(gram: np.ndarray) -> tuple[np.ndarray, int]:
+    """Pseudo-inverse and rank of a Gram matrix."""
+    root = _root(gram)
+    return root.T @ root, len(root)
 
 
 def formula(y: str, numeric: list[str], categorical: list[str]) -> str:
@@ -175,10 +184,8 @@ def residual_frame(df: DataFrame, fit: Fit, key: list[str] = ()) -> DataFrame:
     used = [fit.y, *fit.numeric, *fit.categorical]
     rows = df.select(*key, *[c for c in used if c not in key]).dropna(subset=used)
     beta = fit.inverse @ d.xty
-    # (X'X)^+ = L L', so leverage is the squared length of L'x
-    values, vectors = np.linalg.eigh((fit.inverse + fit.inverse.T) / 2)
-    keep = values > values.max() * 1e-15
-    root = (vectors[:, keep] * np.sqrt(values[keep])).T
+    # (X'X)^+ = R'R, so leverage is the squared length of R x
+    root = _root(d.gram)
     x = F.col("__x")
     dot = lambda w: F.aggregate(
         F.zip_with(x, w, lambda a, b: a * b), F.lit(0.0), lambda acc, v: acc + v
