@@ -97,11 +97,22 @@ _OFF_TIE = f"""
                try_cast(concat(t.d + CAST(CASE WHEN side <> 0 THEN side WHEN (abs(t.d) DIV 10) % 2 = 0 THEN -sign(x)
                                                ELSE sign(x) END AS BIGINT), 'e', -t.k) AS DOUBLE))[0])[0]
       ELSE x END)[0]"""
+# Values of everyday size take a short way: scale to six integer digits, round, and
+# divide back; the quotient's shortest text is the wanted one. Anything near a
+# rounding tie, tiny or huge goes through the formatter.
+_SCALE = """CASE WHEN abs(x) < 1e-3 THEN NULL WHEN abs(x) < 1e-2 THEN 1e8 WHEN abs(x) < 1e-1 THEN 1e7
+    WHEN abs(x) < 1e0 THEN 1e6 WHEN abs(x) < 1e1 THEN 1e5 WHEN abs(x) < 1e2 THEN 1e4 WHEN abs(x) < 1e3 THEN 1e3
+    WHEN abs(x) < 1e4 THEN 1e2 WHEN abs(x) < 1e5 THEN 1e1 WHEN abs(x) < 1e6 THEN 1e0 END"""
+_FORMATTED = f"""regexp_replace(regexp_replace(format_string('%.6g', {_OFF_TIE}),
+    '([.][0-9]*?)0+(?=$|e)', '$1'), '[.](?=$|e)', '')"""
 _NUMBER_TEXT = f"""
     x -> CASE WHEN abs(x) >= 9e15 THEN format_string('%.0f', x)
               WHEN x = floor(x) THEN CAST(CAST(x AS BIGINT) AS STRING)
-              ELSE regexp_replace(regexp_replace(format_string('%.6g', {_OFF_TIE}),
-                     '([.][0-9]*?)0+(?=$|e)', '$1'), '[.](?=$|e)', '') END"""
+              ELSE transform(array({_SCALE}), q ->
+                CASE WHEN abs(x * q - floor(x * q) - 0.5D) > 1e-5 AND abs(rint(x * q)) < 1e6
+                     THEN CASE WHEN rint(x * q) % q = 0 THEN CAST(CAST(rint(x * q) / q AS BIGINT) AS STRING)
+                               ELSE CAST(rint(x * q) / q AS STRING) END
+                     ELSE {_FORMATTED} END)[0] END"""
 
 
 def _number_key(value: Column) -> Column:

@@ -102,7 +102,8 @@ def test_clean_text_and_sensors(apply):
 
 def test_lookup_key_matches_python_format(apply):
     values = [8.0, 8.5, 28565.55, 28565.65, 293.8755, 0.0001234565, 100000.5, 100001.5, 1234567.5, 1e-5, 2.5e-7, -28565.55, 123456.5,
-              0.1, 1e20, -3.0, 0.5, 99999.95, 999999.5, 6.02214076e-12, None, float("nan")]
+              0.1, 1e20, -3.0, 0.5, 99999.95, 999999.5, 999999.7, 99999.97, 0.00123456789, 0.0999999999, -0.05, 4.9999999,
+              1234.5678, 0.01, 56.7890125, 9.999995, 9.9999949, 6.02214076e-12, None, float("nan")]
 
     def want(v):
         if v is None or v != v:
