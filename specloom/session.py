@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -68,3 +70,24 @@ def settle(df):
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
     return df.checkpoint(eager=True)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give Python workers this package, once per application.
+
+    Executors need it wherever a pandas function refers to it, and have it already
+    only if it is installed there or was submitted as a zip.
+    """
+    sc = spark.sparkContext
+    package = Path(__file__).resolve().parent
+    if sc.applicationId in _SHIPPED or not package.is_dir():
+        return
+    archive = Path(tempfile.mkdtemp(prefix="specloom-")) / "specloom.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, Path(package.name) / file.relative_to(package))
+    sc.addPyFile(str(archive))
+    _SHIPPED.add(sc.applicationId)

@@ -14,6 +14,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import ship_package
+
 # Page sections, the class names of label and value cells and of the price table.
 SECTIONS = [
     "Network", "Launch", "Body", "Display", "Platform", "Memory", "Main Camera",
@@ -139,6 +141,7 @@ def _selected(root, path):
 
 def _job(pages: DataFrame, id_col: str, html_col: str, rows, columns: str) -> DataFrame:
     """Run `rows(html)` over every page; long output rows keyed by the page id."""
+    ship_package(pages.sparkSession)
     id_type = dict(pages.dtypes)[id_col]
     names = [id_col] + [c.split()[0] for c in columns.split(",")]
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..operators.joins import keep_groups
 from ..operators.ordered import ranked_value_counts
 from ..operators.ranking import hash_sample
+from ..session import ship_package
 from . import dist
 
 SHAPIRO_ROWS = 5000
@@ -30,6 +31,8 @@ def ci_moments(df: DataFrame, key: str, value: str, groups: DataFrame) -> DataFr
 def t_interval(moments: DataFrame, alpha: float = 0.05) -> DataFrame:
     """Bounds at 2 places; NULL for fewer than two values. The input has one row per group."""
 
+    ship_package(moments.sparkSession)
+
     @F.pandas_udf("double")
     def t_score(n):
         return n.map(lambda k: dist.t_ppf(1 - alpha / 2, k - 1) if k >= 2 else None).astype("float64")
@@ -97,6 +100,7 @@ def shapiro(df: DataFrame, value: str, group: str) -> DataFrame:
     )
     # equal values share a hash, so repeats are numbered apart before the draw
     drawn = _draw(known, value, group)
+    ship_package(df.sparkSession)
 
     def test(pdf):
         import pandas as pd

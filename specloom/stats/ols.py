@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..operators.ordered import every_kth
 from ..operators.ranking import hash_sample
+from ..session import ship_package
 from . import dist
 from .gram import Design, Sums, collect_sums, design
 
@@ -229,6 +230,8 @@ def qq_points(std: DataFrame, n: int, max_points: int = 500) -> DataFrame:
     """Sample against normal quantiles at every k-th sorted position."""
     points = every_kth(std, "standardized", max(1, n // max_points))
 
+    ship_package(std.sparkSession)
+
     # at most 2 * max_points rows; the normal quantile has no built-in function
     @F.pandas_udf("double")
     def quantile(position):
