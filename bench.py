@@ -1,8 +1,8 @@
 """Time the headline queries and print one JSON line.
 
 BENCH_SF_DIR names the data folder, BENCH_CPUS the local cores. Each query is
-built and fully run (noop sink) after one untimed warm-up of the session; the best
-of BENCH_REPEATS runs counts.
+built and fully run (noop sink) after one untimed warm-up of the session. The best of
+BENCH_REPEATS runs counts; a query that took over four seconds is run once.
 """
 
 from __future__ import annotations
@@ -42,6 +42,8 @@ def main() -> None:
             QUERIES[name](spark, root).write.format("noop").mode("overwrite").save()
             took = time.perf_counter() - start
             best = took if best is None else min(best, took)
+            if took > 4:
+                break
         times[name] = round(best, 3)
     spark.stop()
     print(json.dumps({
