@@ -32,19 +32,12 @@ def build_session(app: str = "specloom", master: str | None = None, **extra: str
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach, as the cluster names it.
+    """The folder every executor can reach: spark.checkpoint.dir, else one below the warehouse.
 
-    Falls back to a temp folder only for a local master, where driver and
-    executors are one process.
+    Both are settings that each deployment has; no folder of one machine is made up here.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    named = tempfile.mkdtemp(prefix="specloom-")
-    spark.conf.set("spark.checkpoint.dir", named)
-    return named
+    return named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/.stages"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -64,6 +57,20 @@ def store(df, label: str = "stage"):
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_stored(*frames) -> None:
+    """Delete the tables that `store` wrote, once nothing reads them any more."""
+    for df in frames:
+        spark = df.sparkSession
+        top = f"{shared_dir(spark).rstrip('/')}/specloom/"
+        jvm = spark.sparkContext._jvm
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        for folder in {file.rpartition("/")[0] for file in df.inputFiles()}:
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            plain = jvm.org.apache.hadoop.fs.Path(top).toUri().getPath().rstrip("/")
+            if path.toUri().getPath().startswith(plain + "/"):
+                path.getFileSystem(conf).delete(path, True)
+
+
 def settle(df):
     """Cut lineage with a reliable checkpoint that also keeps partitions and row order."""
     spark = df.sparkSession
