@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import decontaminate as _decontaminate
 from . import toxicity as _toxicity
 
 QUERIES: dict = {}
@@ -25,3 +26,13 @@ def op5_toxicity(spark: SparkSession, root: str) -> DataFrame:
     docs = _table(spark, root, "documents").select("doc_id", "text")
     scored = _toxicity.toxicity(docs, _table(spark, root, "labels"))
     return scored.select("doc_id", _toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+@_query
+def op4_decontamination(spark: SparkSession, root: str) -> DataFrame:
+    docs = _table(spark, root, "documents").select("doc_id", "text")
+    found = _decontaminate.decontaminate(docs, _table(spark, root, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", F.sort_array("items")).cast("binary"), 256).alias("items_sha256"),
+        _decontaminate.contaminated().alias("contaminated"))
