@@ -97,7 +97,7 @@ class FMIndex:
         return high - low
 
     def search(self, patterns: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Row ranges of all patterns (right-aligned rows of symbols); -1 is a word the shard lacks."""
+        """Row ranges of all patterns (right-aligned rows of symbols). Symbols that the shard lacks match nothing."""
         low, high = np.zeros(len(patterns), np.int64), np.full(len(patterns), self.n, np.int64)
         width = patterns.shape[1]
         live = np.flatnonzero((length > 0) & (patterns[:, width - 1] > 0))
@@ -106,7 +106,7 @@ class FMIndex:
             if not len(live):
                 break
             symbol = patterns[live, j]
-            lost = symbol <= 0
+            lost = (symbol <= 0) | (symbol >= len(self.below) - 1)
             high[live[lost]] = low[live[lost]]
             live, symbol = live[~lost], symbol[~lost]
             low[live] = self.below[symbol] + self.rank(symbol, low[live])

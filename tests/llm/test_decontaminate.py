@@ -70,3 +70,5 @@ def test_suffix_array_and_index():
     low, high = index.search(np.array([[1, 2, 1, 1]]), np.array([4]))
     at = sorted(index.locate(np.arange(low[0], high[0])).tolist())
     assert at == [i for i in range(len(symbols) - 3) if symbols[i : i + 4].tolist() == [1, 2, 1, 1]]
+    low, high = index.search(np.array([[-1, -1, 9, 1], [-1, 1, 2, 9]]), np.array([2, 3]))
+    assert (low >= high).all()
