@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import decontaminate as _decontaminate
+from . import pieces as _pieces
+from . import secret_scan as _secret_scan
 from . import toxicity as _toxicity
 
 QUERIES: dict = {}
@@ -36,3 +38,17 @@ def op4_decontamination(spark: SparkSession, root: str) -> DataFrame:
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.concat_ws(",", F.sort_array("items")).cast("binary"), 256).alias("items_sha256"),
         _decontaminate.contaminated().alias("contaminated"))
+
+
+@_query
+def op10_secret_scan(spark: SparkSession, root: str) -> DataFrame:
+    found = _secret_scan.secrets(_table(spark, root, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id", "n_assign", "n_access", "n_hex", F.sha2(F.concat_ws(",", "base_spans").cast("binary"), 256).alias("base_sha256"),
+        F.concat_ws(",", "spans").alias("spans"))
+
+
+@_query
+def op3_sentencepiece(spark: SparkSession, root: str) -> DataFrame:
+    coded = _pieces.decode(_pieces.encode(_table(spark, root, "documents").select("doc_id", "text")))
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), "ids", F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"))
