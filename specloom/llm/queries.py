@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import binary_codes as _binary_codes
 from . import decontaminate as _decontaminate
 from . import pieces as _pieces
 from . import secret_scan as _secret_scan
@@ -52,3 +53,8 @@ def op10_secret_scan(spark: SparkSession, root: str) -> DataFrame:
 def op3_sentencepiece(spark: SparkSession, root: str) -> DataFrame:
     coded = _pieces.decode(_pieces.encode(_table(spark, root, "documents").select("doc_id", "text")))
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), "ids", F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"))
+
+
+@_query
+def op8_embedding_near_dedup(spark: SparkSession, root: str) -> DataFrame:
+    return _binary_codes.near_duplicates(_table(spark, root, "embeddings"))
