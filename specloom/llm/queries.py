@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from . import binary_codes as _binary_codes
 from . import decontaminate as _decontaminate
+from . import jaccard_join as _jaccard_join
 from . import line_dedup as _line_dedup
 from . import pieces as _pieces
 from . import secret_scan as _secret_scan
@@ -67,3 +68,8 @@ def op9_line_dedup(spark: SparkSession, root: str) -> DataFrame:
     gone = _line_dedup.dropped_lines(docs).groupBy("doc_id").agg(F.sort_array(F.collect_list("no")).alias("dropped"))
     shown = docs.select("doc_id", _line_dedup.n_lines().alias("n_lines")).join(gone, "doc_id", "left")
     return shown.select("doc_id", "n_lines", F.coalesce(F.size("dropped"), F.lit(0)).cast("long").alias("n_dropped"), F.coalesce("dropped", F.array().cast("array<int>")).alias("dropped"))
+
+
+@_query
+def op7_ngram_jaccard_join(spark: SparkSession, root: str) -> DataFrame:
+    return _jaccard_join.groups(_table(spark, root, "documents").select("doc_id", "text"))
