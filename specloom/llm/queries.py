@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
+
 from . import binary_codes as _binary_codes
 from . import decontaminate as _decontaminate
 from . import jaccard_join as _jaccard_join
@@ -73,3 +75,8 @@ def op9_line_dedup(spark: SparkSession, root: str) -> DataFrame:
 @_query
 def op7_ngram_jaccard_join(spark: SparkSession, root: str) -> DataFrame:
     return _jaccard_join.groups(_table(spark, root, "documents").select("doc_id", "text"))
+
+
+QUERIES["pipeline"] = corpus_pipeline.run
+if corpus_pipeline.ORACLE_SQL:
+    CHECKS["pipeline"] = corpus_pipeline.ORACLE_SQL
