@@ -114,7 +114,7 @@ def _members(batches: Iterator[pa.RecordBatch], width: int, percent: int, count:
 
 def _stars(table: pa.Table) -> pa.Table:
     """Members of blocks with several sets, each with its block's smallest one."""
-    held = np.unique(P.unpack(table, _MEMBER))
+    held = P.ordered(P.unpack(table, _MEMBER), "key", "node")
     first, size = P.runs(held["key"])
     keep = np.repeat(size > 1, size)
     pivot = np.repeat(held["node"][first], size)

@@ -109,7 +109,7 @@ def _bands(batches: Iterator[pa.RecordBatch], count: int, width: int, bands: int
 
 def _candidates(table: pa.Table) -> pa.Table:
     """Each line of a band's group with the group's smallest and with its next line."""
-    held = np.unique(P.unpack(table, _PAIR))
+    held = P.ordered(P.unpack(table, _PAIR), "key", "line")
     first, size = P.runs(held["key"])
     line, pivot = held["line"], np.repeat(held["line"][first], size)
     later = np.ones(len(held), bool)

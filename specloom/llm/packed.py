@@ -1,9 +1,10 @@
 """Shuffles of many small fixed-width records as packed binary rows.
 
-A map task sorts its records by bucket and sends each bucket's records of a block as one
-row of bytes; the task of a bucket reads them back as numpy arrays. Sixteen bytes a record
-travel as sixteen bytes, and a very frequent key costs its records, not its rows. Buckets
-are hash ranges, four to a shuffle partition, so their size is set where partitions are.
+A map task sorts its records by bucket and key and sends each bucket's records of a block as
+one compressed row; the task of a bucket reads them back as numpy arrays. Bytes of one place
+in the record lie together, so sorted keys and small numbers shrink to a few bytes, and a
+very frequent key costs its records, not its rows. Buckets are hash ranges, four to a
+shuffle partition, so their size is set where partitions are.
 """
 
 from __future__ import annotations
@@ -14,7 +15,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-SHAPE = "bucket int, packed binary"
+from . import words as W
+
+SHAPE = "bucket int, n int, packed binary"
 #: Records that a map task holds before it sends them on.
 BLOCK = 1_000_000
 
@@ -23,11 +26,21 @@ def buckets(spark: SparkSession) -> int:
     return 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def squeeze(rows: np.ndarray) -> bytes:
+    planes = np.ascontiguousarray(rows.view(np.uint8).reshape(len(rows), -1).T)
+    return pa.Codec("zstd", compression_level=1).compress(planes.tobytes(), asbytes=True)
+
+
+def expand(data: bytes, n: int, kind: np.dtype) -> np.ndarray:
+    planes = pa.Codec("zstd").decompress(data, n * kind.itemsize, asbytes=True)
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(kind.itemsize, n).T).view(kind).ravel()
+
+
 class Packer:
     """Collects record arrays and gives packed rows; the first field is the key."""
 
-    def __init__(self, kind: np.dtype, count: int, distinct: bool = False):
-        self.kind, self.count, self.distinct = kind, count, distinct
+    def __init__(self, kind: np.dtype, count: int, distinct: bool = False, block: int = BLOCK):
+        self.kind, self.count, self.distinct, self.block = kind, count, distinct, block
         self.held: list[np.ndarray] = []
         self.size = 0
 
@@ -37,27 +50,43 @@ class Packer:
             rows[name] = values
         self.held.append(rows)
         self.size += len(rows)
-        if self.size >= BLOCK:
+        if self.size >= self.block:
             yield from self.flush()
 
     def flush(self) -> Iterator[pa.RecordBatch]:
         if self.size:
             rows = np.concatenate(self.held)
-            if self.distinct:
-                rows = np.unique(rows)
-            bucket = (rows[self.kind.names[0]] % np.uint64(self.count)).astype(np.int32)
-            order = np.argsort(bucket, kind="stable")
+            names = self.kind.names
+            bucket = (W.mix(rows[names[0]].astype(np.uint64)) % np.uint64(self.count)).astype(np.int32)
+            order = np.lexsort((*(rows[n] for n in reversed(names[1:] if self.distinct else ())), rows[names[0]], bucket))
             rows, bucket = rows[order], bucket[order]
+            if self.distinct:
+                new = np.zeros(len(rows), bool)
+                new[0] = True
+                for n in names:
+                    new[1:] |= rows[n][1:] != rows[n][:-1]
+                rows, bucket = rows[new], bucket[new]
             first = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
-            data = rows.tobytes()
             ends = np.r_[first[1:], len(rows)]
-            packed = [data[a * self.kind.itemsize : b * self.kind.itemsize] for a, b in zip(first.tolist(), ends.tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array(bucket[first]), pa.array(packed, pa.binary())], ["bucket", "packed"])
+            packed = [squeeze(rows[a:b]) for a, b in zip(first.tolist(), ends.tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(bucket[first]), pa.array((ends - first).astype(np.int32)), pa.array(packed, pa.binary())], ["bucket", "n", "packed"])
         self.held, self.size = [], 0
 
 
 def unpack(table: pa.Table, kind: np.dtype) -> np.ndarray:
-    return np.frombuffer(b"".join(table["packed"].to_pylist()), kind)
+    """All records of a bucket."""
+    parts = [expand(d, n, kind) for d, n in zip(table["packed"].to_pylist(), table["n"].to_pylist(), strict=True)]
+    return np.concatenate(parts) if parts else np.zeros(0, kind)
+
+
+def ordered(rows: np.ndarray, *names: str) -> np.ndarray:
+    """Records sorted by fields, without repeats of all of them."""
+    rows = rows[np.lexsort([rows[n] for n in reversed(names)])]
+    new = np.zeros(len(rows), bool)
+    new[:1] = True
+    for n in names:
+        new[1:] |= rows[n][1:] != rows[n][:-1]
+    return rows[new]
 
 
 def per_bucket(rows: DataFrame, work: Callable[[pa.Table], pa.Table], shape: str) -> DataFrame:

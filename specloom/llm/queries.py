@@ -11,6 +11,7 @@ from . import binary_codes as _binary_codes
 from . import decontaminate as _decontaminate
 from . import jaccard_join as _jaccard_join
 from . import line_dedup as _line_dedup
+from . import ngram_model as _ngram_model
 from . import pieces as _pieces
 from . import secret_scan as _secret_scan
 from . import toxicity as _toxicity
@@ -77,6 +78,11 @@ def op7_ngram_jaccard_join(spark: SparkSession, root: str) -> DataFrame:
     return _jaccard_join.groups(_table(spark, root, "documents").select("doc_id", "text"))
 
 
+@_query
+def op2_lm_scoring(spark: SparkSession, root: str) -> DataFrame:
+    return _ngram_model.score(_table(spark, root, "documents").select("doc_id", "text"))
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL:
     CHECKS["pipeline"] = corpus_pipeline.ORACLE_SQL
