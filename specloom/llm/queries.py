@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 
 from . import binary_codes as _binary_codes
+from . import chaining as _chaining
 from . import decontaminate as _decontaminate
 from . import jaccard_join as _jaccard_join
 from . import line_dedup as _line_dedup
@@ -83,6 +84,11 @@ def op2_lm_scoring(spark: SparkSession, root: str) -> DataFrame:
     return _ngram_model.score(_table(spark, root, "documents").select("doc_id", "text"))
 
 
+@_query
+def op1_substring_dedup(spark: SparkSession, root: str) -> DataFrame:
+    return _chaining.passages(_table(spark, root, "documents").select("doc_id", "text"))
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL:
     CHECKS["pipeline"] = corpus_pipeline.ORACLE_SQL
