@@ -19,6 +19,7 @@ replaced; an empty table gives no rows.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,6 +29,8 @@ from pyspark.sql.types import ArrayType, IntegerType, StringType, StructType
 
 from specloom.session import ship_package
 
+from . import words as W
+
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
 BLANK = "▁"
 #: Units a Python worker remembers before it starts its table anew.
@@ -54,6 +57,15 @@ class Vocabulary:
             self.bytes_of[i] = p.replace(BLANK, " ").encode()
         for b, i in enumerate(byte_ids):
             self.bytes_of[i] = bytes([b])
+        self.sizes = np.array([len(b) for b in self.bytes_of])
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.joined = np.frombuffer(b"".join(self.bytes_of), np.uint8)
+
+    def bytes_for(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The bytes of all ids joined, and where each id's begin."""
+        size = self.sizes[ids]
+        begin = np.r_[0, np.cumsum(size)]
+        return self.joined[np.repeat(self.starts[ids] - begin[:-1], size) + np.arange(begin[-1])], begin
 
 
 def load(path: str = PIECES) -> Vocabulary:
@@ -128,31 +140,113 @@ class StreamingViterbi:
         return self.ids
 
 
-class Encoder(dict):
+class Encoder:
     """Texts to ids; remembers the units it has seen."""
 
     def __init__(self, vocabulary: Vocabulary):
-        super().__init__()
         self.v = vocabulary
+        self.known: dict[str, bytes] = {}
         self.literal = np.array([vocabulary.byte_ids[b] for b in BLANK.encode()], np.int32).tobytes()
-
-    def __missing__(self, unit: str) -> bytes:
-        search = StreamingViterbi(self.v)
-        for char in unit:
-            search.feed(char)
-        ids = np.array(search.close(), np.int32).tobytes()
-        if len(unit) <= 64:
-            if len(self) >= REMEMBERED:
-                self.clear()
-            self[unit] = ids
-        return ids
+        # ends of pieces by hash, with the piece's id if the end is a whole piece
+        ends = sorted(vocabulary.tails | set(vocabulary.pieces))
+        h = self._hashes(*self._joined(ends), np.arange(len(ends)), None)
+        order = np.argsort(h)
+        self.tail = np.r_[h[order], np.zeros(8, np.uint64)]
+        whole = [vocabulary.pieces.get(e, (-1, 0.0)) for e in ends]
+        self.tail_id = np.array([w[0] for w in whole])[order]
+        self.tail_score = np.array([w[1] for w in whole])[order]
+        slot = (h[order] >> np.uint64(44)).astype(np.int64)
+        self.slot = np.searchsorted(slot, np.arange((1 << 20) + 1))
+        self.deepest = int(np.diff(self.slot).max())
+
+    @staticmethod
+    def _joined(units: list[str]) -> tuple[W.Bytes, np.ndarray]:
+        points = np.frombuffer("".join(units).encode("utf-32-le", "surrogatepass"), np.uint32)
+        first = np.r_[0, np.cumsum([len(u) for u in units])].astype(np.int64)
+        return W.Bytes(points, first), first
+
+    @staticmethod
+    def _hashes(points: W.Bytes, first: np.ndarray, rows: np.ndarray, span: tuple | None) -> np.ndarray:
+        start, end = (first[rows], first[rows + 1]) if span is None else span
+        return points.hashes(start, end)
+
+    def _look_up(self, h: np.ndarray) -> np.ndarray:
+        """Places of hashes among the ends of pieces, or -1."""
+        at = self.slot[(h >> np.uint64(44)).astype(np.int64)]
+        out = np.full(len(h), -1, np.int64)
+        for k in range(self.deepest):
+            hit = self.tail[at + k] == h
+            out[hit] = at[hit] + k
+        return out
+
+    def learn(self, units: list[str]) -> None:
+        """Remember the ids of units that are one window each, all searched at once."""
+        units = sorted(units, key=len, reverse=True)
+        points, first = self._joined(units)
+        size = np.diff(first)
+        score, back, piece = np.zeros(len(points.data) + len(units)), np.ones(len(points.data) + len(units), np.int64), np.full(len(points.data) + len(units), -1)
+        node = first[:-1] + np.arange(len(units))  # node of each unit's begin; one more node than characters
+        for e in range(1, int(size[0]) + 1):
+            alive = int(np.searchsorted(-size, -e, "right"))
+            best, length, chosen = np.full(alive, -np.inf), np.ones(alive, np.int64), np.full(alive, -1)
+            live = np.arange(alive)
+            single = np.zeros(alive, bool)
+            for k in range(1, min(e, self.v.longest) + 1):
+                end = first[live] + e
+                found = self._look_up(points.hashes(end - k, end))
+                live, found = live[found >= 0], found[found >= 0]
+                if not len(live):
+                    break
+                ids = self.tail_id[found]
+                is_piece = ids >= 0
+                who, ids = live[is_piece], ids[is_piece]
+                total = score[node[who] + e - k] + self.tail_score[found[is_piece]]
+                if k == 1:
+                    single[who] = True
+                better = total >= best[who]
+                who = who[better]
+                best[who], length[who], chosen[who] = total[better], k, ids[better]
+            total = score[node[:alive] + e - 1] + self.v.unknown
+            other = ~single & (total > best)
+            best[other], length[other], chosen[other] = total[other], 1, -1
+            at = node[:alive] + e
+            score[at], back[at], piece[at] = best, length, chosen
+        back, piece = back.tolist(), piece.tolist()
+        for unit, begin, n in zip(units, node.tolist(), size.tolist(), strict=True):
+            out, at = [], n
+            while at:
+                s = at - back[begin + at]
+                if piece[begin + at] >= 0:
+                    out.append(piece[begin + at])
+                else:
+                    out += [self.v.byte_ids[b] for b in reversed(unit[s:at].encode("utf-8", "surrogatepass"))]
+                at = s
+            out.reverse()
+            self.known[unit] = array("i", out).tobytes()
+
+    def encode_all(self, texts: list[str | None]) -> list[bytes | None]:
+        """The ids of texts as 32-bit numbers."""
+        cut = [None if t is None else [self.v.units.findall(p.replace(" ", BLANK)) for p in (" " + t).split(BLANK)] if t else [] for t in texts]
+        fresh = {u for t in cut if t for part in t for u in part}
+        if len(self.known) > REMEMBERED:
+            self.known.clear()
+        fresh.difference_update(self.known)
+        long = [u for u in fresh if len(u) > 64]
+        fresh.difference_update(long)
+        if fresh:
+            self.learn(list(fresh))
+        for unit in long:
+            search = StreamingViterbi(self.v)
+            for char in unit:
+                search.feed(char)
+            self.known[unit] = array("i", search.close()).tobytes()
+        out = [None if t is None else self.literal.join(b"".join(map(self.known.__getitem__, part)) for part in t) for t in cut]
+        for unit in long:
+            del self.known[unit]
+        return out
 
     def encode(self, text: str) -> bytes:
-        """The ids of a text as 32-bit numbers."""
-        if not text:
-            return b""
-        parts = (" " + text).split(BLANK)
-        return self.literal.join(b"".join(map(self.__getitem__, self.v.units.findall(p.replace(" ", BLANK)))) for p in parts)
+        return self.encode_all([text])[0]
 
 
 def decode_ids(ids: list[int], vocabulary: Vocabulary) -> str:
@@ -175,7 +269,7 @@ def encode(documents: DataFrame, path: str = PIECES, column: str = "text", into:
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 rows = batch.slice(at, 500)
-                ids = [None if t is None else encoder.encode(t) for t in rows.column(column).to_pylist()]
+                ids = encoder.encode_all(rows.column(column).to_pylist())
                 begin = np.r_[0, np.cumsum([len(x or b"") // 4 for x in ids])].astype(np.int32)
                 values = np.frombuffer(b"".join(x or b"" for x in ids), np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(begin), pa.array(values), mask=pa.array([x is None for x in ids]))
@@ -198,8 +292,11 @@ def decode(encoded: DataFrame, path: str = PIECES, column: str = "ids", into: st
             for at in range(0, batch.num_rows, 500):
                 rows = batch.slice(at, 500)
                 lists = rows.column(column)
-                flat, ends = lists.flatten().to_pylist(), np.cumsum(lists.value_lengths().fill_null(0).to_numpy()).tolist()
-                texts = [None if null else decode_ids(flat[a:b], vocabulary) for null, a, b in zip(lists.is_null().to_pylist(), [0, *ends], ends, strict=False)]
+                flat, ends = lists.flatten().to_numpy(), np.r_[0, np.cumsum(lists.value_lengths().fill_null(0).to_numpy())]
+                data, begin = vocabulary.bytes_for(flat)
+                data, cut = data.tobytes(), begin[ends].tolist()
+                # a text's first byte is the blank put before it
+                texts = [None if null else data[min(a + 1, b) : b].decode("utf-8", "replace") for null, a, b in zip(lists.is_null().to_pylist(), cut[:-1], cut[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(texts, pa.string())], [*names, into])
 
     return base.mapInArrow(run, StructType([*base.schema.fields]).add(into, StringType()))
