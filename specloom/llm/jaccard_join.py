@@ -36,6 +36,7 @@ from specloom.session import ship_package, store
 from . import packed as P
 from . import words as W
 from .components import components
+from .prefilter import semi_join
 
 GROUPS = 32
 CHUNK = 4096
@@ -43,8 +44,8 @@ FANOUT = 16
 #: At most so many shingles are put last for being common; the bar follows from the input.
 COMMON = 500_000
 _TOKEN = np.dtype([("key", np.uint64), ("count", np.int64)])
-_MEMBER = np.dtype([("key", np.uint64), ("node", np.int64)])
-_POINT = np.dtype([("key", np.uint64), ("node", np.int64), ("comp", np.int64), ("size", np.int32), ("asks", np.uint8), ("counts", np.uint16, GROUPS)])
+_MEMBER = np.dtype([("key", np.uint64), ("node", np.int64), ("size", np.int32)])
+_POINT = np.dtype([("key", np.uint64), ("node", np.int64), ("comp", np.int64), ("size", np.int32), ("asks", np.int8), ("counts", np.uint16, GROUPS)])
 
 
 def sets(texts: W.Bytes, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -77,10 +78,15 @@ def _prefix(values: np.ndarray, begin: np.ndarray, size: np.ndarray, percent: in
 
 
 def _nodes(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+    """Each row's set size, node and group counts."""
     for batch in batches:
         for rows, texts in W.slices(batch, "text"):
-            _, _, size, node = sets(texts, width)
-            yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array(size.astype(np.int64)), pa.array(node)], ["doc_id", "size", "node"])
+            values, _, size, node = sets(texts, width)
+            text = np.repeat(np.arange(texts.count), size)
+            group = (W.mix(values) >> np.uint64(32)).astype(np.int64) % GROUPS
+            counts = np.minimum(np.bincount(text * GROUPS + group, minlength=texts.count * GROUPS), 65535).astype(np.uint16).tobytes()
+            cut = [counts[2 * GROUPS * i : 2 * GROUPS * (i + 1)] for i in range(texts.count)]
+            yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array(size.astype(np.int64)), pa.array(node), pa.array(cut, pa.binary())], ["doc_id", "size", "node", "counts"])
 
 
 def _prefix_counts(batches: Iterator[pa.RecordBatch], width: int, percent: int, count: int) -> Iterator[pa.RecordBatch]:
@@ -108,30 +114,34 @@ def _members(batches: Iterator[pa.RecordBatch], width: int, percent: int, count:
         for _, texts in W.slices(batch, "text"):
             values, begin, size, node = sets(texts, width)
             token, text = _prefix(values, begin, size, percent, *held.value)
-            yield from packer.add(token, node[text])
+            yield from packer.add(token, node[text], size[text])
     yield from packer.flush()
 
 
-def _stars(table: pa.Table) -> pa.Table:
-    """Members of blocks with several sets, each with its block's smallest one."""
-    held = P.ordered(P.unpack(table, _MEMBER), "key", "node")
-    first, size = P.runs(held["key"])
-    keep = np.repeat(size > 1, size)
-    pivot = np.repeat(held["node"][first], size)
-    return pa.table({"token": W.signed(held["key"][keep].copy()), "pivot": pivot[keep], "node": held["node"][keep]})
+def _stars(table: pa.Table, percent: int) -> pa.Table:
+    """Members of blocks with several sets of fitting sizes, each with its block's smallest node.
+
+    A shingle's sets are cut where the next larger one is too large for the one before.
+    """
+    held = P.ordered(P.unpack(table, _MEMBER), "key", "size", "node")
+    key, size = held["key"], held["size"].astype(np.int64)
+    new = np.ones(len(held), bool)
+    new[1:] = (key[1:] != key[:-1]) | (100 * size[:-1] < percent * size[1:])
+    first = np.flatnonzero(new)
+    n = np.diff(np.r_[first, len(held)])
+    pivot = np.minimum.reduceat(held["node"], first) if len(first) else held["node"]
+    block = W.mix(key[first] ^ W.mix(size[first].astype(np.uint64)))
+    keep = np.repeat(n > 1, n)
+    spread = lambda x: np.repeat(x, n)[keep]
+    return pa.table({"token": W.signed(spread(block)), "pivot": spread(pivot), "node": held["node"][keep], "n": spread(n).astype(np.int32)})
 
 
 def _payload(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for _, texts in W.slices(batch, "text"):
-            values, begin, size, node = sets(texts, width)
-            text = np.repeat(np.arange(texts.count), size)
-            group = (W.mix(values) >> np.uint64(32)).astype(np.int64) % GROUPS
-            counts = np.minimum(np.bincount(text * GROUPS + group, minlength=texts.count * GROUPS), 65535).astype(np.uint16).reshape(-1, GROUPS)
-            held, ends = values.tobytes(), begin * 8
-            yield pa.RecordBatch.from_arrays([
-                pa.array(node), pa.array(size.astype(np.int32)), pa.array([c.tobytes() for c in counts], pa.binary()),
-                pa.array([held[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)], pa.binary())], ["node", "size", "counts", "shingles"])
+            values, begin, _, node = sets(texts, width)
+            held, ends = values.tobytes(), (begin * 8).tolist()
+            yield pa.RecordBatch.from_arrays([pa.array(node), pa.array([held[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)], pa.binary())], ["node", "shingles"])
 
 
 def _enough(overlap: np.ndarray, sizes: np.ndarray, percent: int) -> np.ndarray:
@@ -208,16 +218,19 @@ def _points(batches: Iterator[pa.RecordBatch], count: int) -> Iterator[pa.Record
 def _search(table: pa.Table, percent: int) -> pa.Table:
     """Pairs of a bucket's blocks by their trees."""
     held = P.unpack(table, _POINT)
-    held = held[np.lexsort((held["node"], held["key"]))]
+    held = held[np.lexsort((held["node"], held["key"]))]  # so a whole block begins with its pivot
     first, size = P.runs(held["key"])
     out, done = [np.zeros((0, 2), np.int64)], set()
     for a, n in zip(first.tolist(), size.tolist(), strict=True):
         block = held[a : a + n]
+        if (block["comp"] == block["comp"][0]).all():
+            continue
         same = hashlib.blake2b(block["node"].tobytes(), digest_size=16).digest()
         if same in done:  # near copies share many blocks
             continue
         done.add(same)
-        asks, stays = block[block["asks"] == 1], block[block["asks"] == 0]
+        asking = np.where(block["asks"] < 0, block["comp"] != block["comp"][0], block["asks"] == 1)
+        asks, stays = block[asking], block[~asking]
         asks = asks[np.unique(asks["node"], return_index=True)[1]]
         for points in (stays, asks):
             if len(points) and len(asks):
@@ -237,7 +250,7 @@ def groups(documents: DataFrame, percent: int = 80, width: int = 5) -> DataFrame
     ship_package(spark)
     count = P.buckets(spark)
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    nodes = store(docs.mapInArrow(lambda it: _nodes(it, width), "doc_id long, size long, node long"), "nodes")
+    nodes = store(docs.mapInArrow(lambda it: _nodes(it, width), "doc_id long, size long, node long, counts binary"), "nodes")
     used = docs.where("doc_id IS NOT NULL AND text IS NOT NULL")
     # shingles in the first parts of very many sets come last in the order
     total = nodes.select(F.sum(F.floor(F.col("size") * (100 - percent) / 100) + 1)).first()[0] or 0
@@ -248,30 +261,33 @@ def groups(documents: DataFrame, percent: int = 80, width: int = 5) -> DataFrame
     held = spark.sparkContext.broadcast((key[order], np.log2(np.maximum(n[order], 1)).astype(np.int8) + 1))  # at most COMMON entries
     # blocks, and the first star of pairs
     members = used.mapInArrow(lambda it: _members(it, width, percent, count, held), P.SHAPE)
-    blocks = store(P.per_bucket(members, _stars, "token long, pivot long, node long"), "blocks")
-    involved = blocks.select("node").distinct()
+    blocks = store(P.per_bucket(members, lambda t: _stars(t, percent), "token long, pivot long, node long, n int"), "blocks")
     leader = nodes.where("doc_id IS NOT NULL AND size > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    wanted = leader.join(involved, "node", "left_semi").select("doc_id").distinct()
-    payload = used.join(wanted, "doc_id", "left_semi").mapInArrow(lambda it: _payload(it, width), "node long, size int, counts binary, shingles binary")
-    payload = store(payload.dropDuplicates(["node"]), "sets")
-    points, shingled = payload.select("node", "size", "counts"), payload.select("node", "shingles")
+    leader = leader.join(blocks.select("node").distinct(), "node", "left_semi")
+    points = store(nodes.join(leader, ["node", "doc_id"]).dropDuplicates(["node"]), "points")
 
     def links(pairs: DataFrame) -> DataFrame:
-        both = pairs.join(points.toDF("a", "na", "pa"), "a").join(points.toDF("b", "nb", "pb"), "b")
+        """The pairs that the bound lets pass and the sets confirm."""
+        held = points.select("node", F.col("size").cast("int"), "counts")
+        both = pairs.join(held.toDF("a", "na", "pa"), "a").join(held.toDF("b", "nb", "pb"), "b")
         passed = store(both.mapInArrow(lambda it: _filter(it, percent), "a long, b long"), "passed")
+        involved = passed.select(F.col("a").alias("node")).union(passed.select(F.col("b").alias("node"))).distinct()
+        ids = store(points.join(involved, "node", "left_semi").select("doc_id"), "set-ids")
+        shingled = store(semi_join(used, "doc_id", ids).mapInArrow(lambda it: _payload(it, width), "node long, shingles binary"), "sets")
         both = passed.join(shingled.toDF("a", "x"), "a").join(shingled.toDF("b", "y"), "b")
         return store(both.mapInArrow(lambda it: _verify(it, percent), "a long, b long"), "links")
 
-    stars = blocks.where("pivot <> node").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
+    stars = store(blocks.where("pivot <> node").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct(), "stars")
     first = links(stars)
     joined = components(first)
     # blocks that still hold several components
-    placed = blocks.join(joined.toDF("node", "c"), "node", "left").select("token", "pivot", "node", F.coalesce("c", "node").alias("comp"))
-    mixed = placed.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("n"), F.max(F.when(F.col("pivot") == F.col("node"), F.col("comp"))).alias("main")).where("lo <> hi")
-    open_ = placed.join(mixed.select("token", "main", F.ceil(F.col("n") / CHUNK).cast("int").alias("chunks")), "token")
-    open_ = open_.withColumn("asks", (F.col("comp") != F.col("main")).cast("tinyint"))
-    open_ = open_.withColumn("chunk", F.explode(F.when(F.col("asks") == 1, F.sequence(F.lit(0), F.col("chunks") - 1)).otherwise(F.array(F.pmod(F.hash("node"), F.col("chunks"))))))
-    pointed = open_.join(points, "node").mapInArrow(lambda it: _points(it, count), P.SHAPE)
+    placed = points.select("node", F.col("size").cast("int"), "counts").join(joined.toDF("node", "c"), "node", "left").withColumn("comp", F.coalesce("c", "node")).drop("c")
+    placed = store(placed, "placed-points")
+    whole = blocks.where(F.col("n") <= CHUNK).select("token", "node").join(placed, "node").select("token", "node", "comp", "size", "counts", F.lit(-1).cast("tinyint").alias("asks"), F.lit(0).alias("chunk"))
+    large = blocks.where(F.col("n") > CHUNK).join(placed, "node").join(placed.select(F.col("node").alias("pivot"), F.col("comp").alias("main")), "pivot")
+    large = large.withColumn("asks", (F.col("comp") != F.col("main")).cast("tinyint")).withColumn("chunks", F.ceil(F.col("n") / CHUNK).cast("int"))
+    large = large.withColumn("chunk", F.explode(F.when(F.col("asks") == 1, F.sequence(F.lit(0), F.col("chunks") - 1)).otherwise(F.array(F.pmod(F.hash("node"), F.col("chunks"))))))
+    pointed = whole.union(large.select(whole.columns)).mapInArrow(lambda it: _points(it, count), P.SHAPE)
     rest = P.per_bucket(pointed, lambda t: _search(t, percent), "a long, b long").distinct()
     every = first.union(links(rest.join(stars, ["a", "b"], "left_anti")))
     final = components(every)
