@@ -15,6 +15,7 @@ from . import line_dedup as _line_dedup
 from . import ngram_model as _ngram_model
 from . import pieces as _pieces
 from . import secret_scan as _secret_scan
+from . import suffix_dedup as _suffix_dedup
 from . import toxicity as _toxicity
 
 QUERIES: dict = {}
@@ -89,6 +90,11 @@ def op1_substring_dedup(spark: SparkSession, root: str) -> DataFrame:
     return _chaining.passages(_table(spark, root, "documents").select("doc_id", "text"))
 
 
+@_query
+def op6_suffix_array_dedup(spark: SparkSession, root: str) -> DataFrame:
+    return _suffix_dedup.dedup(_table(spark, root, "documents").select("doc_id", "text"))
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL:
     CHECKS["pipeline"] = corpus_pipeline.ORACLE_SQL
