@@ -27,6 +27,7 @@ from specloom.session import ship_package, store
 from . import packed as P
 from . import words as W
 from .components import components
+from .prefilter import likely
 
 _PAIR = np.dtype([("key", np.uint64), ("line", np.int64)])
 
@@ -34,7 +35,7 @@ _PAIR = np.dtype([("key", np.uint64), ("line", np.int64)])
 def lines(documents: DataFrame) -> DataFrame:
     """(doc_id, no, line, h) of every line that is not blank, with the hash of its compared form."""
     rows = documents.where("doc_id IS NOT NULL AND text IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), F.posexplode(F.split("text", "\n")).alias("no", "raw"))
-    return rows.select("doc_id", "no", F.lower(F.trim(F.regexp_replace("raw", r"^[\t\r\x0b\x0c ]+|[\t\r\x0b\x0c ]+$", ""))).alias("line")).where("line <> ''").withColumn("h", F.xxhash64("line"))
+    return rows.select("doc_id", "no", F.lower(F.btrim("raw", F.lit(" \t\r\x0b\x0c"))).alias("line")).where("line <> ''").withColumn("h", F.xxhash64("line"))
 
 
 def shingle_sets(texts: list[str], width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -137,28 +138,38 @@ def _verify(batches: Iterator[pa.RecordBatch], width: int, similarity: float) ->
         yield pa.RecordBatch.from_arrays([batch.column("a").filter(good), batch.column("b").filter(good)], ["a", "b"])
 
 
-def line_components(found: DataFrame, similarity: float = 0.8, width: int = 8, bands: int = 10, rows: int = 5) -> DataFrame:
-    """(id, component_id) over hashes of lines that are linked with others."""
+def line_components(found: DataFrame, seen: DataFrame, similarity: float = 0.8, width: int = 8, bands: int = 10, rows: int = 5) -> DataFrame:
+    """(id, component_id) over hashes of lines that are linked with others.
+
+    `seen` names the first (doc_id, no) of each hash: only there a candidate's text is read.
+    """
     count = P.buckets(found.sparkSession)
     packed = found.select("h", "line").mapInArrow(lambda it: _bands(it, count, width, bands, rows), P.SHAPE)
     pairs = store(P.per_bucket(packed, _candidates, "a long, b long").distinct(), "line-pairs")
     wanted = pairs.select(F.col("a").alias("h")).union(pairs.select(F.col("b").alias("h"))).distinct()
-    texts = store(found.select("h", "line").join(wanted, "h", "left_semi").groupBy("h").agg(F.first("line").alias("line")), "line-texts")
+    places = store(seen.join(wanted, "h", "left_semi").select("h", "place"), "line-places")
+    texts = likely(found.select("h", "line", _place().alias("place")), "h", places).join(places, ["h", "place"], "left_semi").select("h", "line")
+    texts = store(texts, "line-texts")
     both = pairs.join(texts.toDF("a", "x"), "a").join(texts.toDF("b", "y"), "b")
     return components(both.mapInArrow(lambda it: _verify(it, width, similarity), "a long, b long"))
 
 
+def _place() -> Column:
+    """One number in the order of (doc_id, no)."""
+    return F.col("doc_id").cast("decimal(20,0)") * F.lit(1 << 32).cast("decimal(10,0)") + F.col("no")
+
+
 def dropped_lines(documents: DataFrame, similarity: float = 0.8, width: int = 8) -> DataFrame:
     """(doc_id, no) of each line that a line of its component comes before."""
     ship_package(documents.sparkSession)
     found = lines(documents)
-    place = F.col("doc_id").cast("decimal(20,0)") * F.lit(1 << 32).cast("decimal(10,0)") + F.col("no")
-    seen = store(found.groupBy("h").agg(F.min(place).alias("place"), F.count("*").alias("n")), "line-seen")
-    merged = store(line_components(found, similarity, width).withColumnRenamed("id", "h"), "line-components")
+    where = store(found.select("doc_id", "no", "h"), "line-places")
+    seen = store(where.groupBy("h").agg(F.min(_place()).alias("place"), F.count("*").alias("n")), "line-seen")
+    merged = store(line_components(found, seen, similarity, width).withColumnRenamed("id", "h"), "line-components")
     keepers = seen.join(merged, "h", "left").withColumn("c", F.coalesce("component_id", "h"))
     lowest = keepers.where("component_id IS NOT NULL").groupBy("c").agg(F.min("place").alias("lowest"))
     keepers = keepers.where("n > 1 OR component_id IS NOT NULL").join(lowest, "c", "left").select("h", F.coalesce("lowest", "place").alias("keeper"))
-    return found.select("doc_id", "no", "h").join(store(keepers, "line-keepers"), "h").where(place != F.col("keeper")).select("doc_id", "no").distinct()
+    return where.join(store(keepers, "line-keepers"), "h").where(_place() != F.col("keeper")).select("doc_id", "no").distinct()
 
 
 def dedup_lines(documents: DataFrame, similarity: float = 0.8, width: int = 8) -> DataFrame:

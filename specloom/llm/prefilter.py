@@ -2,40 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from specloom.session import ship_package
-
-#: Bits of the table: two megabytes, whatever the input. A full table lets all rows pass to the join.
+#: Bits of the table. They travel as at most BITS / 64 rows of two numbers, whatever the input;
+#: a full table lets all rows pass on to the join.
 BITS = 1 << 24
 
 
 def likely(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
-    """Rows whose long `key` may occur in `wanted`; all that do are kept."""
-    spark = rows.sparkSession
-    ship_package(spark)
-    salted = wanted.select(F.xxhash64(F.col(key).cast("long")).alias("h"))
-    places = salted.select(F.pmod("h", F.lit(BITS)).alias("p"))
-    bits = places.groupBy(F.shiftright("p", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p & 63 as int))")).alias("bits")).toArrow()
-    table = np.zeros(BITS // 64, np.uint64)
-    table[bits["word"].to_numpy()] = bits["bits"].to_numpy().view(np.uint64)
-    held = spark.sparkContext.broadcast(table)
-    shape = rows.withColumn("__h", F.pmod(F.xxhash64(F.col(key).cast("long")), F.lit(BITS)))
-    names = rows.columns
-
-    def sieve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = held.value
-        for batch in batches:
-            p = batch.column("__h").to_numpy(zero_copy_only=False)
-            keep = pa.array((table[p >> 6] >> (p & 63).astype(np.uint64)) & np.uint64(1) == 1)
-            yield pa.RecordBatch.from_arrays([batch.column(c).filter(keep) for c in names], names)
-
-    return shape.mapInArrow(sieve, rows.schema)
+    """Rows whose long `key` may occur in `wanted`; all that do are kept, others mostly go."""
+    place = F.pmod(F.xxhash64(F.col(key).cast("long")), F.lit(BITS))
+    words = wanted.select(place.alias("__p")).groupBy(F.shiftright("__p", 6).alias("__word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(__p & 63 as int))")).alias("__bits"))
+    sieved = rows.withColumn("__p", place).withColumn("__word", F.shiftright("__p", 6)).join(F.broadcast(words), "__word")
+    return sieved.where("shiftright(__bits, cast(__p & 63 as int)) & 1 = 1").select(rows.columns)
 
 
 def semi_join(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
