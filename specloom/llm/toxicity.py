@@ -187,7 +187,7 @@ def score(documents: DataFrame, model: Model, threshold: float = 0.7) -> DataFra
                 keep = weights[bucket] != 0
                 pairs = np.unique(text[keep] * BUCKETS + bucket[keep])
                 total = np.bincount(pairs // BUCKETS, weights[pairs % BUCKETS], texts.count) + intercept
-                p = 1 / (1 + np.exp(-np.clip(total, -700, 700)))
+                p = np.where(np.isneginf(total), 0.0, 1 / (1 + np.exp(-np.clip(total, -700, 700))))
                 yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(p), pa.array((p >= threshold).astype(np.int32))], [*names, "score", "predicted"])
 
     from pyspark.sql.types import DoubleType, IntegerType, StructType
