@@ -184,13 +184,15 @@ def without_lines(rows: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = []
-            for text, gone in zip(batch.column("text").to_pylist(), batch.column("dropped").to_pylist(), strict=True):
-                if text is not None and gone:
-                    gone = set(gone)
-                    text = "\n".join(x for k, x in enumerate(text.split("\n")) if k not in gone)
-                texts.append(text)
-            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if c == "text" else batch.column(c) for c in names], names)
+            for at in range(0, batch.num_rows, 500):
+                part, texts = batch.slice(at, 500), []
+                for text, gone in zip(part.column("text").to_pylist(), part.column("dropped").to_pylist(), strict=True):
+                    if text is not None and gone:
+                        gone = set(gone)
+                        text = "\n".join(x for k, x in enumerate(text.split("\n")) if k not in gone)
+                    texts.append(text)
+                yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if c == "text" else part.column(c) for c in names], names)
+            W.tidy()
 
     return rows.mapInArrow(run, shape)
 

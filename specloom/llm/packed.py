@@ -19,7 +19,7 @@ from . import words as W
 
 SHAPE = "bucket int, n int, packed binary"
 #: Records that a map task holds before it sends them on.
-BLOCK = 1_000_000
+BLOCK = 300_000
 
 
 def buckets(spark: SparkSession) -> int:
@@ -91,7 +91,13 @@ def ordered(rows: np.ndarray, *names: str) -> np.ndarray:
 
 def per_bucket(rows: DataFrame, work: Callable[[pa.Table], pa.Table], shape: str) -> DataFrame:
     """Run `work` on all packed rows of each bucket."""
-    return rows.groupBy("bucket").applyInArrow(work, shape)
+
+    def run(table: pa.Table) -> pa.Table:
+        out = work(table)
+        W.tidy()
+        return out
+
+    return rows.groupBy("bucket").applyInArrow(run, shape)
 
 
 def runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

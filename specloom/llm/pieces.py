@@ -274,6 +274,7 @@ def encode(documents: DataFrame, path: str = PIECES, column: str = "text", into:
                 values = np.frombuffer(b"".join(x or b"" for x in ids), np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(begin), pa.array(values), mask=pa.array([x is None for x in ids]))
                 yield pa.RecordBatch.from_arrays([*rows.columns, lists], [*names, into])
+            W.tidy()
 
     return base.mapInArrow(run, StructType([*base.schema.fields]).add(into, ArrayType(IntegerType())))
 
@@ -298,5 +299,6 @@ def decode(encoded: DataFrame, path: str = PIECES, column: str = "ids", into: st
                 # a text's first byte is the blank put before it
                 texts = [None if null else data[min(a + 1, b) : b].decode("utf-8", "replace") for null, a, b in zip(lists.is_null().to_pylist(), cut[:-1], cut[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(texts, pa.string())], [*names, into])
+            W.tidy()
 
     return base.mapInArrow(run, StructType([*base.schema.fields]).add(into, StringType()))

@@ -98,7 +98,7 @@ def _marks(batches: Iterator[pa.RecordBatch], count: int) -> Iterator[pa.RecordB
 def _texts(batches: Iterator[pa.RecordBatch], count: int) -> Iterator[pa.RecordBatch]:
     """Texts packed by document, as those of `_SHARED`."""
     codec = pa.Codec("zstd", compression_level=3)
-    for batch in batches:
+    for batch in (b.slice(at, 4000) for b in batches for at in range(0, b.num_rows, 4000)):
         doc = batch.column("doc_id").to_numpy()
         texts = W.as_bytes(batch.column("text"))
         bucket = (W.mix(doc.astype(np.uint64)) % np.uint64(count)).astype(np.int32)

@@ -8,13 +8,14 @@ a longer text is a slice of its own. Null texts count as empty.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 
-SLICE = 1 << 20
+SLICE = 1 << 19
 _BASE = 0x9E3779B97F4A7C15 | 1
 _MASK = (1 << 64) - 1
 
@@ -127,6 +128,15 @@ def as_bytes(column: pa.Array | pa.ChunkedArray) -> Bytes:
     return Bytes(data, offsets - offsets[0])
 
 
+def tidy() -> None:
+    """Give freed memory back: a worker that waits for its next task holds little."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not that C library
+        pass
+
+
 def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE) -> Iterator[tuple[pa.RecordBatch, Bytes]]:
     """Cut a batch into runs of rows with about `limit` bytes of text each."""
     texts = as_bytes(batch.column(column))
@@ -137,6 +147,7 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE) -> Iterator[t
         cut = texts.offsets[at : upto + 1]
         yield batch.slice(at, upto - at), Bytes(texts.data[cut[0] : cut[-1]], cut - cut[0])
         at = upto
+    tidy()
 
 
 def shingles(hashes: np.ndarray, first: np.ndarray, width: int, short: bool = True) -> tuple[np.ndarray, np.ndarray]:
