@@ -43,6 +43,17 @@ def _(i):
     return plans.battery_ci_by_brand(i.star)
 
 
+@query("shapiro_draw", """
+    WITH c AS (SELECT l_returnflag, l_linenumber, COUNT(*) AS n FROM lineitem GROUP BY 1, 2),
+         r AS (SELECT *, SUM(n) OVER (PARTITION BY l_returnflag ORDER BY l_linenumber) AS upto,
+                      SUM(n) OVER (PARTITION BY l_returnflag) AS total FROM c),
+         k AS (SELECT *, CASE WHEN total <= 5000 THEN n ELSE
+                   CAST(ceil(upto * 5000.0 / total) AS BIGINT) - CAST(ceil((upto - n) * 5000.0 / total) AS BIGINT) END AS copies FROM r)
+    SELECT l_returnflag, l_linenumber, CAST(copies AS INT) AS copies FROM k WHERE copies > 0""")
+def _(i):
+    return h.drawn_counts(i.table("lineitem"), "l_linenumber", "l_returnflag")
+
+
 _WEIGHT_OS = f"""SELECT d.weight AS v, o.os_name AS g FROM Device d JOIN OS o ON o.id = d.os_id
     WHERE {PHONE} AND d.weight IS NOT NULL AND o.os_name IN ('Android', 'iOS')"""
 

@@ -10,13 +10,10 @@ from pyspark.sql import functions as F
 
 from ..operators.joins import keep_groups
 from ..operators.ordered import ranked_value_counts
-from ..operators.ranking import hash_sample
 from ..session import ship_package
 from . import dist
 
 SHAPIRO_ROWS = 5000
-# Most factor levels (or level pairs) an analysis of variance may bring to the driver.
-MAX_CELLS = 100_000
 
 
 def ci_moments(df: DataFrame, key: str, value: str, groups: DataFrame) -> DataFrame:
@@ -81,10 +78,15 @@ def mann_whitney_stat(df: DataFrame, value: str, group: str, a, b) -> DataFrame:
     return sums.select("n_a", "n_b", (F.col("__r") - n_a * (n_a + 1) / 2.0).alias("statistic"), "tie_term")
 
 
-def mann_whitney_p(n_a: int, n_b: int, u: float, tie_term: float) -> float:
-    """Two-sided p: counted for a small tie-free sample, else normal with both corrections."""
+def mann_whitney_method(n_a: int, n_b: int, tie_term: float) -> str:
+    """"exact" for tie-free samples with a side of at most 8 values, else "asymptotic"; whatever the other side's size."""
+    return "exact" if min(n_a, n_b) <= 8 and tie_term == 0 else "asymptotic"
+
+
+def mann_whitney_p(n_a: int, n_b: int, u: float, tie_term: float, method: str | None = None) -> float:
+    """Two-sided p by the named method; the asymptotic one has both corrections."""
     top = max(u, n_a * n_b - u)
-    if min(n_a, n_b) <= 8 and tie_term == 0 and n_a * n_b <= 100_000:
+    if (method or mann_whitney_method(n_a, n_b, tie_term)) == "exact":
         return min(1.0, 2.0 * dist.rank_sum_exact_sf(top, n_a, n_b))
     n = n_a + n_b
     sd = math.sqrt(n_a * n_b / 12.0 * ((n + 1) - tie_term / (n * (n - 1.0))))
@@ -94,12 +96,11 @@ def mann_whitney_p(n_a: int, n_b: int, u: float, tie_term: float) -> float:
 
 
 def shapiro(df: DataFrame, value: str, group: str) -> DataFrame:
-    """W and p per group on at most 5000 hash-drawn values, so groups stay small."""
+    """W and p per group on at most 5000 drawn values, so groups stay small."""
     known = df.filter(F.col(value).isNotNull()).select(
         F.col(group).cast("string").alias(group), F.col(value).cast("double").alias(value)
     )
-    # equal values share a hash, so repeats are numbered apart before the draw
-    drawn = _draw(known, value, group)
+    drawn = drawn_counts(known, value, group).select(group, F.explode(F.sequence(F.lit(1), "copies")).alias("copy"), value)
     ship_package(df.sparkSession)
 
     def test(pdf):
@@ -111,17 +112,19 @@ def shapiro(df: DataFrame, value: str, group: str) -> DataFrame:
     return drawn.groupBy(group).applyInPandas(test, f"`{group}` string, n long, w double, p_value double")
 
 
-def _draw(known: DataFrame, value: str, group: str) -> DataFrame:
-    """Up to 5000 rows per group as values; a value with n rows enters with up to n copies.
+def drawn_counts(known: DataFrame, value: str, group: str, size: int = SHAPIRO_ROWS) -> DataFrame:
+    """How many rows of each value are drawn per group: (group, value, copies), `copies` > 0.
 
-    Copies are numbered from the counts (never more than 5000 of one value can be
-    drawn), so the draw is a sample of rows and does not depend on row order.
+    A group of at most `size` rows is taken whole. Of a larger one every position
+    floor(j * total / size) in value order is drawn, so each value has its share of the
+    rows, no matter how often it occurs, and the draw repeats.
     """
-    counts = known.groupBy(group, value).agg(F.count("*").alias("n"))
-    copies = counts.select(
-        group, value, F.explode(F.sequence(F.lit(1), F.least("n", F.lit(SHAPIRO_ROWS)))).alias("copy")
-    )
-    return hash_sample(copies, SHAPIRO_ROWS, [value, "copy"], per=[group]).select(group, value)
+    ranked = ranked_value_counts(known, [group], value)
+    before = lambda rank: F.ceil(rank * F.lit(size) / F.col("total"))
+    share = before(F.col("before") + F.col("n")) - before(F.col("before"))
+    return ranked.select(
+        group, value, F.when(F.col("total") <= size, F.col("n")).otherwise(share).cast("int").alias("copies")
+    ).filter("copies > 0")
 
 
 def two_sample(df: DataFrame, value: str, group: str, a, b) -> dict:
@@ -137,8 +140,9 @@ def two_sample(df: DataFrame, value: str, group: str, a, b) -> dict:
         p = dist.t_two_sided(t, welch["df"]) if t is not None else None
         return {"test": "Welch t-test", "statistic": t, "p_value": p, **out}
     u = mann_whitney_stat(known, value, group, a, b).first()
-    p = mann_whitney_p(u["n_a"], u["n_b"], u["statistic"], u["tie_term"])
-    return {"test": "Mann-Whitney U", "statistic": u["statistic"], "p_value": p, **out}
+    method = mann_whitney_method(u["n_a"], u["n_b"], u["tie_term"])
+    p = mann_whitney_p(u["n_a"], u["n_b"], u["statistic"], u["tie_term"], method)
+    return {"test": "Mann-Whitney U", "statistic": u["statistic"], "p_value": p, "method": method, **out}
 
 
 def anova_cells(df: DataFrame, y: str, factors: list[str]) -> DataFrame:
@@ -153,21 +157,14 @@ def anova_cells(df: DataFrame, y: str, factors: list[str]) -> DataFrame:
 def anova_one_way_ss(df: DataFrame, y: str, factor: str) -> DataFrame:
     """H07 sums of squares as one row, all on Spark."""
     cells = anova_cells(df, y, [factor])
-    grand = F.sum(F.col("n") * F.col("mean")) / F.sum("n")
-    total = F.sum(F.col("n") * F.col("mean") * F.col("mean"))
+    grand = cells.agg((F.sum(F.col("n") * F.col("mean")) / F.sum("n")).alias("g")).scalar()
+    off = F.col("mean") - grand
     return cells.agg(
         F.count("*").alias("levels"), F.sum("n").alias("n"),
-        (total - grand * grand * F.sum("n")).alias("ss_between"), F.sum("ss_within").alias("ss_within"),
+        F.sum(F.col("n") * off * off).alias("ss_between"), F.sum("ss_within").alias("ss_within"),
     )
 
 
-def _cells(df, y, factors):
-    got = anova_cells(df, y, factors).limit(MAX_CELLS + 1).collect()
-    if len(got) > MAX_CELLS:
-        raise ValueError("too many factor levels for an analysis of variance")
-    return got
-
-
 def _rss(cells, columns) -> tuple[float, int]:
     """Residual sum of squares and rank of a model over cell means."""
     n = np.array([c["n"] for c in cells], float)
@@ -190,7 +187,9 @@ def anova(df: DataFrame, y: str, factors: list[str]) -> list[dict]:
     left, the form in which the caller reports insufficient data. Empty cells lower
     the rank, and with it the interaction's degrees of freedom.
     """
-    cells = _cells(df, y, factors)
+    if len(factors) == 1:
+        return _one_way(anova_one_way_ss(df, y, factors[0]).first(), factors[0])
+    cells = anova_cells(df, y, factors).collect()  # one row per pair of factor levels
     if not cells:
         return []
     levels = [sorted({c[f] for c in cells}) for f in factors]
@@ -203,36 +202,37 @@ def anova(df: DataFrame, y: str, factors: list[str]) -> list[dict]:
     within = sum(c["ss_within"] for c in cells)
     one = [np.ones(len(cells))]
     main = [_coded(lv, [c[f] for c in cells]) for f, lv in zip(factors, levels)]
-    if len(factors) == 1:
-        steps = [(f"C({factors[0]})", one, one + main[0])]
-        full_rank = _rss(cells, one + main[0])[1]
-        full_rss = within
-    else:
-        a, b = main
-        cross = [x * w for x in a for w in b]
-        both = one + a + b
-        steps = [
-            (f"C({factors[0]})", one + b, both),
-            (f"C({factors[1]})", one + a, both),
-            (f"C({factors[0]}):C({factors[1]})", both, both + cross),
-        ]
-        lack, full_rank = _rss(cells, both + cross)
-        full_rss = within + lack
+    a, b = main
+    both = one + a + b
+    lack, rank_both = _rss(cells, both)
+    steps = [(f"C({factors[0]})", _rss(cells, one + b)), (f"C({factors[1]})", _rss(cells, one + a))]
+    # every non-empty cell has its own mean in the model with interaction: no design matrix for it
+    full_rank, full_rss = len(cells), within
     df_resid = total_n - full_rank
     if df_resid <= 0:
         return []
     mse = full_rss / df_resid
-    out = []
-    for name, small, large in steps:
-        (rss_s, rank_s), (rss_l, rank_l) = _rss(cells, small), _rss(cells, large)
-        ss, k = max(rss_s - rss_l, 0.0), rank_l - rank_s
-        f = ss / k / mse if k > 0 and mse > 0 else None
-        out.append({"factor": name, "sum_sq": ss, "df": float(k), "F": f,
-                    "p_value": dist.f_sf(f, k, df_resid) if f is not None else None})
+    out = [_effect(name, max(rss - lack, 0.0), rank_both - rank, mse, df_resid) for name, (rss, rank) in steps]
+    out.append(_effect(f"C({factors[0]}):C({factors[1]})", max(lack, 0.0), full_rank - rank_both, mse, df_resid))
     out.append({"factor": "Residual", "sum_sq": full_rss, "df": float(df_resid), "F": None, "p_value": None})
     return out
 
 
+def _effect(name: str, ss: float, k: int, mse: float, df_resid: int) -> dict:
+    f = ss / k / mse if k > 0 and mse > 0 else None
+    return {"factor": name, "sum_sq": ss, "df": float(k), "F": f, "p_value": dist.f_sf(f, k, df_resid) if f is not None else None}
+
+
+def _one_way(sums, factor: str) -> list[dict]:
+    """One factor needs four numbers, however many levels it has."""
+    k, df_resid = (sums["levels"] or 0) - 1, (sums["n"] or 0) - (sums["levels"] or 0)
+    if k < 1 or df_resid <= 0:
+        return []
+    mse = sums["ss_within"] / df_resid
+    return [_effect(f"C({factor})", max(sums["ss_between"], 0.0), k, mse, df_resid),
+            {"factor": "Residual", "sum_sq": sums["ss_within"], "df": float(df_resid), "F": None, "p_value": None}]
+
+
 def decision(p: float | None, alpha: float = 0.05) -> str:
     """Strict comparison."""
     if p is None:

@@ -189,3 +189,20 @@ def test_t_interval(spark):
     half = dist.t_ppf(0.975, 3) * np.std([1, 2, 3, 4], ddof=1) / 2
     assert got["a"].lower == pytest.approx(2.5 - half, abs=0.006) and got["a"].upper == pytest.approx(2.5 + half, abs=0.006)
     assert (got["b"].n, got["b"].mean, got["b"].lower) == (1, None, None) and got["c"].n == 0
+
+
+def test_exact_rank_sum_counts_all_arrangements():
+    from itertools import combinations
+
+    for a, b in ((1, 1), (2, 3), (3, 4), (5, 2)):
+        sums = [sum(c) - min(a, b) * (min(a, b) - 1) / 2 for c in combinations(range(a + b), min(a, b))]
+        for u in range(a * b + 1):
+            assert abs(dist.rank_sum_exact_sf(u, a, b) - sum(s >= u for s in sums) / len(sums)) < 1e-12
+    assert hypothesis.mann_whitney_method(8, 10**6, 0) == "exact"
+    assert 0 < dist.rank_sum_exact_sf(8 * 20_000 // 2, 8, 20_000) < 1
+
+
+def test_draw_keeps_proportions(spark):
+    df = spark.range(105_000).selectExpr("'g' AS g", "CASE WHEN id < 5000 THEN 1.0 ELSE 2.0 END AS v")
+    got = {r.v: r.copies for r in hypothesis.drawn_counts(df, "v", "g").collect()}
+    assert sum(got.values()) == 5000 and abs(got[1.0] - 5000 * 5000 / 105_000) < 1
