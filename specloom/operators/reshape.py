@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import storage_and_ram, strip
+from ..session import store
 
 
 def quoted(names) -> list[str]:
@@ -34,28 +37,31 @@ def flatten_columns(df: DataFrame, sep: str = "_") -> DataFrame:
     return df.select(*out)
 
 
-def flatten_json(df: DataFrame, json_col: str, keys: list[str], depth: int = 6, sep: str = "_") -> DataFrame:
-    """R01 for JSON text of unknown shape: long (keys, path, value) rows.
+def flatten_json(df: DataFrame, json_col: str, keys: list[str], sep: str = "_") -> DataFrame:
+    """R01 for JSON text of unknown shape and depth: long (keys, path, value) rows.
 
-    The text is parsed once to a variant; each round explodes the objects and
-    arrays of the level above. List positions become path parts, empty containers
-    vanish, scalars come out as text and JSON null as NULL.
+    The text is parsed once to a variant. Each round stores a level and explodes its
+    objects and arrays into the next one, until nothing is nested; scalars leave as soon
+    as they are reached, so each is read once. List positions become path parts, empty
+    containers vanish, scalars come out as text and JSON null as NULL. A text that is no
+    JSON gives one row with path `__broken` and the text itself.
     """
     tvf = df.sparkSession.tvf
-    level = df.select(*keys, F.lit(None).cast("string").alias("path"), F.try_parse_json(json_col).alias("node"))
-    done = None
-    for _ in range(depth):
-        typed = level.withColumn("__nested", F.schema_of_variant("node").rlike("^(OBJECT|ARRAY)<"))
-        leaf = typed.filter(~F.col("__nested")).select(*keys, "path", F.col("node").cast("string").alias("value"))
-        done = leaf if done is None else done.unionByName(leaf)
+    parsed = df.select(*keys, F.col(json_col).alias("__text"), F.try_parse_json(json_col).alias("node"))
+    broken = parsed.filter("node IS NULL AND __text IS NOT NULL").select(*keys, F.lit("__broken").alias("path"), F.col("__text").alias("value"))
+    level = parsed.filter("node IS NOT NULL OR __text IS NULL").select(*keys, F.lit(None).cast("string").alias("path"), "node")
+    done = [broken]
+    while True:
+        typed = store(level.withColumn("__nested", F.coalesce(F.schema_of_variant("node").rlike("^(OBJECT|ARRAY)<"), F.lit(False))), "json-level")
+        done.append(typed.filter(~F.col("__nested")).select(*keys, "path", F.col("node").cast("string").alias("value")))
         nested = typed.filter("__nested").select(*keys, "path", "node")
+        if nested.isEmpty():
+            return reduce(DataFrame.unionByName, done)
         level = nested.lateralJoin(tvf.variant_explode(F.col("node").outer())).select(
             *keys,
             F.concat_ws(sep, "path", F.coalesce(F.col("key"), F.col("pos").cast("string"))).alias("path"),
             F.col("value").alias("node"),
         )
-    rest = level.select(*keys, "path", F.col("node").cast("string").alias("value"))
-    return done.unionByName(rest)
 
 
 def catalogue_fields(rows: DataFrame, sep: str = "_") -> DataFrame:

@@ -37,10 +37,13 @@ class _Node:
         self.kids = []
 
     def walk(self):
-        for kid in self.kids:
+        """All nodes below in document order; a stack, since pages may never close their tags."""
+        open_ = list(reversed(self.kids))
+        while open_:
+            kid = open_.pop()
             if isinstance(kid, _Node):
                 yield kid
-                yield from kid.walk()
+                open_.extend(reversed(kid.kids))
 
     def first(self, tag, cls=None):
         return next((n for n in self.walk() if n.tag == tag and (cls is None or cls in n.classes)), None)
@@ -50,11 +53,13 @@ class _Node:
         return "".join(p.strip() for p in parts) if strip_parts else "".join(parts).strip()
 
     def _parts(self):
-        for kid in self.kids:
+        open_ = list(reversed(self.kids))
+        while open_:
+            kid = open_.pop()
             if isinstance(kid, str):
                 yield kid
             else:
-                yield from kid._parts()
+                open_.extend(reversed(kid.kids))
 
 
 class _Tree(HTMLParser):

@@ -150,3 +150,12 @@ def test_incremental_load_rerun_adds_nothing(spark, tmp_path):
     star = tables.read_star(spark, target)
     assert first == 2 and star.Device.count() == 4 and star.Device_Name.count() == 2
     assert sorted(r.id for r in star.Device.collect()) == [1, 2, 3, 4]
+
+
+def test_pages_with_tags_that_never_close(spark):
+    from specloom.sources import pages as p
+
+    html = "<table>" + "<li>" * 3000 + '<a href="/x">deep</a>'
+    df = spark.createDataFrame([(1, html)], "page_id long, html string")
+    assert p.extract_links(df, css="li a").count() == 1
+    assert all(r["value"] is None for r in p.extract_spec_tables(df).collect()) and p.extract_price_table(df).count() == 0
