@@ -32,7 +32,7 @@ def _(i):
     FROM Device d LEFT JOIN Platform p ON p.id = d.platform_id
     WHERE {PHONE} AND d.year BETWEEN 2010 AND 2030 GROUP BY d.year""")
 def _(i):
-    return plans.annual_launches(i.star)
+    return plans.annual_launches(i.star, until=2030)
 
 
 @query("chipset_popularity", star_ctes() + f"""

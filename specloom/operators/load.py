@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
@@ -81,21 +82,24 @@ def dimension_rows(staged: DataFrame, table: str, ordinal: str) -> DataFrame:
     return picked.select(*[F.col(c).cast(kinds[c]).alias(c) for c in cols])
 
 
-def assign_ids(df: DataFrame, keys: list[str], start: int = 0, id_col: str = "id", hex_digits: int = 2) -> DataFrame:
+def assign_ids(df: DataFrame, keys: list[str], start: int = 0, id_col: str = "id", hex_digits: int | None = None) -> DataFrame:
     """Dense ids start+1, start+2, ... in the order of a digest of the natural key.
 
     The digest's first digits cut the rows into even buckets whatever the keys look
     like, so numbering needs no single-task sort and gives the same ids every time.
-    Keys must be unique.
+    Keys must be unique. A bucket holds some 100,000 rows, at most 16**6 buckets are cut;
+    ids follow the digest, so they do not depend on the number of buckets.
     """
+    if hex_digits is None:
+        hex_digits = min(6, max(1, math.ceil(math.log(max(df.count(), 1) / 100_000 + 1, 16))))
     digest = F.md5(F.concat_ws("|", *key_columns(df, keys).values()))
     cut = df.withColumn("__digest", digest).withColumn("__bucket", F.substring("__digest", 1, hex_digits))
     sizes = cut.groupBy("__bucket").agg(F.count("*").alias("__n"))
-    # at most 16^hex_digits rows: safe to number in one task and to broadcast
+    # a row for every 100,000 of the table: numbered in one task, joined by its size
     before = Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("__bucket", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__offset"))
     place = F.row_number().over(Window.partitionBy("__bucket").orderBy("__digest"))
-    numbered = cut.withColumn("__place", place).join(F.broadcast(offsets), "__bucket")
+    numbered = cut.withColumn("__place", place).join(offsets, "__bucket")
     new_id = (F.col("__offset") + F.col("__place") + F.lit(start)).cast("long")
     return numbered.withColumn(id_col, new_id).select(id_col, *[c for c in df.columns if c != id_col])
 

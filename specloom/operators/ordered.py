@@ -3,36 +3,56 @@
 Values are first counted (map-side), then cut into many ranges at sketched
 splitters. The sketch only balances the work; the counts make the ranks exact.
 No task ever holds more than one range of one key's distinct values, however hot
-the key.
+the key. There are at least as many ranges as shuffle partitions.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import math
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import store
+
+
+#: Splitters compared in one step; a value's range is found in two steps, coarse and fine.
+STEP = 64
+
+
+def _ranges(df: DataFrame) -> int:
+    """As many ranges as partitions, rounded up to whole steps."""
+    return STEP * math.ceil(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) / STEP)
 
-def ranked_value_counts(df: DataFrame, keys: list[str], value: str, ranges: int = 64,
+
+def _range_of(value: str, cuts: str) -> tuple[Column, Column]:
+    """How many splitters lie below a value: among every 64th first, then among the 63 between."""
+    below = lambda part: F.size(F.filter(part, lambda s: s < F.col(value)))
+    coarse = F.when(F.size(cuts) < STEP, F.lit(0)).otherwise(
+        below(F.transform(F.sequence(F.lit(STEP), F.size(cuts), F.lit(STEP)), lambda i: F.element_at(cuts, i))))
+    return F.col("__coarse") * STEP + below(F.slice(cuts, F.col("__coarse") * STEP + 1, STEP - 1)), coarse
+
+
+def ranked_value_counts(df: DataFrame, keys: list[str], value: str, ranges: int | None = None,
                         extra: dict | None = None, weight: str | None = None) -> DataFrame:
     """Distinct values per key: `n` rows each, `before` rows ranked below, `total` rows of the key.
 
     `extra` maps names to further aggregates to carry per distinct value; `weight`
     names a column that says how many rows a row stands for. The input is read
-    once: splitters, range totals and ranks all reuse the counting shuffle.
+    once: the counts are stored, and splitters, range totals and ranks read them.
     """
+    ranges = ranges or _ranges(df)
     amount = F.count("*") if weight is None else F.sum(weight)
     counted = (
         df.filter(F.col(value).isNotNull())
         .groupBy(*keys, value)
         .agg(amount.alias("n"), *[c.alias(k) for k, c in (extra or {}).items()])
     )
+    counted = store(counted, "value-counts")
     cuts = [i / ranges for i in range(1, ranges)]
     splitters = counted.agg(F.percentile_approx(value, cuts, 10 * ranges).alias("s")).scalar()
-    placed = (
-        counted.withColumn("__cuts", splitters)
-        .withColumn("__range", F.size(F.filter("__cuts", lambda s: s < F.col(value))))
-        .drop("__cuts")
-    )
+    fine, coarse = _range_of(value, "__cuts")
+    placed = counted.withColumn("__cuts", splitters).withColumn("__coarse", coarse).withColumn("__range", fine).drop("__cuts", "__coarse")
     # one row per key and range: at most `ranges` rows per key, whatever the data size
     totals = placed.groupBy(*keys, "__range").agg(F.sum("n").alias("__rows"))
     whole = Window.partitionBy(*keys)
@@ -49,7 +69,7 @@ def ranked_value_counts(df: DataFrame, keys: list[str], value: str, ranges: int
     return joined.select(*out, (F.col("o.__offset") + F.col("r.__inside")).alias("before"), "o.total")
 
 
-def quantiles(df: DataFrame, keys: list[str], value: str, probs: dict[str, float], ranges: int = 64,
+def quantiles(df: DataFrame, keys: list[str], value: str, probs: dict[str, float], ranges: int | None = None,
               weight: str | None = None, least: int = 1) -> DataFrame:
     """Exact interpolated quantiles per key, one column per entry of `probs`.
 
@@ -72,7 +92,7 @@ def quantiles(df: DataFrame, keys: list[str], value: str, probs: dict[str, float
     return picked.select(*keys, *[blend(n, p) for n, p in probs.items()])
 
 
-def every_kth(df: DataFrame, value: str, step: int, ranges: int = 64) -> DataFrame:
+def every_kth(df: DataFrame, value: str, step: int, ranges: int | None = None) -> DataFrame:
     """Values at sorted positions 0, step, 2*step, ... as (position, value)."""
     first = F.ceil(F.col("before") / step) * step
     last = F.col("before") + F.col("n") - 1

@@ -48,8 +48,8 @@ def brand_summary(t: Star, form_factor: str = "phone") -> DataFrame:
     )
 
 
-def annual_launches(t: Star, form_factor: str = "phone", until: int = 2030, since: int = 2010) -> DataFrame:
-    """Devices without a platform count as launches; averages skip unknowns."""
+def annual_launches(t: Star, until: int, form_factor: str = "phone", since: int = 2010) -> DataFrame:
+    """A02 up to the year `until` (the current one, for a report): devices without a platform count as launches; averages skip unknowns."""
     rows = _devices(t, form_factor).filter(F.col("year").between(since, until))
     rows = left_join_dim(rows, t.Platform, "platform_id", ["ram_gb", "internal_storage_gb"])
     return (

@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.load import load_star, stage, unseen
+from ..operators.impute import impute_cascade
+from ..operators.joins import join_dim
+from ..operators.load import load_star, open_target, stage, unseen
 from ..plans.clean import clean
 from ..schemas import RAW_SCHEMA
 from ..session import store
@@ -16,7 +18,7 @@ from ..sources.tables import append_table
 def _stream(spark: SparkSession, src: str, schema: T.StructType, fmt: str, files: int | None) -> DataFrame:
     reader = spark.readStream.schema(schema).format(fmt)
     if fmt == "csv":
-        reader = reader.option("header", True).option("escape", '"')
+        reader = reader.option("header", True).option("escape", '"').option("multiLine", True)
     if files:
         reader = reader.option("maxFilesPerTrigger", files)
     return reader.load(src)
@@ -52,10 +54,21 @@ def incremental_append(spark: SparkSession, src: str, target: str, checkpoint: s
 
 def incremental_load(spark: SparkSession, src: str, target: str, checkpoint: str, prices: DataFrame | None = None,
                      fmt: str = "csv", files_per_batch: int | None = None) -> None:
-    """New raw files through the cleaning chain into the star tables, then stop."""
+    """New raw files through the cleaning chain into the star tables, then stop.
+
+    Prices stay as found: a filled price would depend on what else is in the micro-batch,
+    and with it the row's signature. `filled_prices` fills them from the whole stored table.
+    """
 
     def each(batch: DataFrame, _: int) -> None:
-        staged = stage(clean(batch, prices)).withColumn("__at", F.monotonically_increasing_id())
+        staged = stage(clean(batch, prices, impute=False)).withColumn("__at", F.monotonically_increasing_id())
         load_star(batch.sparkSession, target, store(staged), "__at")
 
     _drain(_stream(spark, src, RAW_SCHEMA, fmt, files_per_batch), each, checkpoint)
+
+
+def filled_prices(spark: SparkSession, target: str) -> DataFrame:
+    """The stored devices with brand and model, gaps in price_eur filled from all stored rows."""
+    star = {t: open_target(spark, target, t) for t in ("Device", "Device_Name")}
+    rows = join_dim(star["Device"], star["Device_Name"], "device_name_id", ["brand", "model"])
+    return impute_cascade(rows, value="price_eur")

@@ -85,6 +85,13 @@ def test_flatten_json(spark):
     assert got == {(1, "a_b"): "1", (1, "a_c_0"): "true", (1, "a_c_1_d"): None, (1, "f"): '{"x": 1}', (2, "0"): "10", (2, "1_0"): "20"}
 
 
+def test_flatten_json_any_depth_and_broken_text(spark):
+    deep = '{"k": ' * 12 + "7" + "}" * 12
+    docs = frame(spark, [(1, deep), (2, "{oops"), (3, None), (4, "5")], "id int, doc string")
+    got = sorted((r.id, r.path or "", r.value) for r in reshape.flatten_json(docs, "doc", ["id"]).collect())
+    assert got == [(1, "_".join("k" * 12), "7"), (2, "__broken", "{oops"), (3, "", None), (4, "", "5")]
+
+
 def test_override_last_price_wins(spark):
     df = frame(spark, [("m", "128GB", "6GB", "old"), ("m", "256GB", "8GB", "old"), ("n", "128GB", "6GB", None)], "model string, Storage string, RAM string, Misc_Price string")
     prices = frame(spark, [("m", "128GB 6GB RAM", "$ 1", 1), ("m", "128GB 6GB RAM", "$ 2", 2), ("x", "128GB 6GB RAM", "$ 9", 3)], "Model string, Configuration string, Price string, at int")
@@ -203,3 +210,44 @@ def test_unique_null_and_fk(spark):
     assert [r.id for r in quality.check_fk(child, "fk", parent).collect()] == [3]
     assert rows(quality.still_referenced(parent, child, "fk")) == [(10,)]
     assert set(UNIQUE_KEYS) == set(STAR_SCHEMAS)
+
+
+def test_many_ranges_rank_like_few(spark):
+    from specloom.operators.ordered import ranked_value_counts
+
+    df = frame(spark, [("a" if v % 3 else "b", float(v % 701)) for v in range(3000)], "g string, v double")
+    few, many = (rows(ranked_value_counts(df, ["g"], "v", ranges=n).select("g", "v", "n", "before", "total"), "g", "v") for n in (1, 640))
+    assert few == many
+
+
+def test_incremental_load_equals_one_load(spark, tmp_path):
+    """Two batches with a repeated product without a price give the facts of one load."""
+    from pyspark.sql import functions as F
+
+    from specloom.catalog.inputs import Inputs
+    from specloom.operators import load
+    from specloom.plans.clean import clean
+    from specloom.schemas import FOREIGN_KEYS, STAR_SCHEMAS, UNIQUE_KEYS
+    from specloom.session import store
+    from specloom.streaming.incremental import filled_prices, incremental_load
+
+    i = Inputs(spark, "/root/testdata/sf0.001")
+    raw = i.raw_pages.filter("part_id < 60")
+    names = [f"`{c}`" for c in raw.columns if c != "part_id"]
+    src, one, two = (str(tmp_path / k) for k in ("in", "one", "two"))
+    for part in ("part_id < 30", "part_id >= 20"):  # products 20 to 29 come twice
+        raw.filter(part).select(*names).write.mode("append").parquet(src)
+        incremental_load(spark, src, two, str(tmp_path / "ckpt"), fmt="parquet")
+    staged = store(load.stage(clean(raw.drop("part_id"), impute=False)).withColumn("at", F.monotonically_increasing_id()))
+    load.load_star(spark, one, staged, "at")
+    for table in STAR_SCHEMAS:
+        if table != "Device":
+            a, b = (load.open_target(spark, t, table).select(*[F.lower(F.trim(F.col(k).cast("string"))) for k in UNIQUE_KEYS[table]]) for t in (one, two))
+            assert sorted(map(str, a.collect())) == sorted(map(str, b.collect())), table
+    facts = []
+    for t in (one, two):
+        device = load.open_target(spark, t, "Device").drop("id", "device_key", *[fk for fk in FOREIGN_KEYS if fk != "device_name_id"])
+        named = load.open_target(spark, t, "Device_Name").select(F.col("id").alias("device_name_id"), F.lower(F.trim("model")).alias("model"))
+        facts.append(sorted(map(str, device.join(named, "device_name_id").drop("device_name_id").collect())))
+    assert facts[0] == facts[1] and facts[0]
+    assert filled_prices(spark, two).count() == len(facts[1])
