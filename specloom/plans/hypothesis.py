@@ -114,20 +114,35 @@ def anova_rows(t: Star, name: str, form_factor: str = "phone") -> DataFrame:
     )
 
 
+def _claims(spec: Spec) -> tuple[str, str, str]:
+    """What a test looks at, its null and its alternative, in words."""
+    by = " and ".join(spec.factors)
+    about = f"{spec.value} compared across {by}" + (f" ({', '.join(spec.levels)})" if spec.levels else "")
+    if spec.kind == "two_sample":
+        return about, f"{spec.value} is distributed alike in both groups", f"{spec.value} differs between the groups"
+    return about, f"mean {spec.value} is equal for all levels of {by}", f"mean {spec.value} differs for some level of {by}"
+
+
 def run_test(t: Star, name: str, form_factor: str = "phone", alpha: float = 0.05) -> DataFrame:
-    """One row with test, statistic, p-value and decision."""
+    """One row with the question, test, statistic, p-values, decision, table of effects and groups."""
     spec = TESTS[name]
+    effects, got = [], {}
     if spec.kind == "two_sample":
         rows = test_rows(t, name, form_factor)
         got = h.two_sample(rows, spec.value, spec.factors[0], *spec.levels)
         test, statistic, p = got["test"], got["statistic"], got["p_value"]
     else:
-        table = h.anova(test_rows(t, name, form_factor), spec.value, list(spec.factors))
-        first = table[0] if table else {"F": None, "p_value": None}
+        effects = h.anova(test_rows(t, name, form_factor), spec.value, list(spec.factors))
+        first = effects[0] if effects else {"F": None, "p_value": None}
         test = "one-way ANOVA" if spec.kind == "one_way" else "two-way ANOVA"
         statistic, p = first["F"], first["p_value"]
-    row = (spec.title, test, statistic, p, alpha, h.decision(p, alpha), h.conclusion(p, alpha))
-    return t.Device.sparkSession.createDataFrame(
+    row = (spec.title, *_claims(spec), test, got.get("method"), statistic, p, alpha, h.decision(p, alpha), h.conclusion(p, alpha),
+           got.get("shapiro_p_a"), got.get("shapiro_p_b"), [(r["factor"], r["sum_sq"], r["df"], r["F"], r["p_value"]) for r in effects])
+    one = t.Device.sparkSession.createDataFrame(
         [row],
-        "name string, test string, statistic double, p_value double, alpha double, decision string, conclusion string",
+        "name string, description string, null_hypothesis string, alternative string, test string, method string, statistic double,"
+        "p_value double, alpha double, decision string, conclusion string, shapiro_p_a double, shapiro_p_b double,"
+        "effects array<struct<factor: string, sum_sq: double, df: double, f: double, p_value: double>>",
     )
+    groups = test_groups(t, name, form_factor)  # a row for each group of the tested levels
+    return one.join(groups.agg(F.sort_array(F.collect_list(F.struct(*groups.columns))).alias("groups")))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..operators.filters import form_filter
 from ..operators.joins import join_dim
 from ..schemas import Star
+from ..session import store
 from ..stats import ols
 
 # Predictors of each model and of the stepwise search.
@@ -45,12 +46,12 @@ def _platform(rows: DataFrame, t: Star) -> DataFrame:
                      "storage_gb": "internal_storage_gb"})
 
 
-def model_base(t: Star, form_factor: str = "phone") -> DataFrame:
-    """Every candidate predictor, rows with gaps kept."""
+def model_base(t: Star, form_factor: str = "phone", key: tuple[str, ...] = ()) -> DataFrame:
+    """Every candidate predictor, rows with gaps kept; `key` adds columns that name the row."""
     rows = join_dim(_priced(t, form_factor), t.Device_Name, "device_name_id", ["brand"])
     rows = join_dim(_platform(_display(rows, t), t), t.OS, "os_id", ["os_name"])
     return rows.select(
-        "price", "battery_mah", "weight", "year", "brand", "display_size_inch", "resolution_pixels",
+        *key, "price", "battery_mah", "weight", "year", "brand", "display_size_inch", "resolution_pixels",
         "screen_to_body_ratio", "ppi_density", "chipset_manufacturer", "ram_gb", "storage_gb", "os_name",
     )
 
@@ -84,30 +85,30 @@ def price_model(t: Star, kind: str, form_factor: str = "phone") -> tuple[DataFra
 def price_residuals(t: Star, model: str = "full", form_factor: str = "phone") -> dict:
     """All residual diagnostics of a price model. Frames stay lazy, numbers are final.
 
-    The model base is scanned once for the fit and once per residual pass, always
-    with only the model's columns.
+    The star is joined once: the model's rows are stored, and so are their residuals.
+    Rows carry the device id, which draws the sample and names the influential ones.
     """
     if model not in ("specs", "full"):
         return {"error": f"unknown model '{model}'; expected one of ['specs', 'full']"}
     spark = t.Device.sparkSession
-    base = model_base(t, form_factor)
     numeric, categorical = MODELS[model]
+    base = store(model_base(t, form_factor, ("id",)).select("id", "price", *numeric, *categorical), "model-rows")
     fit = ols.fit_ols(base, "price", numeric, categorical)
     if fit.error:
         return {"error": fit.error, "model": model, "dropped_predictors": fit.dropped, "n": fit.n}
-    res = ols.residual_frame(base, fit)
+    res = store(ols.residual_frame(base, fit, ["id"]), "residuals")
     moments = ols.residual_moments(res).first()
     std = ols.standardised(res, moments)
-    ties = [F.asc("fitted"), F.asc("residual")]
+    ties = [F.asc("id")]
     outliers = std.filter(F.abs("standardized") > 3).count()
     return {
         "model": model, "formula": fit.formula, "dropped_predictors": fit.dropped,
         "r_squared": fit.r_squared, "adj_r_squared": fit.adj_r_squared,
         "n": fit.n, "mean_residual": moments["mean_residual"], "std_residual": moments["std_residual"],
-        "sample_residuals": ols.residual_sample(std), "qq_plot": ols.qq_points(std, fit.n),
+        "sample_residuals": ols.residual_sample(std, key=["id"]), "qq_plot": ols.qq_points(std, fit.n),
         "breusch_pagan": ols.breusch_pagan(res, fit), "jarque_bera": ols.jarque_bera(moments),
         "vif": spark.createDataFrame(ols.vif(fit), "predictor string, vif double"),
-        "top_cooks_d": ols.cooks_top(res, fit, ties=ties).select("cooks_d", "fitted", "residual"),
+        "top_cooks_d": ols.cooks_top(res, fit, ties=ties).select("id", "cooks_d", "fitted", "residual"),
         "n_outliers_z3": outliers,
     }
 
