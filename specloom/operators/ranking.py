@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from .joins import keep_groups
 
 
-def first_ranked(df: DataFrame, keys: list[str], order: list[Column], n: int = 1) -> DataFrame:
+def first_ranked(df: DataFrame, keys: list, order: list[Column], n: int = 1) -> DataFrame:
     """The first n rows per key. Spark cuts each partition to n before the shuffle."""
     w = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") <= n).drop("__rn")
@@ -66,13 +66,7 @@ def session_messages(turns: DataFrame, session: str, question: str, sql: str, pr
 
 def first_per_key(df: DataFrame, keys: list[str], ordinal: str) -> DataFrame:
     """The row with the smallest ordinal per key, chosen before and after the shuffle."""
-    rest = [c for c in df.columns if c not in keys]
-    picked = df.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(
-        F.min_by(F.struct(*[F.col(f"`{c}`") for c in rest]), F.col(f"`{ordinal}`")).alias("__row")
-    )
-    return picked.select(*[F.col(f"`{k}`") for k in keys], "__row.*").select(
-        *[F.col(f"`{c}`") for c in df.columns]
-    )
+    return first_ranked(df, [F.col(f"`{k}`") for k in keys], [F.col(f"`{ordinal}`")])
 
 
 def distinct_sorted(df: DataFrame, col: str) -> DataFrame:

@@ -48,8 +48,9 @@ def guarded(spark: SparkSession, sql: str) -> DataFrame:
 
 
 def with_cap(df: DataFrame, cap: int = ROW_CAP) -> tuple[DataFrame, bool]:
-    """At most `cap` rows, and whether there were more. The cap is the feature."""
-    return df.limit(cap), df.limit(cap + 1).count() > cap
+    """At most `cap` rows, and whether there were more, from one read. The cap is the feature."""
+    got = df.limit(cap + 1).collect()
+    return df.sparkSession.createDataFrame(got[:cap], df.schema), len(got) > cap
 
 
 @contextmanager
@@ -78,20 +79,30 @@ def run_readonly(spark: SparkSession, sql: str, cap: int = ROW_CAP, seconds: flo
     return got[:cap], len(got) > cap
 
 
+def _markdown(header: list[str], rows: list) -> str:
+    """A Markdown table; unknown values are empty cells."""
+    cells = [header, ["---"] * len(header), *([("" if v is None else str(v)) for v in row] for row in rows)]
+    bars = [(" | ", "| ", " |")] * len(cells)
+    bars[1] = ("|", "|", "|")
+    return "\n".join(left + between.join(line) + right for line, (between, left, right) in zip(cells, bars, strict=True))
+
+
 def preview(df: DataFrame, n: int = 10) -> str:
-    """The first n rows as a Markdown table, and how many more there are."""
+    """The first n rows as a Markdown table, and how many more there are.
+
+    The rows are read once; only a result with more than n rows is counted as well.
+    """
+    # The wording around the table.
     if not df.columns:
         return "(no columns returned)"
-    total = df.count()
-    if total == 0:
+    shown = df.limit(n + 1).collect()
+    if not shown:
         return f"(0 rows returned for columns: {', '.join(df.columns)})"
-    lines = ["| " + " | ".join(df.columns) + " |", "|" + "|".join(["---"] * len(df.columns)) + "|"]
-    for row in df.limit(n).collect():
-        lines.append("| " + " | ".join("" if v is None else str(v) for v in row) + " |")
-    text = "\n".join(lines)
+    total = len(shown) if len(shown) <= n else df.count()
+    parts = [_markdown(df.columns, shown[:n])]
     if total > n:
-        text += f"\n\n…{total - n} more row(s) not shown."
-    return f"{text}\n\n(returned {total} row(s))"
+        parts.append(f"…{total - n} more row(s) not shown.")
+    return "\n\n".join([*parts, f"(returned {total} row(s))"])
 
 
 SCORE_SCHEMA = (
