@@ -38,7 +38,9 @@ from . import words as W
 from .components import components
 from .prefilter import semi_join
 
-GROUPS = 32
+GROUPS = 128
+#: Coordinates of the tree's boxes: each adds up some groups; points are compared on all groups.
+FOLDED = 32
 CHUNK = 4096
 FANOUT = 16
 #: At most so many shingles are put last for being common; the bar follows from the input.
@@ -64,8 +66,9 @@ def prefix_length(size: np.ndarray, percent: int) -> np.ndarray:
 
 
 def _prefix(values: np.ndarray, begin: np.ndarray, size: np.ndarray, percent: int, common: np.ndarray, level: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The first shingles of each set in the global order, and whose they are."""
+    """The first shingles of each set in the global order (40 bits of each), and whose they are."""
     text = np.repeat(np.arange(len(size)), size)
+    values = values >> np.uint64(24)  # a chance meeting in a block costs a comparison, no more
     if len(common) and len(values):
         at = np.searchsorted(common, values)
         at[at == len(common)] = 0
@@ -136,12 +139,22 @@ def _stars(table: pa.Table, percent: int) -> pa.Table:
     return pa.table({"token": W.signed(spread(block)), "pivot": spread(pivot), "node": held["node"][keep], "n": spread(n).astype(np.int32)})
 
 
+#: Shingles below this hash, a fifth of all, are compared before whole sets are sent.
+PART = np.uint64((1 << 64) // 5)
+
+
 def _payload(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+    """Each text's shingles in two parts, by hash."""
     for batch in batches:
         for _, texts in W.slices(batch, "text"):
-            values, begin, _, node = sets(texts, width)
-            held, ends = values.tobytes(), (begin * 8).tolist()
-            yield pa.RecordBatch.from_arrays([pa.array(node), pa.array([held[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)], pa.binary())], ["node", "shingles"])
+            values, begin, size, node = sets(texts, width)
+            text = np.repeat(np.arange(texts.count), size)
+            cut = begin[:-1] + np.bincount(text[values < PART], minlength=texts.count)
+            held = values.tobytes()
+            ends = [(8 * a, 8 * m, 8 * b) for a, m, b in zip(begin[:-1].tolist(), cut.tolist(), begin[1:].tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([
+                pa.array(node), pa.array(size.astype(np.int32)), pa.array([held[a:m] for a, m, _ in ends], pa.binary()), pa.array([held[m:b] for _, m, b in ends], pa.binary())],
+                ["node", "size", "part", "rest"])
 
 
 def _enough(overlap: np.ndarray, sizes: np.ndarray, percent: int) -> np.ndarray:
@@ -152,29 +165,50 @@ def _enough(overlap: np.ndarray, sizes: np.ndarray, percent: int) -> np.ndarray:
 def _filter(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """Pairs that the summed coordinate minima let pass."""
     for batch in batches:
-        points = [np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(-1, GROUPS).astype(np.int64) for c in ("pa", "pb")]
+        points = [np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(-1, GROUPS) for c in ("pa", "pb")]
         sizes = batch.column("na").to_numpy().astype(np.int64) + batch.column("nb").to_numpy()
-        keep = pa.array(_enough(np.minimum(*points).sum(1), sizes, percent))
+        keep = pa.array(_enough(np.minimum(*points).sum(1, dtype=np.int64), sizes, percent))
+        yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], ["a", "b"])
+
+
+def _common_count(x: list[bytes], y: list[bytes]) -> np.ndarray:
+    """How many values each pair of distinct-value arrays shares."""
+    out = np.zeros(len(x), np.int64)
+    for i, (p, q) in enumerate(zip(x, y, strict=True)):
+        joined = np.sort(np.frombuffer(p + q, np.uint64))
+        out[i] = np.count_nonzero(joined[1:] == joined[:-1])
+    return out
+
+
+def _partly(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Pairs that can still be similar after a part of their sets: the rest shares at most the smaller rest."""
+    for batch in batches:
+        x, y = batch.column("xp").to_pylist(), batch.column("yp").to_pylist()
+        na, nb = batch.column("na").to_numpy().astype(np.int64), batch.column("nb").to_numpy().astype(np.int64)
+        size = lambda parts: np.array([len(p) // 8 for p in parts], np.int64)
+        keep = pa.array(_enough(_common_count(x, y) + np.minimum(na - size(x), nb - size(y)), na + nb, percent))
         yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], ["a", "b"])
 
 
 def _verify(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        keep = np.zeros(batch.num_rows, bool)
-        for i, (x, y) in enumerate(zip(batch.column("x"), batch.column("y"), strict=True)):
-            p, q = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-            joined = np.sort(np.concatenate([p, q]))
-            keep[i] = _enough(np.count_nonzero(joined[1:] == joined[:-1]), len(p) + len(q), percent)
-        keep = pa.array(keep)
+        both = [[p + q for p, q in zip(batch.column(f"{c}p").to_pylist(), batch.column(f"{c}r").to_pylist(), strict=True)] for c in "xy"]
+        sizes = np.array([(len(p) + len(q)) // 8 for p, q in zip(*both, strict=True)], np.int64)
+        keep = pa.array(_enough(_common_count(*both), sizes, percent))
         yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], ["a", "b"])
 
 
+def fold(counts: np.ndarray) -> np.ndarray:
+    """Group counts added up to the tree's coordinates."""
+    return counts.reshape(len(counts), FOLDED, -1).sum(2, dtype=np.int32)
+
+
 class RTree:
     """Points packed by size and position into boxes, level by level."""
 
     def __init__(self, points: np.ndarray):
         self.points = points[np.lexsort((*points["counts"].T[:3], points["size"]))]
-        counts, size, comp = self.points["counts"].astype(np.int64), self.points["size"].astype(np.int64), self.points["comp"]
+        counts, size, comp = fold(self.points["counts"]), self.points["size"].astype(np.int64), self.points["comp"]
         self.levels = [(counts, size, size, comp, comp)]
         while len(self.levels[-1][0]) > 1:
             high, small, large, low_c, high_c = self.levels[-1]
@@ -185,17 +219,22 @@ class RTree:
         """(point of `asks`, point of the tree) in different components whose bound is enough."""
         query = np.arange(len(asks))
         box = np.zeros(len(asks), np.int64)
-        counts, size, comp = asks["counts"].astype(np.int64), asks["size"].astype(np.int64), asks["comp"]
+        counts, size, comp = fold(asks["counts"]), asks["size"].astype(np.int64), asks["comp"]
         for depth in range(len(self.levels) - 1, -1, -1):
             high, small, large, low_c, high_c = self.levels[depth]
             kept = []
-            for s in range(0, len(query), 65536):
-                q, b = query[s : s + 65536], box[s : s + 65536]
+            for s in range(0, len(query), 16384):
+                q, b = query[s : s + 16384], box[s : s + 16384]
                 good = ~((low_c[b] == comp[q]) & (high_c[b] == comp[q]))
                 good &= (100 * large[b] >= percent * size[q]) & (100 * size[q] >= percent * small[b])
                 q, b = q[good], b[good]
                 good = _enough(np.minimum(high[b], counts[q]).sum(1), small[b] + size[q], percent)
-                kept.append((q[good], b[good]))
+                q, b = q[good], b[good]
+                if not depth:  # single points: all groups
+                    fine = np.minimum(self.points["counts"][b], asks["counts"][q]).sum(1, dtype=np.int64)
+                    good = _enough(fine, small[b] + size[q], percent)
+                    q, b = q[good], b[good]
+                kept.append((q, b))
             query, box = (np.concatenate([k[i] for k in kept]) if kept else query[:0] for i in (0, 1))
             if depth:
                 below = len(self.levels[depth - 1][0])
@@ -273,8 +312,12 @@ def groups(documents: DataFrame, percent: int = 80, width: int = 5) -> DataFrame
         passed = store(both.mapInArrow(lambda it: _filter(it, percent), "a long, b long"), "passed")
         involved = passed.select(F.col("a").alias("node")).union(passed.select(F.col("b").alias("node"))).distinct()
         ids = store(points.join(involved, "node", "left_semi").select("doc_id"), "set-ids")
-        shingled = store(semi_join(used, "doc_id", ids).mapInArrow(lambda it: _payload(it, width), "node long, shingles binary"), "sets")
-        both = passed.join(shingled.toDF("a", "x"), "a").join(shingled.toDF("b", "y"), "b")
+        shingled = store(semi_join(used, "doc_id", ids).mapInArrow(lambda it: _payload(it, width), "node long, size int, part binary, rest binary"), "sets")
+        some = shingled.select("node", "size", "part")
+        both = passed.join(some.toDF("a", "na", "xp"), "a").join(some.toDF("b", "nb", "yp"), "b")
+        near = store(both.mapInArrow(lambda it: _partly(it, percent), "a long, b long"), "near")
+        whole = shingled.select("node", "part", "rest")
+        both = near.join(whole.toDF("a", "xp", "xr"), "a").join(whole.toDF("b", "yp", "yr"), "b")
         return store(both.mapInArrow(lambda it: _verify(it, percent), "a long, b long"), "links")
 
     stars = store(blocks.where("pivot <> node").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct(), "stars")
