@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from specloom.session import ship_package, store
+from specloom.session import drop_stored, ship_package, store
 
 #: Edges that one task joins at a time before it passes them on.
 BLOCK = 500_000
@@ -76,7 +76,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a")
         small = small.select("a", F.col("m").alias("b")).union(small.select(F.col("b").alias("a"), F.col("m").alias("b")))
-        current = store(small.where("a <> b").distinct(), "cc")
+        settled, current = current, store(small.where("a <> b").distinct(), "cc")
+        drop_stored(settled)
         state = current.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s")).first()
         if (state["n"], state["s"]) == previous:
             break

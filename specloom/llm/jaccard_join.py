@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from specloom.session import ship_package, store
+from specloom.session import drop_stored, ship_package, store
 
 from . import packed as P
 from . import words as W
@@ -318,7 +318,9 @@ def groups(documents: DataFrame, percent: int = 80, width: int = 5) -> DataFrame
         near = store(both.mapInArrow(lambda it: _partly(it, percent), "a long, b long"), "near")
         whole = shingled.select("node", "part", "rest")
         both = near.join(whole.toDF("a", "xp", "xr"), "a").join(whole.toDF("b", "yp", "yr"), "b")
-        return store(both.mapInArrow(lambda it: _verify(it, percent), "a long, b long"), "links")
+        out = store(both.mapInArrow(lambda it: _verify(it, percent), "a long, b long"), "links")
+        drop_stored(passed, ids, shingled, near)
+        return out
 
     stars = store(blocks.where("pivot <> node").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct(), "stars")
     first = links(stars)
