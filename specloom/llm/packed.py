@@ -3,7 +3,7 @@
 A map task sorts its records by bucket and key and sends each bucket's records of a block as
 one compressed row; the task of a bucket reads them back as numpy arrays. Bytes of one place
 in the record lie together, so sorted keys and small numbers shrink to a few bytes, and a
-very frequent key costs its records, not its rows. Buckets are hash ranges, four to a
+very frequent key costs its records, not its rows. Buckets are hash ranges, two to a
 shuffle partition, so their size is set where partitions are.
 """
 
@@ -23,7 +23,7 @@ BLOCK = 300_000
 
 
 def buckets(spark: SparkSession) -> int:
-    return 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def squeeze(rows: np.ndarray) -> bytes:

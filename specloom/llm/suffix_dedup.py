@@ -190,7 +190,7 @@ def _stretches(texts_table: pa.Table, shared_table: pa.Table, span: int, count:
 def prefix_order(data: np.ndarray, span: int) -> np.ndarray:
     """All positions ordered by their first `span` bytes or more, by a difference cover modulo 3."""
     n = len(data)
-    padded = np.r_[data, np.zeros(span + 80, np.uint8)].astype(np.uint64)
+    padded = np.r_[data, np.zeros(span + 80, np.uint8)]
     letters = np.zeros(n + span + 32, np.uint64)  # eight bytes from each position
     for k in range(8):
         letters = (letters << np.uint64(8)) | padded[k : k + len(letters)]
@@ -214,11 +214,11 @@ def prefix_order(data: np.ndarray, span: int) -> np.ndarray:
     sampled = sampled[order]
     rest = at[at % 3 == 0]
     # one byte and the next sampled rank order the remaining suffixes
-    byte = padded.astype(np.int64)
-    rest = rest[np.argsort((byte[rest] << 40) | rank[rest + 1], kind="stable")]
+    byte = lambda i: padded[i].astype(np.int64)
+    rest = rest[np.argsort((byte(rest) << 40) | rank[rest + 1], kind="stable")]
     one, two = sampled[sampled % 3 == 1], sampled[sampled % 3 == 2]
-    before = np.searchsorted((byte[one] << 40) | rank[one + 1], (byte[rest] << 40) | rank[rest + 1])
-    wide = lambda i: (byte[i] << 48) | (byte[i + 1] << 40) | rank[i + 2]
+    before = np.searchsorted((byte(one) << 40) | rank[one + 1], (byte(rest) << 40) | rank[rest + 1])
+    wide = lambda i: (byte(i) << 48) | (byte(i + 1) << 40) | rank[i + 2]
     before = before + np.searchsorted(wide(two), wide(rest))
     merged = np.empty(n, np.int64)
     place = np.maximum.accumulate(before) + np.arange(len(rest)) if len(rest) else before
