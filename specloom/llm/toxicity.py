@@ -124,7 +124,8 @@ def train(documents: DataFrame, labels: DataFrame, sample: int = 5000, voters_pe
     in0 = np.bincount(flat[y[row] == 0], minlength=BUCKETS)
     rate1, rate0 = (in1 + 0.5) / (n1 + 1), (in0 + 0.5) / (n0 + 1)
     gain = rate1 * np.log(rate1 / rate0) + (1 - rate1) * np.log((1 - rate1) / (1 - rate0))
-    gain[(in1 < 12) | (rate1 < telling * rate0)] = 0
+    least = max(3, min(12, 0.008 * n1))  # toxic rows that a feature must be in
+    gain[(in1 < least) | (rate1 < telling * rate0)] = 0
     # each kind's best features, dealt in turn, are that kind's lexicons
     size, picked, votes = BUCKETS // 4, [], []
     rows_of = np.argsort(flat, kind="stable")
