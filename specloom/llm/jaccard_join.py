@@ -47,7 +47,7 @@ FANOUT = 16
 COMMON = 500_000
 _TOKEN = np.dtype([("key", np.uint64), ("count", np.int64)])
 _MEMBER = np.dtype([("key", np.uint64), ("node", np.int64), ("size", np.int32)])
-_POINT = np.dtype([("key", np.uint64), ("node", np.int64), ("comp", np.int64), ("size", np.int32), ("asks", np.int8), ("counts", np.uint16, GROUPS)])
+_POINT = np.dtype([("key", np.uint64), ("node", np.int64), ("comp", np.int64), ("size", np.int32), ("asks", np.int8), ("counts", np.uint32, GROUPS)])
 
 
 def sets(texts: W.Bytes, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -80,6 +80,19 @@ def _prefix(values: np.ndarray, begin: np.ndarray, size: np.ndarray, percent: in
     return values[keep], text[keep]
 
 
+def pack_counts(counts: np.ndarray) -> list[bytes]:
+    """Each set's group counts in two bytes a group, or four where one needs them."""
+    wide = counts.max(1, initial=0) > 0xFFFF
+    held = np.minimum(counts, 0xFFFF).astype(np.uint16).tobytes()
+    return [counts[i].astype(np.uint32).tobytes() if w else held[2 * GROUPS * i : 2 * GROUPS * (i + 1)] for i, w in enumerate(wide.tolist())]
+
+
+def unpack_counts(held: list[bytes]) -> np.ndarray:
+    if all(len(x) == 2 * GROUPS for x in held):
+        return np.frombuffer(b"".join(held), np.uint16).reshape(-1, GROUPS)
+    return np.stack([np.frombuffer(x, np.uint16 if len(x) == 2 * GROUPS else np.uint32).astype(np.uint32) for x in held])
+
+
 def _nodes(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     """Each row's set size, node and group counts."""
     for batch in batches:
@@ -87,8 +100,7 @@ def _nodes(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordB
             values, _, size, node = sets(texts, width)
             text = np.repeat(np.arange(texts.count), size)
             group = (W.mix(values) >> np.uint64(32)).astype(np.int64) % GROUPS
-            counts = np.minimum(np.bincount(text * GROUPS + group, minlength=texts.count * GROUPS), 65535).astype(np.uint16).tobytes()
-            cut = [counts[2 * GROUPS * i : 2 * GROUPS * (i + 1)] for i in range(texts.count)]
+            cut = pack_counts(np.bincount(text * GROUPS + group, minlength=texts.count * GROUPS).reshape(-1, GROUPS))
             yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array(size.astype(np.int64)), pa.array(node), pa.array(cut, pa.binary())], ["doc_id", "size", "node", "counts"])
 
 
@@ -165,7 +177,7 @@ def _enough(overlap: np.ndarray, sizes: np.ndarray, percent: int) -> np.ndarray:
 def _filter(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """Pairs that the summed coordinate minima let pass."""
     for batch in batches:
-        points = [np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(-1, GROUPS) for c in ("pa", "pb")]
+        points = [unpack_counts(batch.column(c).to_pylist()) for c in ("pa", "pb")]
         sizes = batch.column("na").to_numpy().astype(np.int64) + batch.column("nb").to_numpy()
         keep = pa.array(_enough(np.minimum(*points).sum(1, dtype=np.int64), sizes, percent))
         yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], ["a", "b"])
@@ -249,7 +261,7 @@ def _points(batches: Iterator[pa.RecordBatch], count: int) -> Iterator[pa.Record
     for batch in batches:
         column = lambda c: batch.column(c).to_numpy(zero_copy_only=False)
         key = W.mix(column("token").view(np.uint64) + column("chunk").astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-        counts = np.frombuffer(b"".join(batch.column("counts").to_pylist()), np.uint16).reshape(-1, GROUPS)
+        counts = unpack_counts(batch.column("counts").to_pylist())
         yield from packer.add(key, column("node"), column("comp"), column("size"), column("asks"), counts)
     yield from packer.flush()
 

@@ -6,6 +6,7 @@ import re
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 
 from specloom.llm import chaining, jaccard_join, line_dedup, suffix_dedup
 from specloom.llm.components import components
@@ -86,6 +87,18 @@ def test_trees_keep_every_pair():
     assert got == want and want
 
 
+def test_bounds_hold_for_counts_past_two_bytes():
+    counts = np.full((2, jaccard_join.GROUPS), 80_000)
+    held = jaccard_join.pack_counts(np.concatenate([counts, counts[:1] // 2]))
+    assert jaccard_join.unpack_counts(held)[:, 0].tolist() == [80_000, 80_000, 40_000]
+    size = int(counts[0].sum())
+    batch = pa.RecordBatch.from_pydict({"a": [1], "b": [2], "na": [size], "nb": [size], "pa": held[:1], "pb": held[1:2]})
+    assert [b.num_rows for b in jaccard_join._filter([batch], 80)] == [1]
+    points = np.zeros(2, jaccard_join._POINT)
+    points["counts"], points["size"], points["node"], points["comp"] = counts, size, [1, 2], [1, 2]
+    assert len(jaccard_join.RTree(points[1:]).pairs(points[:1], 80)[0]) == 1
+
+
 def test_suffix_dedup(spark, docs):
     rows = corpus(2)
     seen, want = set(), {}
