@@ -8,7 +8,7 @@ from collections import defaultdict
 import numpy as np
 import pyarrow as pa
 
-from specloom.llm import chaining, jaccard_join, line_dedup, suffix_dedup
+from specloom.llm import anchors, chaining, jaccard_join, line_dedup, suffix_dedup
 from specloom.llm.components import components
 
 LOW = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
@@ -99,6 +99,20 @@ def test_bounds_hold_for_counts_past_two_bytes():
     assert len(jaccard_join.RTree(points[1:]).pairs(points[:1], 80)[0]) == 1
 
 
+def test_minimizers_past_the_width_of_positions(monkeypatch):
+    long = np.full(2**24 + 1000, 2**63, np.uint64)
+    long[2**24 + 500] = 1
+    got = anchors.window_minima(long, np.array([0, len(long)]), 27)
+    assert (got[2**24 + 474 : 2**24 + 501] == 2**24 + 500).all() and got[-1] == len(long) - 27 and got[0] == 0
+    rng = np.random.default_rng(6)
+    hashes = rng.integers(0, 2**63, 3000).astype(np.uint64)
+    hashes[1000:1400] = hashes[100]
+    first = np.array([0, 10, 2500, 3000])
+    want = anchors.window_minima(hashes, first, 27)
+    monkeypatch.setattr(anchors, "LIMIT", 100)
+    assert (anchors.window_minima(hashes, first, 27) == want).all()
+
+
 def test_suffix_dedup(spark, docs):
     rows = corpus(2)
     seen, want = set(), {}
