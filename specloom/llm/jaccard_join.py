@@ -24,7 +24,7 @@ columns are left out. An empty table gives no rows.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -45,27 +45,34 @@ CHUNK = 4096
 FANOUT = 16
 #: At most so many shingles are put last for being common; the bar follows from the input.
 COMMON = 500_000
+#: How a set's members are cut from texts.
+Runs = Callable[[W.Bytes, int], tuple[np.ndarray, np.ndarray]]
 _TOKEN = np.dtype([("key", np.uint64), ("count", np.int64)])
 _MEMBER = np.dtype([("key", np.uint64), ("node", np.int64), ("size", np.int32)])
 _POINT = np.dtype([("key", np.uint64), ("node", np.int64), ("comp", np.int64), ("size", np.int32), ("asks", np.int8), ("counts", np.uint32, GROUPS)])
 
 
-def sets(texts: W.Bytes, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Each text's distinct shingle hashes, where each text's begin, its size and its node."""
+def word_runs(texts: W.Bytes, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of each text's runs of lowered words, and where each text's begin."""
     low = texts.lowered()
     found = W.find_words(low, W.BLANK_SEPARATED)
-    values, begin = W.distinct_per_text(*W.shingles(low.hashes(found.start, found.end), found.first, width))
+    return W.shingles(low.hashes(found.start, found.end), found.first, width)
+
+
+def sets(texts: W.Bytes, width: int, runs: Runs = word_runs) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Each text's distinct shingle hashes, where each text's begin, its size and its node."""
+    values, begin = W.distinct_per_text(*runs(texts, width))
     size = np.diff(begin)
     total = np.r_[np.uint64(0), np.cumsum(W.mix(values ^ np.uint64(0xA5A5A5A5A5A5A5A5)), dtype=np.uint64)]
     node = W.mix(total[begin[1:]] - total[begin[:-1]] + size.astype(np.uint64))
     return values, begin, size, W.signed(node)
 
 
-def prefix_length(size: np.ndarray, percent: int) -> np.ndarray:
-    return np.where(size > 0, size - (percent * size + 99) // 100 + 1, 0)
+def prefix_length(size: np.ndarray, percent: float) -> np.ndarray:
+    return np.where(size > 0, size - np.ceil(percent * size / 100 - 1e-9).astype(np.int64) + 1, 0)
 
 
-def _prefix(values: np.ndarray, begin: np.ndarray, size: np.ndarray, percent: int, common: np.ndarray, level: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _prefix(values: np.ndarray, begin: np.ndarray, size: np.ndarray, percent: float, common: np.ndarray, level: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The first shingles of each set in the global order (40 bits of each), and whose they are."""
     text = np.repeat(np.arange(len(size)), size)
     values = values >> np.uint64(24)  # a chance meeting in a block costs a comparison, no more
@@ -93,23 +100,23 @@ def unpack_counts(held: list[bytes]) -> np.ndarray:
     return np.stack([np.frombuffer(x, np.uint16 if len(x) == 2 * GROUPS else np.uint32).astype(np.uint32) for x in held])
 
 
-def _nodes(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+def _nodes(batches: Iterator[pa.RecordBatch], width: int, runs: Runs) -> Iterator[pa.RecordBatch]:
     """Each row's set size, node and group counts."""
     for batch in batches:
         for rows, texts in W.slices(batch, "text"):
-            values, _, size, node = sets(texts, width)
+            values, _, size, node = sets(texts, width, runs)
             text = np.repeat(np.arange(texts.count), size)
             group = (W.mix(values) >> np.uint64(32)).astype(np.int64) % GROUPS
             cut = pack_counts(np.bincount(text * GROUPS + group, minlength=texts.count * GROUPS).reshape(-1, GROUPS))
             yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array(size.astype(np.int64)), pa.array(node), pa.array(cut, pa.binary())], ["doc_id", "size", "node", "counts"])
 
 
-def _prefix_counts(batches: Iterator[pa.RecordBatch], width: int, percent: int, count: int) -> Iterator[pa.RecordBatch]:
+def _prefix_counts(batches: Iterator[pa.RecordBatch], width: int, percent: float, count: int, runs: Runs) -> Iterator[pa.RecordBatch]:
     packer, none = P.Packer(_TOKEN, count), np.zeros(0, np.uint64)
     for batch in batches:
         held = []
         for _, texts in W.slices(batch, "text"):
-            held.append(_prefix(*sets(texts, width)[:3], percent, none, none)[0])
+            held.append(_prefix(*sets(texts, width, runs)[:3], percent, none, none)[0])
         values, times = np.unique(np.concatenate(held or [none]), return_counts=True)
         yield from packer.add(values, times)
     yield from packer.flush()
@@ -123,17 +130,17 @@ def _common(table: pa.Table, least: int) -> pa.Table:
     return pa.table({"key": W.signed(values[keep]), "n": times[keep]})
 
 
-def _members(batches: Iterator[pa.RecordBatch], width: int, percent: int, count: int, held) -> Iterator[pa.RecordBatch]:
+def _members(batches: Iterator[pa.RecordBatch], width: int, percent: float, count: int, held, runs: Runs) -> Iterator[pa.RecordBatch]:
     packer = P.Packer(_MEMBER, count, distinct=True)
     for batch in batches:
         for _, texts in W.slices(batch, "text"):
-            values, begin, size, node = sets(texts, width)
+            values, begin, size, node = sets(texts, width, runs)
             token, text = _prefix(values, begin, size, percent, *held.value)
             yield from packer.add(token, node[text], size[text])
     yield from packer.flush()
 
 
-def _stars(table: pa.Table, percent: int) -> pa.Table:
+def _stars(table: pa.Table, percent: float) -> pa.Table:
     """Members of blocks with several sets of fitting sizes, each with its block's smallest node.
 
     A shingle's sets are cut where the next larger one is too large for the one before.
@@ -155,11 +162,11 @@ def _stars(table: pa.Table, percent: int) -> pa.Table:
 PART = np.uint64((1 << 64) // 5)
 
 
-def _payload(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+def _payload(batches: Iterator[pa.RecordBatch], width: int, runs: Runs) -> Iterator[pa.RecordBatch]:
     """Each text's shingles in two parts, by hash."""
     for batch in batches:
         for _, texts in W.slices(batch, "text"):
-            values, begin, size, node = sets(texts, width)
+            values, begin, size, node = sets(texts, width, runs)
             text = np.repeat(np.arange(texts.count), size)
             cut = begin[:-1] + np.bincount(text[values < PART], minlength=texts.count)
             held = values.tobytes()
@@ -169,12 +176,12 @@ def _payload(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Recor
                 ["node", "size", "part", "rest"])
 
 
-def _enough(overlap: np.ndarray, sizes: np.ndarray, percent: int) -> np.ndarray:
+def _enough(overlap: np.ndarray, sizes: np.ndarray, percent: float) -> np.ndarray:
     """overlap / (sizes - overlap) >= percent / 100, in whole numbers."""
     return (100 + percent) * overlap >= percent * sizes
 
 
-def _filter(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+def _filter(batches: Iterator[pa.RecordBatch], percent: float) -> Iterator[pa.RecordBatch]:
     """Pairs that the summed coordinate minima let pass."""
     for batch in batches:
         points = [unpack_counts(batch.column(c).to_pylist()) for c in ("pa", "pb")]
@@ -192,7 +199,7 @@ def _common_count(x: list[bytes], y: list[bytes]) -> np.ndarray:
     return out
 
 
-def _partly(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+def _partly(batches: Iterator[pa.RecordBatch], percent: float) -> Iterator[pa.RecordBatch]:
     """Pairs that can still be similar after a part of their sets: the rest shares at most the smaller rest."""
     for batch in batches:
         x, y = batch.column("xp").to_pylist(), batch.column("yp").to_pylist()
@@ -202,7 +209,7 @@ def _partly(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Reco
         yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], ["a", "b"])
 
 
-def _verify(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+def _verify(batches: Iterator[pa.RecordBatch], percent: float) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         both = [[p + q for p, q in zip(batch.column(f"{c}p").to_pylist(), batch.column(f"{c}r").to_pylist(), strict=True)] for c in "xy"]
         sizes = np.array([(len(p) + len(q)) // 8 for p, q in zip(*both, strict=True)], np.int64)
@@ -227,7 +234,7 @@ class RTree:
             cut = np.arange(0, len(high), FANOUT)
             self.levels.append((np.maximum.reduceat(high, cut), np.minimum.reduceat(small, cut), np.maximum.reduceat(large, cut), np.minimum.reduceat(low_c, cut), np.maximum.reduceat(high_c, cut)))
 
-    def pairs(self, asks: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    def pairs(self, asks: np.ndarray, percent: float) -> tuple[np.ndarray, np.ndarray]:
         """(point of `asks`, point of the tree) in different components whose bound is enough."""
         query = np.arange(len(asks))
         box = np.zeros(len(asks), np.int64)
@@ -266,7 +273,7 @@ def _points(batches: Iterator[pa.RecordBatch], count: int) -> Iterator[pa.Record
     yield from packer.flush()
 
 
-def _search(table: pa.Table, percent: int) -> pa.Table:
+def _search(table: pa.Table, percent: float) -> pa.Table:
     """Pairs of a bucket's blocks by their trees."""
     held = P.unpack(table, _POINT)
     held = held[np.lexsort((held["node"], held["key"]))]  # so a whole block begins with its pivot
@@ -295,23 +302,23 @@ def _search(table: pa.Table, percent: int) -> pa.Table:
     return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
 
 
-def groups(documents: DataFrame, percent: int = 80, width: int = 5) -> DataFrame:
+def groups(documents: DataFrame, percent: float = 80, width: int = 5, runs: Runs = word_runs) -> DataFrame:
     """(doc_id, n_shingles, component_id) for each row."""
     spark = documents.sparkSession
     ship_package(spark)
     count = P.buckets(spark)
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    nodes = store(docs.mapInArrow(lambda it: _nodes(it, width), "doc_id long, size long, node long, counts binary"), "nodes")
+    nodes = store(docs.mapInArrow(lambda it: _nodes(it, width, runs), "doc_id long, size long, node long, counts binary"), "nodes")
     used = docs.where("doc_id IS NOT NULL AND text IS NOT NULL")
     # shingles in the first parts of very many sets come last in the order
     total = nodes.select(F.sum(F.floor(F.col("size") * (100 - percent) / 100) + 1)).first()[0] or 0
     least = max(64, total // COMMON)  # so at most COMMON shingles are above it
-    often = P.per_bucket(used.mapInArrow(lambda it: _prefix_counts(it, width, percent, count), P.SHAPE), lambda t: _common(t, least), "key long, n long").toArrow()
+    often = P.per_bucket(used.mapInArrow(lambda it: _prefix_counts(it, width, percent, count, runs), P.SHAPE), lambda t: _common(t, least), "key long, n long").toArrow()
     key, n = often["key"].to_numpy().view(np.uint64), often["n"].to_numpy()
     order = np.argsort(key)
     held = spark.sparkContext.broadcast((key[order], np.log2(np.maximum(n[order], 1)).astype(np.int8) + 1))  # at most COMMON entries
     # blocks, and the first star of pairs
-    members = used.mapInArrow(lambda it: _members(it, width, percent, count, held), P.SHAPE)
+    members = used.mapInArrow(lambda it: _members(it, width, percent, count, held, runs), P.SHAPE)
     blocks = store(P.per_bucket(members, lambda t: _stars(t, percent), "token long, pivot long, node long, n int"), "blocks")
     leader = nodes.where("doc_id IS NOT NULL AND size > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
     leader = leader.join(blocks.select("node").distinct(), "node", "left_semi")
@@ -324,7 +331,7 @@ def groups(documents: DataFrame, percent: int = 80, width: int = 5) -> DataFrame
         passed = store(both.mapInArrow(lambda it: _filter(it, percent), "a long, b long"), "passed")
         involved = passed.select(F.col("a").alias("node")).union(passed.select(F.col("b").alias("node"))).distinct()
         ids = store(points.join(involved, "node", "left_semi").select("doc_id"), "set-ids")
-        shingled = store(semi_join(used, "doc_id", ids).mapInArrow(lambda it: _payload(it, width), "node long, size int, part binary, rest binary"), "sets")
+        shingled = store(semi_join(used, "doc_id", ids).mapInArrow(lambda it: _payload(it, width, runs), "node long, size int, part binary, rest binary"), "sets")
         some = shingled.select("node", "size", "part")
         both = passed.join(some.toDF("a", "na", "xp"), "a").join(some.toDF("b", "nb", "yp"), "b")
         near = store(both.mapInArrow(lambda it: _partly(it, percent), "a long, b long"), "near")

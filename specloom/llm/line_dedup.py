@@ -3,10 +3,12 @@
 Lines are compared trimmed and lowered. A line's set holds its runs of `width` characters
 (a shorter line is one run). One-permutation MinHash fills `bands * rows` bins, empty bins
 borrow from the next filled one, and equal bands make lines candidates. In a band's group
-every line meets the group's smallest line and its next one, so a group of any size gives
-two pairs a line. Candidates are verified by exact Jaccard similarity, a distributed
-union-find joins the links, and of each component the first line in (doc_id, line) order stays.
-A pair at similarity 0.8 meets in a band with probability 0.98, at 0.9 with 0.9999.
+every line first meets the group's smallest line and its next one, so a group of any size
+gives two pairs a line; these are verified by exact Jaccard similarity and a distributed
+union-find joins the links. Lines of groups that still hold several components then go through
+the exact join of `jaccard_join` (blocks by rare runs), which finds all links among them.
+Of each component the first line in (doc_id, line) order stays. A pair at similarity 0.8 meets
+in a band with probability 0.98, at 0.9 with 0.9999, and one that meets is never left out.
 
 Defined results: blank lines are never removed; a null text has no lines; rows of one
 doc_id are one document, so repeats of its rows keep the same lines; documents without id
@@ -27,6 +29,7 @@ from specloom.session import ship_package, store
 from . import packed as P
 from . import words as W
 from .components import components
+from .jaccard_join import groups
 from .prefilter import likely
 
 _PAIR = np.dtype([("key", np.uint64), ("line", np.int64)])
@@ -109,7 +112,10 @@ def _bands(batches: Iterator[pa.RecordBatch], count: int, width: int, bands: int
 
 
 def _candidates(table: pa.Table) -> pa.Table:
-    """Each line of a band's group with the group's smallest and with its next line."""
+    """Each line of a band's group with the group's smallest and with its next line.
+
+    Groups that these pairs do not cover follow as rows of their key `g` and each line `a`.
+    """
     held = P.ordered(P.unpack(table, _PAIR), "key", "line")
     first, size = P.runs(held["key"])
     line, pivot = held["line"], np.repeat(held["line"][first], size)
@@ -117,7 +123,16 @@ def _candidates(table: pa.Table) -> pa.Table:
     later[first] = False
     at = np.flatnonzero(later)
     pairs = np.unique(np.concatenate([np.stack([pivot[at], line[at]], 1), np.stack([line[at - 1], line[at]], 1)]), axis=0)
-    return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
+    large = np.flatnonzero(np.repeat(size > 3, size))
+    return pa.table({
+        "a": np.r_[pairs[:, 0], line[large]], "b": pa.array([*pairs[:, 1].tolist(), *[None] * len(large)], pa.int64()),
+        "g": pa.array([*[None] * len(pairs), *W.signed(held["key"][large]).tolist()], pa.int64())})
+
+
+def character_runs(texts: W.Bytes, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of each text's runs of `width` characters (a shorter one is one run), and where each text's begin."""
+    points = np.frombuffer(texts.data.tobytes().decode("utf-8", "surrogatepass").encode("utf-32-le", "surrogatepass"), np.uint32)
+    return W.shingles(W.mix(points.astype(np.uint64)), W.code_points(texts)[texts.offsets], width)
 
 
 def jaccard_at_least(a: list[str], b: list[str], width: int, similarity: float) -> np.ndarray:
@@ -145,13 +160,24 @@ def line_components(found: DataFrame, seen: DataFrame, similarity: float = 0.8,
     """
     count = P.buckets(found.sparkSession)
     packed = found.select("h", "line").mapInArrow(lambda it: _bands(it, count, width, bands, rows), P.SHAPE)
-    pairs = store(P.per_bucket(packed, _candidates, "a long, b long").distinct(), "line-pairs")
+    met = store(P.per_bucket(packed, _candidates, "a long, b long, g long"), "line-groups")
+    pairs = store(met.where("g IS NULL").select("a", "b").distinct(), "line-pairs")
     wanted = pairs.select(F.col("a").alias("h")).union(pairs.select(F.col("b").alias("h"))).distinct()
     places = store(seen.join(wanted, "h", "left_semi").select("h", "place"), "line-places")
     texts = likely(found.select("h", "line", _place().alias("place")), "h", places).join(places, ["h", "place"], "left_semi").select("h", "line")
     texts = store(texts, "line-texts")
     both = pairs.join(texts.toDF("a", "x"), "a").join(texts.toDF("b", "y"), "b")
-    return components(both.mapInArrow(lambda it: _verify(it, width, similarity), "a long, b long"))
+    first = store(both.mapInArrow(lambda it: _verify(it, width, similarity), "a long, b long"), "line-links")
+    # groups that still hold several components: all links among their lines
+    joined = store(components(first), "line-joined")
+    held = met.where("g IS NOT NULL").select("g", F.col("a").alias("h")).join(joined.toDF("h", "c"), "h", "left").select("g", "h", F.coalesce("c", "h").alias("c"))
+    mixed = held.groupBy("g").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low <> high").select("g")
+    rest = store(held.join(mixed, "g", "left_semi").select("h").distinct(), "line-rest")
+    if rest.isEmpty():
+        return joined
+    left = store(texts.join(rest, "h", "left_semi").select(F.col("h").alias("doc_id"), F.col("line").alias("text")), "line-rest-texts")
+    tied = groups(left, round(100 * similarity, 9), width, character_runs).where("doc_id <> component_id")
+    return components(first.union(tied.select(F.col("component_id").alias("a"), F.col("doc_id").alias("b"))))
 
 
 def _place() -> Column:

@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 
 from specloom.llm import anchors, chaining, jaccard_join, line_dedup, suffix_dedup
+from specloom.llm import words as W
 from specloom.llm.components import components
 
 LOW = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
@@ -178,6 +179,31 @@ def test_line_dedup(spark, docs):
     assert line_dedup.dedup_lines(docs([])).count() == 0
 
 
+def test_templated_lines_meet_all_partners(spark, docs):
+    rng = random.Random(8)
+    draw = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyzé") for _ in range(n))
+    head, tails = draw(105), [draw(15) for _ in range(300)]
+    lines = [head + t for t in tails] + [head + t[:9] + draw(6) for t in tails]
+    cut = [{x[k : k + 8] for k in range(len(x) - 7)} for x in lines]
+    u = Union()
+    for b in range(600):
+        for a in range(b):
+            if len(cut[a] & cut[b]) >= 0.8 * len(cut[a] | cut[b]):
+                u.join(a, b)
+    want = {i for i in range(600) if u.find(i) != i}
+    got = {r["doc_id"] for r in line_dedup.dedup_lines(docs(list(enumerate(lines)))).collect() if r["dropped"]}
+    # banding may miss a pair
+    assert len(want) >= 300 and got <= want and len(want - got) <= 3
+
+
+def test_character_runs_are_the_sets_that_lines_compare():
+    texts = ["日本語のテスト文字列", "ab", "aaaaaaaaaaaa", "é" * 9 + "x", "q\x00rstuvwxyz"]
+    data = [t.encode() for t in texts]
+    cut = W.Bytes(np.frombuffer(b"".join(data), np.uint8), np.r_[0, np.cumsum([len(d) for d in data])])
+    _, begin, size, _ = jaccard_join.sets(cut, 8, line_dedup.character_runs)
+    assert size.tolist() == [len({t[k : k + 8] for k in range(max(1, len(t) - 7))}) for t in texts]
+
+
 def test_passages(spark, docs):
     rows = [(i, t) for i, t in corpus(4) if t is None or "\x00" not in t]
     first, need = {}, defaultdict(set)
