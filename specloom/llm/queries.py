@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
+from . import alignment as _alignment
 from . import binary_codes as _binary_codes
 from . import chaining as _chaining
 from . import decontaminate as _decontaminate
@@ -16,7 +17,9 @@ from . import ngram_model as _ngram_model
 from . import pieces as _pieces
 from . import secret_scan as _secret_scan
 from . import suffix_dedup as _suffix_dedup
+from . import token_counts as _token_counts
 from . import toxicity as _toxicity
+from . import whitening as _whitening
 
 QUERIES: dict = {}
 CHECKS: dict[str, str] = {}
@@ -95,6 +98,25 @@ def op6_suffix_array_dedup(spark: SparkSession, root: str) -> DataFrame:
     return _suffix_dedup.dedup(_table(spark, root, "documents").select("doc_id", "text"))
 
 
+@_query
+def op11_embedding_whitening(spark: SparkSession, root: str) -> DataFrame:
+    white = _whitening.whiten(_table(spark, root, "embeddings"))
+    both = F.posexplode(F.arrays_zip("whitened", "explained")).alias("at", "c")
+    return white.select("vec_id", "n", "deviation", "identity_error", both).select(
+        "vec_id", (F.col("at") + 1).alias("component"), "n", "deviation", "c.whitened", "c.explained", "identity_error")
+
+
+@_query
+def op12_token_counts(spark: SparkSession, root: str) -> DataFrame:
+    counted = _token_counts.token_counts(_table(spark, root, "documents").select("doc_id", "text"))
+    return counted.withColumn("over_limit", F.col("n_tokens") > 4096)
+
+
+@_query
+def op13_cross_tokenizer_alignment(spark: SparkSession, root: str) -> DataFrame:
+    return _alignment.alignment_summary(_table(spark, root, "documents").select("doc_id", "text"))
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL:
     CHECKS["pipeline"] = corpus_pipeline.ORACLE_SQL
