@@ -10,6 +10,12 @@ gives the next shift. All stretches of a slice of documents do this in step as n
 besides each document's beginning, sampled ends of A that a binary search finds in B begin a
 stretch, so a long document is many of them.
 
+Where a blank follows a character that is no white space, both tokenizers cut (A by its
+pattern, B since no piece holds a blank after something else; both are looked up, and texts
+stay whole where one does not hold). The units between such places are encoded once, by the
+libraries, and a Python worker remembers `REMEMBERED` of them; ids of a text are put together
+from its units.
+
 Links are the pairs of tokens that end together. How often an (a, b) pair of ids is linked
 in the corpus is counted from distinct pairs per block; documents get the counts of their
 pairs by `keyed_sums`.
@@ -25,6 +31,7 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import json
 import os
 from collections.abc import Iterator
 
@@ -39,13 +46,21 @@ from specloom.session import ship_package, store
 from . import words as W
 from .keyed_sums import add_up
 from .pieces import BLANK, PIECES
-from .token_counts import with_blank
+from .token_counts import ragged_bytes, with_blank
 
 BYTE_BPE = "/opt/tokenizers/byte_bpe_50k.json"
 #: Every so many ends of A one is sought in B, to begin a stretch there.
 STRIDE = 64
 #: Text bytes that are encoded at a time.
 SLICE = 1 << 18
+#: Units that a Python worker remembers before it starts its table anew.
+REMEMBERED = 200_000
+#: Bytes that may end a white space character, in ASCII or beyond.
+_SPACE_ENDS = np.zeros(256, bool)
+_SPACE_ENDS[[*range(0x09, 0x0E), *range(0x1C, 0x21), *range(0x80, 0x8B), 0x9F, 0xA0, 0xA8, 0xA9, 0xAF]] = True
+
+
+_NOT_BLANK = bytes(b if b == 0x20 else 0 for b in range(256))
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -82,9 +97,13 @@ class ByteLevel(Side):
         for piece, i in self.library.get_vocab().items():
             held[i] = bytes(alphabet[c] for c in piece) if all(c in alphabet for c in piece) else piece.encode()
         super().__init__(held)
+        made = json.loads(content)
+        first = made.get("pre_tokenizer") or {}
+        self.cuts_at_blanks = first.get("type") == "ByteLevel" and first.get("use_regex", True) and not first.get("add_prefix_space") and not made.get("normalizer")
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.library.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
+    def encode(self, blanked: list[str]) -> list[list[int]]:
+        """Ids of texts that already have their blank."""
+        return [e.ids for e in self.library.encode_batch_fast(blanked, add_special_tokens=False)]
 
 
 class Pieces(Side):
@@ -99,14 +118,71 @@ class Pieces(Side):
             piece = self.library.id_to_piece(i)
             held.append(bytes([int(piece[3:5], 16)]) if self.library.is_byte(i) else piece.replace(BLANK, " ").encode())
         super().__init__(held)
-
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        return self.library.encode(texts, num_threads=1)
-
-
-@functools.lru_cache(maxsize=2)
-def _sides(a: str, b: bytes) -> tuple[ByteLevel, Pieces]:
-    return ByteLevel(a), Pieces(b)
+        self.cuts_at_blanks = not any(b"\x00 " in b.translate(_NOT_BLANK) for b in held)
+
+    def encode(self, blanked: list[str]) -> list[list[int]]:
+        """Ids of texts that already have their blank, which the library puts itself."""
+        return self.library.encode([t[1:] for t in blanked], num_threads=1)
+
+
+class Memory:
+    """Ids of texts on both sides, put together from remembered units."""
+
+    def __init__(self, a: ByteLevel, b: Pieces):
+        self.sides = (a, b)
+        self.cuts = a.cuts_at_blanks and b.cuts_at_blanks
+        self.forget()
+
+    def forget(self) -> None:
+        self.key, self.place = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.flat = [np.zeros(0, np.int64), np.zeros(0, np.int64)]
+        self.begin = [np.zeros(1, np.int64), np.zeros(1, np.int64)]
+
+    def units(self, texts: W.Bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Beginnings and ends of units, and where each text's begin; a blank that ends a text is no unit."""
+        data, n = texts.data, len(texts.data)
+        begins = np.zeros(n + 1, bool)
+        if self.cuts and n:
+            begins[1:-1] = (data[1:] == 0x20) & ~_SPACE_ENDS[data[:-1]]
+            begins[texts.offsets[1:][np.diff(texts.offsets) > 0] - 1] = False
+        begins[texts.offsets] = True
+        start = np.flatnonzero(begins[:n])
+        return start, np.r_[start[1:], n][: len(start)], np.searchsorted(start, texts.offsets)
+
+    def _find(self, key: np.ndarray) -> np.ndarray:
+        at = np.searchsorted(self.key, key)
+        at[at == len(self.key)] = 0
+        return np.where(self.key[at] == key, self.place[at], -1) if len(self.key) else np.full(len(key), -1)
+
+    def ids(self, texts: W.Bytes) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each side the ids of all texts joined, and where each text's begin."""
+        start, end, first = self.units(texts)
+        key, one, at = np.unique(texts.hashes(start, end), return_index=True, return_inverse=True)
+        if len(self.key) > REMEMBERED:
+            self.forget()
+        fresh = np.flatnonzero(self._find(key) < 0)
+        if len(fresh):
+            parts = [p.decode("utf-8", "replace") for p in ragged_bytes(texts.data, start[one[fresh]], end[one[fresh]]).to_pylist()]
+            known = len(self.begin[0]) - 1
+            for k, side in enumerate(self.sides):
+                flat, begin = _flat(side.encode(parts))
+                self.begin[k] = np.r_[self.begin[k], begin[1:] + self.begin[k][-1]]
+                self.flat[k] = np.r_[self.flat[k], flat]
+            keys, places = np.r_[self.key, key[fresh]], np.r_[self.place, known + np.arange(len(fresh))]
+            order = np.argsort(keys)
+            self.key, self.place = keys[order], places[order]
+        unit = self._find(key)[at]
+        out = []
+        for flat, begin in zip(self.flat, self.begin, strict=True):
+            size = begin[unit + 1] - begin[unit]
+            where, _, _ = _steps(begin[unit], size)
+            out.append((flat[where], np.r_[0, np.cumsum(size)][first]))
+        return out
+
+
+@functools.lru_cache(maxsize=1)
+def _memory(a: str, b: bytes) -> Memory:
+    return Memory(ByteLevel(a), Pieces(b))
 
 
 def _steps(start: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -188,12 +264,10 @@ def _same(side: Side, ids: np.ndarray, first: np.ndarray, texts: W.Bytes) -> np.
 class Aligned:
     """The tokens of a slice of texts, and where both sides end together."""
 
-    def __init__(self, column: pa.Array, sides: tuple[ByteLevel, Pieces]):
-        a_side, b_side = sides
-        texts = column.fill_null("").to_pylist()
+    def __init__(self, column: pa.Array, memory: Memory):
+        a_side, b_side = memory.sides
         blanked = with_blank(W.as_bytes(column))
-        a, fa = _flat([x if t else [] for x, t in zip(a_side.encode(texts), texts, strict=True)])
-        b, fb = _flat(b_side.encode(texts))
+        (a, fa), (b, fb) = memory.ids(blanked)
         good = _same(a_side, a, fa, blanked) & _same(b_side, b, fb, blanked)
         (self.a, self.first_a), (self.b, self.first_b) = _without(a, fa, good), _without(b, fb, good)
         n = np.diff(self.first_a)
@@ -253,10 +327,10 @@ def align(documents: DataFrame, path_a: str = BYTE_BPE, path_b: str = PIECES) ->
     names = ["a_ids", "b_ids", "a_sizes", "b_sizes"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sides = _sides(*held.value)
+        memory = _memory(*held.value)
         for batch in batches:
             for rows, _ in W.slices(batch, "text", SLICE):
-                yield pa.RecordBatch.from_arrays([rows.column("doc_id"), *Aligned(rows.column("text"), sides).lists()], ["doc_id", *names])
+                yield pa.RecordBatch.from_arrays([rows.column("doc_id"), *Aligned(rows.column("text"), memory).lists()], ["doc_id", *names])
 
     shape = StructType([docs.schema["doc_id"]])
     for name in names:
@@ -271,12 +345,12 @@ def _links(documents: DataFrame, path_a: str, path_b: str) -> tuple[DataFrame, i
     names = ["n_a", "n_b", "n_groups", "n_links", "groups_sha256", "pairs", "times"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sides = _sides(*held.value)
-        sizes = [len(s.sizes) for s in sides]
+        memory = _memory(*held.value)
+        sizes = [len(s.sizes) for s in memory.sides]
         shown = [f"{i}{end}" for n in sizes for i in range(n) for end in (",", "|", ";", "")]
         for batch in batches:
             for rows, _ in W.slices(batch, "text", SLICE):
-                found = Aligned(rows.column("text"), sides)
+                found = Aligned(rows.column("text"), memory)
                 code, times, begin = found.pairs(width)
                 counts = [np.diff(found.first_a), np.diff(found.first_b), found.n_groups, found.n_groups]
                 yield pa.RecordBatch.from_arrays(

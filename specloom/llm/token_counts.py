@@ -101,7 +101,7 @@ def _cut(batch: pa.RecordBatch, inside: np.ndarray) -> Iterator[tuple[pa.RecordB
         yield rows, texts, *pre_tokens(texts, inside)
 
 
-def _ragged(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Array:
+def ragged_bytes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Array:
     """The byte runs start:end as binary values."""
     size = end - start
     begin = np.r_[0, np.cumsum(size)]
@@ -117,7 +117,7 @@ def _distinct(batches: Iterator[pa.RecordBatch], inside: np.ndarray) -> Iterator
             key, first, n = np.unique(texts.hashes(start, end), return_index=True, return_counts=True)
             new = ~np.isin(key, seen)
             if new.any():
-                yield pa.RecordBatch.from_arrays([pa.array(W.signed(key[new])), pa.array(n[new]), _ragged(texts.data, start[first[new]], end[first[new]])], ["key", "n", "piece"])
+                yield pa.RecordBatch.from_arrays([pa.array(W.signed(key[new])), pa.array(n[new]), ragged_bytes(texts.data, start[first[new]], end[first[new]])], ["key", "n", "piece"])
                 seen = np.union1d(seen, key[new])
             keys, at = np.unique(np.r_[keys, key[~new]], return_inverse=True)
             times = np.bincount(at, np.r_[times, n[~new]], len(keys)).astype(np.int64)
