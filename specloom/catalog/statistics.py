@@ -9,7 +9,7 @@ from ..plans import analytics as plans
 from ..plans import hypothesis, regression
 from ..stats import hypothesis as h
 from ..stats import ols
-from ..stats.gram import collect_sums
+from ..stats.moments import pair_moments
 from .inputs import star_ctes
 from .registry import query, sig, sig_sql
 
@@ -337,7 +337,6 @@ def _(i):
     for c in ("battery_mah", "weight", "display_size_inch", "screen_to_body_ratio", "ppi_density", "ram_gb", "year")))
 def _(i):
     names = ["battery_mah", "weight", "display_size_inch", "screen_to_body_ratio", "ppi_density", "ram_gb", "year"]
-    sums = collect_sums(regression.model_base(i.star), ["price", *names])
-    fits = [(c, ols.solve(sums, "price", [c])) for c in names]
-    out = i.spark.createDataFrame([(c, f.n, float(f.r_squared)) for c, f in fits], "candidate string, n long, r_squared double")
-    return rounded(out, "r_squared", digits=4)
+    m = pair_moments(regression.model_base(i.star), ["price", *names]).where((C("column_a") == "price") & (C("column_b") != "price"))
+    square = C("cross") * C("cross") / C("m2_a") / C("m2_b")
+    return rounded(m.select(C("column_b").alias("candidate"), "n", square.alias("r_squared")), "r_squared", digits=4)

@@ -13,6 +13,7 @@ from ..operators.ranking import best_per_key, best_per_top_groups
 from ..operators.reshape import long_values
 from ..schemas import Star
 from ..stats.hypothesis import ci_moments, t_interval
+from ..stats.moments import correlation, pair_moments
 
 # The quantitative columns of the correlation matrix, then of the distributions.
 CORRELATED = [
@@ -152,15 +153,10 @@ def quantitative_base(t: Star, form_factor: str = "phone") -> DataFrame:
 def correlation_matrix(t: Star, form_factor: str = "phone", digits: int = 3) -> DataFrame:
     """A10: Pearson r over pairwise complete rows, long form; undefined is NULL.
 
-    One aggregate holds every pair once; its single row is unfolded into both halves.
+    Masked moments of all pairs come out of one pass, whichever columns have gaps.
     """
-    rows = quantitative_base(t, form_factor).select(*[F.col(c).cast("double").alias(c) for c in CORRELATED])
-    pairs = [(a, b) for i, a in enumerate(CORRELATED) for b in CORRELATED[i:]]
-    one = rows.agg(*[F.corr(a, b).alias(f"{a}/{b}") for a, b in pairs])
-    both = lambda a, b: [(a, b)] if a == b else [(a, b), (b, a)]
-    cells = [F.struct(F.lit(x).alias("column_a"), F.lit(y).alias("column_b"), F.col(f"{a}/{b}").alias("r"))
-             for a, b in pairs for x, y in both(a, b)]
-    return one.select(F.inline(F.array(*cells))).withColumn("r", F.round(F.nanvl("r", F.lit(None).cast("double")), digits))
+    r = correlation(pair_moments(quantitative_base(t, form_factor), CORRELATED))
+    return r.select("column_a", "column_b", F.round("r", digits).alias("r"))
 
 
 def quantitative_distributions(t: Star, form_factor: str = "phone", bins: int = 20) -> DataFrame:

@@ -113,15 +113,9 @@ def price_residuals(t: Star, model: str = "full", form_factor: str = "phone") ->
     }
 
 
-def price_feature_selection(t: Star, form_factor: str = "phone") -> tuple[DataFrame, DataFrame]:
-    """The path of the search and the coefficients it ends with."""
+def price_feature_selection(t: Star, form_factor: str = "phone") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The path of the search, the overall row of the model it ends with, and that model's coefficients."""
     spark = t.Device.sparkSession
-    history, best = ols.forward_stepwise(model_base(t, form_factor), "price", *STEPWISE)
-    path = spark.createDataFrame(
-        [(s["step"], s["added"], s["formula"], s["adj_r_squared"], s["r_squared"], s["aic"], s["bic"],
-          s["n_predictors"]) for s in history],
-        "step int, added string, formula string, adj_r_squared double, r_squared double, aic double,"
-        "bic double, n_predictors int",
-    )
-    empty = ols.Fit("price ~", error="no candidate could improve adjusted R²")
-    return path, ols.coefficients(spark, best or empty)
+    found = ols.select_predictors(model_base(t, form_factor), "price", *STEPWISE)
+    final = found.final or ols.Fit("price ~", error="no predictor raises adjusted R-squared")
+    return spark.createDataFrame(found.path, ols.Selection.SHAPE), ols.summary(spark, final), ols.coefficients(spark, final)

@@ -1,8 +1,8 @@
-"""One-pass cross-product tables for correlation and least squares.
+"""Sums of products over complete rows, and the design matrices made from them.
 
-Rows are reduced to sums of products per null pattern and per pair of category
-levels. That table has a size fixed by the model, not by the data, and every
-model over any subset of the columns can be put together from it.
+Rows shrink to the sums a model needs (`tally`): products of the numeric columns, level
+totals and level-pair counts of the categories. The driver holds the model's own size and
+nothing that grows with rows or gaps.
 """
 
 from __future__ import annotations
@@ -14,66 +14,44 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import store
+from .tally import Table, gather, read
+
 
 @dataclass
 class Sums:
-    """Reduced rows: pattern bits, category levels (None = all), n, sums, products."""
+    """Sums over the rows complete in all columns; numeric values are centred on `shift`."""
 
     numeric: list[str]
     categorical: list[str]
     shift: np.ndarray
-    rows: list[tuple[int, tuple, frozenset, float, np.ndarray, np.ndarray]]
+    table: Table
+
+    @property
+    def n(self) -> int:
+        return round(float(self.table.gram[0, 0]))
 
-    def bit(self, col: str) -> int:
-        return 1 << (self.numeric + self.categorical).index(col)
 
-    def covering(self, cols) -> int:
-        return sum(self.bit(c) for c in cols)
+def centres(df: DataFrame, numeric: list[str], categorical: list[str] = ()) -> tuple[np.ndarray, dict[str, int]]:
+    """Means of the numeric columns (0 where nothing is known) and how often each column is known, in one pass."""
+    cols = [*numeric, *categorical]
+    mean = [F.avg(F.col(f"`{c}`").cast("double")).alias(f"m{i}") for i, c in enumerate(numeric)]
+    row = df.agg(*mean, *[F.count(f"`{c}`").alias(f"n{i}") for i, c in enumerate(cols)]).first()
+    return np.array([row[f"m{i}"] or 0.0 for i in range(len(numeric))]), {c: row[f"n{i}"] for i, c in enumerate(cols)}
 
 
-def collect_sums(df: DataFrame, numeric: list[str], categorical: list[str] = ()) -> Sums:
-    """Two passes: means to centre on, then all centred sums and products."""
+def collect_sums(df: DataFrame, numeric: list[str], categorical: list[str] = (), shift: np.ndarray | None = None) -> Sums:
+    """All sums over the rows complete in the columns; `shift` saves the pass for the means."""
     numeric, categorical = list(numeric), list(categorical)
-    base = df.select(*[F.col(c).cast("double").alias(c) for c in numeric], *categorical)
-    means = base.agg(*[F.avg(c).alias(c) for c in numeric]).first()
-    shift = np.array([means[c] if means[c] is not None else 0.0 for c in numeric])
-
-    pattern = sum((F.when(F.col(c).isNotNull(), F.lit(1 << i)).otherwise(F.lit(0))
-                   for i, c in enumerate(numeric + categorical)), F.lit(0))
-    cats = [f"__g{i}" for i in range(len(categorical))]
-    centred = base.select(
-        pattern.alias("__pattern"),
-        *[F.col(c).cast("string").alias(g) for g, c in zip(cats, categorical)],
-        *[F.coalesce(F.col(c) - F.lit(float(s)), F.lit(0.0)).alias(f"__x{i}")
-          for i, (c, s) in enumerate(zip(numeric, shift))],
-    )
-    k = len(numeric)
-    pairs = [(i, j) for i in range(k) for j in range(i, k)]
-    cells = centred.groupBy("__pattern", *cats).agg(
-        F.count("*").cast("double").alias("__n"),
-        *[F.sum(f"__x{i}").alias(f"__s{i}") for i in range(k)],
-        *[F.sum(F.col(f"__x{i}") * F.col(f"__x{j}")).alias(f"__p{i}_{j}") for i, j in pairs],
-    )
-    values = ["__n"] + [f"__s{i}" for i in range(k)] + [f"__p{i}_{j}" for i, j in pairs]
-    if cats:
-        # the design needs level and level-pair totals only, never full combinations
-        sets = [["__pattern", *c] for r in (0, 1, 2) for c in combinations(cats, r)]
-        bits = [(F.grouping(g) == 0).alias(f"{g}_on") for g in cats]
-        table = cells.groupingSets(sets, "__pattern", *cats).agg(
-            *[F.sum(v).alias(v) for v in values], *bits
-        )
-    else:
-        table = cells
-    rows = []
-    # rows: patterns of gaps times pairs of levels; one pattern where gaps were dropped before
-    for r in table.collect():
-        on = frozenset(i for i, g in enumerate(cats) if r[f"{g}_on"])
-        prod = np.zeros((k, k))
-        for i, j in pairs:
-            prod[i, j] = prod[j, i] = r[f"__p{i}_{j}"]
-        rows.append((r["__pattern"], tuple(r[g] for g in cats), on, r["__n"],
-                     np.array([r[f"__s{i}"] for i in range(k)]), prod))
-    return Sums(numeric, categorical, shift, rows)
+    whole = df.dropna(subset=[*numeric, *categorical])
+    if shift is None:
+        shift, _ = centres(whole, numeric)
+    width, cats = 1 + len(numeric), list(range(len(categorical)))
+    shapes = {0: (width, cats, list(combinations(cats, 2)))}
+    added = gather(whole, numeric, categorical, shift, lambda known, codes: iter([(0, slice(None), width - 1)]), shapes)
+    if categorical:
+        added = store(added, "sums")
+    return Sums(numeric, categorical, shift, read(added, 0, width))
 
 
 @dataclass
@@ -90,75 +68,39 @@ class Design:
 
 
 def design(sums: Sums, y: str, numeric: list[str], categorical: list[str] = ()) -> Design | None:
-    """Gram matrix over the rows complete in y and the given predictors.
+    """Gram matrix over the rows of the sums, for y and some or all of their columns.
 
     Categories use treatment coding with the alphabetically first level as base.
     """
-    need = sums.covering([y, *numeric, *categorical])
-    use = [r for r in sums.rows if r[0] & need == need]
-    at = {c: i for i, c in enumerate(sums.numeric)}
-    cat_at = {c: i for i, c in enumerate(sums.categorical)}
-    levels = {
-        c: sorted({r[1][cat_at[c]] for r in use if r[2] == {cat_at[c]}}) for c in categorical
-    }
-    names, dummy = ["Intercept"], {}
-    for c in categorical:
-        for level in levels[c][1:]:
-            dummy[(cat_at[c], level)] = len(names)
-            names.append(f"C({c})[T.{level}]")
-    first_num = len(names)
-    names += numeric
-    xi = [at[c] for c in numeric]
-    k, yi = len(names), at[y]
-    gram, xty, yty, n = np.zeros((k, k)), np.zeros(k), 0.0, 0.0
-    nums = slice(first_num, k)
-    for _, lv, on, cnt, s, p in use:
-        if not on:
-            n += cnt
-            yty += p[yi, yi]
-            gram[0, 0] += cnt
-            gram[0, nums] += s[xi]
-            gram[nums, nums] += p[np.ix_(xi, xi)]
-            xty[0] += s[yi]
-            xty[nums] += p[xi, yi]
-        elif len(on) == 1:
-            (c,) = on
-            d = dummy.get((c, lv[c]))
-            if d is not None:
-                gram[0, d] += cnt
-                gram[d, d] += cnt
-                gram[d, nums] += s[xi]
-                xty[d] += s[yi]
-        else:
-            a, b = sorted(on)
-            da, db = dummy.get((a, lv[a])), dummy.get((b, lv[b]))
-            if da is not None and db is not None:
-                gram[da, db] += cnt
-                gram[db, da] += cnt
+    t = sums.table
+    n = float(t.gram[0, 0])
     if n == 0:
         return None
+    at = {c: 1 + i for i, c in enumerate(sums.numeric)}
+    xi, yi = [at[c] for c in numeric], at[y]
+    names, first = ["Intercept"], {}
+    for c in categorical:
+        g = sums.categorical.index(c)
+        first[g] = len(names)
+        names += [f"C({c})[T.{level}]" for level in t.levels[g][0][1:]]
+    k = len(names) + len(numeric)
+    gram, xty = np.zeros((k, k)), np.zeros(k)
+    nums = slice(len(names), k)
+    gram[0, 0], gram[0, nums], gram[nums, nums] = n, t.gram[0, xi], t.gram[np.ix_(xi, xi)]
+    xty[0], xty[nums] = t.gram[0, yi], t.gram[xi, yi]
+    for g, start in first.items():
+        values = t.levels[g][1][1:]
+        block = np.arange(start, start + len(values))
+        gram[0, block] = gram[block, block] = values[:, 0]
+        gram[block, nums] = values[:, xi]
+        xty[block] = values[:, yi]
+    for (a, b), (i, j, count) in t.pairs.items():
+        if a in first and b in first:
+            there = (i > 0) & (j > 0)
+            gram[first[a] + i[there] - 1, first[b] + j[there] - 1] = count[there]
+            gram[first[b] + j[there] - 1, first[a] + i[there] - 1] = count[there]
     gram[1:, 0] = gram[0, 1:]
-    gram[nums, 1:first_num] = gram[1:first_num, nums].T
+    gram[nums, 1 : nums.start] = gram[1 : nums.start, nums].T
     shift = np.zeros(k)
-    shift[nums] = sums.shift[xi]
-    return Design(names, gram, xty, yty, n, float(sums.shift[yi]), shift)
-
-
-def pair_correlations(sums: Sums) -> dict[tuple[str, str], float | None]:
-    """Pearson r per column pair over the rows where both are known."""
-    out = {}
-    for a, i in ((c, n) for n, c in enumerate(sums.numeric)):
-        for b, j in ((c, n) for n, c in enumerate(sums.numeric)):
-            need = sums.bit(a) | sums.bit(b)
-            n = sa = sb = saa = sbb = sab = 0.0
-            for pattern, _, on, cnt, s, p in sums.rows:
-                if pattern & need == need and not on:
-                    n, sa, sb = n + cnt, sa + s[i], sb + s[j]
-                    saa, sbb, sab = saa + p[i, i], sbb + p[j, j], sab + p[i, j]
-            r = None
-            if n >= 2:
-                va, vb, cov = saa - sa * sa / n, sbb - sb * sb / n, sab - sa * sb / n
-                if va > 1e-12 * max(saa, 1e-300) and vb > 1e-12 * max(sbb, 1e-300):
-                    r = float(min(1.0, max(-1.0, cov / np.sqrt(va * vb))))
-            out[a, b] = r
-    return out
+    shift[nums] = sums.shift[[i - 1 for i in xi]]
+    return Design([*names, *numeric], gram, xty, float(t.gram[yi, yi]), n, float(sums.shift[yi - 1]), shift)

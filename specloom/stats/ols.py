@@ -13,7 +13,8 @@ from ..operators.ordered import every_kth
 from ..operators.ranking import hash_sample
 from ..session import ship_package
 from . import dist
-from .gram import Design, Sums, collect_sums, design
+from .gram import Design, Sums, centres, collect_sums, design
+from .sweep import Search
 
 
 def _finite(v) -> float | None:
@@ -111,17 +112,16 @@ def fit_ols(df: DataFrame, y: str, numeric: list[str], categorical: list[str] =
     """Empty predictors are dropped and reported, complete rows used, too few rows is an error."""
     numeric, categorical = list(numeric), list(categorical)
     used = df.select(y, *numeric, *categorical)
-    known = used.filter(F.col(y).isNotNull()).agg(*[F.count(c).alias(c) for c in numeric + categorical]).first()
+    mean, known = centres(used.filter(F.col(y).isNotNull()), [y, *numeric], categorical)
     num, cat = ([c for c in part if known[c]] for part in (numeric, categorical))
     dropped = [c for c in numeric + categorical if c not in num + cat]
     if not num and not cat:
         return Fit(formula(y, num, cat), dropped=dropped, error="no usable predictors for this form factor")
-    # complete rows only, so the sums have one pattern of gaps and the size of the model
-    sums = collect_sums(used.dropna(subset=[y, *num, *cat]), [y, *num], cat)
-    n = int(sum(r[3] for r in sums.rows if not r[2]))
-    if n < min_rows:
-        return Fit(formula(y, num, cat), n=n, dropped=dropped,
-                   error=f"only {n} rows after dropping gaps; need at least {min_rows}")
+    at = {c: m for c, m in zip([y, *numeric], mean, strict=True)}
+    sums = collect_sums(used, [y, *num], cat, np.array([at[c] for c in [y, *num]]))
+    if sums.n < min_rows:
+        return Fit(formula(y, num, cat), n=sums.n, dropped=dropped,
+                   error=f"only {sums.n} rows after dropping gaps; need at least {min_rows}")
     fit = solve(sums, y, num, cat)
     fit.dropped = dropped
     return fit
@@ -287,33 +287,32 @@ def cooks_top(res: DataFrame, fit: Fit, n: int = 10, ties: list[Column] = ()) ->
     return res.withColumn("cooks_d", cooks).orderBy(F.desc_nulls_last("cooks_d"), *ties).limit(n)
 
 
-def forward_stepwise(df: DataFrame, y: str, numeric: list[str], categorical: list[str]) -> tuple[list[dict], Fit | None]:
-    """Add the predictor with the best adjusted R-squared until none improves it.
-
-    Every candidate model is judged on its own complete rows. All of them come out
-    of one reduced table, so the search itself runs no further jobs.
-    """
-    sums = collect_sums(df, [y, *numeric], categorical)
-    candidates = [*numeric, *categorical]
-    chosen: list[str] = []
-    best, best_adj, history = None, -math.inf, []
-    while True:
-        step = None
-        for c in candidates:
-            if c in chosen:
-                continue
-            terms = [*chosen, c]
-            fit = solve(sums, y, [t for t in terms if t in numeric], [t for t in terms if t in categorical])
-            adj = fit.adj_r_squared
-            if fit.error is None and adj is not None and adj > best_adj:
-                step, best, best_adj = c, fit, adj
-        if step is None:
-            return history, best
-        chosen.append(step)
-        label = " + ".join(f"C({t})" if t in categorical else t for t in chosen)
-        history.append({
-            "step": len(chosen), "added": f"C({step})" if step in categorical else step,
-            "formula": f"{y} ~ {label}", "adj_r_squared": _finite(best.adj_r_squared),
-            "r_squared": _finite(best.r_squared), "aic": _finite(best.aic), "bic": _finite(best.bic),
-            "n_predictors": best.df_model,
-        })
+@dataclass
+class Selection:
+    """The search's path, one record a step, and the model it ends with (None: no step was taken)."""
+
+    path: list[tuple]
+    chosen: list[str]
+    final: Fit | None
+
+    #: Of a path record.
+    SHAPE = ("step int, added string, formula string, n long, adj_r_squared double, r_squared double, aic double, bic double,"
+             "n_predictors int")
+
+
+def select_predictors(df: DataFrame, y: str, numeric: list[str], categorical: list[str]) -> Selection:
+    """Forward selection by adjusted R-squared; every candidate model is judged on its own complete rows."""
+    search = Search(df, y, numeric, categorical)
+    term = lambda c: f"C({c})" if c in search.categorical else c
+    path = []
+    for added, score in search.steps():
+        path.append((
+            len(path) + 1, term(added), f"{y} ~ " + " + ".join(map(term, search.chosen)), score.n, _finite(score.adj_r_squared),
+            _finite(score.r_squared), _finite(score.information(2.0)), _finite(score.information(math.log(score.n))), score.rank - 1))
+    final = None
+    if path:
+        num, cat = ([c for c in part if c in search.chosen] for part in (search.numeric, search.categorical))
+        final = solve(collect_sums(search.rows, [y, *num], cat), y, num, cat)
+        final.formula = path[-1][2]
+    search.close()
+    return Selection(path, search.chosen, final)

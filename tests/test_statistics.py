@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from specloom.stats import dist, gram, hypothesis, ols
+from specloom.stats import dist, hypothesis, moments, ols, sweep
 
 
 def test_distribution_tails():
@@ -108,25 +108,131 @@ def test_ols_degenerate(spark, sample):
     assert [r.error for r in ols.summary(spark, ols.fit_ols(df, "y", ["empty"])).collect()] != [None]
 
 
-def test_stepwise(sample):
+def score(x, y):
+    """Adjusted R-squared, R-squared and rank of a dense design."""
+    beta, _, rank, _ = np.linalg.lstsq(x, y, rcond=1e-9)
+    left, off = y - x @ beta, y - y.mean()
+    r2 = 1 - left @ left / (off @ off)
+    return 1 - (1 - r2) * (len(y) - 1) / (len(y) - rank), r2, int(rank)
+
+
+def by_hand(frame, numeric, cats):
+    """Forward selection on dense designs, each on its own complete rows."""
+    chosen, path, best = [], [], -math.inf
+    while True:
+        tried = []
+        for c in [*numeric, *cats]:
+            if c in chosen:
+                continue
+            rows = frame.dropna(subset=["y", *chosen, c])
+            cols = [np.ones(len(rows))]
+            for v in [*chosen, c]:
+                cols += [rows[v] - rows[v].mean()] if v in numeric else [(rows[v] == lv).astype(float) for lv in sorted(rows[v].unique())[1:]]
+            if len(rows):
+                tried.append((c, len(rows), *score(np.column_stack(cols), rows["y"].to_numpy())))
+        tried = [t for t in tried if t[2] > best + sweep.ROUNDING]
+        if not tried:
+            return path
+        top = max(tried, key=lambda t: t[2])
+        best = top[2]
+        chosen.append(top[0])
+        path.append(top)
+
+
+def test_stepwise(spark, sample):
     df, rows = sample
-    history, best = ols.forward_stepwise(df, "y", ["a", "b"], ["g", "s"])
-    adj = [h["adj_r_squared"] for h in history]
-    assert history[0]["added"] == "a" and adj == sorted(adj)
+    found = ols.select_predictors(df, "y", ["a", "b"], ["g", "s"])
+    adj = [p[4] for p in found.path]
+    assert found.path[0][1] == "a" and adj == sorted(adj)
     x, y = design(rows, ["a"], [])
     beta, *_ = np.linalg.lstsq(x, y, rcond=None)
     rss = ((y - x @ beta) ** 2).sum()
     n = len(y)
     aic = n * math.log(2 * math.pi) + n * math.log(rss / n) + n + 2 * 2
-    assert history[0]["aic"] == pytest.approx(aic) and best is not None
+    assert found.path[0][6] == pytest.approx(aic)
+    whole = ols.fit_ols(df, "y", [c for c in ("a", "b") if c in found.chosen], [c for c in ("g", "s") if c in found.chosen])
+    assert found.final.n == whole.n == found.path[-1][3] and found.final.r_squared == pytest.approx(found.path[-1][5], rel=1e-9)
+    np.testing.assert_allclose(found.final.coef, whole.coef, rtol=1e-8)
+    assert ols.summary(spark, found.final).first().formula == found.path[-1][2]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_stepwise_of_gapped_columns_and_many_levels(spark, seed):
+    """Gaps in every column, from few to nearly all; copies and sums of columns; categories with many and nested levels."""
+    import pandas as pd
+
+    rng = np.random.default_rng(seed)
+    n = 900
+    data = {f"x{i}": rng.normal(100 * i, 1 + i, n) for i in range(7)}
+    data["copy"] = data["x1"] * 3 + 5
+    g = rng.integers(0, 60, n)
+    data |= {"many": [f"m{v:02d}" for v in g], "nested": [f"k{v % 7}" for v in g], "few": rng.choice(["u", "v", "w"], n)}
+    data["y"] = 1000 + 2 * data["x1"] - data["x4"] + np.array([rng.normal() * 3 for _ in range(60)])[g] + 4 * (data["few"] == "v") + rng.normal(0, 2, n)
+    frame = pd.DataFrame(data)
+    for k, (c, share) in enumerate(zip(["x0", "x1", "x2", "x3", "x5", "many", "few", "y"], [0.1, 0.3, 0.7, 0.97, 0.02, 0.2, 0.6, 0.05], strict=True)):
+        frame.loc[np.random.default_rng([seed, k]).random(n) < share, c] = None
+    frame["empty"] = None
+    numeric, cats = [*(f"x{i}" for i in range(7)), "copy", "empty"], ["many", "nested", "few"]
+    frame = frame[["y", *numeric, *cats]].astype({c: float for c in ["y", *numeric]})
+    rows = [tuple(None if pd.isna(v) else v for v in r) for r in frame.itertuples(index=False)]
+    df = spark.createDataFrame(rows, ", ".join([f"{c} double" for c in ["y", *numeric]] + [f"{c} string" for c in cats]))
+    want = by_hand(frame.dropna(axis=1, how="all"), [c for c in numeric if c != "empty"], cats)
+    found = ols.select_predictors(df, "y", numeric, cats)
+    assert [(p[1].removeprefix("C(").rstrip(")"), p[3], p[8]) for p in found.path] == [(c, n, rank - 1) for c, n, _, _, rank in want]
+    np.testing.assert_allclose([p[4] for p in found.path], [w[2] for w in want], rtol=1e-8)
+    np.testing.assert_allclose([p[5] for p in found.path], [w[3] for w in want], rtol=1e-8)
+
+
+def test_stepwise_without_a_step(spark):
+    nothing = spark.createDataFrame([], "y double, a double, g string")
+    assert ols.select_predictors(nothing, "y", ["a"], ["g"]) == ols.Selection([], [], None)
+    flat = spark.createDataFrame([(1.0, 2.0, "p"), (1.0, 3.0, "q")], "y double, a double, g string")
+    assert ols.select_predictors(flat, "y", ["a"], ["g"]).path == []
+
+
+def test_sweep_leaves_what_is_beyond():
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(50, 5))
+    x = np.c_[x, x[:, 0] + x[:, 1]]
+    a = x.T @ x
+    left, rank = sweep.sweep(a, np.array([0, 1, 5]), np.sqrt(np.diag(a)))
+    beyond = x[:, 2:5] - x[:, :2] @ np.linalg.lstsq(x[:, :2], x[:, 2:5], rcond=None)[0]
+    assert rank == 2
+    np.testing.assert_allclose(left, beyond.T @ beyond, atol=1e-10)
 
 
 def test_pairwise_correlation(sample):
     df, rows = sample
-    r = gram.pair_correlations(gram.collect_sums(df.withColumn("c", F.lit(1.0)), ["y", "a", "b", "c"]))
+    wide = df.withColumn("c", F.lit(1.0)).withColumn("e", F.lit(None).cast("double"))
+    r = {(q.column_a, q.column_b): (q.n, q.r) for q in moments.correlation(moments.pair_moments(wide, ["y", "a", "b", "c", "e"])).collect()}
     full = [(q[0], q[2]) for q in rows if q[2] is not None]
-    assert r["y", "b"] == pytest.approx(np.corrcoef(np.array(full).T)[0, 1])
-    assert r["a", "c"] is None and r["a", "a"] == pytest.approx(1.0)
+    assert len(r) == 25
+    assert r["y", "b"][0] == len(full) and r["y", "b"][1] == pytest.approx(np.corrcoef(np.array(full).T)[0, 1])
+    assert r["a", "c"][1] is None and r["a", "a"][1] == pytest.approx(1.0) and r["a", "e"] == (0, None)
+
+
+def test_moments_of_gapped_columns(spark):
+    """Every pair over its own rows, values far from zero, a column constant where the other is known, many partitions."""
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(500, 6)) * [1, 1e-3, 1e6, 5, 1, 1] + [1e9, 5, 0, -3, 7, 0]
+    x[:, 1] += x[:, 3] * 1e-3
+    x[rng.random(x.shape) < [0.0, 0.3, 0.5, 0.9, 0.1, 0.2]] = np.nan
+    x[~np.isnan(x[:, 3]), 4] = 0.1  # constant beside column 3
+    cols = [f"v {i}" for i in range(6)]
+    df = spark.createDataFrame([tuple(None if np.isnan(v) else float(v) for v in row) for row in x], ", ".join(f"`{c}` double" for c in cols)).repartition(7)
+    got = {(q.column_a, q.column_b): q for q in moments.pair_moments(df, cols).collect()}
+    r = {(q.column_a, q.column_b): q.r for q in moments.correlation(moments.pair_moments(df, cols)).collect()}
+    for i in range(6):
+        for j in range(6):
+            both = x[~np.isnan(x[:, i]) & ~np.isnan(x[:, j])]
+            a, b, q = both[:, i] - both[:, i].mean(), both[:, j] - both[:, j].mean(), got[cols[i], cols[j]]
+            assert q.n == len(both) and q.mean_a == pytest.approx(both[:, i].mean(), rel=1e-14)
+            assert q.m2_a == pytest.approx(a @ a, rel=1e-6, abs=1e-12) and q.cross == pytest.approx(a @ b, rel=1e-6, abs=1e-6 * math.sqrt(a @ a * (b @ b)) + 1e-12)
+            if {i, j} == {3, 4}:
+                assert r[cols[i], cols[j]] is None
+            else:
+                assert r[cols[i], cols[j]] == pytest.approx(np.corrcoef(both[:, i], both[:, j])[0, 1], abs=1e-6)
+    assert {q.n for q in moments.pair_moments(df.limit(0), cols).collect()} == {0}
 
 
 def rss(x, y):
