@@ -352,6 +352,52 @@ def _(i):
     return quality.fallthrough_values(plan.audit_frame(i.raw_pages), ["Body_Dimensions"], "height")
 
 
+def _spaced(c: str) -> str:
+    return c.replace(" ", "_").lower()
+
+
+# Every audited column in SQL: what its raw text comes to.
+_AUDIT = {
+    "Number of main cameras": CAMERAS, "Number of selfie cameras": SELFIES, "Highest_maincam_res": _mp(MAIN),
+    "Highest_selfiecam_res": _mp(SELFIE), **{a: _dim(a) for a in AXES}, "weight": dbl(rx("body_weight", N)), "Battery_capacity": MAH,
+    "SIM_type": SIM_TYPE, "SIM_count": SIM_COUNT, "Display_Size_Inch": SIZE["inch"], "Display_Size_Cm": SIZE["cm2"],
+    "Screen_To_Body_Ratio": SIZE["screen_to_body"], "Resolution_Pixels": RES["pixels"], "Resolution_Ratio": RES["ratio"],
+    "PPI_Density": RES["ppi"], "base_os": BASE_OS, "OS_Version": OS_VERSION, "Chipset_Manufacturer": MAKER, "CPU_Core_Count": CORES,
+    "Sensors": "features_sensors",
+}
+_NUMBERS = {*AXES, "weight", "Battery_capacity", "Display_Size_Inch", "Display_Size_Cm", "Screen_To_Body_Ratio", "PPI_Density",
+            "CPU_Core_Count", "Number of main cameras", "Number of selfie cameras", "Sensors"}
+
+
+def _audited(c: str) -> tuple[str, str, str]:
+    """Raw text there, raw text that came to nothing, and the text, in SQL."""
+    raw = [_spaced(r) for r in plan.AUDITED[c]]
+    there = "(" + " OR ".join(f"{r} IS NOT NULL" for r in raw) + ")"
+    gone = f"v IS NULL{'' if c in _NUMBERS else " OR lower(trim(v)) IN ('', 'nan', 'unknown', 'none')"}"
+    return there, f"({there} AND ({gone}))", " || ' | ' || ".join(f"COALESCE({r}, '')" for r in raw)
+
+
+@query("audit_all_counts", raw_ctes() + " UNION ALL ".join(
+    f"SELECT '{c}' AS col, COUNT(*) AS row_count, COUNT(*) FILTER (WHERE {_audited(c)[0]}) AS raw_present, "
+    f"COUNT(*) FILTER (WHERE {_audited(c)[1]}) AS fall_through FROM (SELECT *, {e} AS v FROM raw) q" for c, e in _AUDIT.items()))
+def _(i):
+    return plan.audit_all(i.raw_pages).counts
+
+
+@query("audit_all_values", raw_ctes() + " UNION ALL ".join(
+    f"(SELECT '{c}' AS col, {_audited(c)[2]} AS raw, COUNT(*) AS n FROM (SELECT *, {e} AS v FROM raw) q WHERE {_audited(c)[1]} "
+    f"GROUP BY 2 ORDER BY n DESC, raw LIMIT 20)" for c, e in _AUDIT.items()))
+def _(i):
+    return plan.audit_all(i.raw_pages).values
+
+
+@query("audit_flags", raw_ctes() + " UNION ALL ".join(
+    f"SELECT '{g}' AS col, {v} AS value, COUNT(*) FILTER (WHERE network_{g.lower()}_bands IS {'NOT ' if v else ''}NULL) AS n FROM raw"
+    for g in plan.FLAGS for v in (0, 1)))
+def _(i):
+    return plan.audit_all(i.raw_pages).flags
+
+
 _CLEANED = {
     "cameras": CAMERAS, "selfies": SELFIES, "main_mp": _mp(MAIN), "weight": dbl(rx("body_weight", N)), "length": _dim("length"),
     "volume": _dim("volume"), "mah": MAH, "sim_type": SIM_TYPE, "sim_count": SIM_COUNT, "inch": SIZE["inch"],

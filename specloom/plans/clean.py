@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import functions as fn
+from ..operators import audit
+from ..operators.audit import Audit
 from ..operators.impute import impute_cascade
 from ..operators.reshape import conform, drop_required, expand_configs, override_price
 from ..schemas import RAW_DROPPED_COLUMNS, RAW_SCHEMA
@@ -31,8 +33,9 @@ AUDITED = {
     "Resolution_Pixels": ["Display_Resolution"], "Resolution_Ratio": ["Display_Resolution"],
     "PPI_Density": ["Display_Resolution"],
     "base_os": ["Platform_OS"], "OS_Version": ["Platform_OS"],
-    "Chipset_Manufacturer": ["Platform_Chipset"], "CPU_Core_Count": ["Platform_CPU"],
+    "Chipset_Manufacturer": ["Platform_Chipset"], "CPU_Core_Count": ["Platform_CPU"], "Sensors": ["Features_Sensors"],
 }
+FLAGS = ["2G", "3G", "4G", "5G"]
 
 
 def _raw(name: str) -> Column:
@@ -79,6 +82,11 @@ def audit_frame(raw: DataFrame) -> DataFrame:
     return conform(raw, RAW_SCHEMA).withColumns(cleaned_columns())
 
 
+def audit_all(raw: DataFrame, top: int = 20) -> Audit:
+    """L11 over every audited column: counts, most frequent lost texts, and how the network flags are spread."""
+    return audit.audit_all(audit_frame(raw), AUDITED, FLAGS, top)
+
+
 def clean(raw: DataFrame, prices: DataFrame | None = None, impute: bool = True) -> DataFrame:
     """The whole chain. Expansion comes before pricing, brand spelling before imputation.
 

@@ -251,3 +251,32 @@ def test_incremental_load_equals_one_load(spark, tmp_path):
         facts.append(sorted(map(str, device.join(named, "device_name_id").drop("device_name_id").collect())))
     assert facts[0] == facts[1] and facts[0]
     assert filled_prices(spark, two).count() == len(facts[1])
+
+
+@pytest.mark.parametrize("listed,tracked", [(200, 10_000), (30, 64), (25, 32)])
+def test_audit_of_skewed_and_even_texts(spark, listed, tracked):
+    """One hot text, many texts of one row each, equal counts, several raw columns, nothing lost: all as a full count gives them."""
+    import random
+    from collections import Counter
+
+    from specloom.operators.audit import audit_all
+
+    rng = random.Random(listed)
+    rows = []
+    for k in range(3000):
+        a = rng.choice([None, "hot", "hot", "hot", f"rare {k}", f"mid {k % 40}"])
+        b = rng.choice([None, f"only {k}"])
+        c = rng.choice([None, "x"])
+        rows.append((a, b, c, None if rng.random() < 0.8 else "ok", rng.choice([" Unknown ", "fine"]), 1.0, rng.choice([0, 1])))
+    df = spark.createDataFrame(rows, "`raw a` string, b string, c string, `clean a` string, both string, kept double, flag int").repartition(6)
+    columns = {"clean a": ["raw a"], "both": ["b", "c"], "kept": ["c"]}
+    got = audit_all(df, columns, ["flag"], top=20, listed=listed, tracked=tracked)
+    lost = {"clean a": Counter(r[0] for r in rows if r[0] is not None and r[3] is None),
+            "both": Counter(f"{r[1] or ''} | {r[2] or ''}" for r in rows if (r[1] or r[2]) and r[4] == " Unknown "), "kept": Counter()}
+    there = {"clean a": sum(r[0] is not None for r in rows), "both": sum(bool(r[1] or r[2]) for r in rows), "kept": sum(r[2] is not None for r in rows)}
+    assert {tuple(r) for r in got.counts.collect()} == {(c, 3000, there[c], sum(lost[c].values())) for c in columns}
+    want = {(c, t, n) for c in columns for t, n in sorted(lost[c].items(), key=lambda p: (-p[1], p[0]))[:20]}
+    assert {tuple(r) for r in got.values.collect()} == want
+    assert {tuple(r) for r in got.flags.collect()} == {("flag", v, sum(r[6] == v for r in rows)) for v in (0, 1)}
+    empty = audit_all(df.limit(0), columns, ["flag"])
+    assert empty.values.count() == 0 and {tuple(r) for r in empty.counts.collect()} == {(c, 0, 0, 0) for c in columns}
