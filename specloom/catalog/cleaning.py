@@ -443,7 +443,7 @@ _SOURCE = """CASE WHEN c.price IS NOT NULL THEN 'original' WHEN m.v IS NOT NULL
     SELECT part_id, c.brand, model, c.year, storage, ram, {sig_sql(_FILLED, 12)} AS price, status, pixels,
            {", ".join(_CLEANED)} FROM chain{_JOINED}""")
 def _(i):
-    rows = plan.clean(i.raw_pages, i.prices.orderBy("seq").select("Model", "Configuration", "Price"))
+    rows = plan.clean(i.raw_pages, i.prices)
     return rows.select(
         "part_id", "brand", "model", "year", C("Storage").alias("storage"), C("RAM").alias("ram"),
         sig(C("Price_EUR"), 12).alias("price"), C("Launch_Status").alias("status"), C("Resolution_Pixels").alias("pixels"),
@@ -487,7 +487,7 @@ STAGED = ("staged", f"""SELECT part_id, regexp_replace(trim(brand), '\\s+', ' ',
 @query("stage", raw_ctes(PIECES, EXPANDED, LISTED, PRICED, CHAIN, STAGED) + """
     SELECT * REPLACE (round(price_eur, 6) AS price_eur) FROM staged""")
 def _(i):
-    rows = plan.clean(i.raw_pages, i.prices.orderBy("seq").select("Model", "Configuration", "Price"), impute=False)
+    rows = plan.clean(i.raw_pages, i.prices, impute=False)
     return load.stage(rows).select(
         "part_id", "brand", "model", "year", "sim_type", "sim_count", "main_cameras_num", "highest_maincam_res",
         "display_size_inch", "resolution_pixels", "os_name", "os_version", "chipset_manufacturer", "cpu_core_count",

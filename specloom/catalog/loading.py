@@ -67,7 +67,7 @@ def _(i):
     SELECT display_size_inch, resolution_pixels, COUNT(*) AS n FROM d
     GROUP BY 1, 2""")
 def _(i):
-    rows = load.stage(plan.clean(i.raw_pages, i.prices.select("Model", "Configuration", "Price"), impute=False))
+    rows = load.stage(plan.clean(i.raw_pages, i.prices, impute=False))
     helpers = joins.key_columns(rows, ["display_size_inch", "resolution_pixels"])
     grouped = rows.withColumns(helpers).groupBy(*helpers).agg(
         F.first("display_size_inch").alias("display_size_inch"), F.first("resolution_pixels").alias("resolution_pixels"),
@@ -119,8 +119,7 @@ def _(i):
 
 
 def _load(i: Inputs, target: str, times: int = 1):
-    prices = i.prices.select("Model", "Configuration", "Price")
-    staged = load.stage(plan.clean(i.raw_pages, prices, impute=False))
+    staged = load.stage(plan.clean(i.raw_pages, i.prices, impute=False))
     staged = store(staged.withColumnRenamed("part_id", "at"), "staged")
     for _run in range(times):
         load.load_star(i.spark, target, staged, "at")
@@ -149,6 +148,25 @@ def _(i):
     return out
 
 
+@query("load_star_devices", _COUNTS + """
+    SELECT DISTINCT name_key, CASE WHEN os_name IS NOT NULL OR os_version IS NOT NULL THEN os_key END AS os_key,
+        CASE WHEN chipset_manufacturer IS NOT NULL AND cpu_core_count IS NOT NULL AND internal_storage_gb IS NOT NULL
+             AND ram_gb IS NOT NULL THEN platform_key END AS platform_key,
+        CASE WHEN sim_count IS NOT NULL AND sim_type IS NOT NULL THEN sim_count || '/' || sim_type END AS sim_key,
+        year, battery_capacity_mah, launch_status, weight, round(price_eur, 6) AS price_eur FROM t""")
+def _(i):
+    target = scratch_path(i.spark, "star-load")
+    _load(i, target, times=2)
+    rows = load.open_target(i.spark, target, "Device")
+    for table, fk, name in (("Device_Name", "device_name_id", "name_key"), ("OS", "os_id", "os_key"),
+                            ("Platform", "platform_id", "platform_key"), ("Sim", "sim_id", "sim_key")):
+        dim = load.open_target(i.spark, target, table)
+        key = F.concat_ws("/", *joins.key_columns(dim, UNIQUE_KEYS[table]).values())
+        rows = rows.join(dim.select(C("id").alias(fk), key.alias(name)), fk, "left")
+    return rows.select("name_key", "os_key", "platform_key", "sim_key", "year", "battery_capacity_mah", "launch_status", "weight",
+                       F.round("price_eur", 6).alias("price_eur")).distinct()
+
+
 @query("load_star_integrity")
 def _(i):
     target = scratch_path(i.spark, "star-load")
@@ -232,7 +250,7 @@ def _(i):
 def _(i):
     src, target, ckpt = (scratch_path(i.spark, k) for k in ("raw-in", "raw-star", "raw-ckpt"))
     pages = i.raw_pages.drop("part_id")
-    prices = store(i.prices.select("Model", "Configuration", "Price"), "prices")
+    prices = store(i.prices, "prices")
     for half in (0, 1):
         part = i.raw_pages.filter(C("part_id") % 2 == half).select(*[f"`{c}`" for c in pages.columns])
         part.write.mode("append").parquet(src)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..plans import adhoc, questions
 from .inputs import star_ctes
-from .registry import query
+from .registry import query, sig, sig_sql
 
 B = "Brand#7"
 N = "Device d JOIN Device_Name dn ON dn.id = d.device_name_id"
@@ -128,10 +128,32 @@ def _(i):
     return adhoc.categorised(_scores(i)).select("qid", "category")
 
 
-@query("scorecard", "SELECT 7 AS n, 5 AS guard_passed, 4 AS executed, 3 AS result_correct")
+@query("scorecard", f"""SELECT 7 AS n, 5 AS guard_passed, 4 AS executed, 3 AS result_correct, {sig_sql('500.0e0 / 7')} AS guard_passed_pct,
+    {sig_sql('400.0e0 / 7')} AS executed_pct, {sig_sql('300.0e0 / 7')} AS result_correct_pct""")
 def _(i):
     out = adhoc.scorecard(_scores(i))
-    return out.select(*[F.col(c).cast("int").alias(c) for c in out.columns])
+    return out.select(*[(sig(F.col(c)) if c.endswith("_pct") else F.col(c).cast("int")).alias(c) for c in out.columns])
+
+
+_YEARLY = "SELECT year, form_factor, COUNT(*) AS n, MAX(price_eur) AS dearest FROM Device GROUP BY year, form_factor"
+
+
+@query("adhoc_time_limited", star_ctes() + _YEARLY)
+def _(i):
+    i.star.register()
+    rows, _cut = adhoc.run_readonly(i.spark, _YEARLY, seconds=600)
+    return i.spark.createDataFrame(rows, "year int, form_factor string, n long, dearest double")
+
+
+@query("adhoc_preview", star_ctes(("v", f"SELECT year, form_factor, n, ROW_NUMBER() OVER (ORDER BY year, form_factor) AS at FROM ({_YEARLY}) q"),
+                                  ("l", "SELECT at, '| ' || year || ' | ' || form_factor || ' | ' || n || ' |' AS line FROM v WHERE at <= 4")) + """
+    SELECT '| year | form_factor | n |' || chr(10) || '|---|---|---|' || chr(10) || string_agg(line, chr(10) ORDER BY at)
+           || chr(10) || chr(10) || '…' || ((SELECT COUNT(*) FROM v) - 4) || ' more row(s) not shown.' || chr(10) || chr(10)
+           || '(returned ' || (SELECT COUNT(*) FROM v) || ' row(s))' AS shown FROM l""")
+def _(i):
+    i.star.register()
+    rows = adhoc.guarded(i.spark, f"SELECT year, form_factor, n FROM ({_YEARLY}) ORDER BY year, form_factor")
+    return i.spark.createDataFrame([(adhoc.preview(rows, 4),)], "shown string")
 
 
 def _scores(i):

@@ -191,10 +191,10 @@ def _(i):
 
 
 @query("order_by_many", """
-    SELECT p_brand, p_size, p_partkey FROM part ORDER BY p_brand DESC, p_size, p_partkey LIMIT 100""")
+    SELECT p_brand, p_size, p_partkey, ROW_NUMBER() OVER (ORDER BY p_brand DESC, p_size, p_partkey) - 1 AS position FROM part""")
 def _(i):
-    return i.table("part").select("p_brand", "p_size", "p_partkey").orderBy(
-        F.desc("p_brand"), F.asc("p_size"), F.asc("p_partkey")).limit(100)
+    rows = i.table("part").select("p_brand", "p_size", "p_partkey")
+    return sets.with_position(rows.orderBy(F.desc("p_brand"), F.asc("p_size"), F.asc("p_partkey")))
 
 
 @query("first_per_key", """

@@ -125,7 +125,7 @@ for _name, _spec in hypothesis.TESTS.items():
 
     @query(f"ht_{_name}")
     def _(i, _name=_name):
-        return hypothesis.run_test(i.star, _name)
+        return hypothesis.run_test(i.star, _name)[0]
 
     if _spec.kind == "one_way":
         _f = _spec.factors[0]

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.text import MISSING_KEY
 from ..functions import (
     clean_text, first_int, first_number, form_factor, max_number, memory_gb, row_signature, sensor_list,
 )
@@ -88,9 +89,11 @@ def assign_ids(df: DataFrame, keys: list[str], start: int = 0, id_col: str = "id
     The digest's first digits cut the rows into even buckets whatever the keys look
     like, so numbering needs no single-task sort and gives the same ids every time.
     Keys must be unique. A bucket holds some 100,000 rows, at most 16**6 buckets are cut;
-    ids follow the digest, so they do not depend on the number of buckets.
+    ids follow the digest, so they do not depend on the number of buckets. Without
+    `hex_digits` the rows are stored first: they are counted and then read twice.
     """
     if hex_digits is None:
+        df = store(df, "numbered")
         hex_digits = min(6, max(1, math.ceil(math.log(max(df.count(), 1) / 100_000 + 1, 16))))
     digest = F.md5(F.concat_ws("|", *key_columns(df, keys).values()))
     cut = df.withColumn("__digest", digest).withColumn("__bucket", F.substring("__digest", 1, hex_digits))
@@ -135,12 +138,21 @@ def fact_rows(staged: DataFrame, star: Star) -> DataFrame:
 
     Only the key texts and the fact's own columns travel through the joins. Repeated
     rows end up with equal signatures, so they need no wide comparison before.
+
+    No dimension has a row for a key without any part (or with a part missing, where all are
+    needed). Such rows, often a large share, get a key that stands for nothing and differs by
+    their other columns: they spread over all tasks and come out with a NULL id, as they must.
     """
     keys = {}
     for fk, table in FOREIGN_KEYS.items():
         names = STAGED_AS.get(table, {})
         keys[fk] = key_columns(staged, [names.get(k, k) for k in UNIQUE_KEYS[table]], f"__{fk}_")
     own = [c for c in SIGNATURE_COLUMNS if c not in FOREIGN_KEYS]
+    for fk, table in FOREIGN_KEYS.items():
+        gone = [c == MISSING_KEY for c in keys[fk].values()]
+        hopeless = F.greatest(*gone) if table in NEEDS_ALL_KEYS else F.least(*gone) if len(gone) > 1 else gone[0]
+        nothing = F.concat(F.lit("\u0000"), F.xxhash64(*own).cast("string"))  # key texts are trimmed: none begins so
+        keys[fk] = {k: F.when(hopeless, nothing).otherwise(c) for k, c in keys[fk].items()}
     rows = staged.select(*own, *[c.alias(k) for parts in keys.values() for k, c in parts.items()])
     for fk, table in FOREIGN_KEYS.items():
         side = lookup_side(getattr(star, table), UNIQUE_KEYS[table], fk, f"__{fk}_")

@@ -106,13 +106,12 @@ def expand_configs(df: DataFrame, col: str = "Memory_Internal", storage="Storage
 
 
 def override_price(df: DataFrame, prices: DataFrame, price: str = "Misc_Price", model: str = "model",
-                   storage: str = "Storage", ram: str = "RAM", ordinal: str | None = None) -> DataFrame:
-    """A price listed for (model, configuration) replaces the raw one; the last listed wins."""
-    order = F.col(ordinal) if ordinal else F.monotonically_increasing_id()
+                   storage: str = "Storage", ram: str = "RAM", *, ordinal: str) -> DataFrame:
+    """A price listed for (model, configuration) replaces the raw one; the last by `ordinal` wins."""
     listed = (
         prices.select(
             F.col("Model").alias(model), F.col("Configuration").alias("__config"),
-            F.col("Price").alias("__listed"), order.alias("__at"),
+            F.col("Price").alias("__listed"), F.col(ordinal).alias("__at"),
         )
         .groupBy(model, "__config")
         .agg(F.max_by("__listed", "__at").alias("__listed"), F.lit(True).alias("__hit"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import comparable
@@ -33,13 +33,10 @@ def with_position(df: DataFrame, name: str = "position") -> DataFrame:
     place = F.monotonically_increasing_id()
     low = (1 << 33) - 1
     frozen = settle(df.withColumn("__part", F.spark_partition_id()).withColumn("__at", place.bitwiseAND(F.lit(low))))
-    sizes = frozen.groupBy("__part").agg(F.count("*").alias("n")).orderBy("__part").collect()
-    offset, pairs = 0, []
-    for row in sizes:
-        pairs += [F.lit(row["__part"]), F.lit(offset)]
-        offset += row["n"]
-    start = F.element_at(F.create_map(*pairs), F.col("__part")) if pairs else F.lit(0)
-    return frozen.withColumn(name, (start + F.col("__at")).cast("long")).drop("__part", "__at")
+    sizes = frozen.groupBy("__part").agg(F.count("*").alias("__n"))
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__offset"))
+    return frozen.join(offsets, "__part").withColumn(name, (F.col("__offset") + F.col("__at")).cast("long")).drop("__part", "__at", "__offset")
 
 
 def _normalised(df: DataFrame, cols: list[str]) -> DataFrame:

@@ -145,6 +145,7 @@ def categorised(scores: DataFrame) -> DataFrame:
 
 
 def scorecard(scores: DataFrame) -> DataFrame:
-    """Totals over all questions."""
+    """Totals over all questions, and the share of each in percent (0 without questions)."""
     flags = ("guard_passed", "executed", "result_correct")
-    return scores.agg(F.count("*").alias("n"), *[F.count_if(F.col(c)).alias(c) for c in flags])
+    total = scores.agg(F.count("*").alias("n"), *[F.count_if(F.col(c)).alias(c) for c in flags])
+    return total.withColumns({f"{c}_pct": F.col(c) * 100.0 / F.greatest("n", F.lit(1)) for c in flags})

@@ -87,8 +87,8 @@ def audit_all(raw: DataFrame, top: int = 20) -> Audit:
     return audit.audit_all(audit_frame(raw), AUDITED, FLAGS, top)
 
 
-def clean(raw: DataFrame, prices: DataFrame | None = None, impute: bool = True) -> DataFrame:
-    """The whole chain. Expansion comes before pricing, brand spelling before imputation.
+def clean(raw: DataFrame, prices: DataFrame | None = None, impute: bool = True, price_order: str = "seq") -> DataFrame:
+    """The whole chain. Of several listed prices the last by the column `price_order` counts. Expansion comes before pricing, brand spelling before imputation.
 
     The year filter is applied first: it reads one raw column, so dropped products
     cost no further rule.
@@ -97,7 +97,7 @@ def clean(raw: DataFrame, prices: DataFrame | None = None, impute: bool = True)
     kept = conform(raw, RAW_SCHEMA).withColumn("year", year).filter(F.col("year") > AFTER_YEAR)
     rows = expand_configs(kept, "Memory_Internal").withColumns(cleaned_columns())
     if prices is not None:
-        rows = override_price(rows, prices)
+        rows = override_price(rows, prices, ordinal=price_order)
     rows = rows.withColumn("Price_EUR", fn.price_eur(F.col("Misc_Price")))
     rows = drop_required(rows, RAW_DROPPED_COLUMNS)
     rows = rows.withColumns({

@@ -12,6 +12,7 @@ from ..operators.aggregates import group_summary
 from ..operators.filters import form_filter
 from ..operators.joins import join_dim, keep_groups
 from ..schemas import Star
+from ..session import store
 from ..stats import hypothesis as h
 from .analytics import top_brands
 
@@ -123,16 +124,19 @@ def _claims(spec: Spec) -> tuple[str, str, str]:
     return about, f"mean {spec.value} is equal for all levels of {by}", f"mean {spec.value} differs for some level of {by}"
 
 
-def run_test(t: Star, name: str, form_factor: str = "phone", alpha: float = 0.05) -> DataFrame:
-    """One row with the question, test, statistic, p-values, decision, table of effects and groups."""
+def run_test(t: Star, name: str, form_factor: str = "phone", alpha: float = 0.05) -> tuple[DataFrame, DataFrame]:
+    """One row with the question, test, statistic, p-values, decision and table of effects; and the groups.
+
+    The star is joined once: all statistics read the stored rows of the test.
+    """
     spec = TESTS[name]
     effects, got = [], {}
+    rows = store(test_rows(t, name, form_factor), "test-rows")
     if spec.kind == "two_sample":
-        rows = test_rows(t, name, form_factor)
         got = h.two_sample(rows, spec.value, spec.factors[0], *spec.levels)
         test, statistic, p = got["test"], got["statistic"], got["p_value"]
     else:
-        effects = h.anova(test_rows(t, name, form_factor), spec.value, list(spec.factors))
+        effects = h.anova(rows, spec.value, list(spec.factors))
         first = effects[0] if effects else {"F": None, "p_value": None}
         test = "one-way ANOVA" if spec.kind == "one_way" else "two-way ANOVA"
         statistic, p = first["F"], first["p_value"]
@@ -144,5 +148,4 @@ def run_test(t: Star, name: str, form_factor: str = "phone", alpha: float = 0.05
         "p_value double, alpha double, decision string, conclusion string, shapiro_p_a double, shapiro_p_b double,"
         "effects array<struct<factor: string, sum_sq: double, df: double, f: double, p_value: double>>",
     )
-    groups = test_groups(t, name, form_factor)  # a row for each group of the tested levels
-    return one.join(groups.agg(F.sort_array(F.collect_list(F.struct(*groups.columns))).alias("groups")))
+    return one, group_summary(rows, list(spec.factors), spec.value)

@@ -85,7 +85,8 @@ def price_model(t: Star, kind: str, form_factor: str = "phone") -> tuple[DataFra
 def price_residuals(t: Star, model: str = "full", form_factor: str = "phone") -> dict:
     """All residual diagnostics of a price model. Frames stay lazy, numbers are final.
 
-    The star is joined once: the model's rows are stored, and so are their residuals.
+    The star is joined once: the model's rows are stored, and so are their residuals, whose
+    moments and outliers are observed while they are written.
     Rows carry the device id, which draws the sample and names the influential ones.
     """
     if model not in ("specs", "full"):
@@ -96,11 +97,9 @@ def price_residuals(t: Star, model: str = "full", form_factor: str = "phone") ->
     fit = ols.fit_ols(base, "price", numeric, categorical)
     if fit.error:
         return {"error": fit.error, "model": model, "dropped_predictors": fit.dropped, "n": fit.n}
-    res = store(ols.residual_frame(base, fit, ["id"]), "residuals")
-    moments = ols.residual_moments(res).first()
+    res, moments = ols.stored_residuals(base, fit, ["id"])
     std = ols.standardised(res, moments)
     ties = [F.asc("id")]
-    outliers = std.filter(F.abs("standardized") > 3).count()
     return {
         "model": model, "formula": fit.formula, "dropped_predictors": fit.dropped,
         "r_squared": fit.r_squared, "adj_r_squared": fit.adj_r_squared,
@@ -109,7 +108,7 @@ def price_residuals(t: Star, model: str = "full", form_factor: str = "phone") ->
         "breusch_pagan": ols.breusch_pagan(res, fit), "jarque_bera": ols.jarque_bera(moments),
         "vif": spark.createDataFrame(ols.vif(fit), "predictor string, vif double"),
         "top_cooks_d": ols.cooks_top(res, fit, ties=ties).select("id", "cooks_d", "fitted", "residual"),
-        "n_outliers_z3": outliers,
+        "n_outliers_z3": moments["n_outliers"],
     }
 
 

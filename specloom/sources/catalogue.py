@@ -20,9 +20,10 @@ def read_catalogue_json(spark: SparkSession, path: str, lines: bool = False) ->
     """Brand > model > section > field > text, as (brand, model, details) rows.
 
     One JSON document per file, many files in parallel. Large catalogues should
-    come with lines=True, one document (for example one brand) per line.
+    come with lines=True, one document (for example one brand) per line. A broken
+    document stops the read instead of going missing.
     """
-    doc = F.from_json("value", CATALOGUE_TYPE)
+    doc = F.from_json("value", CATALOGUE_TYPE, {"mode": "FAILFAST"})
     return (
         _documents(spark, path, lines)
         .select(F.explode(doc).alias("brand", "models"))

@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.joins import keep_groups
 from ..operators.ordered import ranked_value_counts
-from ..session import ship_package
+from ..session import ship_package, store
 from . import dist
 
 SHAPIRO_ROWS = 5000
@@ -165,21 +167,6 @@ def anova_one_way_ss(df: DataFrame, y: str, factor: str) -> DataFrame:
     )
 
 
-def _rss(cells, columns) -> tuple[float, int]:
-    """Residual sum of squares and rank of a model over cell means."""
-    n = np.array([c["n"] for c in cells], float)
-    mean = np.array([c["mean"] for c in cells], float)
-    x = np.column_stack(columns) * np.sqrt(n)[:, None]
-    z = mean * np.sqrt(n)
-    beta, _, rank, _ = np.linalg.lstsq(x, z, rcond=1e-12)
-    left = z - x @ beta
-    return float(left @ left), int(rank)
-
-
-def _coded(levels, values):
-    return [np.array([v == lv for v in values], float) for lv in levels[1:]]
-
-
 def anova(df: DataFrame, y: str, factors: list[str]) -> list[dict]:
     """H07 (one factor) and H08 (two factors with interaction), type II.
 
@@ -189,32 +176,78 @@ def anova(df: DataFrame, y: str, factors: list[str]) -> list[dict]:
     """
     if len(factors) == 1:
         return _one_way(anova_one_way_ss(df, y, factors[0]).first(), factors[0])
-    cells = anova_cells(df, y, factors).collect()  # one row per pair of factor levels
-    if not cells:
+    return _two_way(df, y, factors)
+
+
+def _levels(cells: DataFrame, factor: str) -> DataFrame:
+    """(level, n, t) of one factor: rows and sum of the centred response."""
+    return cells.groupBy(F.col(factor).alias("level")).agg(F.sum("n").alias("n"), F.sum("t").alias("t"))
+
+
+def _beyond(cells: DataFrame, large: str, small: str, levels: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Normal equations of the smaller factor with the larger one swept out (its Schur complement), without the diagonal.
+
+    A level of the larger factor is one row with at most as many cells as the smaller one has levels.
+    """
+    k, at = len(levels), {v: i for i, v in enumerate(levels)}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((k, k + 1))
+        for batch in batches:
+            for start in range(0, batch.num_rows, 500):
+                part = batch.column("cells").slice(start, 500)
+                row = np.repeat(np.arange(len(part)), part.value_lengths().to_numpy())
+                held = part.flatten()
+                j = np.array([at[v] for v in held.field("level").to_pylist()], np.int64)
+                n = np.zeros((len(part), k))
+                n[row, j] = held.field("n").to_numpy()
+                t = np.bincount(row, held.field("t").to_numpy(), len(part))
+                total -= (n / n.sum(1, keepdims=True)).T @ np.c_[n, t]
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(k)), pa.array(total.tolist(), pa.list_(pa.float64()))], ["i", "parts"])
+
+    ship_package(cells.sparkSession)
+    wide = cells.groupBy(large).agg(F.collect_list(F.struct(F.col(small).alias("level"), "n", "t")).alias("cells")).select("cells")
+    added = wide.mapInArrow(run, "i long, parts array<double>").select("i", F.posexplode("parts").alias("j", "v")).groupBy("i", "j").agg(F.sum("v").alias("v"))
+    out = np.zeros((k, k + 1))
+    for r in added.collect():  # the smaller factor's levels squared
+        out[r["i"], r["j"]] = r["v"]
+    return out[:, :k], out[:, k]
+
+
+def _two_way(df: DataFrame, y: str, factors: list[str]) -> list[dict]:
+    """Only totals and the smaller factor's equations reach the driver, however many levels the larger one has."""
+    cells = anova_cells(df.select(F.col(y).cast("double").alias(y), *[F.col(f).cast("string").alias(f) for f in factors]), y, factors)
+    cells = store(cells, "cells")
+    # centred, so that the fits do not cancel large numbers
+    grand = cells.agg((F.sum(F.col("n") * F.col("mean")) / F.sum("n")).alias("g")).first()["g"]
+    if grand is None:
         return []
-    levels = [sorted({c[f] for c in cells}) for f in factors]
-    if min(len(lv) for lv in levels) < 2:
+    cells = cells.withColumn("t", F.col("n") * (F.col("mean") - F.lit(grand)))
+    whole = cells.agg(F.count("*").alias("cells"), F.sum("n").alias("n"), F.sum("ss_within").alias("within"), F.sum(F.col("t") * F.col("t") / F.col("n")).alias("between")).first()
+    one = {f: _levels(cells, f).agg(F.count("*").alias("levels"), F.sum(F.col("t") * F.col("t") / F.col("n")).alias("explained")).first() for f in factors}
+    if min(r["levels"] for r in one.values()) < 2:
         return []
-    # centre the cell means, so that the fits do not cancel large numbers
-    total_n = sum(c["n"] for c in cells)
-    centre = sum(c["n"] * c["mean"] for c in cells) / total_n
-    cells = [{**c.asDict(), "mean": c["mean"] - centre} for c in cells]
-    within = sum(c["ss_within"] for c in cells)
-    one = [np.ones(len(cells))]
-    main = [_coded(lv, [c[f] for c in cells]) for f, lv in zip(factors, levels)]
-    a, b = main
-    both = one + a + b
-    lack, rank_both = _rss(cells, both)
-    steps = [(f"C({factors[0]})", _rss(cells, one + b)), (f"C({factors[1]})", _rss(cells, one + a))]
-    # every non-empty cell has its own mean in the model with interaction: no design matrix for it
-    full_rank, full_rss = len(cells), within
-    df_resid = total_n - full_rank
+    df_resid = whole["n"] - whole["cells"]
     if df_resid <= 0:
         return []
-    mse = full_rss / df_resid
-    out = [_effect(name, max(rss - lack, 0.0), rank_both - rank, mse, df_resid) for name, (rss, rank) in steps]
-    out.append(_effect(f"C({factors[0]}):C({factors[1]})", max(lack, 0.0), full_rank - rank_both, mse, df_resid))
-    out.append({"factor": "Residual", "sum_sq": full_rss, "df": float(df_resid), "F": None, "p_value": None})
+    small, large = sorted(factors, key=lambda f: one[f]["levels"])
+    totals = _levels(cells, small).orderBy("level").collect()  # the smaller factor's levels
+    gram, right = _beyond(cells, large, small, [r["level"] for r in totals])
+    gram += np.diag([float(r["n"]) for r in totals])
+    right += np.array([r["t"] for r in totals])
+    scale = np.sqrt([float(r["n"]) for r in totals])
+    values, vectors = np.linalg.eigh(gram / np.outer(scale, scale))
+    real = values > 1e-11
+    root = (vectors[:, real] / np.sqrt(values[real])).T / scale
+    gain = float(((root @ right) ** 2).sum())  # what the smaller factor explains beyond the larger one
+    rank_both = one[large]["levels"] + int(real.sum())
+    lack = max(whole["between"] - one[large]["explained"] - gain, 0.0)
+    mse = whole["within"] / df_resid
+    # type II: a factor's sum is what it explains beyond the other one
+    beyond = {small: gain, large: one[large]["explained"] + gain - one[small]["explained"]}
+    out = [_effect(f"C({f})", max(beyond[f], 0.0), rank_both - one[other]["levels"], mse, df_resid) for f, other in (factors, factors[::-1])]
+    out.append(_effect(f"C({factors[0]}):C({factors[1]})", lack, whole["cells"] - rank_both, mse, df_resid))
+    out.append({"factor": "Residual", "sum_sq": whole["within"], "df": float(df_resid), "F": None, "p_value": None})
     return out
 
 

@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.ordered import every_kth
 from ..operators.ranking import hash_sample
-from ..session import ship_package
+from ..session import ship_package, store
 from . import dist
 from .gram import Design, Sums, centres, collect_sums, design
 from .sweep import Search
@@ -153,63 +156,68 @@ def summary(spark, fit: Fit) -> DataFrame:
     )
 
 
-def _row_vector(fit: Fit) -> list[Column]:
-    """The design row of a record in centred coordinates, as column expressions."""
-    cols = []
-    for name, s in zip(fit.names, fit.design.shift):
-        if name == "Intercept":
-            cols.append(F.lit(1.0))
-        elif name.startswith("C("):
-            col, level = name[2:].split(")[T.", 1)
-            cols.append((F.col(col).cast("string") == level[:-1]).cast("double"))
-        else:
-            cols.append(F.col(name).cast("double") - F.lit(float(s)))
-    return cols
-
-
-def _linear(weights, vector: list[Column]) -> Column:
-    terms = [F.lit(float(w)) * x for w, x in zip(weights, vector)]
-    return sum(terms[1:], terms[0])
-
-
 def residual_frame(df: DataFrame, fit: Fit, key: list[str] = ()) -> DataFrame:
-    """Fitted value, residual and leverage for each complete row.
+    """Fitted value, residual and leverage for each complete row, in one narrow pass.
 
-    Coefficients enter as literals, so this is one narrow pass. Leverage is
-    x'(X'X)^+x as an expression; with category dummies it goes through an array so
-    that the expression grows with k, not with k squared.
+    With (X'X)^+ = R'R the leverage is the squared length of R x: per Arrow batch one
+    product of the rows with R, to which each level of a category adds its column.
     """
     d = fit.design
     used = [fit.y, *fit.numeric, *fit.categorical]
     rows = df.select(*key, *[c for c in used if c not in key]).dropna(subset=used)
-    beta = fit.inverse @ d.xty
-    # (X'X)^+ = R'R, so leverage is the squared length of R x
-    root = _root(d.gram)
-    x = F.col("__x")
-    dot = lambda w: F.aggregate(
-        F.zip_with(x, w, lambda a, b: a * b), F.lit(0.0), lambda acc, v: acc + v
-    )
-    length = F.aggregate(
-        F.transform(F.array(*[F.array(*[F.lit(float(v)) for v in r]) for r in root]), dot),
-        F.lit(0.0), lambda acc, v: acc + v * v,
-    )
-    fitted = F.lit(d.y_shift) + _linear(beta, _row_vector(fit))
-    return (
-        rows.withColumn("fitted", fitted)
-        .withColumn("residual", F.col(fit.y) - F.col("fitted"))
-        .withColumn("__x", F.array(*_row_vector(fit)))
-        .withColumn("leverage", length)
-        .drop("__x")
-    )
+    beta, root = fit.inverse @ d.xty, _root(d.gram)
+    place = {name: i for i, name in enumerate(fit.names)}
+    numeric = [(c, place[c], float(d.shift[place[c]])) for c in fit.numeric]
+    dummies = {c: {n[len(f"C({c})[T."):-1]: i for n, i in place.items() if n.startswith(f"C({c})[T.")} for c in fit.categorical}
+    start, y = d.y_shift + float(beta[0]), fit.y
+    names = [*rows.columns, "fitted", "residual", "leverage"]
+    ship_package(df.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = lambda batch, c: batch.column(c).cast(pa.float64()).to_numpy(zero_copy_only=False)
+        for batch in batches:
+            fitted, half = np.full(batch.num_rows, start), np.tile(root[:, 0], (batch.num_rows, 1))
+            for c, j, shift in numeric:
+                x = number(batch, c) - shift
+                fitted += beta[j] * x
+                half += np.outer(x, root[:, j])
+            for c, levels in dummies.items():
+                coded = batch.column(c).cast(pa.string()).dictionary_encode()
+                j = np.array([levels.get(v, -1) for v in coded.dictionary.to_pylist()], np.int64)[coded.indices.to_numpy(zero_copy_only=False)]
+                there = j >= 0  # the base level adds nothing
+                fitted[there] += beta[j[there]]
+                half[there] += root[:, j[there]].T
+            leverage = np.einsum("ij,ij->i", half, half)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(fitted), pa.array(number(batch, y) - fitted), pa.array(leverage)], names)
+
+    shape = T.StructType([*rows.schema.fields, *(T.StructField(c, T.DoubleType()) for c in names[-3:])])
+    return rows.mapInArrow(run, shape)
+
+
+def _moments() -> list[Column]:
+    return [
+        F.count("residual").alias("n"), F.avg("residual").alias("mean_residual"),
+        F.stddev_samp("residual").alias("std_residual"), F.stddev_pop("residual").alias("pop_std"),
+        F.skewness("residual").alias("skew"), (F.kurtosis("residual") + 3.0).alias("kurtosis"),
+    ]
 
 
 def residual_moments(res: DataFrame) -> DataFrame:
     """N, mean, deviations, skew and (non-excess) kurtosis of the residuals."""
-    return res.agg(
-        F.count("residual").alias("n"), F.avg("residual").alias("mean_residual"),
-        F.stddev_samp("residual").alias("std_residual"), F.stddev_pop("residual").alias("pop_std"),
-        F.skewness("residual").alias("skew"), (F.kurtosis("residual") + 3.0).alias("kurtosis"),
-    )
+    return res.agg(*_moments())
+
+
+def stored_residuals(df: DataFrame, fit: Fit, key: list[str] = (), outlier: float = 3.0) -> tuple[DataFrame, dict]:
+    """Residuals written once, and what was observed on the way: their moments and the number of outliers.
+
+    Residuals of a model with an intercept have mean 0 and deviation sqrt(rss / n), both
+    known from the fit, so outliers are counted in the pass that writes them.
+    """
+    seen = Observation("residuals")
+    spread = math.sqrt(fit.rss / fit.n) if fit.n else 0.0
+    far = F.count_if(F.abs("residual") > F.lit(outlier * spread)) if spread > 0 else F.count_if(F.lit(False))
+    res = store(residual_frame(df, fit, key).observe(seen, *_moments(), far.alias("n_outliers")), "residuals")
+    return res, seen.get
 
 
 def standardised(res: DataFrame, moments) -> DataFrame:

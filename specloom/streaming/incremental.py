@@ -53,7 +53,7 @@ def incremental_append(spark: SparkSession, src: str, target: str, checkpoint: s
 
 
 def incremental_load(spark: SparkSession, src: str, target: str, checkpoint: str, prices: DataFrame | None = None,
-                     fmt: str = "csv", files_per_batch: int | None = None) -> None:
+                     fmt: str = "csv", files_per_batch: int | None = None, price_order: str = "seq") -> None:
     """New raw files through the cleaning chain into the star tables, then stop.
 
     Prices stay as found: a filled price would depend on what else is in the micro-batch,
@@ -61,7 +61,7 @@ def incremental_load(spark: SparkSession, src: str, target: str, checkpoint: str
     """
 
     def each(batch: DataFrame, _: int) -> None:
-        staged = stage(clean(batch, prices, impute=False)).withColumn("__at", F.monotonically_increasing_id())
+        staged = stage(clean(batch, prices, impute=False, price_order=price_order)).withColumn("__at", F.monotonically_increasing_id())
         load_star(batch.sparkSession, target, store(staged), "__at")
 
     _drain(_stream(spark, src, RAW_SCHEMA, fmt, files_per_batch), each, checkpoint)

@@ -34,7 +34,10 @@ def raw_frame(spark):
 
 def test_clean_chain(spark):
     prices = spark.createDataFrame([("iPhone 15", "256GB 8GB RAM", "$ 1,089.00")], PRICE_SCHEMA)
-    out = clean.clean(raw_frame(spark), prices)
+    with pytest.raises(Exception, match="seq"):  # which of two listed prices is the last must be said
+        clean.clean(raw_frame(spark), prices).collect()
+    listed = prices.selectExpr("*", "2 AS seq").unionByName(prices.selectExpr("Model", "Configuration", "'$ 5.00' AS Price", "1 AS seq"))
+    out = clean.clean(raw_frame(spark), listed)
     got = {(r.model, r.Storage): r for r in out.collect()}
     assert set(got) == {("iPhone 15", "128GB"), ("iPhone 15", "256GB"), ("Galaxy S24", "256GB"), ("Galaxy S24", "1TB")}
     assert got["iPhone 15", "128GB"].Price_EUR == 800.0
@@ -77,6 +80,8 @@ def test_catalogue_and_price_json(spark, tmp_path):
     assert catalogue.read_price_json(spark, str(tmp_path / "absent.json")).count() == 0
     (tmp_path / "bad.json").write_text("{not json")
     assert catalogue.read_price_json(spark, str(tmp_path / "bad.json")).count() == 0
+    with pytest.raises(Exception, match="(?i)malformed"):
+        catalogue.read_catalogue_json(spark, str(tmp_path / "bad.json")).collect()
 
 
 def price_table(rows):

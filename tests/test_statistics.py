@@ -255,6 +255,57 @@ def test_two_way_anova_type_two(sample):
     assert (got["C(g)"]["df"], got["C(g):C(s)"]["df"]) == (2.0, 2.0)
 
 
+@pytest.mark.parametrize("order", [("big", "few"), ("few", "big")])
+def test_two_way_anova_with_many_levels_and_empty_cells(spark, order):
+    rng = np.random.default_rng(6)
+    n = 900
+    big, few = rng.integers(0, 120, n), rng.choice([0, 1, 2, 3, 4], n, p=[0.5, 0.3, 0.1, 0.07, 0.03])
+    few[big >= 110] = 4  # levels that occur together only
+    y = 1e6 + rng.normal(size=120)[big] + 0.5 * few + rng.normal(size=n)
+    df = spark.createDataFrame([(float(v), f"b{b}", int(f)) for v, b, f in zip(y, big, few)], "y double, big string, few int")
+    got = {r["factor"]: r for r in hypothesis.anova(df, "y", list(order))}
+    dummy = lambda v: (v[:, None] == np.unique(v)).astype(float)
+    both = np.column_stack([dummy(big), dummy(few)])
+    cell = dummy(big * 10 + few)
+    c = y - y.mean()
+    full, rank = rss(cell, c), np.linalg.matrix_rank(both)
+    assert got["C(big)"]["sum_sq"] == pytest.approx(rss(dummy(few), c) - rss(both, c), rel=1e-8)
+    assert got["C(few)"]["sum_sq"] == pytest.approx(rss(dummy(big), c) - rss(both, c), rel=1e-8)
+    assert got["C(big):C(few)" if order[0] == "big" else "C(few):C(big)"]["sum_sq"] == pytest.approx(rss(both, c) - full, rel=1e-8)
+    assert got["Residual"]["sum_sq"] == pytest.approx(full) and got["Residual"]["df"] == n - cell.shape[1]
+    assert (got["C(big)"]["df"], got["C(few)"]["df"]) == (rank - 5, rank - len(np.unique(big)))
+
+
+def test_rank_sums_without_a_table(monkeypatch):
+    """The inverted generating function against all probabilities, and its memory against a lopsided pair of sizes."""
+    import tracemalloc
+
+    for a, b in ((1, 9), (2, 5), (2, 6), (3, 4), (3, 7), (5, 4), (6, 6), (3, 50), (8, 9)):
+        for u in np.arange(0, a * b + 1.5, 0.5):
+            assert abs(dist.rank_sum_exact_sf(u, a, b) - dist.rank_sum_inverted_sf(u, a, b)) < 1e-12
+    tracemalloc.start()
+    far = dist.rank_sum_exact_sf(8 * 10**8 * 0.6, 8, 10**8)
+    assert tracemalloc.get_traced_memory()[1] < 200e6
+    tracemalloc.stop()
+    n = 8 * 10**8
+    normal = dist.normal_sf((0.6 * n - n / 2) / math.sqrt(n * (10**8 + 9) / 12))
+    assert far == pytest.approx(normal, abs=5e-3)
+    monkeypatch.setattr(dist, "TABLE", 1 << 30)
+    for a, b in ((3, 40_000), (8, 30_000)):
+        assert abs(dist.rank_sum_exact_sf(0.7 * a * b, a, b) - dist.rank_sum_inverted_sf(0.7 * a * b, a, b)) < 1e-12
+
+
+def test_residuals_are_observed_as_they_are_written(sample):
+    df, _rows = sample
+    fit = ols.fit_ols(df, "y", ["a", "b"], ["g", "s"])
+    res, seen = ols.stored_residuals(df, fit, outlier=1.5)
+    moments_ = ols.residual_moments(res).first()
+    assert all(seen[c] == pytest.approx(moments_[c], abs=1e-9) for c in ("n", "mean_residual", "std_residual", "pop_std", "skew", "kurtosis"))
+    std = ols.standardised(res, seen)
+    assert seen["n_outliers"] == std.filter(F.abs("standardized") > 1.5).count() > 0
+    assert res.agg(F.sum("leverage")).first()[0] == pytest.approx(fit.df_model + 1)
+
+
 def test_one_way_anova_two_levels_is_t_squared(sample):
     df, rows = sample
     table = hypothesis.anova(df, "y", ["s"])
