@@ -6,11 +6,16 @@ sum of their coordinates' minima, so a tree of point boxes prunes whole branches
 minima of box maxima against the overlap that the similarity asks for. Surviving pairs are
 verified on the sets.
 
+Before its set is sent, a pair is compared on parts: the hashes below a limit, all of a small
+set and a quarter of a large one, in four bytes each. If even the whole rest in common would
+not be enough, the pair goes. Tasks of blocks do this at once, so they send on few pairs that
+are not links.
+
 Trees are built per block. A block is a shingle that several sets hold among their first
 n - ceil(s*n) + 1 in one global order, where similar sets must meet; shingles of very many
-sets come last in that order, so common passages make no blocks. First every set of a block
-is compared with the block's smallest, which joins large groups of near copies with one
-pair a set. Then trees find all remaining pairs across components; a block larger than
+sets come last in that order, so common passages make no blocks. First every set is
+compared with the set that is the smallest of most of its blocks, which joins large groups of
+near copies with one pair a set, and then with the other smallest ones that are still apart. Then trees find all remaining pairs across components; a block larger than
 `CHUNK` is cut into chunks, and only its sets outside the first one's component go to all
 of them. So no link that joins components is lost and no group is paired out.
 
@@ -49,7 +54,11 @@ COMMON = 500_000
 Runs = Callable[[W.Bytes, int], tuple[np.ndarray, np.ndarray]]
 _TOKEN = np.dtype([("key", np.uint64), ("count", np.int64)])
 _MEMBER = np.dtype([("key", np.uint64), ("node", np.int64), ("size", np.int32)])
-_POINT = np.dtype([("key", np.uint64), ("node", np.int64), ("comp", np.int64), ("size", np.int32), ("asks", np.int8), ("counts", np.uint32, GROUPS)])
+_POINT = np.dtype([("key", np.uint64), ("node", np.int64), ("comp", np.int64), ("size", np.int32), ("asks", np.int8), ("counts", np.uint16, GROUPS)])
+#: A count that may stand for a larger one.
+FULL = 0xFFFF
+#: Points that a map task holds before it sends them on.
+BLOCK = 100_000
 
 
 def word_runs(texts: W.Bytes, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -87,6 +96,56 @@ def _prefix(values: np.ndarray, begin: np.ndarray, size: np.ndarray, percent: fl
     return values[keep], text[keep]
 
 
+def part_limit(size: np.ndarray) -> np.ndarray:
+    """High halves of hashes below this make a set's part: all of a small set, a quarter of a large one."""
+    return np.uint64(1 << 32) >> np.searchsorted([96, 192], size).astype(np.uint64)
+
+
+def parts_of(values: np.ndarray, begin: np.ndarray, size: np.ndarray) -> list[bytes]:
+    """The high halves of each set's first hashes, up to its limit; they rise within a set."""
+    high = values >> np.uint64(32)
+    text = np.repeat(np.arange(len(size)), size)
+    upto = begin[:-1] + np.bincount(text[high < part_limit(size)[text]], minlength=len(size))
+    held = high.astype(np.uint32).tobytes()
+    return [held[4 * a : 4 * b] for a, b in zip(begin[:-1].tolist(), upto.tolist(), strict=True)]
+
+
+class Parts:
+    """Parts of many sets, joined."""
+
+    def __init__(self, held: list[bytes]):
+        self.n = np.array([len(p) // 4 for p in held], np.int64)
+        self.begin = np.cumsum(self.n) - self.n
+        self.flat = np.frombuffer(b"".join(held), np.uint32)
+
+    def can_be_near(self, x: np.ndarray, y: np.ndarray, sizes: np.ndarray, percent: float) -> np.ndarray:
+        """Which pairs of sets (by place) can be similar: what lies outside their common part may all be shared.
+
+        Halves of hashes may be equal by chance, which lets a pair pass, no more.
+        """
+        out = np.zeros(len(x), bool)
+        limit = part_limit(sizes)
+        weight = np.cumsum(self.n[x] + self.n[y])
+        start = 0
+        while start < len(x):
+            end = max(start + 1, int(np.searchsorted(weight, (weight[start - 1] if start else 0) + 2_000_000, "right")))
+            a, b = x[start:end], y[start:end]
+            least = np.minimum(limit[a], limit[b])
+            joined, rest = [], []
+            for side in (a, b):
+                n = self.n[side]
+                who = np.repeat(np.arange(len(side)), n)
+                value = self.flat[self.begin[side][who] + np.arange(len(who)) - (np.cumsum(n) - n)[who]]
+                used = value < least[who]
+                joined.append(who[used].astype(np.uint64) << np.uint64(32) | value[used])
+                rest.append(sizes[side] - np.bincount(who[used], minlength=len(side)))
+            both = np.sort(np.concatenate(joined))
+            shared = np.bincount((both[1:][both[1:] == both[:-1]] >> np.uint64(32)).astype(np.int64), minlength=len(a))
+            out[start:end] = _enough(shared + np.minimum(*rest), sizes[a] + sizes[b], percent)
+            start = end
+        return out
+
+
 def pack_counts(counts: np.ndarray) -> list[bytes]:
     """Each set's group counts in two bytes a group, or four where one needs them."""
     wide = counts.max(1, initial=0) > 0xFFFF
@@ -101,14 +160,16 @@ def unpack_counts(held: list[bytes]) -> np.ndarray:
 
 
 def _nodes(batches: Iterator[pa.RecordBatch], width: int, runs: Runs) -> Iterator[pa.RecordBatch]:
-    """Each row's set size, node and group counts."""
+    """Each row's set size, node, group counts and part."""
     for batch in batches:
         for rows, texts in W.slices(batch, "text"):
-            values, _, size, node = sets(texts, width, runs)
+            values, begin, size, node = sets(texts, width, runs)
             text = np.repeat(np.arange(texts.count), size)
             group = (W.mix(values) >> np.uint64(32)).astype(np.int64) % GROUPS
             cut = pack_counts(np.bincount(text * GROUPS + group, minlength=texts.count * GROUPS).reshape(-1, GROUPS))
-            yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array(size.astype(np.int64)), pa.array(node), pa.array(cut, pa.binary())], ["doc_id", "size", "node", "counts"])
+            yield pa.RecordBatch.from_arrays(
+                [rows.column("doc_id"), pa.array(size.astype(np.int64)), pa.array(node), pa.array(cut, pa.binary()), pa.array(parts_of(values, begin, size), pa.binary())],
+                ["doc_id", "size", "node", "counts", "part"])
 
 
 def _prefix_counts(batches: Iterator[pa.RecordBatch], width: int, percent: float, count: int, runs: Runs) -> Iterator[pa.RecordBatch]:
@@ -182,11 +243,15 @@ def _enough(overlap: np.ndarray, sizes: np.ndarray, percent: float) -> np.ndarra
 
 
 def _filter(batches: Iterator[pa.RecordBatch], percent: float) -> Iterator[pa.RecordBatch]:
-    """Pairs that the summed coordinate minima let pass."""
+    """Pairs that the summed coordinate minima and their parts let pass."""
     for batch in batches:
         points = [unpack_counts(batch.column(c).to_pylist()) for c in ("pa", "pb")]
-        sizes = batch.column("na").to_numpy().astype(np.int64) + batch.column("nb").to_numpy()
-        keep = pa.array(_enough(np.minimum(*points).sum(1, dtype=np.int64), sizes, percent))
+        sizes = [batch.column(c).to_numpy().astype(np.int64) for c in ("na", "nb")]
+        good = _enough(np.minimum(*points).sum(1, dtype=np.int64), sizes[0] + sizes[1], percent)
+        at = np.flatnonzero(good)
+        parts = Parts([*batch.column("qa").take(pa.array(at)).to_pylist(), *batch.column("qb").take(pa.array(at)).to_pylist()])
+        good[at] = parts.can_be_near(np.arange(len(at)), np.arange(len(at)) + len(at), np.r_[sizes[0][at], sizes[1][at]], percent)
+        keep = pa.array(good)
         yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], ["a", "b"])
 
 
@@ -228,30 +293,34 @@ class RTree:
     def __init__(self, points: np.ndarray):
         self.points = points[np.lexsort((*points["counts"].T[:3], points["size"]))]
         counts, size, comp = fold(self.points["counts"]), self.points["size"].astype(np.int64), self.points["comp"]
-        self.levels = [(counts, size, size, comp, comp)]
+        # two full counts at one place bound nothing: such pairs pass
+        full = (self.points["counts"] == FULL).any(1)
+        self.levels = [(counts, size, size, comp, comp, full)]
         while len(self.levels[-1][0]) > 1:
-            high, small, large, low_c, high_c = self.levels[-1]
+            high, small, large, low_c, high_c, full = self.levels[-1]
             cut = np.arange(0, len(high), FANOUT)
-            self.levels.append((np.maximum.reduceat(high, cut), np.minimum.reduceat(small, cut), np.maximum.reduceat(large, cut), np.minimum.reduceat(low_c, cut), np.maximum.reduceat(high_c, cut)))
+            self.levels.append((np.maximum.reduceat(high, cut), np.minimum.reduceat(small, cut), np.maximum.reduceat(large, cut),
+                                np.minimum.reduceat(low_c, cut), np.maximum.reduceat(high_c, cut), np.logical_or.reduceat(full, cut)))
 
     def pairs(self, asks: np.ndarray, percent: float) -> tuple[np.ndarray, np.ndarray]:
         """(point of `asks`, point of the tree) in different components whose bound is enough."""
         query = np.arange(len(asks))
         box = np.zeros(len(asks), np.int64)
         counts, size, comp = fold(asks["counts"]), asks["size"].astype(np.int64), asks["comp"]
+        own_full = (asks["counts"] == FULL).any(1)
         for depth in range(len(self.levels) - 1, -1, -1):
-            high, small, large, low_c, high_c = self.levels[depth]
+            high, small, large, low_c, high_c, full = self.levels[depth]
             kept = []
             for s in range(0, len(query), 16384):
                 q, b = query[s : s + 16384], box[s : s + 16384]
                 good = ~((low_c[b] == comp[q]) & (high_c[b] == comp[q]))
                 good &= (100 * large[b] >= percent * size[q]) & (100 * size[q] >= percent * small[b])
                 q, b = q[good], b[good]
-                good = _enough(np.minimum(high[b], counts[q]).sum(1), small[b] + size[q], percent)
+                good = _enough(np.minimum(high[b], counts[q]).sum(1), small[b] + size[q], percent) | (full[b] & own_full[q])
                 q, b = q[good], b[good]
                 if not depth:  # single points: all groups
                     fine = np.minimum(self.points["counts"][b], asks["counts"][q]).sum(1, dtype=np.int64)
-                    good = _enough(fine, small[b] + size[q], percent)
+                    good = _enough(fine, small[b] + size[q], percent) | (full[b] & own_full[q])
                     q, b = q[good], b[good]
                 kept.append((q, b))
             query, box = (np.concatenate([k[i] for k in kept]) if kept else query[:0] for i in (0, 1))
@@ -264,21 +333,69 @@ class RTree:
 
 
 def _points(batches: Iterator[pa.RecordBatch], count: int) -> Iterator[pa.RecordBatch]:
-    packer = P.Packer(_POINT, count)
+    """Packed points of each bucket, and the parts of the sets among them."""
+    held, parts = [], {}
+
+    def flush() -> Iterator[pa.RecordBatch]:
+        rows = np.concatenate(held)
+        bucket = (W.mix(rows["key"]) % np.uint64(count)).astype(np.int32)
+        order = np.lexsort((rows["key"], bucket))
+        rows, bucket = rows[order], bucket[order]
+        first, size = P.runs(bucket)
+        packed, sent = [], []
+        for at, n in zip(first.tolist(), size.tolist(), strict=True):
+            nodes = np.unique(rows["node"][at : at + n])
+            own = [parts[v] for v in nodes.tolist()]
+            packed.append(P.squeeze(rows[at : at + n]))
+            sent.append(np.int64(len(nodes)).tobytes() + nodes.tobytes() + np.array([len(p) for p in own], np.int64).tobytes() + b"".join(own))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(bucket[first]), pa.array(size.astype(np.int32)), pa.array(packed, pa.binary()), pa.array(sent, pa.binary())], ["bucket", "n", "packed", "parts"])
+
     for batch in batches:
         column = lambda c: batch.column(c).to_numpy(zero_copy_only=False)
-        key = W.mix(column("token").view(np.uint64) + column("chunk").astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-        counts = unpack_counts(batch.column("counts").to_pylist())
-        yield from packer.add(key, column("node"), column("comp"), column("size"), column("asks"), counts)
-    yield from packer.flush()
+        rows = np.empty(batch.num_rows, _POINT)
+        rows["key"] = W.mix(column("token").view(np.uint64) + column("chunk").astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+        for c in ("node", "comp", "size", "asks"):
+            rows[c] = column(c)
+        rows["counts"] = np.minimum(unpack_counts(batch.column("counts").to_pylist()), FULL)
+        parts.update(zip(column("node").tolist(), batch.column("part").to_pylist(), strict=True))
+        held.append(rows)
+        if sum(map(len, held)) >= BLOCK:
+            yield from flush()
+            held, parts = [], {}
+    if held:
+        yield from flush()
+
+
+def _sent_parts(table: pa.Table) -> tuple[np.ndarray, Parts]:
+    """The nodes of a bucket in order, and their parts."""
+    known: dict[int, bytes] = {}
+    for blob in table["parts"].to_pylist():
+        n = int(np.frombuffer(blob, np.int64, 1)[0])
+        nodes, size = np.frombuffer(blob, np.int64, n, 8).tolist(), np.frombuffer(blob, np.int64, n, 8 + 8 * n)
+        ends = 8 + 16 * n + np.cumsum(size)
+        known.update((v, blob[e - s : e]) for v, s, e in zip(nodes, size.tolist(), ends.tolist(), strict=True))
+    order = sorted(known)
+    return np.array(order, np.int64), Parts([known[v] for v in order])
 
 
 def _search(table: pa.Table, percent: float) -> pa.Table:
-    """Pairs of a bucket's blocks by their trees."""
+    """Pairs of a bucket's blocks that their trees and then their parts let pass."""
     held = P.unpack(table, _POINT)
+    nodes, parts = _sent_parts(table)
+    sizes = np.zeros(len(nodes), np.int64)
+    sizes[np.searchsorted(nodes, held["node"])] = held["size"]
     held = held[np.lexsort((held["node"], held["key"]))]  # so a whole block begins with its pivot
     first, size = P.runs(held["key"])
     out, done = [np.zeros((0, 2), np.int64)], set()
+    waiting, near = [], []
+
+    def sieve() -> None:
+        pairs = np.unique(np.concatenate(waiting), axis=0)
+        x, y = np.searchsorted(nodes, pairs[:, 0]), np.searchsorted(nodes, pairs[:, 1])
+        near.append(pairs[parts.can_be_near(x, y, sizes, percent)])
+        waiting.clear()
+
     for a, n in zip(first.tolist(), size.tolist(), strict=True):
         block = held[a : a + n]
         if (block["comp"] == block["comp"][0]).all():
@@ -295,10 +412,12 @@ def _search(table: pa.Table, percent: float) -> pa.Table:
                 tree = RTree(points)
                 q, p = tree.pairs(asks, percent)
                 x, y = asks["node"][q], tree.points["node"][p]
-                out.append(np.stack([np.minimum(x, y), np.maximum(x, y)], 1))
-        if sum(map(len, out)) > 1_000_000:
-            out = [np.unique(np.concatenate(out), axis=0)]
-    pairs = np.unique(np.concatenate(out), axis=0)
+                waiting.append(np.stack([np.minimum(x, y), np.maximum(x, y)], 1))
+        if sum(map(len, waiting)) > 200_000:
+            sieve()
+    if waiting:
+        sieve()
+    pairs = np.unique(np.concatenate(out + near), axis=0)
     return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
 
 
@@ -308,7 +427,7 @@ def groups(documents: DataFrame, percent: float = 80, width: int = 5, runs: Runs
     ship_package(spark)
     count = P.buckets(spark)
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    nodes = store(docs.mapInArrow(lambda it: _nodes(it, width, runs), "doc_id long, size long, node long, counts binary"), "nodes")
+    nodes = store(docs.mapInArrow(lambda it: _nodes(it, width, runs), "doc_id long, size long, node long, counts binary, part binary"), "nodes")
     used = docs.where("doc_id IS NOT NULL AND text IS NOT NULL")
     # shingles in the first parts of very many sets come last in the order
     total = nodes.select(F.sum(F.floor(F.col("size") * (100 - percent) / 100) + 1)).first()[0] or 0
@@ -326,8 +445,8 @@ def groups(documents: DataFrame, percent: float = 80, width: int = 5, runs: Runs
 
     def links(pairs: DataFrame) -> DataFrame:
         """The pairs that the bound lets pass and the sets confirm."""
-        held = points.select("node", F.col("size").cast("int"), "counts")
-        both = pairs.join(held.toDF("a", "na", "pa"), "a").join(held.toDF("b", "nb", "pb"), "b")
+        held = points.select("node", F.col("size").cast("int"), "counts", "part")
+        both = pairs.join(held.toDF("a", "na", "pa", "qa"), "a").join(held.toDF("b", "nb", "pb", "qb"), "b")
         passed = store(both.mapInArrow(lambda it: _filter(it, percent), "a long, b long"), "passed")
         involved = passed.select(F.col("a").alias("node")).union(passed.select(F.col("b").alias("node"))).distinct()
         ids = store(points.join(involved, "node", "left_semi").select("doc_id"), "set-ids")
@@ -341,17 +460,22 @@ def groups(documents: DataFrame, percent: float = 80, width: int = 5, runs: Runs
         drop_stored(passed, ids, shingled, near)
         return out
 
-    stars = store(blocks.where("pivot <> node").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct(), "stars")
-    first = links(stars)
+    # a set first meets the one smallest set that most of its blocks name, then those that are still apart from it
+    stars = store(blocks.where("pivot <> node").groupBy(F.col("pivot").alias("a"), F.col("node").alias("b")).agg(F.count("*").alias("times")), "stars")
+    one = stars.groupBy("b").agg(F.max_by("a", F.struct("times", F.negative("a"))).alias("a")).select("a", "b")
+    first = links(one)
+    known = store(components(first), "joined")
+    apart = stars.join(known.toDF("a", "ca"), "a", "left").join(known.toDF("b", "cb"), "b", "left").where("coalesce(ca, a) <> coalesce(cb, b)")
+    first = store(first.union(links(apart.select("a", "b").join(one, ["a", "b"], "left_anti"))), "star-links")
     joined = components(first)
     # blocks that still hold several components
-    placed = points.select("node", F.col("size").cast("int"), "counts").join(joined.toDF("node", "c"), "node", "left").withColumn("comp", F.coalesce("c", "node")).drop("c")
+    placed = points.select("node", F.col("size").cast("int"), "counts", "part").join(joined.toDF("node", "c"), "node", "left").withColumn("comp", F.coalesce("c", "node")).drop("c")
     placed = store(placed, "placed-points")
-    whole = blocks.where(F.col("n") <= CHUNK).select("token", "node").join(placed, "node").select("token", "node", "comp", "size", "counts", F.lit(-1).cast("tinyint").alias("asks"), F.lit(0).alias("chunk"))
+    whole = blocks.where(F.col("n") <= CHUNK).select("token", "node").join(placed, "node").select("token", "node", "comp", "size", "counts", "part", F.lit(-1).cast("tinyint").alias("asks"), F.lit(0).alias("chunk"))
     large = blocks.where(F.col("n") > CHUNK).join(placed, "node").join(placed.select(F.col("node").alias("pivot"), F.col("comp").alias("main")), "pivot")
     large = large.withColumn("asks", (F.col("comp") != F.col("main")).cast("tinyint")).withColumn("chunks", F.ceil(F.col("n") / CHUNK).cast("int"))
     large = large.withColumn("chunk", F.explode(F.when(F.col("asks") == 1, F.sequence(F.lit(0), F.col("chunks") - 1)).otherwise(F.array(F.pmod(F.hash("node"), F.col("chunks"))))))
-    pointed = whole.union(large.select(whole.columns)).mapInArrow(lambda it: _points(it, count), P.SHAPE)
+    pointed = whole.union(large.select(whole.columns)).mapInArrow(lambda it: _points(it, count), f"{P.SHAPE}, parts binary")
     rest = P.per_bucket(pointed, lambda t: _search(t, percent), "a long, b long").distinct()
     every = first.union(links(rest.join(stars, ["a", "b"], "left_anti")))
     final = components(every)

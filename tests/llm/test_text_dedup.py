@@ -93,13 +93,35 @@ def test_bounds_hold_for_counts_past_two_bytes():
     held = jaccard_join.pack_counts(np.concatenate([counts, counts[:1] // 2]))
     assert jaccard_join.unpack_counts(held)[:, 0].tolist() == [80_000, 80_000, 40_000]
     size = int(counts[0].sum())
-    batch = pa.RecordBatch.from_pydict({"a": [1], "b": [2], "na": [size], "nb": [size], "pa": held[:1], "pb": held[1:2]})
+    batch = pa.RecordBatch.from_pydict({"a": [1], "b": [2], "na": [size], "nb": [size], "pa": held[:1], "pb": held[1:2], "qa": [b""], "qb": [b""]})
     assert [b.num_rows for b in jaccard_join._filter([batch], 80)] == [1]
     points = np.zeros(2, jaccard_join._POINT)
-    points["counts"], points["size"], points["node"], points["comp"] = counts, size, [1, 2], [1, 2]
+    points["counts"], points["size"], points["node"], points["comp"] = np.minimum(counts, jaccard_join.FULL), size, [1, 2], [1, 2]
     assert len(jaccard_join.RTree(points[1:]).pairs(points[:1], 80)[0]) == 1
 
 
+def test_parts_keep_every_similar_pair():
+    rng = np.random.default_rng(12)
+    pool = np.sort(rng.integers(0, 2**64, 6000, dtype=np.uint64))
+    sets = []
+    for n in [1, 2, 5, 40, 95, 96, 97, 150, 200, 383, 400, 1000, 2500]:
+        base = rng.choice(pool, n, replace=False)
+        for change in (0.0, 0.1, 0.2, 0.3, 0.6, 1.0):
+            sets.append(np.unique(np.where(rng.random(n) < change, rng.choice(pool, n), base)))
+    begin = np.r_[0, np.cumsum([len(s) for s in sets])]
+    size = np.diff(begin)
+    parts = jaccard_join.Parts(jaccard_join.parts_of(np.concatenate(sets), begin, size))
+    x, y = map(np.ravel, np.meshgrid(np.arange(len(sets)), np.arange(len(sets))))
+    passed = parts.can_be_near(x, y, size, 80)
+    shared = np.array([len(np.intersect1d(sets[a], sets[b])) for a, b in zip(x.tolist(), y.tolist(), strict=True)])
+    similar = 180 * shared >= 80 * (size[x] + size[y])
+    assert passed[similar].all()
+    small = (size[x] <= 96) & (size[y] <= 96)
+    assert (passed == similar)[small].all()  # whole sets
+    far = 10 * shared < 2 * (size[x] + size[y] - shared)
+    assert not passed[far].any()
+
+
 def test_minimizers_past_the_width_of_positions(monkeypatch):
     long = np.full(2**24 + 1000, 2**63, np.uint64)
     long[2**24 + 500] = 1
