@@ -148,8 +148,12 @@ def _(i):
     return out
 
 
-@query("load_star_devices", _COUNTS + """
-    SELECT DISTINCT name_key, CASE WHEN os_name IS NOT NULL OR os_version IS NOT NULL THEN os_key END AS os_key,
+# A version that reads as a number is keyed as that number.
+_VERSION = f"CASE WHEN regexp_matches(os_version, '^[0-9]+([.][0-9]+)?$') THEN printf('%g', CAST(os_version AS DOUBLE)) ELSE {_key('os_version')} END"
+
+
+@query("load_star_devices", _COUNTS + f"""
+    SELECT DISTINCT name_key, CASE WHEN os_name IS NOT NULL OR os_version IS NOT NULL THEN {_key('os_name')} || '/' || {_VERSION} END AS os_key,
         CASE WHEN chipset_manufacturer IS NOT NULL AND cpu_core_count IS NOT NULL AND internal_storage_gb IS NOT NULL
              AND ram_gb IS NOT NULL THEN platform_key END AS platform_key,
         CASE WHEN sim_count IS NOT NULL AND sim_type IS NOT NULL THEN sim_count || '/' || sim_type END AS sim_key,

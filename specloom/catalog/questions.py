@@ -145,9 +145,9 @@ def _(i):
     return i.spark.createDataFrame(rows, "year int, form_factor string, n long, dearest double")
 
 
-@query("adhoc_preview", star_ctes(("v", f"SELECT year, form_factor, n, ROW_NUMBER() OVER (ORDER BY year, form_factor) AS at FROM ({_YEARLY}) q"),
-                                  ("l", "SELECT at, '| ' || year || ' | ' || form_factor || ' | ' || n || ' |' AS line FROM v WHERE at <= 4")) + """
-    SELECT '| year | form_factor | n |' || chr(10) || '|---|---|---|' || chr(10) || string_agg(line, chr(10) ORDER BY at)
+@query("adhoc_preview", star_ctes(("v", f"SELECT year, form_factor, n, ROW_NUMBER() OVER (ORDER BY year, form_factor) AS pos FROM ({_YEARLY}) q"),
+                                  ("l", "SELECT pos, '| ' || year || ' | ' || form_factor || ' | ' || n || ' |' AS line FROM v WHERE pos <= 4")) + """
+    SELECT '| year | form_factor | n |' || chr(10) || '|---|---|---|' || chr(10) || string_agg(line, chr(10) ORDER BY pos)
            || chr(10) || chr(10) || '…' || ((SELECT COUNT(*) FROM v) - 4) || ' more row(s) not shown.' || chr(10) || chr(10)
            || '(returned ' || (SELECT COUNT(*) FROM v) || ' row(s))' AS shown FROM l""")
 def _(i):
