@@ -7,7 +7,7 @@ minima of box maxima against the overlap that the similarity asks for. Surviving
 verified on the sets.
 
 Before its set is sent, a pair is compared on parts: the hashes below a limit, all of a small
-set and a quarter of a large one, in four bytes each. If even the whole rest in common would
+set and a quarter of a large one, two bytes of each. If even the whole rest in common would
 not be enough, the pair goes. Tasks of blocks do this at once, so they send on few pairs that
 are not links.
 
@@ -97,31 +97,31 @@ def _prefix(values: np.ndarray, begin: np.ndarray, size: np.ndarray, percent: fl
 
 
 def part_limit(size: np.ndarray) -> np.ndarray:
-    """High halves of hashes below this make a set's part: all of a small set, a quarter of a large one."""
-    return np.uint64(1 << 32) >> np.searchsorted([96, 192], size).astype(np.uint64)
+    """The first 16 bits of hashes below this make a set's part: all of a small set, a quarter of a large one."""
+    return np.uint64(1 << 16) >> np.searchsorted([96, 192], size).astype(np.uint64)
 
 
 def parts_of(values: np.ndarray, begin: np.ndarray, size: np.ndarray) -> list[bytes]:
-    """The high halves of each set's first hashes, up to its limit; they rise within a set."""
-    high = values >> np.uint64(32)
+    """The first 16 bits of each set's first hashes, up to its limit; they rise within a set."""
+    high = values >> np.uint64(48)
     text = np.repeat(np.arange(len(size)), size)
     upto = begin[:-1] + np.bincount(text[high < part_limit(size)[text]], minlength=len(size))
-    held = high.astype(np.uint32).tobytes()
-    return [held[4 * a : 4 * b] for a, b in zip(begin[:-1].tolist(), upto.tolist(), strict=True)]
+    held = high.astype(np.uint16).tobytes()
+    return [held[2 * a : 2 * b] for a, b in zip(begin[:-1].tolist(), upto.tolist(), strict=True)]
 
 
 class Parts:
     """Parts of many sets, joined."""
 
     def __init__(self, held: list[bytes]):
-        self.n = np.array([len(p) // 4 for p in held], np.int64)
+        self.n = np.array([len(p) // 2 for p in held], np.int64)
         self.begin = np.cumsum(self.n) - self.n
-        self.flat = np.frombuffer(b"".join(held), np.uint32)
+        self.flat = np.frombuffer(b"".join(held), np.uint16)
 
     def can_be_near(self, x: np.ndarray, y: np.ndarray, sizes: np.ndarray, percent: float) -> np.ndarray:
         """Which pairs of sets (by place) can be similar: what lies outside their common part may all be shared.
 
-        Halves of hashes may be equal by chance, which lets a pair pass, no more.
+        So few bits may be equal by chance, which lets a pair pass, no more.
         """
         out = np.zeros(len(x), bool)
         limit = part_limit(sizes)
@@ -137,10 +137,10 @@ class Parts:
                 who = np.repeat(np.arange(len(side)), n)
                 value = self.flat[self.begin[side][who] + np.arange(len(who)) - (np.cumsum(n) - n)[who]]
                 used = value < least[who]
-                joined.append(who[used].astype(np.uint64) << np.uint64(32) | value[used])
+                joined.append(who[used].astype(np.uint64) << np.uint64(16) | value[used].astype(np.uint64))
                 rest.append(sizes[side] - np.bincount(who[used], minlength=len(side)))
             both = np.sort(np.concatenate(joined))
-            shared = np.bincount((both[1:][both[1:] == both[:-1]] >> np.uint64(32)).astype(np.int64), minlength=len(a))
+            shared = np.bincount((both[1:][both[1:] == both[:-1]] >> np.uint64(16)).astype(np.int64), minlength=len(a))
             out[start:end] = _enough(shared + np.minimum(*rest), sizes[a] + sizes[b], percent)
             start = end
         return out
@@ -347,7 +347,9 @@ def _points(batches: Iterator[pa.RecordBatch], count: int) -> Iterator[pa.Record
             nodes = np.unique(rows["node"][at : at + n])
             own = [parts[v] for v in nodes.tolist()]
             packed.append(P.squeeze(rows[at : at + n]))
-            sent.append(np.int64(len(nodes)).tobytes() + nodes.tobytes() + np.array([len(p) for p in own], np.int64).tobytes() + b"".join(own))
+            flat = np.frombuffer(b"".join(own), np.uint16)
+            step = np.diff(flat, prepend=np.uint16(0))  # small within a set, so a byte each
+            sent.append(np.array([len(nodes), len(flat)]).tobytes() + nodes.tobytes() + np.array([len(p) for p in own], np.int32).tobytes() + (P.squeeze(step) if len(step) else b""))
         yield pa.RecordBatch.from_arrays(
             [pa.array(bucket[first]), pa.array(size.astype(np.int32)), pa.array(packed, pa.binary()), pa.array(sent, pa.binary())], ["bucket", "n", "packed", "parts"])
 
@@ -371,10 +373,11 @@ def _sent_parts(table: pa.Table) -> tuple[np.ndarray, Parts]:
     """The nodes of a bucket in order, and their parts."""
     known: dict[int, bytes] = {}
     for blob in table["parts"].to_pylist():
-        n = int(np.frombuffer(blob, np.int64, 1)[0])
-        nodes, size = np.frombuffer(blob, np.int64, n, 8).tolist(), np.frombuffer(blob, np.int64, n, 8 + 8 * n)
-        ends = 8 + 16 * n + np.cumsum(size)
-        known.update((v, blob[e - s : e]) for v, s, e in zip(nodes, size.tolist(), ends.tolist(), strict=True))
+        n, total = np.frombuffer(blob, np.int64, 2).tolist()
+        nodes, size = np.frombuffer(blob, np.int64, n, 16).tolist(), np.frombuffer(blob, np.int32, n, 16 + 8 * n)
+        flat = np.cumsum(P.expand(blob[16 + 12 * n :], total, np.dtype(np.uint16)), dtype=np.uint16).tobytes() if total else b""
+        ends = np.cumsum(size, dtype=np.int64)
+        known.update((v, flat[e - s : e]) for v, s, e in zip(nodes, size.tolist(), ends.tolist(), strict=True))
     order = sorted(known)
     return np.array(order, np.int64), Parts([known[v] for v in order])
 
