@@ -15,7 +15,9 @@ Trees are built per block. A block is a shingle that several sets hold among the
 n - ceil(s*n) + 1 in one global order, where similar sets must meet; shingles of very many
 sets come last in that order, so common passages make no blocks. First every set is
 compared with the set that is the smallest of most of its blocks, which joins large groups of
-near copies with one pair a set, and then with the other smallest ones that are still apart. Then trees find all remaining pairs across components; a block larger than
+near copies with one pair a set, and then with the other smallest ones that are still apart.
+That first set is its home: sets of one home, which meet in many blocks, are compared once, in
+a block of their own, and not in the others. Then trees find all remaining pairs across components; a block larger than
 `CHUNK` is cut into chunks, and only its sets outside the first one's component go to all
 of them. So no link that joins components is lost and no group is paired out.
 
@@ -54,7 +56,7 @@ COMMON = 500_000
 Runs = Callable[[W.Bytes, int], tuple[np.ndarray, np.ndarray]]
 _TOKEN = np.dtype([("key", np.uint64), ("count", np.int64)])
 _MEMBER = np.dtype([("key", np.uint64), ("node", np.int64), ("size", np.int32)])
-_POINT = np.dtype([("key", np.uint64), ("node", np.int64), ("comp", np.int64), ("size", np.int32), ("asks", np.int8), ("counts", np.uint16, GROUPS)])
+_POINT = np.dtype([("key", np.uint64), ("node", np.int64), ("comp", np.int64), ("home", np.int64), ("size", np.int32), ("asks", np.int8), ("counts", np.uint16, GROUPS)])
 #: A count that may stand for a larger one.
 FULL = 0xFFFF
 #: Points that a map task holds before it sends them on.
@@ -357,7 +359,7 @@ def _points(batches: Iterator[pa.RecordBatch], count: int) -> Iterator[pa.Record
         column = lambda c: batch.column(c).to_numpy(zero_copy_only=False)
         rows = np.empty(batch.num_rows, _POINT)
         rows["key"] = W.mix(column("token").view(np.uint64) + column("chunk").astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-        for c in ("node", "comp", "size", "asks"):
+        for c in ("node", "comp", "home", "size", "asks"):
             rows[c] = column(c)
         rows["counts"] = np.minimum(unpack_counts(batch.column("counts").to_pylist()), FULL)
         parts.update(zip(column("node").tolist(), batch.column("part").to_pylist(), strict=True))
@@ -403,7 +405,7 @@ def _search(table: pa.Table, percent: float) -> pa.Table:
         block = held[a : a + n]
         if (block["comp"] == block["comp"][0]).all():
             continue
-        same = hashlib.blake2b(block["node"].tobytes(), digest_size=16).digest()
+        same = hashlib.blake2b(block["node"].tobytes() + block["home"].tobytes(), digest_size=16).digest()
         if same in done:  # near copies share many blocks
             continue
         done.add(same)
@@ -414,6 +416,8 @@ def _search(table: pa.Table, percent: float) -> pa.Table:
             if len(points) and len(asks):
                 tree = RTree(points)
                 q, p = tree.pairs(asks, percent)
+                elsewhere = asks["home"][q] != tree.points["home"][p]  # sets of one home meet there, once
+                q, p = q[elsewhere], p[elsewhere]
                 x, y = asks["node"][q], tree.points["node"][p]
                 waiting.append(np.stack([np.minimum(x, y), np.maximum(x, y)], 1))
         if sum(map(len, waiting)) > 200_000:
@@ -463,22 +467,28 @@ def groups(documents: DataFrame, percent: float = 80, width: int = 5, runs: Runs
         drop_stored(passed, ids, shingled, near)
         return out
 
-    # a set first meets the one smallest set that most of its blocks name, then those that are still apart from it
-    stars = store(blocks.where("pivot <> node").groupBy(F.col("pivot").alias("a"), F.col("node").alias("b")).agg(F.count("*").alias("times")), "stars")
-    one = stars.groupBy("b").agg(F.max_by("a", F.struct("times", F.negative("a"))).alias("a")).select("a", "b")
+    # a set's home is the smallest set that most of its blocks name: it meets that first, then others that are still apart
+    stars = store(blocks.groupBy(F.col("pivot").alias("a"), F.col("node").alias("b")).agg(F.count("*").alias("times")), "stars")
+    homes = store(stars.groupBy(F.col("b").alias("node")).agg(F.max_by("a", F.struct("times", F.negative("a"))).alias("home")), "homes")
+    one = homes.where("home <> node").select(F.col("home").alias("a"), F.col("node").alias("b"))
     first = links(one)
     known = store(components(first), "joined")
-    apart = stars.join(known.toDF("a", "ca"), "a", "left").join(known.toDF("b", "cb"), "b", "left").where("coalesce(ca, a) <> coalesce(cb, b)")
+    apart = stars.join(known.toDF("a", "ca"), "a", "left").join(known.toDF("b", "cb"), "b", "left").where("a <> b AND coalesce(ca, a) <> coalesce(cb, b)")
     first = store(first.union(links(apart.select("a", "b").join(one, ["a", "b"], "left_anti"))), "star-links")
     joined = components(first)
     # blocks that still hold several components
     placed = points.select("node", F.col("size").cast("int"), "counts", "part").join(joined.toDF("node", "c"), "node", "left").withColumn("comp", F.coalesce("c", "node")).drop("c")
-    placed = store(placed, "placed-points")
-    whole = blocks.where(F.col("n") <= CHUNK).select("token", "node").join(placed, "node").select("token", "node", "comp", "size", "counts", "part", F.lit(-1).cast("tinyint").alias("asks"), F.lit(0).alias("chunk"))
+    placed = store(placed.join(homes, "node"), "placed-points")
+    # the sets of one home are a block as well; there no two count as of one home
+    members = homes.groupBy("home").agg(F.count("*").cast("int").alias("n")).where("n > 1").join(homes, "home")
+    own = members.select(F.xxhash64("home").alias("token"), F.col("home").alias("pivot"), "node", "n", F.lit(True).alias("own"))
+    blocks = blocks.withColumn("own", F.lit(False)).union(own)
+    home = F.when(F.col("own"), F.col("node")).otherwise(F.col("home")).alias("home")
+    whole = blocks.where(F.col("n") <= CHUNK).select("token", "node", "own").join(placed, "node").select("token", "node", "comp", home, "size", "counts", "part", F.lit(-1).cast("tinyint").alias("asks"), F.lit(0).alias("chunk"))
     large = blocks.where(F.col("n") > CHUNK).join(placed, "node").join(placed.select(F.col("node").alias("pivot"), F.col("comp").alias("main")), "pivot")
     large = large.withColumn("asks", (F.col("comp") != F.col("main")).cast("tinyint")).withColumn("chunks", F.ceil(F.col("n") / CHUNK).cast("int"))
     large = large.withColumn("chunk", F.explode(F.when(F.col("asks") == 1, F.sequence(F.lit(0), F.col("chunks") - 1)).otherwise(F.array(F.pmod(F.hash("node"), F.col("chunks"))))))
-    pointed = whole.union(large.select(whole.columns)).mapInArrow(lambda it: _points(it, count), f"{P.SHAPE}, parts binary")
+    pointed = whole.union(large.withColumn("home", home).select(whole.columns)).mapInArrow(lambda it: _points(it, count), f"{P.SHAPE}, parts binary")
     rest = P.per_bucket(pointed, lambda t: _search(t, percent), "a long, b long").distinct()
     every = first.union(links(rest.join(stars, ["a", "b"], "left_anti")))
     final = components(every)
