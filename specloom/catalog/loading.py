@@ -9,7 +9,7 @@ from ..operators.ranking import first_per_key
 from ..plans import clean as plan
 from ..schemas import CHECK_RULES, SIGNATURE_COLUMNS, STAR_SCHEMAS, UNIQUE_KEYS, Star
 from ..session import scratch_path, store
-from ..streaming.incremental import incremental_append, incremental_load
+from ..streaming.incremental import appended, incremental_append, incremental_load
 from .cleaning import CHAIN, EXPANDED, LISTED, PIECES, PRICED, STAGED
 from .inputs import Inputs, raw_ctes, star_ctes
 from .registry import query
@@ -246,7 +246,7 @@ def _(i):
     rows.write.parquet(f"{src}/batch=2")
     for _run in range(2):
         incremental_append(i.spark, src, target, ckpt, rows.schema, ["user_id", "event_type"])
-    return i.spark.read.schema(rows.schema).parquet(target)
+    return appended(i.spark, target, rows.schema)
 
 
 @query("incremental_load", _COUNTS + """

@@ -15,10 +15,10 @@ from ..functions import (
     clean_text, first_int, first_number, form_factor, max_number, memory_gb, row_signature, sensor_list,
 )
 from ..schemas import FOREIGN_KEYS, SIGNATURE_COLUMNS, STAGE_NAMES, STAGE_REQUIRED, STAR_SCHEMAS, UNIQUE_KEYS, Star
-from ..session import store
-from ..sources.tables import append_table, read_table
+from ..session import drop_stored, store
 from .filters import drop_all_null_keys
 from .joins import key_columns, lookup_side, new_rows
+from .ledger import Ledger
 from .ranking import first_per_key
 from .reshape import rename_and_require
 
@@ -107,30 +107,37 @@ def assign_ids(df: DataFrame, keys: list[str], start: int = 0, id_col: str = "id
     return numbered.withColumn(id_col, new_id).select(id_col, *[c for c in df.columns if c != id_col])
 
 
-def unseen(df: DataFrame, existing: DataFrame, keys: list[str], ordinal: str) -> DataFrame:
-    """Rows to append: some key part known, first of its key in the batch, not in the target."""
+def first_known(df: DataFrame, keys: list[str], ordinal: str) -> DataFrame:
+    """The first row of each normalised key, rows without any key part left out."""
     known = drop_all_null_keys(df, keys)
     helpers = key_columns(known, keys)
-    firsts = first_per_key(known.withColumns(helpers), list(helpers), ordinal).drop(*helpers)
-    return new_rows(firsts, existing, keys)
+    return first_per_key(known.withColumns(helpers), list(helpers), ordinal).drop(*helpers)
+
+
+def unseen(df: DataFrame, existing: DataFrame, keys: list[str], ordinal: str) -> DataFrame:
+    """Rows to append: some key part known, first of its key in the batch, not in the target."""
+    return new_rows(first_known(df, keys, ordinal), existing, keys)
 
 
 def open_target(spark: SparkSession, root: str, table: str) -> DataFrame:
-    """A stored star table, or an empty one before the first load."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root}/{table}")
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if fs.exists(path):
-        return read_table(spark, root, table, STAR_SCHEMAS[table])
-    return spark.createDataFrame([], T.StructType([T.StructField(f.name, f.dataType) for f in STAR_SCHEMAS[table].fields]))
+    """A stored star table as of the last recorded batch, empty before the first load."""
+    return Ledger(spark, root).read(table, STAR_SCHEMAS[table])
+
 
+def append_dimension(ledger: Ledger, table: str, staged: DataFrame, ordinal: str, last: int) -> tuple[list[str], int]:
+    """L02 + L03 + L04 for one dimension: new keys into the coming batch.
 
-def append_dimension(spark: SparkSession, root: str, table: str, staged: DataFrame, ordinal: str) -> None:
-    """L02 + L03 + L04 for one dimension, onto storage."""
-    existing = open_target(spark, root, table)
-    fresh = store(new_rows(dimension_rows(staged, table, ordinal), existing, UNIQUE_KEYS[table]))
-    last = existing.agg(F.coalesce(F.max("id"), F.lit(0)).alias("m")).first()["m"]
-    rows = assign_ids(fresh, UNIQUE_KEYS[table], start=last)
-    append_table(rows.select(*STAR_SCHEMAS[table].fieldNames()), f"{root}/{table}")
+    Only stored files that may hold a key of the batch are read. Returns the files and folders
+    in which all keys of the batch are found, and the number of new rows.
+    """
+    keys = UNIQUE_KEYS[table]
+    rows = store(dimension_rows(staged, table, ordinal))
+    holding = ledger.files_holding(table, rows, keys)
+    fresh = new_rows(rows, ledger.read(table, STAR_SCHEMAS[table], holding), keys)
+    numbered = assign_ids(fresh, keys, start=last)
+    added = ledger.write(table, numbered.select(*STAR_SCHEMAS[table].fieldNames()), keys)
+    drop_stored(rows)
+    return holding + [ledger.folder(ledger.number)] * bool(added), added
 
 
 def fact_rows(staged: DataFrame, star: Star) -> DataFrame:
@@ -160,25 +167,36 @@ def fact_rows(staged: DataFrame, star: Star) -> DataFrame:
     return rows.select(row_signature(rows, SIGNATURE_COLUMNS).alias("device_key"), *SIGNATURE_COLUMNS)
 
 
-def append_facts(spark: SparkSession, root: str, staged: DataFrame) -> None:
-    """L06 onto storage: equal signatures are one row; known ones are skipped."""
-    star = Star(**{t: open_target(spark, root, t) for t in STAR_SCHEMAS})
-    fields = STAR_SCHEMAS["Device"].fieldNames()
-    facts = fact_rows(staged, star)
+def append_facts(ledger: Ledger, staged: DataFrame, star: Star, last: int) -> int:
+    """L06 into the coming batch: equal signatures are one row; known ones are skipped. Returns the number of new rows."""
+    keys = UNIQUE_KEYS["Device"]
     # every column is part of the signature, so any row of a key is the same row
-    fresh = store(new_rows(facts.dropDuplicates(["device_key"]), star.Device, ["device_key"]))
-    last = star.Device.agg(F.coalesce(F.max("id"), F.lit(0)).alias("m")).first()["m"]
-    append_table(assign_ids(fresh, ["device_key"], start=last).select(*fields), f"{root}/Device")
+    facts = store(fact_rows(staged, star).dropDuplicates(keys))
+    known = ledger.read("Device", STAR_SCHEMAS["Device"], ledger.files_holding("Device", facts, keys))
+    numbered = assign_ids(new_rows(facts, known, keys), keys, start=last)
+    added = ledger.write("Device", numbered.select(*STAR_SCHEMAS["Device"].fieldNames()), keys)
+    drop_stored(facts)
+    return added
 
 
-def load_star(spark: SparkSession, root: str, staged: DataFrame, ordinal: str) -> None:
-    """The whole load, dimensions first. Running it again adds nothing.
+def load_star(spark: SparkSession, root: str, staged: DataFrame, ordinal: str, label: str | None = None) -> None:
+    """The whole load as one batch, dimensions first. Running it again adds nothing.
 
-    The seven dimensions do not depend on each other, so their jobs run side by side.
+    The seven dimensions do not depend on each other, so their jobs run side by side. All
+    eight tables become visible together, by a record written last; a load that broke before
+    leaves nothing behind that a reader or the next load would see. A `label` names the batch:
+    one that is recorded already is skipped.
     """
+    ledger = Ledger(spark, root)
+    if label is not None and ledger.knows(label):
+        return
+    last = ledger.last_ids({t: STAR_SCHEMAS[t] for t in UNIQUE_KEYS})
     dims = list(FOREIGN_KEYS.values())
     with ThreadPoolExecutor(len(dims)) as pool:
         load_one = inheritable_thread_target(spark)(append_dimension)
-        for done in [pool.submit(load_one, spark, root, table, staged, ordinal) for table in dims]:
-            done.result()
-    append_facts(spark, root, staged)
+        jobs = {t: pool.submit(load_one, ledger, t, staged, ordinal, last[t]) for t in dims}
+        done = {t: job.result() for t, job in jobs.items()}
+    sides = {t: ledger.read(t, STAR_SCHEMAS[t], names) for t, (names, _) in done.items()}
+    added = {t: n for t, (_, n) in done.items()}
+    added["Device"] = append_facts(ledger, staged, Star(Device=ledger.read("Device", STAR_SCHEMAS["Device"], []), **sides), last["Device"])
+    ledger.commit(label, {t: last[t] + n for t, n in added.items()}, added)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from ..operators.ledger import Ledger
 from ..schemas import STAR_SCHEMAS, Star
 
 
@@ -35,8 +36,9 @@ def read_table(spark: SparkSession, root: str, name: str, schema: T.StructType |
 
 
 def read_star(spark: SparkSession, root: str) -> Star:
-    """All eight star tables below one folder."""
-    return Star(**{n: read_table(spark, root, n, s) for n, s in STAR_SCHEMAS.items()})
+    """All eight star tables below one folder, as of the last recorded batch of a load."""
+    ledger = Ledger(spark, root)
+    return Star(**{n: ledger.read(n, s) for n, s in STAR_SCHEMAS.items()})
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: list[str] | None = None) -> None:
