@@ -152,15 +152,16 @@ def _(i):
 _VERSION = f"CASE WHEN regexp_matches(os_version, '^[0-9]+([.][0-9]+)?$') THEN printf('%g', CAST(os_version AS DOUBLE)) ELSE {_key('os_version')} END"
 
 
-@query("load_star_devices", _COUNTS + f"""
+_DEVICES = _COUNTS + f"""
     SELECT DISTINCT name_key, CASE WHEN os_name IS NOT NULL OR os_version IS NOT NULL THEN {_key('os_name')} || '/' || {_VERSION} END AS os_key,
         CASE WHEN chipset_manufacturer IS NOT NULL AND cpu_core_count IS NOT NULL AND internal_storage_gb IS NOT NULL
              AND ram_gb IS NOT NULL THEN platform_key END AS platform_key,
         CASE WHEN sim_count IS NOT NULL AND sim_type IS NOT NULL THEN sim_count || '/' || sim_type END AS sim_key,
-        year, battery_capacity_mah, launch_status, weight, round(price_eur, 6) AS price_eur FROM t""")
-def _(i):
-    target = scratch_path(i.spark, "star-load")
-    _load(i, target, times=2)
+        year, battery_capacity_mah, launch_status, weight, round(price_eur, 6) AS price_eur FROM t"""
+
+
+def _devices(i: Inputs, target: str):
+    """The stored devices with the keys that their ids stand for."""
     rows = load.open_target(i.spark, target, "Device")
     for table, fk, name in (("Device_Name", "device_name_id", "name_key"), ("OS", "os_id", "os_key"),
                             ("Platform", "platform_id", "platform_key"), ("Sim", "sim_id", "sim_key")):
@@ -171,6 +172,13 @@ def _(i):
                        F.round("price_eur", 6).alias("price_eur")).distinct()
 
 
+@query("load_star_devices", _DEVICES)
+def _(i):
+    target = scratch_path(i.spark, "star-load")
+    _load(i, target, times=2)
+    return _devices(i, target)
+
+
 @query("load_star_integrity")
 def _(i):
     target = scratch_path(i.spark, "star-load")
@@ -196,9 +204,9 @@ def _(i):
     return quality.check_rules(i.star.Device, _RULES, ["id"])
 
 
-@query("check_declared_rules", star_ctes() + """
-    SELECT 'Device' AS tab, 0 AS broken UNION ALL SELECT 'Sim', 0 UNION ALL SELECT 'Camera', 0
-    UNION ALL SELECT 'Display', 0 UNION ALL SELECT 'Platform', 0""")
+@query("check_declared_rules", star_ctes() + " UNION ALL ".join(
+    f"SELECT '{name}' AS tab, CAST(COALESCE(SUM(" + " + ".join(f"CASE WHEN {cond} THEN 0 WHEN NOT ({cond}) THEN 1 ELSE 0 END" for cond in rules.values())
+    + f"), 0) AS INTEGER) AS broken FROM {name}" for name, rules in CHECK_RULES.items()))
 def _(i):
     out = None
     for name, rules in CHECK_RULES.items():
@@ -249,8 +257,7 @@ def _(i):
     return appended(i.spark, target, rows.schema)
 
 
-@query("incremental_load", _COUNTS + """
-    SELECT COUNT(DISTINCT name_key) AS names FROM t""")
+@query("incremental_load", _DEVICES)
 def _(i):
     src, target, ckpt = (scratch_path(i.spark, k) for k in ("raw-in", "raw-star", "raw-ckpt"))
     pages = i.raw_pages.drop("part_id")
@@ -260,4 +267,4 @@ def _(i):
         part.write.mode("append").parquet(src)
         incremental_load(i.spark, src, target, ckpt, prices, fmt="parquet")
     incremental_load(i.spark, src, target, ckpt, prices, fmt="parquet")
-    return load.open_target(i.spark, target, "Device_Name").agg(F.count("*").alias("names"))
+    return _devices(i, target)

@@ -259,7 +259,15 @@ def _(i):
     return out.withColumn("v", F.col("v").cast("double"))
 
 
-@query("results_equivalent", "SELECT true AS shuffled_set, false AS changed_set, true AS same_order, false AS other_order")
+@query("results_equivalent", """
+    WITH a AS (SELECT p_partkey AS k, round(p_retailprice, 4) AS v, ROW_NUMBER() OVER (ORDER BY p_partkey) AS up,
+                      ROW_NUMBER() OVER (ORDER BY p_partkey DESC) AS down FROM part),
+         noisy AS (SELECT p_partkey AS k, round(p_retailprice + 1e-7, 4) AS v, ROW_NUMBER() OVER (ORDER BY p_partkey DESC) AS down FROM part),
+         changed AS (SELECT p_partkey AS k, round(p_retailprice + 1, 4) AS v FROM part)
+    SELECT NOT EXISTS (SELECT k, v FROM a EXCEPT ALL SELECT k, v FROM noisy) AS shuffled_set,
+           NOT EXISTS (SELECT k, v FROM a EXCEPT ALL SELECT k, v FROM changed) AS changed_set,
+           NOT EXISTS (SELECT k, v, down FROM a EXCEPT ALL SELECT k, v, down FROM noisy) AS same_order,
+           NOT EXISTS (SELECT k, v, up FROM a EXCEPT ALL SELECT k, v, down FROM a) AS other_order""")
 def _(i):
     part = i.table("part").select("p_partkey", "p_retailprice")
     up, down = part.orderBy("p_partkey"), part.orderBy(F.desc("p_partkey"))
@@ -376,7 +384,7 @@ def _(i):
         F.lit("Body"), F.create_map(F.lit("Size"), F.col("p_size").cast("string")),
         F.lit("Misc"), F.create_map(F.lit("Price"), F.col("p_type"))))))
     i.table("part").select(line.alias("value")).write.text(path)
-    rows = catalogue.read_catalogue_json(i.spark, path, lines=True)
+    rows = catalogue.read_catalogue_json(i.spark, path)
     return rows.select("brand", "model", F.explode("details").alias("section", "fields")).select(
         "brand", "model", "section", F.explode("fields").alias("field", "value"))
 
@@ -392,4 +400,4 @@ def _(i):
     entry = F.when(kind == 0, F.concat(F.lit('{"scraped_at": "2026-05-09T12:00:00Z", "configs": '), configs, F.lit("}")))
     entry = entry.when(kind == 1, configs).when(kind == 2, "null").otherwise('{"scraped_at": null, "configs": null}')
     i.table("part").select(F.concat(key, entry, F.lit("}")).alias("value")).write.text(path)
-    return catalogue.price_rows(catalogue.read_price_json(i.spark, path, lines=True))
+    return catalogue.price_rows(catalogue.read_price_json(i.spark, path))

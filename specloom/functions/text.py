@@ -19,6 +19,8 @@ MISSING_KEY = "__missing__"
 SENTINELS = ("", "nan", "unknown", "none")
 BLOCK_MARKERS = ("Just a moment", "cf-challenge", "Attention Required", "Access denied", "hcaptcha")
 STAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss'Z'"
+# The code points of Unicode's White_Space property.
+SPACES = "".join(map(chr, [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 
 
 def group_of(c: Column, pattern: str, group: int = 1) -> Column:
@@ -33,7 +35,7 @@ def number(c: Column) -> Column:
 
 def strip(c: Column) -> Column:
     """Trim every Unicode space, not only U+0020."""
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+    return F.btrim(c, F.lit(SPACES))
 
 
 def contains_any(c: Column, words) -> Column:

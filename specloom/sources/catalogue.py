@@ -12,16 +12,21 @@ CATALOGUE_TYPE = T.MapType(T.StringType(), T.MapType(T.StringType(), T.MapType(T
 DETAILS_TYPE = T.MapType(T.StringType(), _TEXT_MAP)
 
 
-def _documents(spark: SparkSession, path: str, lines: bool) -> DataFrame:
-    return spark.read.text(path, wholetext=not lines)
+def _documents(spark: SparkSession, path: str, lines: bool | None) -> DataFrame:
+    """One row a document. Unless told, `lines` is found: every line that is not blank is an object of its own."""
+    rows = spark.read.text(path)
+    filled = F.trim("value") != ""
+    if lines is None:
+        broken = F.json_object_keys("value").isNull()
+        lines = not rows.where(filled).isEmpty() and rows.where(filled & broken).isEmpty()
+    return rows.where(filled) if lines else spark.read.text(path, wholetext=True)
 
 
-def read_catalogue_json(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+def read_catalogue_json(spark: SparkSession, path: str, lines: bool | None = None) -> DataFrame:
     """Brand > model > section > field > text, as (brand, model, details) rows.
 
-    One JSON document per file, many files in parallel. Large catalogues should
-    come with lines=True, one document (for example one brand) per line. A broken
-    document stops the read instead of going missing.
+    One JSON document per file or per line (for example one brand a line); large files
+    of lines are split between tasks. A broken document stops the read instead of going missing.
     """
     doc = F.from_json("value", CATALOGUE_TYPE, {"mode": "FAILFAST"})
     return (
@@ -49,7 +54,7 @@ def price_entries(docs: DataFrame, col: str = "value") -> DataFrame:
     )
 
 
-def read_price_json(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+def read_price_json(spark: SparkSession, path: str, lines: bool | None = None) -> DataFrame:
     """A missing file is an empty result, not an error."""
     try:
         docs = _documents(spark, path, lines)

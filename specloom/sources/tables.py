@@ -3,17 +3,31 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.ledger import Ledger
 from ..schemas import STAR_SCHEMAS, Star
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """CSV with header and quoted commas; the schema is given, never inferred."""
+def _quotes_left_open(spark: SparkSession, path: str) -> bool:
+    """Does a line hold an odd number of quotes, as where a quoted field runs on in the next line?"""
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    return not spark.read.text(path).where(quotes % 2 == 1).isEmpty()
+
+
+def read_csv(spark: SparkSession, path: str, schema: T.StructType, multiline: bool | None = None) -> DataFrame:
+    """CSV with header and quoted commas; the schema is given, never inferred.
+
+    A file whose fields hold line breaks is one task; others are split. Unless `multiline`
+    says which, a scan of the lines for an open quote decides (it stops at the first one).
+    Files with stray quotes in bare fields should name it.
+    """
+    if multiline is None:
+        multiline = _quotes_left_open(spark, path)
     return (
         spark.read.schema(schema)
-        .option("header", True).option("multiLine", True).option("escape", '"')
+        .option("header", True).option("multiLine", multiline).option("escape", '"')
         .csv(path)
     )
 

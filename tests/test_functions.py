@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from specloom import functions as fn
+from specloom.functions.text import strip
 
 
 def test_storage_and_ram(apply):
@@ -136,3 +137,9 @@ def test_misc_rules(spark, apply):
     assert apply(fn.is_block_page, ["<p>Just a moment...</p>", "fine"]) == [True, False]
     row = spark.createDataFrame([(None, "x", None, "y")], "a string, b string, c string, d string")
     assert row.select(fn.count_from_populated({"a": 1, "b": 2, "c": 3, "d": 5}).alias("n")).first().n == 5
+
+
+def test_strip_takes_every_unicode_space(apply):
+    spaces = "".join(chr(c) for c in range(0x3001) if chr(c).isspace() and not 0x1C <= c <= 0x1F)
+    texts = [spaces + "a b" + spaces, "a\n", "​x​", spaces, "", None, "é　"]
+    assert apply(strip, texts) == ["a b", "a", "​x​", "", "", None, "é"]

@@ -65,6 +65,25 @@ def test_csv_round_trip_with_commas_quotes_and_no_rows(spark, tmp_path):
     assert texts == ["Model,Configuration,Price\n"]
 
 
+def test_sources_are_split_where_records_end_with_lines(spark, tmp_path):
+    df = spark.createDataFrame([(f"m{k}", "256GB, 8GB", f'$ {k} "x"') for k in range(3000)], PRICE_SCHEMA)
+    broken = df.union(spark.createDataFrame([("m", "c", "two\nlines")], PRICE_SCHEMA))
+    for name, rows in (("flat", df), ("broken", broken)):
+        tables.write_table(rows.coalesce(1), str(tmp_path / name), "csv")
+    (tmp_path / "lines.json").write_text("\n".join(json.dumps({f"b{k}": {"m": {"Body": {"Weight": str(k)}}}}) for k in range(3000)) + "\n\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        flat, whole = (tables.read_csv(spark, str(tmp_path / n), PRICE_SCHEMA) for n in ("flat", "broken"))
+        assert flat.rdd.getNumPartitions() > 2 and whole.rdd.getNumPartitions() == 1
+        assert sorted(map(tuple, flat.collect())) == sorted(map(tuple, df.collect()))
+        assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, broken.collect()))
+        found = catalogue.read_catalogue_json(spark, str(tmp_path / "lines.json"))
+        assert found.rdd.getNumPartitions() > 2
+        assert {(r.brand, r.details["Body"]["Weight"]) for r in found.collect()} == {(f"b{k}", str(k)) for k in range(3000)}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_catalogue_and_price_json(spark, tmp_path):
     doc = {"Apple": {"iPhone": {"Body": {"Weight": "171 g"}, "Misc": None}}}
     (tmp_path / "c.json").write_text(json.dumps(doc, indent=2))
