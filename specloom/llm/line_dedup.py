@@ -5,8 +5,10 @@ Lines are compared trimmed and lowered. A line's set holds its runs of `width` c
 borrow from the next filled one, and equal bands make lines candidates. In a band's group
 every line first meets the group's smallest line and its next one, so a group of any size
 gives two pairs a line; these are verified by exact Jaccard similarity and a distributed
-union-find joins the links. Lines of groups that still hold several components then go through
-the exact join of `jaccard_join` (blocks by rare runs), which finds all links among them.
+union-find joins the links. Where a group of at most `SMALL` lines still holds several
+components, its lines of different ones are compared with each other: at most `SMALL` / 2 pairs
+a line. Lines of larger groups that then still hold several components go through the exact join
+of `jaccard_join` (blocks by rare runs), which finds all links among them.
 Of each component the first line in (doc_id, line) order stays. A pair at similarity 0.8 meets
 in a band with probability 0.98, at 0.9 with 0.9999, and one that meets is never left out.
 
@@ -32,6 +34,8 @@ from .components import components
 from .jaccard_join import groups
 from .prefilter import likely
 
+#: Lines of a band's group up to which its lines are compared with one another.
+SMALL = 32
 _PAIR = np.dtype([("key", np.uint64), ("line", np.int64)])
 
 
@@ -138,9 +142,12 @@ def character_runs(texts: W.Bytes, width: int) -> tuple[np.ndarray, np.ndarray]:
 def jaccard_at_least(a: list[str], b: list[str], width: int, similarity: float) -> np.ndarray:
     """Whether two texts' sets of character runs are similar enough."""
     out = np.zeros(len(a), bool)
+    runs: dict[str, set[str]] = {}  # of the texts at hand: one text is in many pairs
     for i, (x, y) in enumerate(zip(a, b, strict=True)):
-        p = {x[k : k + width] for k in range(max(1, len(x) - width + 1))}
-        q = {y[k : k + width] for k in range(max(1, len(y) - width + 1))}
+        for text in (x, y):
+            if text not in runs:
+                runs[text] = {text[k : k + width] for k in range(max(1, len(text) - width + 1))}
+        p, q = runs[x], runs[y]
         if min(len(p), len(q)) >= similarity * max(len(p), len(q)):
             both = len(p & q)
             out[i] = both >= similarity * (len(p) + len(q) - both)
@@ -148,7 +155,7 @@ def jaccard_at_least(a: list[str], b: list[str], width: int, similarity: float)
 
 
 def _verify(batches: Iterator[pa.RecordBatch], width: int, similarity: float) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in (b.slice(at, 2000) for b in batches for at in range(0, b.num_rows, 2000)):
         good = pa.array(jaccard_at_least(batch.column("x").to_pylist(), batch.column("y").to_pylist(), width, similarity))
         yield pa.RecordBatch.from_arrays([batch.column("a").filter(good), batch.column("b").filter(good)], ["a", "b"])
 
@@ -164,15 +171,29 @@ def line_components(found: DataFrame, seen: DataFrame, similarity: float = 0.8,
     pairs = store(met.where("g IS NULL").select("a", "b").distinct(), "line-pairs")
     wanted = pairs.select(F.col("a").alias("h")).union(pairs.select(F.col("b").alias("h"))).distinct()
     places = store(seen.join(wanted, "h", "left_semi").select("h", "place"), "line-places")
-    texts = likely(found.select("h", "line", _place().alias("place")), "h", places).join(places, ["h", "place"], "left_semi").select("h", "line")
+    texts = likely(found, "h", places).select("h", "line", _place().alias("place")).join(places, ["h", "place"], "left_semi").select("h", "line")
     texts = store(texts, "line-texts")
-    both = pairs.join(texts.toDF("a", "x"), "a").join(texts.toDF("b", "y"), "b")
-    first = store(both.mapInArrow(lambda it: _verify(it, width, similarity), "a long, b long"), "line-links")
-    # groups that still hold several components: all links among their lines
+
+    def links(pairs: DataFrame) -> DataFrame:
+        both = pairs.join(texts.toDF("a", "x"), "a").join(texts.toDF("b", "y"), "b")
+        return store(both.mapInArrow(lambda it: _verify(it, width, similarity), "a long, b long"), "line-links")
+
+    def mixed(groups: DataFrame, joined: DataFrame) -> DataFrame:
+        """(g, h, c, n) of the groups that hold several components, which each line's c names."""
+        held = groups.join(joined.toDF("h", "c"), "h", "left").select("g", "h", F.coalesce("c", "h").alias("c"))
+        several = held.groupBy("g").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.count("*").alias("n")).where("low <> high")
+        return store(held.join(several.select("g", "n"), "g"), "line-mixed")
+
+    first = links(pairs)
+    joined = store(components(first), "line-joined")
+    open_ = mixed(met.where("g IS NOT NULL").select("g", F.col("a").alias("h")), joined)
+    # small groups: lines of different components that were not compared yet
+    few = open_.where(F.col("n") <= SMALL).select("g", "h", "c")
+    across = few.toDF("g", "a", "ca").join(few.toDF("g", "b", "cb"), "g").where("a < b AND ca <> cb").select("a", "b").distinct()
+    first = store(first.union(links(store(across.join(pairs, ["a", "b"], "left_anti"), "line-across"))), "line-links")
     joined = store(components(first), "line-joined")
-    held = met.where("g IS NOT NULL").select("g", F.col("a").alias("h")).join(joined.toDF("h", "c"), "h", "left").select("g", "h", F.coalesce("c", "h").alias("c"))
-    mixed = held.groupBy("g").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low <> high").select("g")
-    rest = store(held.join(mixed, "g", "left_semi").select("h").distinct(), "line-rest")
+    # large groups: all links among the lines of those that still hold several components
+    rest = store(mixed(open_.where(F.col("n") > SMALL).select("g", "h"), joined).select("h").distinct(), "line-rest")
     if rest.isEmpty():
         return joined
     left = store(texts.join(rest, "h", "left_semi").select(F.col("h").alias("doc_id"), F.col("line").alias("text")), "line-rest-texts")
