@@ -139,18 +139,50 @@ def character_runs(texts: W.Bytes, width: int) -> tuple[np.ndarray, np.ndarray]:
     return W.shingles(W.mix(points.astype(np.uint64)), W.code_points(texts)[texts.offsets], width)
 
 
+#: Pairs, and character runs of pairs, that are compared at a time.
+PAIRS, RUNS = 2000, 4_000_000
+#: Fills lines shorter than a run; no valid text holds it.
+FILLER = "\udfff"
+
+
+def _wide_runs(texts: list[str], width: int) -> tuple[np.ndarray, np.ndarray]:
+    """52-bit hashes of all runs of `width` characters of each text, repeats included, and where each text's begin."""
+    texts = [t.ljust(width, FILLER) for t in texts]
+    points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64) + np.uint64(1)
+    total, padded = points.copy(), np.r_[points, np.zeros(width, np.uint64)]
+    for k in range(1, width):
+        total *= np.uint64(0x9E3779B97F4A7C15)
+        total += padded[k : k + len(points)]
+    size = np.array([len(t) for t in texts], np.int64)
+    begin = np.r_[0, np.cumsum(size - width + 1)]
+    at = np.arange(begin[-1]) + np.repeat(np.cumsum(size) - size - begin[:-1], size - width + 1)
+    return W.mix(total[at]) >> np.uint64(12), begin
+
+
 def jaccard_at_least(a: list[str], b: list[str], width: int, similarity: float) -> np.ndarray:
-    """Whether two texts' sets of character runs are similar enough."""
-    out = np.zeros(len(a), bool)
-    runs: dict[str, set[str]] = {}  # of the texts at hand: one text is in many pairs
-    for i, (x, y) in enumerate(zip(a, b, strict=True)):
-        for text in (x, y):
-            if text not in runs:
-                runs[text] = {text[k : k + width] for k in range(max(1, len(text) - width + 1))}
-        p, q = runs[x], runs[y]
-        if min(len(p), len(q)) >= similarity * max(len(p), len(q)):
-            both = len(p & q)
-            out[i] = both >= similarity * (len(p) + len(q) - both)
+    """Whether two texts' sets of character runs are similar enough; runs are told apart by 52 bits of their hash."""
+    texts = list(dict.fromkeys([*a, *b]))
+    number = {t: i for i, t in enumerate(texts)}
+    value, begin = _wide_runs(texts, width)
+    sides = [np.array([number[t] for t in side], np.int64) for side in (a, b)]
+    n = np.diff(begin)
+    weight = np.cumsum(n[sides[0]] + n[sides[1]])
+    out, start = np.zeros(len(a), bool), 0
+    while start < len(a):
+        upto = int(np.searchsorted(weight, (weight[start - 1] if start else 0) + RUNS, "right"))
+        end = min(max(upto, start + 1), start + PAIRS)
+        keys = []  # of each run: its pair, its hash, its side
+        for bit, side in enumerate(sides):
+            own = side[start:end]
+            pair = np.repeat(np.arange(len(own)), n[own])
+            at = np.arange(len(pair)) + np.repeat(begin[own] - (np.cumsum(n[own]) - n[own]), n[own])
+            keys.append(pair.astype(np.uint64) << np.uint64(53) | value[at] << np.uint64(1) | np.uint64(bit))
+        key = np.sort(np.concatenate(keys))
+        key = key[np.r_[True, key[1:] != key[:-1]]]
+        pair = (key >> np.uint64(53)).astype(np.int64)
+        both = np.bincount(pair[1:][key[1:] >> np.uint64(1) == key[:-1] >> np.uint64(1)], minlength=end - start)
+        out[start:end] = both >= similarity * (np.bincount(pair, minlength=end - start) - both)
+        start = end
     return out
 
 

@@ -255,3 +255,26 @@ def test_components(spark):
     edges = [(i, i + 1) for i in range(0, 60)] + [(100, k) for k in range(101, 160)] + [(200, 200), (None, 3), (7, 3)]
     out = {r["id"]: r["component_id"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert out == {**{i: 0 for i in range(61)}, **{k: 100 for k in range(100, 160)}}
+
+
+def test_line_comparison_equals_sets_of_runs():
+    rng = np.random.default_rng(5)
+    texts = ["é", "ab", "abcdefgh", "abcdefghi", "x" * 50, "x" * 9, "日本語" * 40]
+    texts += ["".join(map(chr, rng.integers(97, 100, n))) for n in (7, 8, 9, 60, 400)]
+    texts += [t[: len(t) // 2] + "?" + t[len(t) // 2 :] for t in texts if len(t) > 50]
+    a, b = [x for x in texts for _ in texts], texts * len(texts)
+    runs = [{t[k : k + 8] for k in range(max(1, len(t) - 7))} for t in texts]
+    want = [len(p & q) >= 0.8 * len(p | q) for p in runs for q in runs]
+    assert line_dedup.jaccard_at_least(a, b, 8, 0.8).tolist() == want and 0 < sum(want) - len(texts)
+
+
+def test_lines_of_small_and_large_groups_all_meet(spark, docs, monkeypatch):
+    rng = random.Random(6)
+    head = "".join(rng.choices("abcdefghij ", k=110))
+    tails = ["".join(rng.choices("klmnopqrst", k=17)) for _ in range(60)]
+    lines = [head + t for t in tails] + [head + t[:-1] + "z" for t in tails]
+    rows = list(enumerate(lines))
+    small = {r["doc_id"]: r["dropped"] for r in line_dedup.dedup_lines(docs(rows), 0.9).collect()}
+    monkeypatch.setattr(line_dedup, "SMALL", 3)
+    large = {r["doc_id"]: r["dropped"] for r in line_dedup.dedup_lines(docs(rows), 0.9).collect()}
+    assert small == large and [k for k, v in small.items() if v] == list(range(60, 120))
