@@ -226,6 +226,13 @@ class Inputs:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.root}/{name}.parquet")
 
+    def spread(self, name: str) -> DataFrame:
+        """A table whose rows cost far more than reading them, dealt over all cores.
+
+        A small file is one task, or a few, however many rows it holds; three tasks a core even out the rest.
+        """
+        return self.table(name).repartition(3 * self.spark.sparkContext.defaultParallelism)
+
     def derive(self, sql: str) -> DataFrame:
         for name in TABLES:
             if f" {name}" in sql:

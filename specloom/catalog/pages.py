@@ -31,7 +31,7 @@ def _spec_html(part):
         CASE WHEN p_partkey % 3 <> 0 THEN 'About & ' || CAST(p_size AS VARCHAR) || ' EUR' END FROM part
     UNION ALL SELECT p_partkey, 'Sound', NULL, NULL FROM part""")
 def _(i):
-    part = i.table("part")
+    part = i.spread("part")
     pages = part.select("p_partkey", _spec_html(part).alias("html"))
     return jobs.extract_spec_tables(pages, ["Body", "Misc", "Sound"], "p_partkey")
 
@@ -47,7 +47,7 @@ def _(i):
         cell(F.lit(" 256GB "), F.lit("€ 7")), cell(F.lit("   "), F.lit("€ 100")), F.lit("<tr><td>512GB</td><td>no link</td></tr>"),
         cell(F.lit("128GB 6GB RAM"), F.concat(F.lit("$ "), (C("p_size") + 1).cast("string"))), F.lit("</table>"))
     html = F.when(C("p_partkey") % 4 == 0, F.concat(F.lit("<table class=pricing>"), size)).otherwise(table)
-    return jobs.extract_price_table(i.table("part").select("p_partkey", html.alias("html")), "p_partkey")
+    return jobs.extract_price_table(i.spread("part").select("p_partkey", html.alias("html")), "p_partkey")
 
 
 @query("page_links", """
@@ -64,7 +64,7 @@ def _(i):
 def _(i):
     html = F.concat(F.lit("<table><tr><td><a href="), C("p_size").cast("string"), F.lit(".php>"), "p_name", F.lit("<br><span>"),
                     C("p_size").cast("string"), F.lit(" devices</span></a></td><td><a href='t.php'>"), "p_type", F.lit("<br>12 devices</a></td></tr></table>"))
-    return jobs.extract_brand_links(i.table("part").select("p_partkey", html.alias("html")), "https://x.example.com/", "p_partkey")
+    return jobs.extract_brand_links(i.spread("part").select("p_partkey", html.alias("html")), "https://x.example.com/", "p_partkey")
 
 
 @query("page_next_link", """
@@ -72,7 +72,7 @@ def _(i):
 def _(i):
     html = F.concat(F.lit('<a class="prevnextbutton" title="Previous page" href="p0">b</a>'), F.when(C("p_partkey") % 2 == 0, F.concat(
         F.lit('<a href="p'), (C("p_partkey") + 1).cast("string"), F.lit('" class="x prevnextbutton" title="Next page">n</a>'))).otherwise(F.lit("")))
-    return jobs.next_page(i.table("part").select("p_partkey", html.alias("html")), "https://x.example.com/", "p_partkey")
+    return jobs.next_page(i.spread("part").select("p_partkey", html.alias("html")), "https://x.example.com/", "p_partkey")
 
 
 @query("page_block_flag", """
