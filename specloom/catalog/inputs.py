@@ -233,10 +233,10 @@ class Inputs:
         """
         return self.table(name).repartition(3 * self.spark.sparkContext.defaultParallelism)
 
-    def derive(self, sql: str) -> DataFrame:
+    def derive(self, sql: str, spread: bool = False) -> DataFrame:
         for name in TABLES:
             if f" {name}" in sql:
-                self.table(name).createOrReplaceTempView(name)
+                (self.spread if spread else self.table)(name).createOrReplaceTempView(name)
         return self.spark.sql(sql)
 
     @cached_property
@@ -246,7 +246,7 @@ class Inputs:
     @cached_property
     def raw(self) -> DataFrame:
         """Raw specs under plain lower-case names."""
-        return self.derive(RAW_SQL)
+        return self.derive(RAW_SQL, spread=True)
 
     @cached_property
     def raw_pages(self) -> DataFrame:

@@ -22,6 +22,11 @@ def tasks(df):
     return df.select(F.spark_partition_id().alias("p")).distinct().count()
 
 
+def test_raw_pages_and_prices_of_one_file_are_read_by_many_tasks(spark, folder):
+    assert tasks(Inputs(spark, folder).raw_pages) > 1
+    assert sorted(r.part_id for r in Inputs(spark, folder).raw.select("part_id").collect()) == list(range(400))
+
+
 @pytest.mark.parametrize("name", ["page_spec_tables", "page_prices", "page_brand_links", "page_next_link"])
 def test_pages_of_one_file_are_parsed_by_many_tasks(spark, folder, name):
     assert tasks(QUERIES[name](spark, folder)) > 1
