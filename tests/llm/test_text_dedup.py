@@ -278,3 +278,14 @@ def test_lines_of_small_and_large_groups_all_meet(spark, docs, monkeypatch):
     monkeypatch.setattr(line_dedup, "SMALL", 3)
     large = {r["doc_id"]: r["dropped"] for r in line_dedup.dedup_lines(docs(rows), 0.9).collect()}
     assert small == large and [k for k, v in small.items() if v] == list(range(60, 120))
+
+
+def test_documents_meet_though_their_seeds_first_occur_apart(spark):
+    """Each seed of the passage of 50 and 51 has a first document of its own, none of which holds much of it."""
+    words = [f"w{i}" for i in range(60)]
+    pieces = [(i, " ".join([*(f"a{i}_{j}" for j in range(20)), *words[i : i + 12], *(f"b{i}_{j}" for j in range(20))])) for i in range(0, 49)]
+    both = [(n, " ".join([*(f"c{n}_{j}" for j in range(30)), *words, *(f"d{n}_{j}" for j in range(30))])) for n in (50, 51)]
+    frame = spark.createDataFrame([p for p in pieces if p[0] % 6 == 0] + both, "doc_id long, text string")
+    found = {r.doc_id: r for r in chaining.passages(frame).collect()}
+    assert 50 in found[51].partner_ids
+    assert found[51].begin <= 30 and found[51].end >= 90
