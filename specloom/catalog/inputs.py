@@ -218,10 +218,13 @@ class DerivedStar:
 
 
 class Inputs:
-    """Tables of one data folder, loaded when first asked for."""
+    """Tables of one data folder, loaded when first asked for.
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
+    With `dealt` the raw pages come in many tasks and in no order; else in the order of the file.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, dealt: bool = False):
+        self.spark, self.root, self.dealt = spark, root.rstrip("/"), dealt
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.root}/{name}.parquet")
@@ -246,7 +249,7 @@ class Inputs:
     @cached_property
     def raw(self) -> DataFrame:
         """Raw specs under plain lower-case names."""
-        return self.derive(RAW_SQL, spread=True)
+        return self.derive(RAW_SQL, spread=self.dealt)
 
     @cached_property
     def raw_pages(self) -> DataFrame:

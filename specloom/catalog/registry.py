@@ -19,7 +19,7 @@ def query(name: str, check: str | None = None):
     def add(fn: Callable[[Inputs], DataFrame]):
         if name in QUERIES:
             raise ValueError(f"query {name} is registered twice")
-        QUERIES[name] = lambda spark, root: fn(Inputs(spark, root))
+        QUERIES[name] = lambda spark, root: fn(Inputs(spark, root, dealt=True))
         if check is not None:
             CHECKS[name] = check
         return fn
