@@ -7,7 +7,8 @@ label is known share their weight. Its posterior labels train a linear classifie
 which then scores every document.
 
 Learning reads a bounded sample: at most `sample` labelled rows of each class, taken by a
-hash of the id. Scoring reads all documents and whole texts, without a shuffle.
+hash of the id. Its features are counted in tasks; the driver gets the counts and, of each row, the
+features that tell the classes apart. Scoring reads all documents and whole texts, without a shuffle.
 
 Defined results: a null or empty text scores what the intercept says; repeated rows score
 alike; other columns are ignored; without labelled rows of both classes every score is 0.
@@ -24,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from specloom.session import ship_package
+from specloom.session import drop_stored, ship_package, store
 
 from . import words as W
 
@@ -71,6 +72,30 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([rows.column("toxic").cast(pa.int32()), pa.array(_shouting(texts)), W.ragged(values.astype(np.int32), begin, pa.int32())], ["toxic", "shouting", "buckets"])
 
 
+def _bucket_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many of the rows, and of the toxic ones, have each feature."""
+    n, toxic = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
+    for batch in batches:
+        lists = batch.column("buckets")
+        flat = lists.flatten().to_numpy()
+        bad = np.repeat(batch.column("toxic").to_numpy() == 1, lists.value_lengths().to_numpy())
+        n += np.bincount(flat, minlength=BUCKETS)
+        toxic += np.bincount(flat[bad], minlength=BUCKETS)
+    held = np.flatnonzero(n)
+    yield pa.RecordBatch.from_arrays([pa.array(held.astype(np.int32)), pa.array(n[held]), pa.array(toxic[held])], ["bucket", "n", "bad"])
+
+
+def _only(batches: Iterator[pa.RecordBatch], held) -> Iterator[pa.RecordBatch]:
+    """Rows with those of their features that are wanted."""
+    for batch in batches:
+        lists = batch.column("buckets")
+        flat, size = lists.flatten().to_numpy(), lists.value_lengths().to_numpy()
+        keep = held.value[flat]
+        left = np.bincount(np.repeat(np.arange(len(size)), size)[keep], minlength=len(size))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("at"), batch.column("toxic"), batch.column("shouting"), W.ragged(flat[keep], np.r_[0, np.cumsum(left)], pa.int32())], ["at", "toxic", "shouting", "buckets"])
+
+
 @dataclass
 class Model:
     """A linear score over chosen feature buckets, and what the label model found."""
@@ -107,25 +132,32 @@ def train(documents: DataFrame, labels: DataFrame, sample: int = 5000, voters_pe
 
     Lexicons and patterns hold features at least `telling` times as frequent in toxic rows.
     """
-    ship_package(documents.sparkSession)
+    spark = documents.sparkSession
+    ship_package(spark)
     known = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     by_hash = lambda y: known.where(F.col("toxic") == y).orderBy(F.xxhash64("doc_id", F.lit(seed)), "doc_id").limit(sample)
     chosen = F.broadcast(by_hash(1).union(by_hash(0)))  # at most 2 * sample rows of two numbers
     rows = documents.select("doc_id", "text").join(chosen, "doc_id").select("toxic", "text").mapInArrow(_sets, "toxic int, shouting boolean, buckets array<int>")
-    table = rows.toArrow()
-    y = table["toxic"].to_numpy()
-    if len(y) == 0 or y.min() == y.max():
+    rows = store(rows.withColumn("at", F.monotonically_increasing_id()), "toxicity-sets")
+    n, n1 = (int(x or 0) for x in rows.agg(F.count("*"), F.sum("toxic")).first())
+    n0 = n - n1
+    if not n1 or not n0:
+        drop_stored(rows)
         return Model(np.zeros(BUCKETS, np.float32), -np.inf)
-    lists = table["buckets"].combine_chunks()
-    flat, begin = lists.flatten().to_numpy(), np.r_[0, np.cumsum(lists.value_lengths().to_numpy())]
-    row = np.repeat(np.arange(len(y)), np.diff(begin))
-    n1, n0 = int(y.sum()), int(len(y) - y.sum())
-    in1 = np.bincount(flat[y[row] == 1], minlength=BUCKETS)
-    in0 = np.bincount(flat[y[row] == 0], minlength=BUCKETS)
+    counted = rows.select("toxic", "buckets").mapInArrow(_bucket_counts, "bucket int, n long, bad long").groupBy("bucket").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).toArrow()
+    in1, in0 = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
+    in1[counted["bucket"].to_numpy()] = counted["bad"].to_numpy()
+    in0[counted["bucket"].to_numpy()] = counted["n"].to_numpy() - counted["bad"].to_numpy()
     rate1, rate0 = (in1 + 0.5) / (n1 + 1), (in0 + 0.5) / (n0 + 1)
     gain = rate1 * np.log(rate1 / rate0) + (1 - rate1) * np.log((1 - rate1) / (1 - rate0))
     least = max(3, min(12, 0.008 * n1))  # toxic rows that a feature must be in
     gain[(in1 < least) | (rate1 < telling * rate0)] = 0
+    held = spark.sparkContext.broadcast(gain > 0)
+    table = rows.mapInArrow(lambda it: _only(it, held), "at long, toxic int, shouting boolean, buckets array<int>").toArrow().sort_by("at")
+    drop_stored(rows)
+    y = table["toxic"].to_numpy()
+    lists = table["buckets"].combine_chunks()
+    flat, row = lists.flatten().to_numpy(), np.repeat(np.arange(n), lists.value_lengths().to_numpy())
     # each kind's best features, dealt in turn, are that kind's lexicons
     size, picked, votes = BUCKETS // 4, [], []
     rows_of = np.argsort(flat, kind="stable")

@@ -73,6 +73,23 @@ def test_toxicity_learns_planted_words(spark, docs):
     assert none[0]["score"] == 0
 
 
+def test_toxicity_sends_the_driver_only_features_that_tell(spark, docs, monkeypatch):
+    rows = [(i, " ".join(f"u{i}x{k}" for k in range(2000)) + (" vile" if i % 2 else " kind")) for i in range(60)]
+    labels = spark.createDataFrame([(i, 1, i % 2) for i, _ in rows], "doc_id long, quality int, toxic int")
+    frame, sent = docs(rows), []
+    kind = type(frame)
+    whole = kind.toArrow
+
+    def watched(self):
+        out = whole(self)
+        sent.append(sum(len(c) for c in out["buckets"].combine_chunks()) if "buckets" in out.column_names else 0)
+        return out
+
+    monkeypatch.setattr(kind, "toArrow", watched)
+    model = toxicity.train(frame, labels)
+    assert 0 < sum(sent) < 1000 and np.count_nonzero(model.weights)
+
+
 def test_label_model_weighs_voters():
     rng = np.random.default_rng(3)
     y = rng.random(4000) < 0.3
