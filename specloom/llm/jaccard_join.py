@@ -17,9 +17,12 @@ sets come last in that order, so common passages make no blocks. First every set
 compared with the set that is the smallest of most of its blocks, which joins large groups of
 near copies with one pair a set, and then with the other smallest ones that are still apart.
 That first set is its home: sets of one home, which meet in many blocks, are compared once, in
-a block of their own, and not in the others. Then trees find all remaining pairs across components; a block larger than
-`CHUNK` is cut into chunks, and only its sets outside the first one's component go to all
-of them. So no link that joins components is lost and no group is paired out.
+a block of their own, and not in the others. Blocks whose other sets are then of several components get
+trees, which find all remaining pairs across components; a block larger than `CHUNK` is cut into
+chunks, and only its sets outside the first one's component go to all of them. Tasks of blocks do not
+send these pairs on but a forest that ties their sets. The sets that forests tie are a group: they
+meet as whole sets in one task, or in one for each two chunks of a large group, which sends on
+the links that join components. So no such link is lost and no group is paired out.
 
 Sets and nodes are 64-bit hashes; two different sets of N get one hash with chance N*N/2**65.
 
@@ -42,8 +45,8 @@ from specloom.session import drop_stored, ship_package, store
 
 from . import packed as P
 from . import words as W
-from .components import components
-from .prefilter import semi_join
+from .components import components, forest
+from .prefilter import likely
 
 GROUPS = 128
 #: Coordinates of the tree's boxes: each adds up some groups; points are compared on all groups.
@@ -59,6 +62,8 @@ _MEMBER = np.dtype([("key", np.uint64), ("node", np.int64), ("size", np.int32)])
 _POINT = np.dtype([("key", np.uint64), ("node", np.int64), ("comp", np.int64), ("home", np.int64), ("size", np.int32), ("asks", np.int8), ("counts", np.uint16, GROUPS)])
 #: A count that may stand for a larger one.
 FULL = 0xFFFF
+#: Members of the sets that a chunk of a group holds.
+MEMBERS = 2_000_000
 #: Points that a map task holds before it sends them on.
 BLOCK = 100_000
 
@@ -228,15 +233,15 @@ PART = np.uint64((1 << 64) // 5)
 def _payload(batches: Iterator[pa.RecordBatch], width: int, runs: Runs) -> Iterator[pa.RecordBatch]:
     """Each text's shingles in two parts, by hash."""
     for batch in batches:
-        for _, texts in W.slices(batch, "text"):
+        for rows, texts in W.slices(batch, "text"):
             values, begin, size, node = sets(texts, width, runs)
             text = np.repeat(np.arange(texts.count), size)
             cut = begin[:-1] + np.bincount(text[values < PART], minlength=texts.count)
             held = values.tobytes()
             ends = [(8 * a, 8 * m, 8 * b) for a, m, b in zip(begin[:-1].tolist(), cut.tolist(), begin[1:].tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays([
-                pa.array(node), pa.array(size.astype(np.int32)), pa.array([held[a:m] for a, m, _ in ends], pa.binary()), pa.array([held[m:b] for _, m, b in ends], pa.binary())],
-                ["node", "size", "part", "rest"])
+                rows.column("doc_id"), pa.array(node), pa.array(size.astype(np.int32)), pa.array([held[a:m] for a, m, _ in ends], pa.binary()), pa.array([held[m:b] for _, m, b in ends], pa.binary())],
+                ["doc_id", "node", "size", "part", "rest"])
 
 
 def _enough(overlap: np.ndarray, sizes: np.ndarray, percent: float) -> np.ndarray:
@@ -385,20 +390,27 @@ def _sent_parts(table: pa.Table) -> tuple[np.ndarray, Parts]:
 
 
 def _search(table: pa.Table, percent: float) -> pa.Table:
-    """Pairs of a bucket's blocks that their trees and then their parts let pass."""
+    """A forest of the pairs of a bucket's blocks that their trees and then their parts let pass."""
     held = P.unpack(table, _POINT)
     nodes, parts = _sent_parts(table)
     sizes = np.zeros(len(nodes), np.int64)
     sizes[np.searchsorted(nodes, held["node"])] = held["size"]
     held = held[np.lexsort((held["node"], held["key"]))]  # so a whole block begins with its pivot
     first, size = P.runs(held["key"])
-    out, done = [np.zeros((0, 2), np.int64)], set()
-    waiting, near = [], []
+    done, waiting = set(), []
+    root = np.arange(len(nodes))  # the first set that each is tied to
 
     def sieve() -> None:
-        pairs = np.unique(np.concatenate(waiting), axis=0)
-        x, y = np.searchsorted(nodes, pairs[:, 0]), np.searchsorted(nodes, pairs[:, 1])
-        near.append(pairs[parts.can_be_near(x, y, sizes, percent)])
+        nonlocal root
+        pairs = np.unique(np.concatenate(waiting))
+        x, y = pairs // len(nodes), pairs % len(nodes)
+        apart = root[x] != root[y]
+        x, y = x[apart], y[apart]
+        near = parts.can_be_near(x, y, sizes, percent)
+        top = np.arange(len(nodes))
+        low, high = forest(root[x[near]], root[y[near]])
+        top[low] = high
+        root = top[root]
         waiting.clear()
 
     for a, n in zip(first.tolist(), size.tolist(), strict=True):
@@ -418,14 +430,69 @@ def _search(table: pa.Table, percent: float) -> pa.Table:
                 q, p = tree.pairs(asks, percent)
                 elsewhere = asks["home"][q] != tree.points["home"][p]  # sets of one home meet there, once
                 q, p = q[elsewhere], p[elsewhere]
-                x, y = asks["node"][q], tree.points["node"][p]
-                waiting.append(np.stack([np.minimum(x, y), np.maximum(x, y)], 1))
+                x, y = np.searchsorted(nodes, asks["node"][q]), np.searchsorted(nodes, tree.points["node"][p])
+                waiting.append(np.minimum(x, y) * len(nodes) + np.maximum(x, y))
         if sum(map(len, waiting)) > 200_000:
             sieve()
     if waiting:
         sieve()
-    pairs = np.unique(np.concatenate(out + near), axis=0)
-    return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
+    tied = np.flatnonzero(root != np.arange(len(nodes)))
+    return pa.table({"a": nodes[root[tied]], "b": nodes[tied]})
+
+
+def _meet(table: pa.Table, percent: float) -> pa.Table:
+    """Links that join the components of each group in the table, as edges between these."""
+    group, node, side = (table[c].to_numpy() for c in ("g", "node", "side"))
+    order = np.lexsort((node, side, group))
+    order = order[np.r_[True, (group[order][1:] != group[order][:-1]) | (node[order][1:] != node[order][:-1])]]  # a node's rows are alike
+    first, size = P.runs(group[order])
+    out = [np.zeros((0, 2), np.int64)]
+    for a, n in zip(first.tolist(), size.tolist(), strict=True):
+        rows = order[a : a + n]
+        held = table.select(["comp", "part", "rest"]).take(pa.array(rows))
+        sets = [np.frombuffer(p + q, np.uint64) for p, q in zip(held["part"].to_pylist(), held["rest"].to_pylist(), strict=True)]
+        out.append(_joins(sets, held["comp"].to_numpy(), side[rows], percent))
+    edges = np.concatenate(out)
+    return pa.table({"a": edges[:, 0], "b": edges[:, 1]})
+
+
+def _joins(sets: list[np.ndarray], comp: np.ndarray, side: np.ndarray, percent: float) -> np.ndarray:
+    """Edges between the components that links of the sets join; if there are two sides, links across them."""
+    size = np.array([len(v) for v in sets], np.int64)
+    begin = np.cumsum(size) - size
+    flat = np.concatenate(sets)
+    group = (W.mix(flat) >> np.uint64(32)).astype(np.int64) % GROUPS
+    values, flat = np.unique(flat, return_inverse=True)
+    points = np.zeros(len(sets), _POINT)
+    points["size"], points["comp"], points["node"] = size, comp, np.arange(len(sets))
+    counts = np.bincount(np.repeat(np.arange(len(sets)), size) * GROUPS + group, minlength=len(sets) * GROUPS)
+    points["counts"] = np.minimum(counts, FULL).reshape(-1, GROUPS)
+    across = bool(side.any())
+    tree, asks = RTree(points[side == 0]), points[side == 1] if across else points
+    named, label = np.unique(comp, return_inverse=True)
+    mark, edges = np.zeros(len(values), bool), []
+    for at in range(0, len(asks), 256):
+        q, p = tree.pairs(asks[at : at + 256], percent)
+        q, p = asks["node"][at : at + 256][q], tree.points["node"][p]
+        if not across:
+            q, p = q[q < p], p[q < p]
+        order = np.argsort(q, kind="stable")
+        q, p = q[order], p[order]
+        for start, n in zip(*map(np.ndarray.tolist, P.runs(q)), strict=True):
+            one, others = q[start], p[start : start + n]
+            others = others[label[others] != label[one]]
+            if not len(others):
+                continue
+            own = flat[begin[one] : begin[one] + size[one]]
+            mark[own] = True
+            ends = np.cumsum(size[others])
+            member = np.arange(ends[-1]) + np.repeat(begin[others] - ends + size[others], size[others])
+            shared = np.add.reduceat(mark[flat[member]], ends - size[others], dtype=np.int64)
+            mark[own] = False
+            met = np.unique(label[others[_enough(shared, size[others] + size[one], percent)]])
+            edges += [(named[label[one]], named[m]) for m in met]
+            label[np.isin(label, met)] = label[one]
+    return np.array(edges, np.int64).reshape(-1, 2)
 
 
 def groups(documents: DataFrame, percent: float = 80, width: int = 5, runs: Runs = word_runs) -> DataFrame:
@@ -450,6 +517,10 @@ def groups(documents: DataFrame, percent: float = 80, width: int = 5, runs: Runs
     leader = leader.join(blocks.select("node").distinct(), "node", "left_semi")
     points = store(nodes.join(leader, ["node", "doc_id"]).dropDuplicates(["node"]), "points")
 
+    def whole_sets(ids: DataFrame) -> DataFrame:
+        """Sets of these documents and of some others; they are cut before any join by id, which would send all texts."""
+        return likely(used, "doc_id", ids).mapInArrow(lambda it: _payload(it, width, runs), "doc_id long, node long, size int, part binary, rest binary")
+
     def links(pairs: DataFrame) -> DataFrame:
         """The pairs that the bound lets pass and the sets confirm."""
         held = points.select("node", F.col("size").cast("int"), "counts", "part")
@@ -457,7 +528,7 @@ def groups(documents: DataFrame, percent: float = 80, width: int = 5, runs: Runs
         passed = store(both.mapInArrow(lambda it: _filter(it, percent), "a long, b long"), "passed")
         involved = passed.select(F.col("a").alias("node")).union(passed.select(F.col("b").alias("node"))).distinct()
         ids = store(points.join(involved, "node", "left_semi").select("doc_id"), "set-ids")
-        shingled = store(semi_join(used, "doc_id", ids).mapInArrow(lambda it: _payload(it, width, runs), "node long, size int, part binary, rest binary"), "sets")
+        shingled = store(whole_sets(ids).join(ids.distinct(), "doc_id", "left_semi").drop("doc_id"), "sets")
         some = shingled.select("node", "size", "part")
         both = passed.join(some.toDF("a", "na", "xp"), "a").join(some.toDF("b", "nb", "yp"), "b")
         near = store(both.mapInArrow(lambda it: _partly(it, percent), "a long, b long"), "near")
@@ -476,22 +547,33 @@ def groups(documents: DataFrame, percent: float = 80, width: int = 5, runs: Runs
     apart = stars.join(known.toDF("a", "ca"), "a", "left").join(known.toDF("b", "cb"), "b", "left").where("a <> b AND coalesce(ca, a) <> coalesce(cb, b)")
     first = store(first.union(links(apart.select("a", "b").join(one, ["a", "b"], "left_anti"))), "star-links")
     joined = components(first)
-    # blocks that still hold several components
+    # blocks whose sets, which have all met the pivot, are of several components
     placed = points.select("node", F.col("size").cast("int"), "counts", "part").join(joined.toDF("node", "c"), "node", "left").withColumn("comp", F.coalesce("c", "node")).drop("c")
     placed = store(placed.join(homes, "node"), "placed-points")
     # the sets of one home are a block as well; there no two count as of one home
     members = homes.groupBy("home").agg(F.count("*").cast("int").alias("n")).where("n > 1").join(homes, "home")
     own = members.select(F.xxhash64("home").alias("token"), F.col("home").alias("pivot"), "node", "n", F.lit(True).alias("own"))
     blocks = blocks.withColumn("own", F.lit(False)).union(own)
+    blocks = store(blocks.join(placed.select("node", "comp", "home"), "node"), "labelled-blocks")
+    open_ = blocks.where("node <> pivot").groupBy("token", "own").agg(*(f(c).alias(f"{f.__name__}_{c}") for f in (F.min, F.max) for c in ("comp", "home")))
+    open_ = open_.where("min_comp <> max_comp AND (own OR min_home <> max_home)")
+    blocks = blocks.join(open_, ["token", "own"], "left_semi").drop("comp", "home")
     home = F.when(F.col("own"), F.col("node")).otherwise(F.col("home")).alias("home")
     whole = blocks.where(F.col("n") <= CHUNK).select("token", "node", "own").join(placed, "node").select("token", "node", "comp", home, "size", "counts", "part", F.lit(-1).cast("tinyint").alias("asks"), F.lit(0).alias("chunk"))
     large = blocks.where(F.col("n") > CHUNK).join(placed, "node").join(placed.select(F.col("node").alias("pivot"), F.col("comp").alias("main")), "pivot")
     large = large.withColumn("asks", (F.col("comp") != F.col("main")).cast("tinyint")).withColumn("chunks", F.ceil(F.col("n") / CHUNK).cast("int"))
     large = large.withColumn("chunk", F.explode(F.when(F.col("asks") == 1, F.sequence(F.lit(0), F.col("chunks") - 1)).otherwise(F.array(F.pmod(F.hash("node"), F.col("chunks"))))))
     pointed = whole.union(large.withColumn("home", home).select(whole.columns)).mapInArrow(lambda it: _points(it, count), f"{P.SHAPE}, parts binary")
-    rest = P.per_bucket(pointed, lambda t: _search(t, percent), "a long, b long").distinct()
-    every = first.union(links(rest.join(stars, ["a", "b"], "left_anti")))
-    final = components(every)
+    rest = P.per_bucket(pointed, lambda t: _search(t, percent), "a long, b long")
+    tied = store(components(rest).toDF("node", "g").join(placed.select("node", "size", "comp"), "node"), "tied")
+    # each group's sets meet in one task, those of a large one in a task for each two chunks
+    chunks = tied.groupBy("g").agg(F.ceil(F.greatest(F.count("*") / CHUNK, F.sum("size") / MEMBERS)).cast("int").alias("chunks"))
+    cells = tied.join(chunks, "g").select("g", "node", "comp", "chunks", F.pmod(F.hash("node"), F.col("chunks")).alias("own"))
+    cells = cells.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).withColumn("side", F.col("own") > F.col("other"))
+    small = F.pmod(F.xxhash64("g"), F.lit(count))
+    cells = cells.select("g", "node", "comp", "side", F.when(F.col("chunks") == 1, small).otherwise(F.xxhash64("g", F.least("own", "other"), F.greatest("own", "other"))).alias("cell"))
+    met = cells.join(whole_sets(points.join(tied, "node", "left_semi").select("doc_id")).drop("doc_id", "size"), "node").groupBy("cell").applyInArrow(lambda t: _meet(t, percent), "a long, b long")
+    final = components(first.union(met))
     known = nodes.join(final.toDF("node", "c"), "node", "left").select("doc_id", "size", F.when(F.col("size") > 0, F.coalesce("c", "node")).alias("c"))
     known = store(known, "placed")
     # rows of one id tie their sets together as well

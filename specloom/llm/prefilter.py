@@ -1,4 +1,4 @@
-"""Semi-joins that send only likely matches: a bounded bit table sieves rows before the shuffle."""
+"""A bounded bit table that sieves rows before a semi-join."""
 
 from __future__ import annotations
 
@@ -17,8 +17,3 @@ def likely(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
         F.bit_or(F.expr("shiftleft(1L, cast(__p & 63 as int))")).alias("__bits"))
     sieved = rows.withColumn("__p", place).withColumn("__word", F.shiftright("__p", 6)).join(F.broadcast(words), "__word")
     return sieved.where("shiftright(__bits, cast(__p & 63 as int)) & 1 = 1").select(rows.columns)
-
-
-def semi_join(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
-    """Rows whose long `key` occurs in `wanted`."""
-    return likely(rows, key, wanted).join(wanted.select(key).distinct(), key, "left_semi")

@@ -289,3 +289,62 @@ def test_documents_meet_though_their_seeds_first_occur_apart(spark):
     found = {r.doc_id: r for r in chaining.passages(frame).collect()}
     assert 50 in found[51].partner_ids
     assert found[51].begin <= 30 and found[51].end >= 90
+
+
+def near_copies(seed, n, words=120):
+    """Texts of one template, each with some words of its own: most pairs are candidates, few are links."""
+    rng = random.Random(seed)
+    base = [f"t{i}" for i in range(words)]
+    texts = [list(base) for _ in range(n)]
+    for t in texts:
+        for k in rng.sample(range(words), rng.choice([1, 2, 3])):
+            t[k] = f"own{rng.randrange(10**9)}"
+    return [(i, " ".join(t)) for i, t in enumerate(texts)]
+
+
+def linked(rows):
+    sets = [{tuple(t.split()[k : k + 5]) for k in range(len(t.split()) - 4)} for _, t in rows]
+    u = Union()
+    for a in range(len(sets)):
+        for b in range(a):
+            if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                u.join(rows[a][0], rows[b][0])
+    return {i: u.find(i) for i, _ in rows}
+
+
+def test_blocks_send_forests_and_groups_of_any_size_keep_all_links(spark, docs, monkeypatch):
+    rows = near_copies(9, 150)
+    want = linked(rows)
+    for limit in (4096, 20):  # one task for a group, then one for each two chunks
+        monkeypatch.setattr(jaccard_join, "CHUNK", limit)
+        got = {r["doc_id"]: r["component_id"] for r in jaccard_join.groups(docs(rows)).collect()}
+        assert got == want and 1 < len(set(want.values())) < 150
+    # tasks of blocks: pairs of n sets that may all be similar give n - 1 edges
+    n = 60
+    values = np.sort(np.random.default_rng(2).integers(0, 2**64, 110, dtype=np.uint64))
+    part = jaccard_join.parts_of(values, np.array([0, 110]), np.array([110]))[0]
+    counts = jaccard_join.pack_counts(np.bincount((W.mix(values) >> np.uint64(32)).astype(np.int64) % 128, minlength=128)[None])[0]
+    ids = list(range(1, n + 1))
+    batch = pa.RecordBatch.from_pydict({"token": [5] * n, "node": ids, "comp": ids, "home": ids, "size": pa.array([110] * n, pa.int32()), "counts": [counts] * n, "part": [part] * n,
+                                        "asks": pa.array([-1] * n, pa.int8()), "chunk": pa.array([0] * n, pa.int32())})
+    edges = jaccard_join._search(pa.Table.from_batches(list(jaccard_join._points([batch], 1))), 80)
+    assert edges.num_rows == n - 1 and set(edges["b"].to_pylist()) == set(ids[1:])
+
+
+def test_sets_of_a_group_join_as_brute_force_says():
+    rng = np.random.default_rng(4)
+    pool = np.sort(rng.integers(0, 2**64, 400, dtype=np.uint64))
+    sets = [np.sort(rng.choice(pool[a : a + 60], n, replace=False)) for a in (0, 30, 200) for n in rng.integers(40, 60, 30)]
+    comp = np.arange(len(sets)) // 2 * 2 + 1000
+    for side in (np.zeros(len(sets), bool), np.arange(len(sets)) % 3 == 1):
+        want, got = Union(), Union()
+        for a in range(len(sets)):
+            for b in range(a):
+                shared = len(np.intersect1d(sets[a], sets[b]))
+                if comp[a] != comp[b] and (not side.any() or side[a] != side[b]) and 180 * shared >= 80 * (len(sets[a]) + len(sets[b])):
+                    want.join(comp[a], comp[b])
+        edges = jaccard_join._joins(sets, comp, side, 80)
+        for a, b in edges.tolist():
+            got.join(a, b)
+        assert {c: got.find(c) for c in comp.tolist()} == {c: want.find(c) for c in comp.tolist()}
+        assert 0 < len(edges) < len(set(comp.tolist()))
