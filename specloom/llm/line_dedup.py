@@ -39,10 +39,15 @@ SMALL = 32
 _PAIR = np.dtype([("key", np.uint64), ("line", np.int64)])
 
 
-def lines(documents: DataFrame) -> DataFrame:
-    """(doc_id, no, line, h) of every line that is not blank, with the hash of its compared form."""
-    rows = documents.where("doc_id IS NOT NULL AND text IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), F.posexplode(F.split("text", "\n")).alias("no", "raw"))
-    return rows.select("doc_id", "no", F.lower(F.btrim("raw", F.lit(" \t\r\x0b\x0c"))).alias("line")).where("line <> ''").withColumn("h", F.xxhash64("line"))
+def raw_lines(documents: DataFrame) -> DataFrame:
+    """(doc_id, no, raw) of every line."""
+    return documents.where("doc_id IS NOT NULL AND text IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), F.posexplode(F.split("text", "\n")).alias("no", "raw"))
+
+
+def lines(raw: DataFrame) -> DataFrame:
+    """(doc_id, no, line, h) of the lines that are not blank, with the hash of their compared form."""
+    trimmed = F.btrim("raw", F.lit(" \t\r\x0b\x0c"))
+    return raw.where(trimmed != "").select("doc_id", "no", F.lower(trimmed).alias("line")).withColumn("h", F.xxhash64("line"))
 
 
 def shingle_sets(texts: list[str], width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -192,18 +197,21 @@ def _verify(batches: Iterator[pa.RecordBatch], width: int, similarity: float) ->
         yield pa.RecordBatch.from_arrays([batch.column("a").filter(good), batch.column("b").filter(good)], ["a", "b"])
 
 
-def line_components(found: DataFrame, seen: DataFrame, similarity: float = 0.8, width: int = 8, bands: int = 10, rows: int = 5) -> DataFrame:
+def line_components(raw: DataFrame, seen: DataFrame, similarity: float = 0.8, width: int = 8, bands: int = 10, rows: int = 5) -> DataFrame:
     """(id, component_id) over hashes of lines that are linked with others.
 
     `seen` names the first (doc_id, no) of each hash: only there a candidate's text is read.
     """
-    count = P.buckets(found.sparkSession)
-    packed = found.select("h", "line").mapInArrow(lambda it: _bands(it, count, width, bands, rows), P.SHAPE)
+    count = P.buckets(raw.sparkSession)
+    packed = lines(raw).select("h", "line").mapInArrow(lambda it: _bands(it, count, width, bands, rows), P.SHAPE)
     met = store(P.per_bucket(packed, _candidates, "a long, b long, g long"), "line-groups")
     pairs = store(met.where("g IS NULL").select("a", "b").distinct(), "line-pairs")
     wanted = pairs.select(F.col("a").alias("h")).union(pairs.select(F.col("b").alias("h"))).distinct()
     places = store(seen.join(wanted, "h", "left_semi").select("h", "place"), "line-places")
-    texts = likely(found, "h", places).select("h", "line", _place().alias("place")).join(places, ["h", "place"], "left_semi").select("h", "line")
+    # only lines at these places are brought to their compared form
+    wanted = places.withColumn("no", F.pmod("place", F.lit(1 << 32)).cast("int")).select(F.xxhash64(((F.col("place") - F.col("no")) / F.lit(1 << 32)).cast("long"), "no").alias("at"))
+    there = lines(likely(raw.withColumn("at", F.xxhash64("doc_id", "no")), "at", wanted))
+    texts = there.select("h", "line", _place().alias("place")).join(places, ["h", "place"], "left_semi").select("h", "line")
     texts = store(texts, "line-texts")
 
     def links(pairs: DataFrame) -> DataFrame:
@@ -241,10 +249,10 @@ def _place() -> Column:
 def dropped_lines(documents: DataFrame, similarity: float = 0.8, width: int = 8) -> DataFrame:
     """(doc_id, no) of each line that a line of its component comes before."""
     ship_package(documents.sparkSession)
-    found = lines(documents)
-    where = store(found.select("doc_id", "no", "h"), "line-places")
+    raw = raw_lines(documents)
+    where = store(lines(raw).select("doc_id", "no", "h"), "line-places")
     seen = store(where.groupBy("h").agg(F.min(_place()).alias("place"), F.count("*").alias("n")), "line-seen")
-    merged = store(line_components(found, seen, similarity, width).withColumnRenamed("id", "h"), "line-components")
+    merged = store(line_components(raw, seen, similarity, width).withColumnRenamed("id", "h"), "line-components")
     keepers = seen.join(merged, "h", "left").withColumn("c", F.coalesce("component_id", "h"))
     lowest = keepers.where("component_id IS NOT NULL").groupBy("c").agg(F.min("place").alias("lowest"))
     keepers = keepers.where("n > 1 OR component_id IS NOT NULL").join(lowest, "c", "left").select("h", F.coalesce("lowest", "place").alias("keeper"))

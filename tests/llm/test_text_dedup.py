@@ -348,3 +348,10 @@ def test_sets_of_a_group_join_as_brute_force_says():
             got.join(a, b)
         assert {c: got.find(c) for c in comp.tolist()} == {c: want.find(c) for c in comp.tolist()}
         assert 0 < len(edges) < len(set(comp.tolist()))
+
+
+def test_lines_are_found_at_places_of_negative_ids(spark, docs):
+    one, other = "A line of some length that two documents hold", "quite another one, long enough to be compared"
+    rows = [(-7, f"x\n\n {one} \n{other}"), (-(2**40), f"y\n{one.upper()}!"), (3, f"{other}?\n{one}")]
+    got = {r["doc_id"]: r["dropped"] for r in line_dedup.dedup_lines(docs(rows)).collect()}
+    assert got == {-(2**40): None, -7: [2], 3: [0, 1]}
