@@ -255,6 +255,30 @@ def decode_ids(ids: list[int], vocabulary: Vocabulary) -> str:
 
 
 
+def _encoded(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary, column: str, into: str) -> Iterator[pa.RecordBatch]:
+    encoder = Encoder(vocabulary)
+    for batch in batches:
+        for rows, _ in W.slices(batch, column):
+            ids = encoder.encode_all(rows.column(column).to_pylist())
+            begin = np.r_[0, np.cumsum([len(x or b"") // 4 for x in ids])].astype(np.int32)
+            values = np.frombuffer(b"".join(x or b"" for x in ids), np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(begin), pa.array(values), mask=pa.array([x is None for x in ids]))
+            yield pa.RecordBatch.from_arrays([*rows.columns, lists], [*rows.schema.names, into])
+
+
+def _decoded(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary, column: str, into: str) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, 500):
+            rows = batch.slice(at, 500)
+            lists = rows.column(column)
+            flat, ends = lists.flatten().to_numpy(), np.r_[0, np.cumsum(lists.value_lengths().fill_null(0).to_numpy())]
+            data, begin = vocabulary.bytes_for(flat)
+            data, cut = data.tobytes(), begin[ends].tolist()
+            # a text's first byte is the blank put before it
+            texts = [None if null else data[min(a + 1, b) : b].decode("utf-8", "replace") for null, a, b in zip(lists.is_null().to_pylist(), cut[:-1], cut[1:], strict=True)]
+            yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(texts, pa.string())], [*rows.schema.names, into])
+        W.tidy()
+
 
 def encode(documents: DataFrame, path: str = PIECES, column: str = "text", into: str = "ids") -> DataFrame:
     """Documents with the ids of their text."""
@@ -262,21 +286,7 @@ def encode(documents: DataFrame, path: str = PIECES, column: str = "text", into:
     ship_package(spark)
     held = spark.sparkContext.broadcast(load(path))
     base = documents.drop(into)
-    names = base.columns
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(held.value)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                rows = batch.slice(at, 500)
-                ids = encoder.encode_all(rows.column(column).to_pylist())
-                begin = np.r_[0, np.cumsum([len(x or b"") // 4 for x in ids])].astype(np.int32)
-                values = np.frombuffer(b"".join(x or b"" for x in ids), np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(begin), pa.array(values), mask=pa.array([x is None for x in ids]))
-                yield pa.RecordBatch.from_arrays([*rows.columns, lists], [*names, into])
-            W.tidy()
-
-    return base.mapInArrow(run, StructType([*base.schema.fields]).add(into, ArrayType(IntegerType())))
+    return base.mapInArrow(lambda it: _encoded(it, held.value, column, into), StructType([*base.schema.fields]).add(into, ArrayType(IntegerType())))
 
 
 def decode(encoded: DataFrame, path: str = PIECES, column: str = "ids", into: str = "decoded") -> DataFrame:
@@ -285,20 +295,17 @@ def decode(encoded: DataFrame, path: str = PIECES, column: str = "ids", into: st
     ship_package(spark)
     held = spark.sparkContext.broadcast(load(path))
     base = encoded.drop(into)
-    names = base.columns
+    return base.mapInArrow(lambda it: _decoded(it, held.value, column, into), StructType([*base.schema.fields]).add(into, StringType()))
+
+
+def encode_and_decode(documents: DataFrame, path: str = PIECES, column: str = "text") -> DataFrame:
+    """`decode(encode(documents))` in one pass: a task has one Python worker with one vocabulary, not two."""
+    spark = documents.sparkSession
+    ship_package(spark)
+    held = spark.sparkContext.broadcast(load(path))
+    base = documents.drop("ids", "decoded")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = held.value
-        for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                rows = batch.slice(at, 500)
-                lists = rows.column(column)
-                flat, ends = lists.flatten().to_numpy(), np.r_[0, np.cumsum(lists.value_lengths().fill_null(0).to_numpy())]
-                data, begin = vocabulary.bytes_for(flat)
-                data, cut = data.tobytes(), begin[ends].tolist()
-                # a text's first byte is the blank put before it
-                texts = [None if null else data[min(a + 1, b) : b].decode("utf-8", "replace") for null, a, b in zip(lists.is_null().to_pylist(), cut[:-1], cut[1:], strict=True)]
-                yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(texts, pa.string())], [*names, into])
-            W.tidy()
-
-    return base.mapInArrow(run, StructType([*base.schema.fields]).add(into, StringType()))
+        return _decoded(_encoded(batches, held.value, column, "ids"), held.value, "ids", "decoded")
+
+    return base.mapInArrow(run, StructType([*base.schema.fields]).add("ids", ArrayType(IntegerType())).add("decoded", StringType()))

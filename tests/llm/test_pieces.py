@@ -57,5 +57,16 @@ def test_round_trip_and_odd_rows(spark, docs):
         assert r["text"] != "" or r["ids"] == []
 
 
+def test_both_ways_in_one_pass(spark, docs):
+    rows = list(enumerate([*random_texts(3), None, "", "▁", "wort " * 30_000]))
+    frame = docs(rows).withColumnRenamed("lang", "ids")
+    both = P.encode_and_decode(frame)
+    key = lambda r: r["doc_id"]
+    assert sorted(both.collect(), key=key) == sorted(P.decode(P.encode(frame)).collect(), key=key)
+    # one pass is one Python worker a task: two with a vocabulary each took an executor over its memory
+    plan = both._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+
+
 def test_empty_table(spark, docs):
     assert P.encode(docs([])).count() == 0
