@@ -1,9 +1,15 @@
 """Language-model scoring with an Elias-Fano n-gram trie.
 
-Counts of all one-, two- and three-word runs of the training texts decide the model: runs
-that make up at least `rarest` of all training tokens are kept, a bar that is the same at
-every size and bounds each level by 1 / rarest entries. A longer run is counted only if its
-shorter parts are kept, which loses none that could pass the bar.
+Counts of all one-, two- and three-word runs of the training texts decide the model. Runs that
+make up at least `rarest` of all training tokens are kept in the trie, a bar that is the same at
+every size and bounds each level by 1 / rarest entries. A longer run is counted for the trie only
+if its shorter parts are kept, which loses none that could pass the bar.
+
+All other runs (`Rest`) are counted exactly by a join: texts are dealt to blocks, each block sends
+its distinct runs that the trie lacks, with the word or pair they follow, to buckets by what they
+follow (by the whole run where that is very frequent). A bucket adds up the blocks' counts and
+answers each block in the order it asked, so no run is left to back-off for being rare. Followers
+that the trie lacks are counted into the back-off weights of what the trie holds.
 
 A level of the trie holds, for each run of the level above, its last words as ascending
 numbers. The numbers are made one monotone sequence by adding each parent's base and stored
@@ -13,9 +19,6 @@ first one (its context), so its numbers are small. Log probabilities (absolute d
 and back-off weights are quantised to 256 values a level. The levels are arrays of bytes that
 a worker maps from one file; queries look for the successor in the parent's range.
 
-The vocabulary's rare words are not in the trie: their share of the score is the smoothed
-unigram probability, which a join with the counts of all words gives exactly.
-
 Defined results: a null or empty text has one token, the end; rows that repeat score alike
 and count as often; rows without id are scored and learned from; columns other than doc_id
 and text are left out; without training texts counts are 0. An empty table gives no rows.
@@ -23,10 +26,10 @@ and text are left out; without training texts counts are 0. An empty table gives
 
 from __future__ import annotations
 
-import math
 import mmap
 import tempfile
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +44,15 @@ from . import words as W
 END = W.hash_bytes(b"\x00end of text")
 #: No word is like this: it separates texts in runs of word numbers.
 ABSENT = -1
+DISCOUNT = 0.6
+#: Words or pairs that make up this share of all tokens have their followers dealt over all buckets.
+HOT = 1e-4
+#: Bytes of text of a block.
+BLOCK = 4_000_000
+#: Marks hashes, where numbers stand for what the trie holds.
+HASH = np.uint64(1 << 63)
+#: Marks pairs of words that the trie holds, where it lacks the pair (1 and 2: words and pairs that it holds, 0: nothing).
+PAIR = 3
 
 
 def held_out(doc_id: Column) -> Column:
@@ -67,6 +79,11 @@ class EliasFano:
     def _index(self) -> None:
         """Ones before each byte of the upper bits, to find the i-th one."""
         self.before = np.r_[0, np.cumsum(_ONES[self.high])].astype(np.int64)
+        # how many numbers have smaller upper bits: the ones before the zero that ends those
+        zero = np.flatnonzero(np.unpackbits(self.high, bitorder="little") == 0)
+        self.below = np.r_[0, zero - np.arange(len(zero))].astype(np.int32)
+        # the eight bytes from each byte on
+        self.eight = np.ndarray(max(len(self.low) - 8, 1), "<u8", self.low.tobytes(), strides=(1,))
 
     def parts(self) -> list[np.ndarray]:
         return [self.low, self.high]
@@ -82,26 +99,33 @@ class EliasFano:
         """The numbers at places i."""
         byte = np.searchsorted(self.before, i, "right") - 1
         upper = byte * 8 + _PLACE[self.high[byte], i - self.before[byte]] - i
+        return (upper << self.low_bits) | self._low(i)
+
+    def _low(self, i: np.ndarray) -> np.ndarray:
+        """The lower bits of the numbers at places i."""
         at = i * self.low_bits
-        word = np.zeros(len(i), np.uint64)
-        for k in range(0, self.low_bits + 7, 8):
-            word |= self.low[np.minimum((at >> 3) + k // 8, len(self.low) - 1)].astype(np.uint64) << np.uint64(k)
-        low = (word >> (at & 7).astype(np.uint64)) & np.uint64((1 << self.low_bits) - 1)
-        return (upper << self.low_bits) | low.astype(np.int64)
-
-    def find(self, value: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
-        """Successor search: the place of each value in its range, or -1."""
-        low, high = start.copy(), stop.copy()
-        live = np.flatnonzero(low < high)
-        while len(live):
-            middle = (low[live] + high[live]) >> 1
-            less = self[middle] < value[live]
+        return ((self.eight[at >> 3] >> (at & 7).astype(np.uint64)) & np.uint64((1 << self.low_bits) - 1)).astype(np.int64)
+
+    def find(self, value: np.ndarray) -> np.ndarray:
+        """Successor search: the place of each value, or -1."""
+        hit = np.full(len(value), -1, np.int64)
+        if not self.n or not len(value):
+            return hit
+        high, wanted = value >> self.low_bits, value & ((1 << self.low_bits) - 1)
+        known = high < len(self.below) - 1
+        high = np.where(known, high, 0)
+        low, stop = self.below[high].astype(np.int64), self.below[high + 1].astype(np.int64)
+        stop[~known] = low[~known]
+        end = stop.copy()
+        live = np.flatnonzero(low < end)
+        while len(live):  # among numbers of equal upper bits only the lower ones are read
+            middle = (low[live] + end[live]) >> 1
+            less = self._low(middle) < wanted[live]
             low[live[less]] = middle[less] + 1
-            high[live[~less]] = middle[~less]
-            live = live[low[live] < high[live]]
+            end[live[~less]] = middle[~less]
+            live = live[low[live] < end[live]]
         found = np.flatnonzero(low < stop)
-        hit = np.full(len(value), -1, np.int64)
-        good = found[self[low[found]] == value[found]]
+        good = found[self._low(low[found]) == wanted[found]]
         hit[good] = low[good]
         return hit
 
@@ -126,25 +150,33 @@ def quantise(values: np.ndarray, levels: int = 256) -> tuple[np.ndarray, np.ndar
 class Trie:
     """Levels of words, pairs and triples; `words` are the kept words' hashes in order."""
 
-    def __init__(self, words: np.ndarray, base: np.ndarray, count: np.ndarray, pairs: np.ndarray, pair_n: np.ndarray, triples: np.ndarray, triple_n: np.ndarray, discount: float = 0.6):
-        """`pairs` and `triples` hold word numbers in order of rows; `base`: the words' unigram log10 probabilities."""
+    def __init__(self, words: np.ndarray, base: np.ndarray, count: np.ndarray, pairs: np.ndarray, pair_n: np.ndarray, triples: np.ndarray, triple_n: np.ndarray, followers: tuple[np.ndarray, np.ndarray] | None = None):
+        """`pairs` and `triples` hold word numbers in order of rows; `base`: the words' unigram log10 probabilities;
+        `followers`: how many kinds of words that the trie lacks follow each word and each pair."""
         v = len(words)
         self.words = words
         first = np.searchsorted(pairs[:, 0], np.arange(v + 1))
         total = np.maximum(count, 1)
-        share = (pair_n - discount) / total[pairs[:, 0]]
-        left = 1 - np.bincount(pairs[:, 0], share, v)
+
+        def elsewhere(above, n, whole, kinds):
+            """The share of the runs that the trie lacks."""
+            return np.where(kinds > 0, (whole - np.bincount(above, n, len(whole)) - DISCOUNT * kinds) / whole, 0.0)
+
+        share = (pair_n - DISCOUNT) / total[pairs[:, 0]]
+        lacking = elsewhere(pairs[:, 0], pair_n, total, followers[0]) if followers is not None else 0.0
+        left = 1 - np.bincount(pairs[:, 0], share, v) - lacking
         covered = np.bincount(pairs[:, 0], 10.0 ** base[pairs[:, 1]], v)
-        weight1 = np.maximum(left, 1e-6) / np.maximum(1 - covered, 1e-6)
         p2 = share + left[pairs[:, 0]] * 10.0 ** base[pairs[:, 1]]
-        weight1 = np.maximum(1 - np.bincount(pairs[:, 0], p2, v), 1e-6) / np.maximum(1 - covered, 1e-6)
+        weight1 = np.maximum(1 - lacking - np.bincount(pairs[:, 0], p2, v), 1e-6) / np.maximum(1 - covered, 1e-6)
         pair_key = pairs[:, 0].astype(np.int64) * v + pairs[:, 1]
         above = np.searchsorted(pair_key, triples[:, 0].astype(np.int64) * v + triples[:, 1])
         context = np.searchsorted(pair_key, triples[:, 1].astype(np.int64) * v + triples[:, 2])
-        share = (triple_n - discount) / np.maximum(pair_n, 1)[above]
-        left = 1 - np.bincount(above, share, len(pairs))
+        total = np.maximum(pair_n, 1)
+        share = (triple_n - DISCOUNT) / total[above]
+        lacking = elsewhere(above, triple_n, total, followers[1]) if followers is not None else 0.0
+        left = 1 - np.bincount(above, share, len(pairs)) - lacking
         p3 = share + left[above] * p2[context]
-        weight2 = np.maximum(1 - np.bincount(above, p3, len(pairs)), 1e-6) / np.maximum(1 - np.bincount(above, p2[context], len(pairs)), 1e-6)
+        weight2 = np.maximum(1 - lacking - np.bincount(above, p3, len(pairs)), 1e-6) / np.maximum(1 - np.bincount(above, p2[context], len(pairs)), 1e-6)
         second = np.searchsorted(above, np.arange(len(pairs) + 1))
         # a triple's last word as its place among the children of its middle word
         relative = context - first[triples[:, 1]]
@@ -158,10 +190,13 @@ class Trie:
         self.codes, self.tables = {}, {}
         for name, values in (("p1", base), ("w1", log(weight1)), ("p2", log(p2)), ("w2", log(weight2)), ("p3", log(p3))):
             self.codes[name], self.tables[name] = quantise(values)
+        self.n1, self.n2 = count.astype(np.float64), pair_n.astype(np.float64)
+        self.rank = np.empty(v, np.int32)  # by frequency: frequent words have small numbers, which pack well
+        self.rank[np.argsort(-self.n1, kind="stable")] = np.arange(v)
 
     def dump(self) -> tuple[bytes, dict]:
         """All arrays in one run of bytes, and where each lies."""
-        arrays = {"words": self.words, **{f"c.{k}": c for k, c in self.codes.items()}, **{f"t.{k}": t for k, t in self.tables.items()}}
+        arrays = {"words": self.words, "n1": self.n1, "n2": self.n2, "rank": self.rank, **{f"c.{k}": c for k, c in self.codes.items()}, **{f"t.{k}": t for k, t in self.tables.items()}}
         for name, level in self.levels.items():
             arrays |= {f"l.{name}": level.low, f"h.{name}": level.high}
         at, where, out = 0, {}, []
@@ -182,7 +217,7 @@ class Trie:
         mapped = mmap.mmap(file.fileno(), 0, access=mmap.ACCESS_READ)
         new = cls.__new__(cls)
         get = lambda name: np.frombuffer(mapped, meta["arrays"][name][2], meta["arrays"][name][1], meta["arrays"][name][0])
-        new.words, new.meta = get("words"), meta
+        new.words, new.n1, new.n2, new.rank, new.meta = get("words"), get("n1"), get("n2"), get("rank"), meta
         new.levels = {n: EliasFano.of(*shape, get(f"l.{n}"), get(f"h.{n}")) for n, shape in meta["levels"].items()}
         names = ("p1", "w1", "p2", "w2", "p3")
         new.codes, new.tables = {n: get(f"c.{n}") for n in names}, {n: get(f"t.{n}") for n in names}
@@ -195,32 +230,52 @@ class Trie:
         """Word numbers; words that are not kept have -1."""
         return _numbers(self.words, hashes)
 
-    def log10(self, before: np.ndarray, last: np.ndarray, word: np.ndarray) -> np.ndarray:
-        """log10 P(word | before last); for a word that is not kept the back-off alone, without its unigram share."""
+    def places(self, before: np.ndarray, last: np.ndarray, word: np.ndarray, follows: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Places of the pairs (last, word), the pairs (before, last) and the triples, or -1.
+
+        With `follows` the tokens are those of texts in order: a token's context is the pair that ends before it.
+        """
         v, widest = self.meta["v"], self.meta["widest"]
-        out = np.where(word >= 0, self.value("p1", np.maximum(word, 0)) if v else 0.0, 0.0)
-        known = np.flatnonzero(last >= 0)
-        if not len(known):
-            return out
-        start, stop = self.levels["pair_at"][last[known]], self.levels["pair_at"][last[known] + 1]
-        pair = np.full(len(word), -1, np.int64)
-        pair[known] = self.levels["pairs"].find(last[known] * v + np.maximum(word[known], 0), start, np.where(word[known] >= 0, stop, start))
-        out[known] += self.value("w1", last[known])
-        hit = np.flatnonzero(pair >= 0)
-        out[hit] = self.value("p2", pair[hit])
-        both = np.flatnonzero((before >= 0) & (last >= 0))
-        start, stop = self.levels["pair_at"][before[both]], self.levels["pair_at"][before[both] + 1]
-        context = self.levels["pairs"].find(before[both] * v + last[both], start, stop)
-        both, context = both[context >= 0], context[context >= 0]
-        if len(both):
-            out[both] += self.value("w2", context)
-            inside = pair[both] >= 0  # context-relative: the word's place among the children of `last`
-            both, context = both[inside], context[inside]
-            relative = pair[both] - self.levels["pair_at"][last[both]]
-            start, stop = self.levels["triple_at"][context], self.levels["triple_at"][context + 1]
-            triple = self.levels["triples"].find(context * widest + relative, start, stop)
-            out[both[triple >= 0]] = self.value("p3", triple[triple >= 0])
-        return out
+        pair, context, triple = (np.full(len(word), -1, np.int64) for _ in range(3))
+        at = np.flatnonzero((last >= 0) & (word >= 0))
+        pair[at] = self.levels["pairs"].find(last[at] * v + word[at])
+        at = np.flatnonzero((before >= 0) & (last >= 0))
+        context[at] = pair[at - 1] if follows else self.levels["pairs"].find(before[at] * v + last[at])
+        at = np.flatnonzero((context >= 0) & (pair >= 0))
+        relative = pair[at] - self.levels["pair_at"][last[at]]  # the word's place among the children of `last`
+        triple[at] = self.levels["triples"].find(context[at] * widest + relative)
+        return pair, context, triple
+
+    def log10(self, before: np.ndarray, last: np.ndarray, word: np.ndarray, places: tuple | None = None, rest: Rest | None = None) -> np.ndarray:
+        """log10 P(word | before last) of kept words, and of all others with the counts of `rest`."""
+        pair, context, triple = places or self.places(before, last, word)
+        rest = rest or Rest.none(len(word))
+        out = 10.0 ** np.where(word >= 0, self.value("p1", np.maximum(word, 0)) if self.meta["v"] else 0.0, rest.base)
+        for n, above, run, weight, prob, level in ((self.n1, last, pair, "w1", "p2", 0), (self.n2, context, triple, "w2", "p3", 1)):
+            count, whole, kinds = rest.counts[level]
+            # what follows a word or pair that is not kept
+            share, left = np.maximum(count - DISCOUNT, 0) / np.maximum(whole, 1), np.where(whole > 0, DISCOUNT * kinds / np.maximum(whole, 1), 1.0)
+            kept = np.flatnonzero(above >= 0)
+            share[kept] = np.maximum(count[kept] - DISCOUNT, 0) / n[above[kept]]
+            left[kept] = 10.0 ** self.value(weight, above[kept])
+            out = share + left * out
+            hit = np.flatnonzero(run >= 0)
+            out[hit] = 10.0 ** self.value(prob, run[hit])
+        return np.log10(out)
+
+
+@dataclass
+class Rest:
+    """What the trie lacks, for each token: the log10 probability of a word that is not kept, and for
+    the runs of two and of three words that end here their count and the count and kinds of all that
+    follow the same word or pair (0 where the trie has these)."""
+
+    base: np.ndarray
+    counts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]
+
+    @classmethod
+    def none(cls, n: int) -> Rest:
+        return cls(np.zeros(n), [(np.zeros(n), np.zeros(n), np.zeros(n))] * 2)
 
 
 def _numbers(words: np.ndarray, hashes: np.ndarray) -> np.ndarray:
@@ -293,12 +348,160 @@ def _level(texts: DataFrame, order: int, held, least: float) -> tuple[np.ndarray
     return key[by], n[by]
 
 
+_ASK = np.dtype([("above", np.uint64), ("word", np.uint64), ("n", np.uint32)])
+_ANSWER = np.dtype([("n", np.uint32), ("whole", np.uint32), ("kinds", np.uint32)])
+_FOLLOWERS = np.dtype([("above", np.uint64), ("kinds", np.uint32)])
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of about `BLOCK` bytes of text each, packed."""
+    held, size = [], 0
+
+    def packed() -> pa.RecordBatch:
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, held[0].schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+            out.write_table(pa.Table.from_batches(held))
+        return pa.record_batch({"texts": pa.array([sink.getvalue().to_pybytes()], pa.binary())})
+
+    for batch in batches:
+        for rows, texts in W.slices(batch, "text"):
+            held.append(rows)
+            size += len(texts.data)
+            if size >= BLOCK:
+                yield packed()
+                held, size = [], 0
+    if held:
+        yield packed()
+
+
+def _open(texts: bytes) -> pa.Table:
+    return pa.ipc.open_stream(texts).read_all()
+
+
+class Block:
+    """The tokens of a block of texts, their places in the trie, and the runs that the trie lacks."""
+
+    def __init__(self, table: pa.Table, trie: Trie, buckets: int, hot: float):
+        parts = [_tokens(texts) for batch in table.to_batches() for _, texts in W.slices(batch, "text")]
+        self.size = np.concatenate([np.diff(first) for _, first in parts])
+        self.token = token = np.concatenate([t for t, _ in parts])
+        first = np.cumsum(self.size) - self.size
+        self.text = np.repeat(np.arange(len(self.size)), self.size)
+        self.number = number = trie.numbers(token)
+        place = np.arange(len(token)) - first[self.text]
+        back = lambda x, k, fill: np.r_[np.full(k, fill, x.dtype), x[: len(x) - k]]
+        self.last = np.where(place > 0, back(number, 1, ABSENT), ABSENT)
+        self.before = np.where(place > 1, back(number, 2, ABSENT), ABSENT)
+        self.places = pair, context, triple = trie.places(self.before, self.last, number, follows=True)
+        rank = np.where(number >= 0, trie.rank[np.maximum(number, 0)] if len(trie.rank) else 0, 0).astype(np.int64)
+        word = np.where(number >= 0, rank.astype(np.uint64), token | HASH)
+        previous = back(token, 1, END)
+        kept = lambda level, at: np.uint64(level << 60) | np.maximum(at, 0).astype(np.uint64)
+        both = np.where(
+            (self.before >= 0) & (self.last >= 0), kept(PAIR, back(rank, 2, 0) << 24 | back(rank, 1, 0)),
+            W.mix(back(token, 2, END) * np.uint64(3) + W.mix(previous)) | HASH)
+        levels = [  # what lacks, what it follows, and whether that is so frequent that runs are dealt one by one
+            (number < 0, np.zeros(len(token), np.uint64), np.ones(len(token), bool)),
+            ((place > 0) & (pair < 0), np.where(self.last >= 0, kept(1, self.last), W.mix(previous) | HASH), _frequent(trie.n1, self.last, hot)),
+            ((place > 1) & (triple < 0), np.where(context >= 0, kept(2, context), both), _frequent(trie.n2, context, hot))]
+        self.at = [np.flatnonzero(lacks) for lacks, _, _ in levels]
+        above = np.concatenate([a[at] for at, (_, a, _) in zip(self.at, levels, strict=True)])
+        spread = np.concatenate([s[at] for at, (_, _, s) in zip(self.at, levels, strict=True)])
+        where = np.concatenate(self.at)
+        word = word[where]
+        run = W.mix(above ^ W.mix(word))
+        bucket = (np.where(spread, run, W.mix(above)) >> np.uint64(20)) % np.uint64(buckets)
+        # equal runs side by side, in each bucket near the order of what they follow and of words
+        level, first24 = above >> np.uint64(60), np.uint64(40)
+        major = np.where(level == 0, word >> first24, np.where(level < PAIR, above, np.where(level == PAIR, above >> np.uint64(24), above >> first24)))
+        minor = np.where(level == 0, word >> np.uint64(16), np.where((level < PAIR) & (word < HASH), word, np.where(level < PAIR, word >> first24, run >> first24)))
+        low24 = np.uint64((1 << 24) - 1)
+        key = bucket << np.uint64(48) | (major & low24) << np.uint64(24) | minor & low24
+        order = np.argsort(key)
+        key = key[order]
+        mixed = np.flatnonzero((key[1:] == key[:-1]) & (run[order[1:]] != run[order[:-1]]))
+        if len(mixed):  # unequal runs with equal keys: their order must not hang on that of the rows
+            mixed = np.flatnonzero(np.isin(key, key[mixed]))
+            some = order[mixed]
+            order[mixed] = some[np.lexsort((word[some], above[some], key[mixed]))]
+        above, word, self.where = above[order], word[order], where[order]
+        self.order = order
+        new = np.ones(len(order), bool)
+        new[1:] = (above[1:] != above[:-1]) | (word[1:] != word[:-1])
+        self.begin = np.flatnonzero(new)
+        self.of = np.cumsum(new) - 1
+        self.above, self.word, self.bucket = above[new], word[new], bucket[order][new].astype(np.int64)
+
+    def asked(self, training: np.ndarray, block: int) -> pa.RecordBatch:
+        """Rows of each bucket's runs with their counts in training texts."""
+        rows = np.empty(len(self.begin), _ASK)
+        rows["above"], rows["word"] = self.above, self.word
+        if len(rows):
+            rows["n"] = np.add.reduceat(training[self.text[self.where]].astype(np.int64), self.begin)
+        first, size = P.runs(self.bucket)
+        packed = [P.squeeze(rows[a : a + n]) for a, n in zip(first.tolist(), size.tolist(), strict=True)]
+        return pa.record_batch({"bucket": pa.array(self.bucket[first], pa.int32()), "block": pa.array([block] * len(first), pa.int64()), "n": pa.array(size, pa.int32()), "packed": pa.array(packed, pa.binary())})
+
+    def rest(self, answers: pa.Table, whole: float) -> tuple[Rest, np.ndarray]:
+        """What the buckets answered, for each token, and which words that are not kept are known."""
+        parts = sorted(zip(answers["bucket"].to_pylist(), answers["n"].to_pylist(), answers["packed"].to_pylist(), strict=True), key=lambda x: x[0])
+        rows = np.concatenate([np.zeros(0, _ANSWER), *(P.expand(data, n, _ANSWER) for _, n, data in parts)])
+        if len(rows) != len(self.begin):
+            raise ValueError("a block's answers do not fit its runs")
+        each = np.empty(len(self.order), _ANSWER)
+        each[self.order] = rows[self.of]
+        first, second, third = np.split(each, np.cumsum([len(at) for at in self.at])[:-1])
+        base = np.zeros(len(self.token))
+        base[self.at[0]] = np.log10((first["n"] + 0.1) / whole)
+        known = np.zeros(len(self.token), bool)
+        known[self.at[0]] = first["n"] > 0
+        counts = []
+        for at, found in ((self.at[1], second), (self.at[2], third)):
+            fields = [np.zeros(len(self.token)) for _ in range(3)]
+            for field, name in zip(fields, _ANSWER.names, strict=True):
+                field[at] = found[name]
+            counts.append(tuple(fields))
+        return Rest(base, counts), known
+
+
+def _frequent(n: np.ndarray, at: np.ndarray, hot: float) -> np.ndarray:
+    return (at >= 0) & (n[np.maximum(at, 0)] >= hot) if len(n) else np.zeros(len(at), bool)
+
+
+def _answers(table: pa.Table) -> pa.Table:
+    """To each row of a bucket its runs' counts, in its order; and a row without block of the followers of what the trie holds."""
+    sizes = table["n"].to_numpy()
+    rows = P.unpack(table, _ASK)
+    order = np.lexsort((rows["word"], rows["above"]))
+    above, word = rows["above"][order], rows["word"][order]
+    new = np.ones(len(order), bool)
+    new[1:] = (above[1:] != above[:-1]) | (word[1:] != word[:-1])
+    begin = np.flatnonzero(new)
+    n = np.add.reduceat(rows["n"][order].astype(np.int64), begin)
+    first, size = P.runs(above[begin])
+    whole, kinds = np.add.reduceat(n, first), np.add.reduceat((n > 0).astype(np.int64), first)
+    held = above[begin][first] < np.uint64(PAIR << 60)  # the trie has the counts of these
+    found = np.empty(len(begin), _ANSWER)
+    found["n"], found["whole"], found["kinds"] = n, np.repeat(np.where(held, 0, whole), size), np.repeat(np.where(held, 0, kinds), size)
+    each = np.empty(len(order), _ANSWER)
+    each[order] = found[np.cumsum(new) - 1]
+    ends = np.cumsum(sizes).tolist()
+    packed = [P.squeeze(each[b - k : b]) for b, k in zip(ends, sizes.tolist(), strict=True)]
+    more = np.empty(int((held & (kinds > 0)).sum()), _FOLLOWERS)
+    more["above"], more["kinds"] = above[begin][first][held & (kinds > 0)], kinds[held & (kinds > 0)]
+    extra = [P.squeeze(more)] if len(more) else []
+    bucket = table["bucket"][0].as_py()
+    return pa.table({
+        "bucket": pa.array([bucket] * (len(sizes) + len(extra)), pa.int32()), "block": pa.array([*table["block"].to_pylist(), *[None] * len(extra)], pa.int64()),
+        "n": pa.array([*sizes.tolist(), *[len(more)] * len(extra)], pa.int32()), "packed": pa.array([*packed, *extra], pa.binary())})
+
+
 def score(documents: DataFrame, rarest: float = 2.5e-7) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for each row."""
     spark = documents.sparkSession
     ship_package(spark)
-    docs = documents.select("doc_id", "text")
-    training = docs.where(~held_out(F.col("doc_id"))).select("text")
+    docs = documents.select("doc_id", "text", held_out(F.col("doc_id")).alias("held_out"))
+    training = docs.where("NOT held_out").select("text")
     counts = store(_counts(training, 1, None, 1), "word-counts")
     all_, kinds = counts.agg(F.sum("n"), F.count("*")).first()
     all_ = int(all_ or 0)
@@ -317,46 +520,53 @@ def score(documents: DataFrame, rarest: float = 2.5e-7) -> DataFrame:
     pairs = np.stack([key2 // v, key2 % v], 1)
     above = key3 // v
     triples = np.concatenate([pairs[above], (key3 % v)[:, None]], 1) if len(key3) else np.zeros((0, 3), np.int64)
-    trie = Trie(words, base, n1, pairs, n2, triples, n3)
-    model = spark.sparkContext.broadcast((*trie.dump(), words, base))  # levels of at most 1 / rarest entries
-    rare_base = math.log10(0.1 / whole)
+    levels = (words, base, n1, pairs, n2, triples, n3)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        data, meta, words, base = model.value
-        trie = Trie.load(data, meta)
+    # runs that the trie lacks: each block asks, each bucket answers
+    buckets, hot = 2 * P.buckets(spark), HOT * all_
+    blocks = store(docs.mapInArrow(_blocks, "texts binary").withColumn("block", F.monotonically_increasing_id()), "lm-blocks")
+    places = spark.sparkContext.broadcast(Trie(*levels).dump())  # levels of at most 1 / rarest entries
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trie = Trie.load(*places.value)
         for batch in batches:
-            for rows, texts in W.slices(batch, "text"):
-                token, first = _tokens(texts)
-                number = trie.numbers(token)
-                text = np.repeat(np.arange(texts.count), np.diff(first))
-                begins = np.zeros(len(token), bool)
-                begins[first[:-1]] = True
-                last = np.where(begins, ABSENT, np.r_[ABSENT, number[:-1]])
-                before = np.where(begins | np.r_[True, begins[:-1]], ABSENT, np.r_[[ABSENT] * 2, number[:-2]][: len(number)])
-                add = lambda x: np.bincount(text, x, texts.count)  # noqa: E731, B023
-                common = number >= 0
-                known = add(common)
-                score = add(trie.log10(before, last, number))
-                basic = add(np.where(common, base[np.maximum(number, 0)] if len(base) else 0.0, 0.0))
-                # words outside the trie: their counts come from the join
-                values, at = W.distinct_per_text(token[~common], np.r_[0, np.cumsum(np.bincount(text[~common], minlength=texts.count))])
-                pairs = np.stack([text[~common], W.signed(token[~common])], 1)
-                pairs = pairs[np.lexsort((token[~common], text[~common]))]
-                new = np.flatnonzero(np.r_[True, (pairs[1:] != pairs[:-1]).any(1)]) if len(pairs) else np.zeros(0, np.int64)
-                times = np.diff(np.r_[new, len(pairs)])
-                rare = pa.StructArray.from_arrays([pa.array(W.signed(values)), pa.array(times.astype(np.int32))], ["key", "times"])
-                yield pa.RecordBatch.from_arrays([
-                    rows.column("doc_id"), pa.array(np.diff(first).astype(np.int64)), pa.array(known.astype(np.int64)), pa.array(basic), pa.array(score),
-                    pa.ListArray.from_arrays(pa.array(at, pa.int32()), rare)], ["doc_id", "n_tokens", "n_known", "base", "score", "rare"])
+            for number, texts in zip(batch.column("block").to_pylist(), batch.column("texts"), strict=True):
+                table = _open(texts.as_py())
+                yield Block(table, trie, buckets, hot).asked(~table["held_out"].to_numpy(), number)
+                W.tidy()
+
+    asked = blocks.mapInArrow(ask, "bucket int, block long, n int, packed binary")
+    answers = store(P.per_bucket(asked, _answers, "bucket int, block long, n int, packed binary"), "lm-answers")
+    followers = np.zeros(len(words)), np.zeros(len(pairs))
+    for _, _, n, packed in answers.where("block IS NULL").toLocalIterator():  # of words and pairs in the trie only
+        rows = P.expand(bytes(packed), n, _FOLLOWERS)
+        for level, lacking in enumerate(followers, 1):
+            own = rows[rows["above"] >> np.uint64(60) == level]
+            np.add.at(lacking, (own["above"] & np.uint64((1 << 60) - 1)).astype(np.int64), own["kinds"])
+    model = spark.sparkContext.broadcast((*Trie(*levels, followers).dump(), base))
+
+    tries: list[Trie] = []
+
+    def run(rows: pa.Table, answers: pa.Table) -> pa.Table:
+        data, meta, base = model.value
+        if not tries:  # once a task
+            tries.append(Trie.load(data, meta))
+        trie, table = tries[0], _open(rows["texts"][0].as_py())
+        block = Block(table, trie, buckets, hot)
+        rest, known = block.rest(answers, whole)
+        common = block.number >= 0
+        add = lambda x: np.bincount(block.text, x, len(block.size))
+        basic = np.where(common, base[np.maximum(block.number, 0)] if len(base) else 0.0, rest.base)
+        out = pa.table([
+            table["doc_id"], table["held_out"], pa.array(block.size, pa.int64()), pa.array(add(common | known).astype(np.int64)),
+            pa.array(add(basic)), pa.array(add(trie.log10(block.before, block.last, block.number, block.places, rest)))],
+            ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"])
+        del block, rest
+        W.tidy()
+        return out
 
     kind = dict(docs.dtypes)["doc_id"]
-    shape = f"doc_id {kind}, n_tokens long, n_known long, base double, score double, rare array<struct<key: long, times: int>>"
-    part = store(docs.mapInArrow(run, shape).withColumn("row", F.monotonically_increasing_id()), "lm-scores")
-    rare = part.select("row", F.explode("rare").alias("r")).select("row", "r.key", "r.times").join(counts.where(F.col("n") < least), "key", "left")
-    rare = rare.groupBy("row").agg(
-        F.sum(F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)).alias("more"),
-        F.sum(F.col("times") * F.coalesce(F.log10((F.col("n") + 0.1) / F.lit(whole)), F.lit(rare_base))).alias("rest"))
-    rest = F.coalesce("rest", F.lit(0.0))
-    return part.drop("rare").join(rare, "row", "left").select(
-        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "n_tokens", (F.col("n_known") + F.coalesce("more", F.lit(0))).alias("n_known"),
-        F.lit(all_).cast("long").alias("train_tokens"), (F.col("base") + rest).alias("base_score"), (F.col("score") + rest).alias("score"))
+    answers = answers.where("block IS NOT NULL")
+    scored = blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
+        run, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double")
+    return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(all_).cast("long").alias("train_tokens"), "base_score", "score")

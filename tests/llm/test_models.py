@@ -28,6 +28,39 @@ def test_language_model(spark, docs):
     assert ngram_model.score(docs([])).count() == 0
 
 
+def test_language_model_counts_rare_runs_too(spark, docs):
+    """Absolute discounting by hand over all runs; with no run in the trie it must come out exactly."""
+    rng = random.Random(7)
+    rows = [(i, " ".join(rng.choices("abcdefgh", [8, 7, 6, 5, 1, 1, 1, 1], k=rng.choice([0, 1, 2, 3, 40])))) for i in range(60)]
+    rows += [(100, "only here twice over"), (101, "only here twice over"), (102, None), (103, "never"), (103, "never"), (None, "a b")]
+    tokens = [[*(t or "").split(), None] for _, t in rows]
+    training = [t for t, (i, _) in zip(tokens, rows, strict=True) if i is None or zlib.crc32(str(i).encode()) % 10]
+    count = [Counter(tuple(t[i : i + k]) for t in training for i in range(len(t) - k + 1)) for k in (1, 2, 3)]
+    n, v, d = sum(count[0].values()), len(count[0]), 0.6
+
+    def p(run):
+        if len(run) == 1:
+            return (count[0][run] + 0.1) / (n + 0.1 * (v + 1))
+        after = [c for r, c in count[len(run) - 1].items() if r[:-1] == run[:-1]]
+        if not after:
+            return p(run[1:])
+        return max(count[len(run) - 1][run] - d, 0) / sum(after) + d * len(after) / sum(after) * p(run[1:])
+
+    want = sorted((str(i), sum(math.log10(p(tuple(t[max(k - 2, 0) : k + 1]))) for k in range(len(t)))) for (i, _), t in zip(rows, tokens, strict=True))
+    for rarest, off in ((1, 1e-9), (0.05, 0.01), (0.01, 0.01), (0, 0.01)):  # what is in the trie is quantised
+        got = sorted((str(r["doc_id"]), r["score"]) for r in ngram_model.score(docs(rows), rarest=rarest).collect())
+        assert [i for i, _ in got] == [i for i, _ in want]
+        assert all(abs(a - b) <= off * max(1, -b) for (_, a), (_, b) in zip(got, want, strict=True)), rarest
+
+
+def test_elias_fano_finds_places():
+    rng = np.random.default_rng(3)
+    for values, universe in ((np.sort(rng.choice(10_000, 500, replace=False)), 10_001), (np.arange(300), 300), (np.r_[np.arange(5000, 5400), 10**12], 10**12 + 1), (np.zeros(0, np.int64), 9)):
+        place = {x: i for i, x in enumerate(values.tolist())}
+        asked = np.r_[values, np.arange(0, min(universe, 10_000)), universe - 1].astype(np.int64)
+        assert ngram_model.EliasFano(values, universe).find(asked).tolist() == [place.get(x, -1) for x in asked.tolist()]
+
+
 def test_trie_sums_to_one_and_finds_all():
     rng = np.random.default_rng(2)
     text = rng.zipf(1.4, 20_000) % 40
