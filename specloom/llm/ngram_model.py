@@ -29,14 +29,15 @@ from __future__ import annotations
 import mmap
 import tempfile
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from specloom.session import ship_package, store
+from specloom.session import drop_stored, ship_package, store
 
 from . import packed as P
 from . import words as W
@@ -48,7 +49,7 @@ DISCOUNT = 0.6
 #: Words or pairs that make up this share of all tokens have their followers dealt over all buckets.
 HOT = 1e-4
 #: Bytes of text of a block.
-BLOCK = 4_000_000
+BLOCK = 6_000_000
 #: Marks hashes, where numbers stand for what the trie holds.
 HASH = np.uint64(1 << 63)
 #: Marks pairs of words that the trie holds, where it lacks the pair (1 and 2: words and pairs that it holds, 0: nothing).
@@ -154,7 +155,7 @@ class Trie:
         """`pairs` and `triples` hold word numbers in order of rows; `base`: the words' unigram log10 probabilities;
         `followers`: how many kinds of words that the trie lacks follow each word and each pair."""
         v = len(words)
-        self.words = words
+        self.words, self.slots = words, None
         first = np.searchsorted(pairs[:, 0], np.arange(v + 1))
         total = np.maximum(count, 1)
 
@@ -218,6 +219,7 @@ class Trie:
         new = cls.__new__(cls)
         get = lambda name: np.frombuffer(mapped, meta["arrays"][name][2], meta["arrays"][name][1], meta["arrays"][name][0])
         new.words, new.n1, new.n2, new.rank, new.meta = get("words"), get("n1"), get("n2"), get("rank"), meta
+        new.slots = None
         new.levels = {n: EliasFano.of(*shape, get(f"l.{n}"), get(f"h.{n}")) for n, shape in meta["levels"].items()}
         names = ("p1", "w1", "p2", "w2", "p3")
         new.codes, new.tables = {n: get(f"c.{n}") for n in names}, {n: get(f"t.{n}") for n in names}
@@ -228,7 +230,9 @@ class Trie:
 
     def numbers(self, hashes: np.ndarray) -> np.ndarray:
         """Word numbers; words that are not kept have -1."""
-        return _numbers(self.words, hashes)
+        if self.slots is None:
+            self.slots = Slots(self.words)
+        return self.slots.find(hashes)
 
     def places(self, before: np.ndarray, last: np.ndarray, word: np.ndarray, follows: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Places of the pairs (last, word), the pairs (before, last) and the triples, or -1.
@@ -286,6 +290,46 @@ def _numbers(words: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return np.where(words[at] == hashes, at, -1)
 
 
+class Slots:
+    """Places of hashes among sorted hashes, found by their upper bits."""
+
+    def __init__(self, words: np.ndarray):
+        bits = len(words).bit_length() + 1
+        self.words, self.shift = words, np.uint64(64 - bits)
+        self.first = np.searchsorted(words >> self.shift, np.arange((1 << bits) + 1, dtype=np.uint64)).astype(np.int32)
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        slot = (hashes >> self.shift).astype(np.int64)
+        at, end = self.first[slot], self.first[slot + 1]
+        out = np.full(len(hashes), -1, np.int64)
+        live = np.flatnonzero(at < end)
+        at, end, left = at[live], end[live], hashes[live]
+        while len(live):
+            hit = self.words[at] == left
+            out[live[hit]] = at[hit]
+            at = at + 1
+            more = ~hit & (at < end)
+            live, at, end, left = live[more], at[more], end[more], left[more]
+        return out
+
+
+def _order(key: np.ndarray, above: np.ndarray, word: np.ndarray, bits: int = 0) -> np.ndarray:
+    """An order by `key` that has equal runs side by side and hangs on (key, above, word) alone.
+
+    Beyond its last `bits` the key stands for `above`; where it does not tell runs apart, they do.
+    """
+    order = np.argsort(key)
+    key, a, w = key[order], above[order], word[order]
+    group = key >> np.uint64(bits)
+    mixed = np.flatnonzero(((group[1:] == group[:-1]) & (a[1:] != a[:-1])) | ((key[1:] == key[:-1]) & (w[1:] != w[:-1])))
+    if len(mixed):
+        low = np.unique(np.searchsorted(group, group[mixed]))
+        size = np.searchsorted(group, group[low], "right") - low
+        slots = np.repeat(low - np.cumsum(size) + size, size) + np.arange(size.sum())
+        order[slots] = order[slots][np.lexsort((w[slots], a[slots], group[slots]))]
+    return order
+
+
 def _tokens(texts: W.Bytes) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of each text's words and its end, and where each text's begin."""
     low = texts.lowered()
@@ -303,12 +347,13 @@ def _count(batches: Iterator[pa.RecordBatch], order: int, held, buckets: int, bl
     """Packed (key, n) of the runs of `order` words whose shorter parts are kept."""
     words, pairs = held.value if held is not None else (None, None)
     packer, keys, total = P.Packer(_RUN, buckets, block=1), [], 0
+    slots = Slots(words) if order > 1 else None
     for batch in batches:
         for _, texts in W.slices(batch, "text"):
             token, first = _tokens(texts)
             key = W.signed(token)
             if order > 1:
-                number = _numbers(words, token)
+                number = slots.find(token)
                 inside = np.ones(len(token), bool)
                 inside[first[:-1]] = False
                 inside &= (number >= 0) & (np.r_[ABSENT, number[:-1]] >= 0)
@@ -359,7 +404,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def packed() -> pa.RecordBatch:
         sink = pa.BufferOutputStream()
-        with pa.ipc.new_stream(sink, held[0].schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        with pa.ipc.new_stream(sink, held[0].schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=3))) as out:
             out.write_table(pa.Table.from_batches(held))
         return pa.record_batch({"texts": pa.array([sink.getvalue().to_pybytes()], pa.binary())})
 
@@ -378,66 +423,76 @@ def _open(texts: bytes) -> pa.Table:
     return pa.ipc.open_stream(texts).read_all()
 
 
+def _lacking(token: np.ndarray, first: np.ndarray, base: int, trie: Trie, buckets: int, hot: float) -> tuple[np.ndarray, ...]:
+    """Of texts' tokens the numbers of the word and the two before it and their places in the trie; then of
+    each run that the trie lacks its level, token (from `base` on), what it follows, its word and sort key."""
+    first = first[:-1]
+    number = trie.numbers(token)
+    last, before = np.r_[ABSENT, number[:-1]], np.r_[ABSENT, ABSENT, number[:-2]][: len(number)]
+    later, third = np.ones(len(token), bool), np.ones(len(token), bool)  # second or later, third or later token of a text
+    two = first[np.diff(np.r_[first, len(token)]) > 1] + 1
+    later[first] = third[first] = third[two] = False
+    last[first] = before[first] = before[two] = ABSENT
+    pair, context, triple = trie.places(before, last, number, follows=True)
+    known = np.flatnonzero(number >= 0)
+    word = token >> np.uint64(17) | HASH >> np.uint64(16)  # tells apart what follows the same word or pair
+    word[known] = trie.rank[number[known]]
+    one, two, three = np.flatnonzero(number < 0), np.flatnonzero(later & (pair < 0)), np.flatnonzero(third & (triple < 0))
+    above2 = np.uint64(1 << 60) | last[two].astype(np.uint64)
+    rare = np.flatnonzero(last[two] < 0)
+    above2[rare] = W.mix(token[two[rare] - 1]) | HASH
+    above3 = np.uint64(2 << 60) | context[three].astype(np.uint64)
+    apart = np.flatnonzero((context[three] < 0) & (before[three] >= 0) & (last[three] >= 0))
+    above3[apart] = np.uint64(PAIR << 60) | word[three[apart] - 2] << np.uint64(30) | word[three[apart] - 1]
+    rare = np.flatnonzero((before[three] < 0) | (last[three] < 0))
+    above3[rare] = W.mix(token[three[rare] - 2] * np.uint64(3) + W.mix(token[three[rare] - 1])) | HASH
+    above = np.concatenate([np.zeros(len(one), np.uint64), above2, above3])
+    word = np.concatenate([token[one], word[two], word[three]])
+    run = (above ^ word * np.uint64(0xC2B2AE3D27D4EB4F)) * np.uint64(0x9E3779B97F4A7C15)
+    bucket = above * np.uint64(0xD6E8FEB86659FD93)
+    # runs that follow nothing or something very frequent are dealt one by one
+    spread = np.flatnonzero(np.concatenate([np.ones(len(one), bool), _frequent(trie.n1, last[two], hot), _frequent(trie.n2, context[three], hot)]))
+    bucket[spread] = run[spread]
+    bucket = (bucket >> np.uint64(32)) % np.uint64(buckets)
+    # in a bucket near the order of what they follow and of words, which packs well
+    major, minor = above.copy(), run >> np.uint64(40)
+    major[: len(one)], minor[: len(one)] = word[: len(one)] >> np.uint64(40), word[: len(one)] >> np.uint64(16)
+    far = np.flatnonzero(above >= np.uint64(PAIR << 60))
+    major[far] >>= np.where(above[far] >= HASH, np.uint64(40), np.uint64(30))
+    near = np.flatnonzero((above > 0) & (above < np.uint64(PAIR << 60)))
+    minor[near] = np.where(word[near] < np.uint64(1 << 24), word[near], word[near] >> np.uint64(24))
+    low24 = np.uint64((1 << 24) - 1)
+    key = bucket << np.uint64(48) | (major & low24) << np.uint64(24) | minor & low24
+    level = np.repeat(np.arange(3, dtype=np.int8), [len(one), len(two), len(three)])
+    return number, last, before, pair, context, triple, level, base + np.concatenate([one, two, three]), above, word, key
+
+
 class Block:
     """The tokens of a block of texts, their places in the trie, and the runs that the trie lacks."""
 
     def __init__(self, table: pa.Table, trie: Trie, buckets: int, hot: float):
-        parts = [_tokens(texts) for batch in table.to_batches() for _, texts in W.slices(batch, "text")]
-        self.size = np.concatenate([np.diff(first) for _, first in parts])
-        self.token = token = np.concatenate([t for t, _ in parts])
-        first = np.cumsum(self.size) - self.size
-        self.text = np.repeat(np.arange(len(self.size)), self.size)
-        self.number = number = trie.numbers(token)
-        place = np.arange(len(token)) - first[self.text]
-        back = lambda x, k, fill: np.r_[np.full(k, fill, x.dtype), x[: len(x) - k]]
-        self.last = np.where(place > 0, back(number, 1, ABSENT), ABSENT)
-        self.before = np.where(place > 1, back(number, 2, ABSENT), ABSENT)
-        self.places = pair, context, triple = trie.places(self.before, self.last, number, follows=True)
-        rank = np.where(number >= 0, trie.rank[np.maximum(number, 0)] if len(trie.rank) else 0, 0).astype(np.int64)
-        word = np.where(number >= 0, rank.astype(np.uint64), token | HASH)
-        previous = back(token, 1, END)
-        kept = lambda level, at: np.uint64(level << 60) | np.maximum(at, 0).astype(np.uint64)
-        both = np.where(
-            (self.before >= 0) & (self.last >= 0), kept(PAIR, back(rank, 2, 0) << 24 | back(rank, 1, 0)),
-            W.mix(back(token, 2, END) * np.uint64(3) + W.mix(previous)) | HASH)
-        levels = [  # what lacks, what it follows, and whether that is so frequent that runs are dealt one by one
-            (number < 0, np.zeros(len(token), np.uint64), np.ones(len(token), bool)),
-            ((place > 0) & (pair < 0), np.where(self.last >= 0, kept(1, self.last), W.mix(previous) | HASH), _frequent(trie.n1, self.last, hot)),
-            ((place > 1) & (triple < 0), np.where(context >= 0, kept(2, context), both), _frequent(trie.n2, context, hot))]
-        self.at = [np.flatnonzero(lacks) for lacks, _, _ in levels]
-        above = np.concatenate([a[at] for at, (_, a, _) in zip(self.at, levels, strict=True)])
-        spread = np.concatenate([s[at] for at, (_, _, s) in zip(self.at, levels, strict=True)])
-        where = np.concatenate(self.at)
-        word = word[where]
-        run = W.mix(above ^ W.mix(word))
-        bucket = (np.where(spread, run, W.mix(above)) >> np.uint64(20)) % np.uint64(buckets)
-        # equal runs side by side, in each bucket near the order of what they follow and of words
-        level, first24 = above >> np.uint64(60), np.uint64(40)
-        major = np.where(level == 0, word >> first24, np.where(level < PAIR, above, np.where(level == PAIR, above >> np.uint64(24), above >> first24)))
-        minor = np.where(level == 0, word >> np.uint64(16), np.where((level < PAIR) & (word < HASH), word, np.where(level < PAIR, word >> first24, run >> first24)))
-        low24 = np.uint64((1 << 24) - 1)
-        key = bucket << np.uint64(48) | (major & low24) << np.uint64(24) | minor & low24
-        order = np.argsort(key)
-        key = key[order]
-        mixed = np.flatnonzero((key[1:] == key[:-1]) & (run[order[1:]] != run[order[:-1]]))
-        if len(mixed):  # unequal runs with equal keys: their order must not hang on that of the rows
-            mixed = np.flatnonzero(np.isin(key, key[mixed]))
-            some = order[mixed]
-            order[mixed] = some[np.lexsort((word[some], above[some], key[mixed]))]
-        above, word, self.where = above[order], word[order], where[order]
-        self.order = order
+        parts, base, rows = [], 0, 0
+        for batch in table.to_batches():  # of some half megabyte each, so that their arrays stay in the processor's cache
+            token, first = _tokens(W.as_bytes(batch.column("text")))
+            parts.append((np.diff(first), np.repeat(np.arange(rows, rows + len(first) - 1), np.diff(first)), *_lacking(token, first, base, trie, buckets, hot)))
+            base, rows = base + len(token), rows + len(first) - 1
+        whole = [np.concatenate(part) for part in zip(*parts, strict=True)]
+        self.size, self.text, self.number, self.last, self.before, *places = whole[:8]
+        self.places, self.level, (self.where, above, word, key) = tuple(places), whole[8], whole[9:]
+        self.order = order = _order(key, above, word)
+        above, word = above[order], word[order]
         new = np.ones(len(order), bool)
         new[1:] = (above[1:] != above[:-1]) | (word[1:] != word[:-1])
         self.begin = np.flatnonzero(new)
         self.of = np.cumsum(new) - 1
-        self.above, self.word, self.bucket = above[new], word[new], bucket[order][new].astype(np.int64)
+        self.above, self.word, self.bucket = above[new], word[new], (key[order][new] >> np.uint64(48)).astype(np.int64)
 
     def asked(self, training: np.ndarray, block: int) -> pa.RecordBatch:
         """Rows of each bucket's runs with their counts in training texts."""
         rows = np.empty(len(self.begin), _ASK)
         rows["above"], rows["word"] = self.above, self.word
         if len(rows):
-            rows["n"] = np.add.reduceat(training[self.text[self.where]].astype(np.int64), self.begin)
+            rows["n"] = np.add.reduceat(training[self.text[self.where[self.order]]].astype(np.int64), self.begin)
         first, size = P.runs(self.bucket)
         packed = [P.squeeze(rows[a : a + n]) for a, n in zip(first.tolist(), size.tolist(), strict=True)]
         return pa.record_batch({"bucket": pa.array(self.bucket[first], pa.int32()), "block": pa.array([block] * len(first), pa.int64()), "n": pa.array(size, pa.int32()), "packed": pa.array(packed, pa.binary())})
@@ -450,14 +505,14 @@ class Block:
             raise ValueError("a block's answers do not fit its runs")
         each = np.empty(len(self.order), _ANSWER)
         each[self.order] = rows[self.of]
-        first, second, third = np.split(each, np.cumsum([len(at) for at in self.at])[:-1])
-        base = np.zeros(len(self.token))
-        base[self.at[0]] = np.log10((first["n"] + 0.1) / whole)
-        known = np.zeros(len(self.token), bool)
-        known[self.at[0]] = first["n"] > 0
-        counts = []
-        for at, found in ((self.at[1], second), (self.at[2], third)):
-            fields = [np.zeros(len(self.token)) for _ in range(3)]
+        base, known, counts = np.zeros(len(self.number)), np.zeros(len(self.number), bool), []
+        for level in range(3):
+            own = np.flatnonzero(self.level == level)
+            at, found = self.where[own], each[own]
+            if level == 0:
+                base[at], known[at] = np.log10((found["n"] + 0.1) / whole), found["n"] > 0
+                continue
+            fields = [np.zeros(len(self.number)) for _ in range(3)]
             for field, name in zip(fields, _ANSWER.names, strict=True):
                 field[at] = found[name]
             counts.append(tuple(fields))
@@ -472,8 +527,9 @@ def _answers(table: pa.Table) -> pa.Table:
     """To each row of a bucket its runs' counts, in its order; and a row without block of the followers of what the trie holds."""
     sizes = table["n"].to_numpy()
     rows = P.unpack(table, _ASK)
-    order = np.lexsort((rows["word"], rows["above"]))
-    above, word = rows["above"][order], rows["word"][order]
+    above, word = rows["above"].copy(), rows["word"].copy()
+    order = _order(W.mix(above) >> np.uint64(24) << np.uint64(24) | W.mix(word) >> np.uint64(40), above, word, 24)
+    above, word = above[order], word[order]
     new = np.ones(len(order), bool)
     new[1:] = (above[1:] != above[:-1]) | (word[1:] != word[:-1])
     begin = np.flatnonzero(new)
@@ -496,10 +552,27 @@ def _answers(table: pa.Table) -> pa.Table:
         "n": pa.array([*sizes.tolist(), *[len(more)] * len(extra)], pa.int32()), "packed": pa.array([*packed, *extra], pa.binary())})
 
 
+@contextmanager
+def _shuffles_go(spark: SparkSession) -> Iterator[None]:
+    """Here each job's result is stored or small, so its shuffle files go when it ends."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def score(documents: DataFrame, rarest: float = 2.5e-7) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for each row."""
     spark = documents.sparkSession
     ship_package(spark)
+    with _shuffles_go(spark):
+        return _score(spark, documents, rarest)
+
+
+def _score(spark: SparkSession, documents: DataFrame, rarest: float) -> DataFrame:
     docs = documents.select("doc_id", "text", held_out(F.col("doc_id")).alias("held_out"))
     training = docs.where("NOT held_out").select("text")
     counts = store(_counts(training, 1, None, 1), "word-counts")
@@ -510,6 +583,7 @@ def score(documents: DataFrame, rarest: float = 2.5e-7) -> DataFrame:
     words, n1 = table["key"].to_numpy().view(np.uint64), table["n"].to_numpy()
     by = np.argsort(words)
     words, n1 = words[by], n1[by]
+    drop_stored(counts)
     whole = all_ + 0.1 * (kinds + 1)
     base = np.log10((n1 + 0.1) / whole)
     v = max(len(words), 1)

@@ -53,6 +53,23 @@ def test_language_model_counts_rare_runs_too(spark, docs):
         assert all(abs(a - b) <= off * max(1, -b) for (_, a), (_, b) in zip(got, want, strict=True)), rarest
 
 
+def test_runs_meet_however_their_keys_fall():
+    rng = np.random.default_rng(5)
+    above, word = rng.integers(0, 12, 4000).astype(np.uint64), rng.integers(0, 9, 4000).astype(np.uint64)
+    for bits, key in ((0, word % np.uint64(2)), (0, above), (3, (above % np.uint64(3)) << np.uint64(3) | word % np.uint64(8)), (3, above << np.uint64(3) | word % np.uint64(8))):
+        by = ngram_model._order(key, above, word, bits)
+        runs = np.stack([above[by], word[by]], 1)
+        assert sorted(by.tolist()) == list(range(4000))
+        assert 1 + (runs[1:] != runs[:-1]).any(1).sum() == 12 * 9
+        again = rng.permutation(4000)
+        assert (np.stack([above[again], word[again]], 1)[ngram_model._order(key[again], above[again], word[again], bits)] == runs).all()
+        assert bits == 0 or 1 + (runs[1:, 0] != runs[:-1, 0]).sum() == 12
+    hashes = np.sort(rng.integers(0, 2**63, 3000).astype(np.uint64) * np.uint64(2))
+    asked = np.r_[hashes, hashes + np.uint64(1), np.uint64(0), np.uint64(2**64 - 1)]
+    assert ngram_model.Slots(hashes).find(asked).tolist() == [*range(3000), *[-1] * 3002]
+    assert ngram_model.Slots(hashes[:0]).find(asked[:5]).tolist() == [-1] * 5
+
+
 def test_elias_fano_finds_places():
     rng = np.random.default_rng(3)
     for values, universe in ((np.sort(rng.choice(10_000, 500, replace=False)), 10_001), (np.arange(300), 300), (np.r_[np.arange(5000, 5400), 10**12], 10**12 + 1), (np.zeros(0, np.int64), 9)):
