@@ -2,14 +2,14 @@
 
 Lines are compared trimmed and lowered. A line's set holds its runs of `width` characters
 (a shorter line is one run). One-permutation MinHash fills `bands * rows` bins, empty bins
-borrow from the next filled one, and equal bands make lines candidates. In a band's group
-every line first meets the group's smallest line and its next one, so a group of any size
-gives two pairs a line; these are verified by exact Jaccard similarity and a distributed
-union-find joins the links. Where a group of at most `SMALL` lines still holds several
-components, its lines of different ones are compared with each other: at most `SMALL` / 2 pairs
-a line. Lines of larger groups that then still hold several components go through the exact join
-of `jaccard_join` (blocks by rare runs), which finds all links among them.
-Of each component the first line in (doc_id, line) order stays. A pair at similarity 0.8 meets
+borrow from the next filled one, and equal bands make lines candidates. Groups of the same
+lines, which near copies have in several bands, are one. Each group's texts meet in one task. There
+every line is first compared with the group's smallest line and its next one, and then with all lines
+of the group that are still apart from it, by exact Jaccard similarity; the task sends on a forest of
+the links, at most one row a line. A group of more than `SMALL` lines is dealt to chunks, each with the
+group's smallest line; its lines that then still are of several components go through the exact join
+of `jaccard_join` (blocks by rare runs), which finds all links among them. A distributed union-find
+joins the forests. Of each component the first line in (doc_id, line) order stays. A pair at similarity 0.8 meets
 in a band with probability 0.98, at 0.9 with 0.9999, and one that meets is never left out.
 
 Defined results: blank lines are never removed; a null text has no lines; rows of one
@@ -30,12 +30,14 @@ from specloom.session import ship_package, store
 
 from . import packed as P
 from . import words as W
-from .components import components
-from .jaccard_join import groups
+from .components import components, forest
+from .jaccard_join import _joins, groups
 from .prefilter import likely
 
-#: Lines of a band's group up to which its lines are compared with one another.
-SMALL = 32
+#: Lines of a band's group that one task compares with one another.
+SMALL = 4096
+#: Lines of a group up to which its pairs are listed; larger ones are searched by trees.
+LISTED = 32
 _PAIR = np.dtype([("key", np.uint64), ("line", np.int64)])
 
 
@@ -120,22 +122,32 @@ def _bands(batches: Iterator[pa.RecordBatch], count: int, width: int, bands: int
     yield from packer.flush()
 
 
-def _candidates(table: pa.Table) -> pa.Table:
-    """Each line of a band's group with the group's smallest and with its next line.
+def _groups(table: pa.Table, small: int) -> pa.Table:
+    """Lines of a band's group of several: `g`, which the same lines share, each line `h`, and `large`.
 
-    Groups that these pairs do not cover follow as rows of their key `g` and each line `a`.
+    A group of more than `small` lines is dealt to chunks `g` that share its smallest line; `large` names the group.
     """
     held = P.ordered(P.unpack(table, _PAIR), "key", "line")
     first, size = P.runs(held["key"])
-    line, pivot = held["line"], np.repeat(held["line"][first], size)
-    later = np.ones(len(held), bool)
-    later[first] = False
-    at = np.flatnonzero(later)
-    pairs = np.unique(np.concatenate([np.stack([pivot[at], line[at]], 1), np.stack([line[at - 1], line[at]], 1)]), axis=0)
-    large = np.flatnonzero(np.repeat(size > 3, size))
+    line = held["line"]
+    total = np.r_[np.uint64(0), np.cumsum(W.mix(line.view(np.uint64)), dtype=np.uint64)]
+    name = W.mix(total[first + size] - total[first] + size.astype(np.uint64))
+    chunks = -(-size // small)
+    g = np.repeat(name, size)
+    far = np.flatnonzero(np.repeat(chunks > 1, size))
+    dealt = W.mix(line[far].view(np.uint64) ^ np.uint64(0x5851F42D4C957F2D)) % np.repeat(chunks, size)[far].astype(np.uint64)
+    g[far] = W.mix(g[far] + dealt + np.uint64(1))
+    keep = np.repeat((size > 1) & (chunks == 1), size)
+    keep[far] = True
+    keep[first[chunks > 1]] = False  # the smallest lines of groups that are dealt to chunks go to each chunk
+    wide = np.flatnonzero(chunks > 1)
+    at = np.repeat(first[wide], chunks[wide])
+    nth = np.arange(len(at)) - np.repeat(np.cumsum(chunks[wide]) - chunks[wide], chunks[wide])
+    pivots = W.mix(np.repeat(name[wide], chunks[wide]) + nth.astype(np.uint64) + np.uint64(1))
+    large = np.repeat(name, size)
     return pa.table({
-        "a": np.r_[pairs[:, 0], line[large]], "b": pa.array([*pairs[:, 1].tolist(), *[None] * len(large)], pa.int64()),
-        "g": pa.array([*[None] * len(pairs), *W.signed(held["key"][large]).tolist()], pa.int64())})
+        "g": W.signed(np.r_[g[keep], pivots]), "h": np.r_[line[keep], line[at]],
+        "large": pa.array(W.signed(np.r_[large[keep], np.repeat(name[wide], chunks[wide])]), mask=np.r_[~np.repeat(chunks > 1, size)[keep], np.zeros(len(at), bool)])})
 
 
 def character_runs(texts: W.Bytes, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -164,37 +176,101 @@ def _wide_runs(texts: list[str], width: int) -> tuple[np.ndarray, np.ndarray]:
     return W.mix(total[at]) >> np.uint64(12), begin
 
 
+class Lines:
+    """Lines as sets of their runs of characters; runs are told apart by 52 bits of their hash."""
+
+    def __init__(self, texts: list[str], width: int):
+        value, begin = _wide_runs(texts, width)
+        self.value, self.begin = W.distinct_per_text(value, begin)
+        self.size = np.diff(self.begin)
+
+    def near(self, x: np.ndarray, y: np.ndarray, similarity: float) -> np.ndarray:
+        """Which pairs of lines (by place) are similar enough."""
+        weight = np.cumsum(self.size[x] + self.size[y])
+        out, start = np.zeros(len(x), bool), 0
+        while start < len(x):
+            upto = int(np.searchsorted(weight, (weight[start - 1] if start else 0) + RUNS, "right"))
+            end = min(max(upto, start + 1), start + PAIRS)
+            keys = []  # of each run: its pair and its hash
+            for own in (x[start:end], y[start:end]):
+                n = self.size[own]
+                pair = np.repeat(np.arange(len(own), dtype=np.uint64), n)
+                at = np.arange(len(pair)) + np.repeat(self.begin[own] - (np.cumsum(n) - n), n)
+                keys.append(pair << np.uint64(52) | self.value[at])
+            key = np.sort(np.concatenate(keys))
+            both = np.bincount((key[1:][key[1:] == key[:-1]] >> np.uint64(52)).astype(np.int64), minlength=end - start)
+            out[start:end] = both >= similarity * (self.size[x[start:end]] + self.size[y[start:end]] - both)
+            start = end
+        return out
+
+
 def jaccard_at_least(a: list[str], b: list[str], width: int, similarity: float) -> np.ndarray:
-    """Whether two texts' sets of character runs are similar enough; runs are told apart by 52 bits of their hash."""
+    """Whether two texts' sets of character runs are similar enough."""
     texts = list(dict.fromkeys([*a, *b]))
     number = {t: i for i, t in enumerate(texts)}
-    value, begin = _wide_runs(texts, width)
-    sides = [np.array([number[t] for t in side], np.int64) for side in (a, b)]
-    n = np.diff(begin)
-    weight = np.cumsum(n[sides[0]] + n[sides[1]])
-    out, start = np.zeros(len(a), bool), 0
-    while start < len(a):
-        upto = int(np.searchsorted(weight, (weight[start - 1] if start else 0) + RUNS, "right"))
-        end = min(max(upto, start + 1), start + PAIRS)
-        keys = []  # of each run: its pair, its hash, its side
-        for bit, side in enumerate(sides):
-            own = side[start:end]
-            pair = np.repeat(np.arange(len(own)), n[own])
-            at = np.arange(len(pair)) + np.repeat(begin[own] - (np.cumsum(n[own]) - n[own]), n[own])
-            keys.append(pair.astype(np.uint64) << np.uint64(53) | value[at] << np.uint64(1) | np.uint64(bit))
-        key = np.sort(np.concatenate(keys))
-        key = key[np.r_[True, key[1:] != key[:-1]]]
-        pair = (key >> np.uint64(53)).astype(np.int64)
-        both = np.bincount(pair[1:][key[1:] >> np.uint64(1) == key[:-1] >> np.uint64(1)], minlength=end - start)
-        out[start:end] = both >= similarity * (np.bincount(pair, minlength=end - start) - both)
-        start = end
-    return out
-
-
-def _verify(batches: Iterator[pa.RecordBatch], width: int, similarity: float) -> Iterator[pa.RecordBatch]:
-    for batch in (b.slice(at, 2000) for b in batches for at in range(0, b.num_rows, 2000)):
-        good = pa.array(jaccard_at_least(batch.column("x").to_pylist(), batch.column("y").to_pylist(), width, similarity))
-        yield pa.RecordBatch.from_arrays([batch.column("a").filter(good), batch.column("b").filter(good)], ["a", "b"])
+    return Lines(texts, width).near(*(np.array([number[t] for t in side], np.int64) for side in (a, b)), similarity)
+
+
+def _tie(table: pa.Table, width: int, similarity: float) -> pa.Table:
+    """A forest of the links among the lines of each group of the table."""
+    g, h = table["g"].to_numpy(), table["h"].to_numpy()
+    name, place = np.unique(h, return_index=True)
+    lines = Lines(table["line"].take(pa.array(place)).to_pylist(), width)
+    order = np.lexsort((h, g))
+    order = order[np.r_[True, (g[order][1:] != g[order][:-1]) | (h[order][1:] != h[order][:-1])]]
+    first, size = P.runs(g[order])
+    line = np.searchsorted(name, h[order])
+    root = np.arange(len(name))  # the smallest line that each is tied to
+
+    def join(a: np.ndarray, b: np.ndarray) -> None:
+        nonlocal root
+        top = np.arange(len(name))
+        low, high = forest(root[a], root[b])
+        top[low] = high
+        root = top[root]
+
+    def compare(a: np.ndarray, b: np.ndarray) -> None:
+        pairs = np.unique(np.minimum(a, b) * len(name) + np.maximum(a, b))
+        a, b = pairs // len(name), pairs % len(name)
+        small, big = np.minimum(lines.size[a], lines.size[b]), np.maximum(lines.size[a], lines.size[b])
+        fits = (root[a] != root[b]) & (small >= similarity * big)
+        a, b = a[fits], b[fits]
+        good = lines.near(a, b, similarity)
+        join(a[good], b[good])
+
+    later = np.ones(len(line), bool)
+    later[first] = False
+    at = np.flatnonzero(later)
+    compare(line[at], np.repeat(line[first], size)[at])
+    compare(line[at], line[at - 1])
+
+    def several() -> np.ndarray:
+        """Groups whose lines are of several components."""
+        if not len(line):
+            return first
+        return np.flatnonzero((size > 2) & (np.minimum.reduceat(root[line], first) != np.maximum.reduceat(root[line], first)))
+
+    left = several()
+    few = left[size[left] <= LISTED]
+    for n in np.unique(size[few]).tolist():  # all pairs of groups of one size at a time
+        x, y = np.triu_indices(n, 1)
+        some = first[few[size[few] == n]]
+        for at in range(0, len(some), 1 + 200_000 // len(x)):
+            begin = some[at : at + 1 + 200_000 // len(x), None]
+            compare(line[(begin + x).ravel()], line[(begin + y).ravel()])
+    percent = round(100 * similarity, 9)
+    for i in several().tolist():
+        if size[i] <= LISTED:
+            continue
+        own = line[first[i] : first[i] + size[i]]
+        named, at, n = np.unique(root[own], return_inverse=True, return_counts=True)
+        outside = at != n.argmax()  # those of the largest component have no links among them to find
+        sets = [lines.value[lines.begin[k] : lines.begin[k + 1]] for k in own.tolist()]
+        for rows, side in ((np.arange(len(own)), outside), (np.flatnonzero(outside), np.zeros(outside.sum(), bool))):
+            edges = _joins([sets[k] for k in rows.tolist()], named[at[rows]], side, percent)
+            join(edges[:, 0], edges[:, 1])
+    tied = np.flatnonzero(root != np.arange(len(name)))
+    return pa.table({"a": name[root[tied]], "b": name[tied]})
 
 
 def line_components(raw: DataFrame, seen: DataFrame, similarity: float = 0.8, width: int = 8, bands: int = 10, rows: int = 5) -> DataFrame:
@@ -202,43 +278,32 @@ def line_components(raw: DataFrame, seen: DataFrame, similarity: float = 0.8, wi
 
     `seen` names the first (doc_id, no) of each hash: only there a candidate's text is read.
     """
-    count = P.buckets(raw.sparkSession)
+    count, small = P.buckets(raw.sparkSession), SMALL
     packed = lines(raw).select("h", "line").mapInArrow(lambda it: _bands(it, count, width, bands, rows), P.SHAPE)
-    met = store(P.per_bucket(packed, _candidates, "a long, b long, g long"), "line-groups")
-    pairs = store(met.where("g IS NULL").select("a", "b").distinct(), "line-pairs")
-    wanted = pairs.select(F.col("a").alias("h")).union(pairs.select(F.col("b").alias("h"))).distinct()
-    places = store(seen.join(wanted, "h", "left_semi").select("h", "place"), "line-places")
-    # only lines at these places are brought to their compared form
-    wanted = places.withColumn("no", F.pmod("place", F.lit(1 << 32)).cast("int")).select(F.xxhash64(((F.col("place") - F.col("no")) / F.lit(1 << 32)).cast("long"), "no").alias("at"))
-    there = lines(likely(raw.withColumn("at", F.xxhash64("doc_id", "no")), "at", wanted))
-    texts = there.select("h", "line", _place().alias("place")).join(places, ["h", "place"], "left_semi").select("h", "line")
-    texts = store(texts, "line-texts")
-
-    def links(pairs: DataFrame) -> DataFrame:
-        both = pairs.join(texts.toDF("a", "x"), "a").join(texts.toDF("b", "y"), "b")
-        return store(both.mapInArrow(lambda it: _verify(it, width, similarity), "a long, b long"), "line-links")
-
-    def mixed(groups: DataFrame, joined: DataFrame) -> DataFrame:
-        """(g, h, c, n) of the groups that hold several components, which each line's c names."""
-        held = groups.join(joined.toDF("h", "c"), "h", "left").select("g", "h", F.coalesce("c", "h").alias("c"))
-        several = held.groupBy("g").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.count("*").alias("n")).where("low <> high")
-        return store(held.join(several.select("g", "n"), "g"), "line-mixed")
-
-    first = links(pairs)
-    joined = store(components(first), "line-joined")
-    open_ = mixed(met.where("g IS NOT NULL").select("g", F.col("a").alias("h")), joined)
-    # small groups: lines of different components that were not compared yet
-    few = open_.where(F.col("n") <= SMALL).select("g", "h", "c")
-    across = few.toDF("g", "a", "ca").join(few.toDF("g", "b", "cb"), "g").where("a < b AND ca <> cb").select("a", "b").distinct()
-    first = store(first.union(links(store(across.join(pairs, ["a", "b"], "left_anti"), "line-across"))), "line-links")
+    met = P.per_bucket(packed, lambda t: _groups(t, small), "g long, h long, large long")
+    met = store(met.repartition("h").dropDuplicates(["h", "g"]).join(seen.select("h", "place"), "h"), "line-groups")
+
+    def texts(of: DataFrame) -> DataFrame:
+        """Rows with a hash and a place, and the line there; only lines at these places are brought to their compared form."""
+        wanted = of.withColumn("no", F.pmod("place", F.lit(1 << 32)).cast("int")).select(F.xxhash64(((F.col("place") - F.col("no")) / F.lit(1 << 32)).cast("long"), "no").alias("at"))
+        there = lines(likely(raw.withColumn("at", F.xxhash64("doc_id", "no")), "at", wanted))
+        return of.join(there.select("h", "line", _place().alias("place")), ["h", "place"])
+
+    dealt = texts(met).select(F.pmod("g", F.lit(count)).alias("cell"), "g", "h", "line")
+    first = store(dealt.groupBy("cell").applyInArrow(lambda t: _tie(t, width, similarity), "a long, b long"), "line-links")
     joined = store(components(first), "line-joined")
-    # large groups: all links among the lines of those that still hold several components
-    rest = store(mixed(open_.where(F.col("n") > SMALL).select("g", "h"), joined).select("h").distinct(), "line-rest")
+    large = met.where("large IS NOT NULL").select("large", "h", "place")
+    if large.isEmpty():
+        return joined
+    # groups that were dealt to chunks: all links among the lines of those that still hold several components
+    held = large.join(joined.toDF("h", "c"), "h", "left").withColumn("c", F.coalesce("c", "h"))
+    several = held.groupBy("large").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low <> high")
+    rest = store(large.join(several, "large", "left_semi").select("h", "place").distinct(), "line-rest")
     if rest.isEmpty():
         return joined
-    left = store(texts.join(rest, "h", "left_semi").select(F.col("h").alias("doc_id"), F.col("line").alias("text")), "line-rest-texts")
+    left = store(texts(rest).select(F.col("h").alias("doc_id"), F.col("line").alias("text")), "line-rest-texts")
     tied = groups(left, round(100 * similarity, 9), width, character_runs).where("doc_id <> component_id")
-    return components(first.union(tied.select(F.col("component_id").alias("a"), F.col("doc_id").alias("b"))))
+    return components(joined.toDF("a", "b").union(tied.select(F.col("component_id").alias("a"), F.col("doc_id").alias("b"))))
 
 
 def _place() -> Column:

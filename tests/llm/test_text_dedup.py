@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 
 from specloom.llm import anchors, chaining, jaccard_join, line_dedup, suffix_dedup
+from specloom.llm import packed as P
 from specloom.llm import words as W
 from specloom.llm.components import components
 
@@ -355,3 +356,27 @@ def test_lines_are_found_at_places_of_negative_ids(spark, docs):
     rows = [(-7, f"x\n\n {one} \n{other}"), (-(2**40), f"y\n{one.upper()}!"), (3, f"{other}?\n{one}")]
     got = {r["doc_id"]: r["dropped"] for r in line_dedup.dedup_lines(docs(rows)).collect()}
     assert got == {-(2**40): None, -7: [2], 3: [0, 1]}
+
+
+def test_lines_of_a_group_are_compared_in_one_task(spark, docs, monkeypatch):
+    """Groups of more than 32 lines in several components need no second search, whose rows grow with the square."""
+    rng = random.Random(6)
+    head = "".join(rng.choices("abcdefghij ", k=110))
+    tails = ["".join(rng.choices("klmnopqrst", k=17)) for _ in range(60)]
+    lines = [head + t for t in tails] + [head + t[:-1] + "z" for t in tails]
+    monkeypatch.setattr(line_dedup, "groups", None)
+    got = {r["doc_id"]: r["dropped"] for r in line_dedup.dedup_lines(docs(list(enumerate(lines))), 0.9).collect()}
+    assert [k for k, v in got.items() if v] == list(range(60, 120))
+
+
+def test_groups_of_the_same_lines_are_one_and_large_ones_are_dealt_out():
+    line = np.arange(-6, 5)
+    packer = P.Packer(line_dedup._PAIR, 1)
+    rows = [b for key in (3, 4, 5) for b in packer.add(np.full(11, key, np.uint64), line)] + list(packer.add(np.array([9], np.uint64), line[:1])) + list(packer.flush())
+    whole = line_dedup._groups(pa.Table.from_batches(rows), 11)
+    assert set(whole["large"].to_pylist()) == {None} and len(set(whole["g"].to_pylist())) == 1
+    assert sorted(whole["h"].to_pylist()) == sorted([*line.tolist()] * 3)
+    dealt = set(zip(*(line_dedup._groups(pa.Table.from_batches(rows), 4)[c].to_pylist() for c in ("large", "g", "h")), strict=True))
+    chunks = {g for _, g, _ in dealt}
+    assert len({x for x, _, _ in dealt}) == 1 and None not in {x for x, _, _ in dealt} and len(chunks) == 3
+    assert {g for _, g, h in dealt if h == -6} == chunks and sorted(h for _, _, h in dealt if h != -6) == line[1:].tolist()
