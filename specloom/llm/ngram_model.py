@@ -503,18 +503,20 @@ class Block:
         rows = np.concatenate([np.zeros(0, _ANSWER), *(P.expand(data, n, _ANSWER) for _, n, data in parts)])
         if len(rows) != len(self.begin):
             raise ValueError("a block's answers do not fit its runs")
-        each = np.empty(len(self.order), _ANSWER)
-        each[self.order] = rows[self.of]
+        level, where = self.level[self.order], self.where[self.order]
+        found = [np.ascontiguousarray(rows[name]) for name in _ANSWER.names]  # a field at a time: records are slow to deal out
         base, known, counts = np.zeros(len(self.number)), np.zeros(len(self.number), bool), []
-        for level in range(3):
-            own = np.flatnonzero(self.level == level)
-            at, found = self.where[own], each[own]
-            if level == 0:
-                base[at], known[at] = np.log10((found["n"] + 0.1) / whole), found["n"] > 0
+        for wanted in range(3):
+            own = np.flatnonzero(level == wanted)
+            at, run = where[own], self.of[own]
+            if wanted == 0:
+                base[at], known[at] = np.log10((found[0] + 0.1) / whole)[run], (found[0] > 0)[run]
                 continue
             fields = [np.zeros(len(self.number)) for _ in range(3)]
-            for field, name in zip(fields, _ANSWER.names, strict=True):
-                field[at] = found[name]
+            for field, values in zip(fields, found, strict=True):
+                values = values[run]
+                some = np.flatnonzero(values)
+                field[at[some]] = values[some]
             counts.append(tuple(fields))
         return Rest(base, counts), known
 
@@ -527,20 +529,22 @@ def _answers(table: pa.Table) -> pa.Table:
     """To each row of a bucket its runs' counts, in its order; and a row without block of the followers of what the trie holds."""
     sizes = table["n"].to_numpy()
     rows = P.unpack(table, _ASK)
-    above, word = rows["above"].copy(), rows["word"].copy()
+    above, word, times = (np.ascontiguousarray(rows[name]) for name in _ASK.names)
+    del rows
     order = _order(W.mix(above) >> np.uint64(24) << np.uint64(24) | W.mix(word) >> np.uint64(40), above, word, 24)
     above, word = above[order], word[order]
     new = np.ones(len(order), bool)
     new[1:] = (above[1:] != above[:-1]) | (word[1:] != word[:-1])
     begin = np.flatnonzero(new)
-    n = np.add.reduceat(rows["n"][order].astype(np.int64), begin)
+    n = np.add.reduceat(times[order].astype(np.int64), begin)
     first, size = P.runs(above[begin])
     whole, kinds = np.add.reduceat(n, first), np.add.reduceat((n > 0).astype(np.int64), first)
     held = above[begin][first] < np.uint64(PAIR << 60)  # the trie has the counts of these
-    found = np.empty(len(begin), _ANSWER)
-    found["n"], found["whole"], found["kinds"] = n, np.repeat(np.where(held, 0, whole), size), np.repeat(np.where(held, 0, kinds), size)
+    run = np.empty(len(order), np.int64)
+    run[order] = np.cumsum(new) - 1
     each = np.empty(len(order), _ANSWER)
-    each[order] = found[np.cumsum(new) - 1]
+    for name, values in zip(_ANSWER.names, (n, np.repeat(np.where(held, 0, whole), size), np.repeat(np.where(held, 0, kinds), size)), strict=True):
+        each[name] = values.astype(np.uint32)[run]
     ends = np.cumsum(sizes).tolist()
     packed = [P.squeeze(each[b - k : b]) for b, k in zip(ends, sizes.tolist(), strict=True)]
     more = np.empty(int((held & (kinds > 0)).sum()), _FOLLOWERS)
