@@ -1,5 +1,9 @@
 """Batches of a stored star: visible together, safe to repeat, found by key."""
 
+import time
+from concurrent.futures import ThreadPoolExecutor
+from types import SimpleNamespace
+
 import numpy as np
 import pytest
 from pyspark.errors import StreamingQueryException
@@ -11,7 +15,7 @@ from specloom.operators import load
 from specloom.operators.ledger import Ledger
 from specloom.plans.clean import clean
 from specloom.schemas import FOREIGN_KEYS, STAR_SCHEMAS, UNIQUE_KEYS
-from specloom.session import store
+from specloom.session import ship_package, store
 from specloom.sources.tables import read_star
 from specloom.streaming import incremental
 
@@ -151,3 +155,18 @@ def test_append_reads_one_batch_and_skips_replays(spark, tmp_path, monkeypatch):
     # the same files by a new stream: known keys are found, nothing is added
     incremental.incremental_append(spark, src, target, str(tmp_path / "again"), first.schema, ["k"])
     assert incremental.appended(spark, target, first.schema).count() == 4
+
+
+def test_threads_ship_the_package_once():
+    shipped = []
+
+    def add(path):
+        time.sleep(0.1)
+        if shipped:  # as Spark does with a second archive of one name
+            raise ValueError("already registered with a different path")
+        shipped.append(path)
+
+    session = SimpleNamespace(sparkContext=SimpleNamespace(applicationId="shipped by threads", addPyFile=add))
+    with ThreadPoolExecutor(7) as pool:
+        list(pool.map(ship_package, [session] * 7))
+    assert len(shipped) == 1
