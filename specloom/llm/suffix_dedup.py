@@ -8,7 +8,9 @@
    sampled triples (positions 1 and 2 modulo 3) get names by sorting, the names' triples are
    sorted again until they cover the window, the remaining suffixes follow from their first
    byte and the next sampled rank, and both orders are merged. Equal prefixes are neighbours
-   there; each group of them takes its smallest document.
+   there; each group of them takes its smallest document. Minimizers are sorted some at a time.
+   One with very many stretches is sorted in parts; of equal windows of a part one goes on, and
+   those of all parts meet by a hash of their bytes, some at a time.
 4. Windows with a smaller document than their own give byte ranges, which are united per
    document. Exact copies of whole texts take part once: a copy goes as a whole.
 
@@ -45,6 +47,10 @@ _STRETCH = np.dtype([("key", np.uint64), ("doc", np.int64), ("at", np.int32), ("
 _RANGE = np.dtype([("doc", np.int64), ("begin", np.int64), ("end", np.int64)])
 #: Stands in place of a minimizer for a document whose text an earlier one has.
 COPY = np.uint64(0xFFFFFFFFFFFFFFFF)
+#: Bytes of stretches that are sorted at a time, which takes some hundred bytes of memory for each.
+PART = 1 << 20
+#: Windows of several parts that meet at a time.
+MEET = 200_000
 _TEXTS = "bucket int, n int, docs binary, sizes binary, packed binary"
 _STRINGS = "bucket int, n int, packed binary, strings binary"
 
@@ -64,6 +70,19 @@ def _minimizers(texts: W.Bytes, span: int) -> tuple[np.ndarray, np.ndarray, np.n
     return hashes[chosen[new]] >> np.uint64(24), text[new], new - begin[text[new]], np.diff(np.r_[new, len(chosen)])
 
 
+def _gathered(data: np.ndarray, begin: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Byte runs one after the other; their places are written out for a slice at a time."""
+    ends = np.cumsum(length)
+    out = np.empty(int(ends[-1]) if len(ends) else 0, np.uint8)
+    at = done = 0
+    while at < len(length):
+        upto = max(at + 1, int(np.searchsorted(ends, done + W.SLICE, "right")))
+        n, end = length[at:upto], int(ends[upto - 1])
+        out[done:end] = data[np.repeat(begin[at:upto] - (ends[at:upto] - n - done), n) + np.arange(end - done)]
+        at, done = upto, end
+    return out
+
+
 def _seen(batches: Iterator[pa.RecordBatch], span: int, count: int) -> Iterator[pa.RecordBatch]:
     packer = P.Packer(_SEEN, count, distinct=True)
     for batch in batches:
@@ -164,27 +183,23 @@ def _stretches(texts_table: pa.Table, shared_table: pa.Table, span: int, count:
         record = np.empty(len(keep), _STRETCH)
         for name, value in zip(_STRETCH.names, (key, doc[rows][text], first, windows), strict=True):
             record[name] = value
-        begin, length = part.offsets[text] + first, windows + span - 1
-        ends = np.cumsum(length)
-        strings.append(part.data[np.repeat(begin - ends + length, length) + np.arange(ends[-1] if len(ends) else 0)])
+        strings.append(_gathered(part.data, part.offsets[text] + first, windows + span - 1))
         records.append(record)
     record = np.concatenate([np.zeros(0, _STRETCH), *records])
     if not len(record):
         return _empty(_STRINGS)
     data = np.concatenate(strings)
+    strings.clear()
     length = record["windows"].astype(np.int64) + span - 1
     begin = np.cumsum(length) - length
     bucket = (W.mix(record["key"]) % np.uint64(count)).astype(np.int32)
     order = np.lexsort((record["key"], bucket))
     record, bucket, begin, length = record[order], bucket[order], begin[order], length[order]
-    ends = np.cumsum(length)
-    data = data[np.repeat(begin - ends + length, length) + np.arange(ends[-1])].tobytes()
     first, n = P.runs(bucket)
-    edge = np.r_[0, ends]
     return pa.table({
         "bucket": bucket[first], "n": n.astype(np.int32),
         "packed": pa.array([P.squeeze(record[a : a + k]) for a, k in zip(first.tolist(), n.tolist(), strict=True)], pa.binary()),
-        "strings": pa.array([codec.compress(data[edge[a] : edge[a + k]], asbytes=True) for a, k in zip(first.tolist(), n.tolist(), strict=True)], pa.binary())})
+        "strings": pa.array([codec.compress(_gathered(data, begin[a : a + k], length[a : a + k]).tobytes(), asbytes=True) for a, k in zip(first.tolist(), n.tolist(), strict=True)], pa.binary())})
 
 
 def prefix_order(data: np.ndarray, span: int) -> np.ndarray:
@@ -229,72 +244,161 @@ def prefix_order(data: np.ndarray, span: int) -> np.ndarray:
     return merged
 
 
+def window_kinds(data: np.ndarray, starts: np.ndarray, span: int) -> np.ndarray:
+    """A number for each window start, the same for equal bytes; numbers follow the order of the windows."""
+    kinds = np.empty(len(starts), np.int64)
+    if len(starts):
+        which = np.full(len(data), -1)
+        which[starts] = np.arange(len(starts))
+        order = which[prefix_order(data, span)]
+        order = order[order >= 0]
+        held = np.lib.stride_tricks.sliding_window_view(data, span)[starts[order]]
+        kinds[order] = np.cumsum(np.r_[True, (held[1:] != held[:-1]).any(1)]) - 1
+    return kinds
+
+
 def least_per_window(data: np.ndarray, starts: np.ndarray, doc: np.ndarray, span: int) -> np.ndarray:
     """For each window start its smallest `doc` among windows with equal bytes."""
-    order = prefix_order(data, span)
-    which = np.full(len(data), -1)
-    which[starts] = np.arange(len(starts))
-    order = which[order]
-    order = order[order >= 0]
-    held = data[starts[order][:, None] + np.arange(span)] if len(order) else np.zeros((0, span), np.uint8)
-    new = np.r_[True, (held[1:] != held[:-1]).any(1)] if len(order) else np.zeros(0, bool)
-    first = np.flatnonzero(new)
-    least = np.empty(len(starts), np.int64)
-    if len(first):
-        least[order] = np.repeat(np.minimum.reduceat(doc[order], first), np.diff(np.r_[first, len(order)]))
-    return least
+    kinds = window_kinds(data, starts, span)
+    least = np.full(int(kinds.max(initial=-1)) + 1, np.iinfo(np.int64).max)
+    np.minimum.at(least, kinds, doc)
+    return least[kinds]
 
 
-def _ranges(table: pa.Table, span: int, count: int) -> pa.Table:
-    """Byte ranges to remove from a bucket's stretches, packed by document."""
-    codec = pa.Codec("zstd")
-    parts = [P.expand(d, n, _STRETCH) for d, n in zip(table["packed"].to_pylist(), table["n"].to_pylist(), strict=True)]
-    record = np.concatenate(parts)
-    length = record["windows"].astype(np.int64) + span - 1
-    sizes = [int((p["windows"].astype(np.int64) + span - 1).sum()) for p in parts]
-    data = np.frombuffer(b"".join(codec.decompress(x, s, asbytes=True) for x, s in zip(table["strings"].to_pylist(), sizes, strict=True)), np.uint8)
-    begin = np.cumsum(length) - length
-    # equal stretches once, with their smallest document
+def _distinct(record: np.ndarray, data: np.ndarray, begin: np.ndarray, length: np.ndarray, span: int) -> tuple[np.ndarray, np.ndarray]:
+    """Where each kind of equal stretches is found, and which kind each stretch is."""
     widest = 2 * span - GRAM
-    rows = np.zeros((len(record), widest + 2), np.uint8)
+    rows = np.zeros((len(record), widest + 1), np.uint8)
     owner = np.repeat(np.arange(len(record)), length)
-    rows[owner, np.arange(len(data)) - begin[owner]] = data
+    rows[owner, np.arange(len(owner)) - np.repeat(np.cumsum(length) - length, length)] = _gathered(data, begin, length)
     rows[:, widest] = record["windows"]
-    _, chosen, which = np.unique(rows.view(f"V{widest + 2}").ravel(), return_index=True, return_inverse=True)
-    which = which.ravel()
+    _, chosen, which = np.unique(rows.view(f"V{widest + 1}").ravel(), return_index=True, return_inverse=True)
+    return chosen, which.ravel()
+
+
+def _starts(begin: np.ndarray, windows: np.ndarray) -> np.ndarray:
+    """The windows of stretches one after the other: where each begins."""
+    return np.repeat(begin - (np.cumsum(windows) - windows), windows) + np.arange(int(windows.sum()))
+
+
+def _gone(record: np.ndarray, owner: np.ndarray, step: np.ndarray, gone: np.ndarray, span: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Byte ranges of runs of windows that go; each window is given by its stretch and its place there."""
+    edge = np.r_[True, (gone[1:] != gone[:-1]) | (owner[1:] != owner[:-1])] if len(gone) else np.zeros(0, bool)
+    a = np.flatnonzero(edge)
+    b = np.r_[a[1:], len(gone)] - 1 if len(a) else a
+    a, b = a[gone[a]], b[gone[a]]
+    r = owner[a]
+    return record["doc"][r], record["at"][r] + step[a], record["at"][r] + step[b] + span
+
+
+def _some(record: np.ndarray, data: np.ndarray, begin: np.ndarray, length: np.ndarray, span: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Byte ranges to remove from all stretches of some minimizers."""
+    # equal stretches once, with their smallest document
+    chosen, which = _distinct(record, data, begin, length, span)
     least = np.full(len(chosen), np.iinfo(np.int64).max)
     np.minimum.at(least, which, record["doc"])
     # a minimizer with one stretch decides all its windows at once
-    key = record["key"][chosen]
-    _, inverse, n = np.unique(key, return_inverse=True, return_counts=True)
+    _, inverse, n = np.unique(record["key"][chosen], return_inverse=True, return_counts=True)
     mixed = np.flatnonzero(n[inverse] > 1)
     size = length[chosen[mixed]]
-    at = np.cumsum(size) - size
-    joined = data[np.repeat(begin[chosen[mixed]] - at, size) + np.arange(int(size.sum()))]
     windows = record["windows"].astype(np.int64)
     many = windows[chosen[mixed]]
     from_ = np.cumsum(many) - many
-    starts = np.repeat(at - from_, many) + np.arange(int(many.sum()))
-    lowest = least_per_window(joined, starts, np.repeat(least[mixed], many), span)
+    starts = _starts(np.cumsum(size) - size, many)
+    lowest = least_per_window(_gathered(data, begin[chosen[mixed]], size), starts, np.repeat(least[mixed], many), span)
     simple = np.ones(len(chosen), bool)
     simple[mixed] = False
     whole = np.flatnonzero(simple[which] & (least[which] < record["doc"]))
-    out = [(record["doc"][whole], record["at"][whole].astype(np.int64), record["at"][whole] + length[whole])]
+    yield record["doc"][whole], record["at"][whole].astype(np.int64), record["at"][whole] + length[whole]
     slot = np.full(len(chosen), -1)
     slot[mixed] = np.arange(len(mixed))
     open_ = np.flatnonzero(~simple[which])
-    many_ = windows[open_]
-    owner = np.repeat(np.arange(len(open_)), many_)
-    step = np.arange(len(owner)) - np.repeat(np.cumsum(many_) - many_, many_)
-    gone = lowest[from_[slot[which[open_]]][owner] + step] < record["doc"][open_][owner] if len(owner) else np.zeros(0, bool)
-    edge = np.r_[True, (gone[1:] != gone[:-1]) | (owner[1:] != owner[:-1])] if len(gone) else np.zeros(0, bool)
-    a = np.flatnonzero(edge)
-    b = np.r_[a[1:], len(gone)] - 1 if len(a) else a
-    a, b = a[gone[a]], b[gone[a]]
-    r = open_[owner[a]]
-    out.append((record["doc"][r], record["at"][r] + step[a], record["at"][r] + step[b] + span))
-    packer = P.Packer(_RANGE, count)
-    found = [*packer.add(*(np.concatenate(c) for c in zip(*out, strict=True))), *packer.flush()]
+    owner = np.repeat(open_, windows[open_])
+    step = _starts(np.zeros(len(open_), np.int64), windows[open_])
+    yield _gone(record, owner, step, lowest[from_[slot[which[owner]]] + step] < record["doc"][owner], span)
+
+
+def _many(record: np.ndarray, data: np.ndarray, begin: np.ndarray, length: np.ndarray, span: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """The same for one minimizer with more stretches than are sorted at a time."""
+    doc, windows = record["doc"], record["windows"].astype(np.int64)
+    number = np.int32 if len(data) < 1 << 31 else np.int64
+    cut = _parts(length)
+    held, starts, owners, total = [], [], [], 0
+    for s, t in cut:
+        chosen, which = _distinct(record[s:t], data, begin[s:t], length[s:t], span)
+        by_doc = np.argsort(doc[s:t], kind="stable")
+        first = by_doc[np.unique(which[by_doc], return_index=True)[1]]  # of equal stretches the one of the smallest document
+        size, many = length[s:t][first], windows[s:t][first]
+        kinds = window_kinds(_gathered(data, begin[s:t][first], size), _starts(np.cumsum(size) - size, many), span)
+        owner = np.repeat(s + first, many)
+        order = np.lexsort((doc[owner], kinds))
+        one = order[np.unique(kinds[order], return_index=True)[1]]  # of equal windows the one of the smallest document
+        starts.append(_starts(begin[s:t][first], many)[one].astype(number))
+        owners.append(owner[one].astype(number))
+        held.append((which.astype(np.int32), (np.cumsum(many) - many).astype(np.int32), (kinds + total).astype(number)))
+        total += len(one)
+    start, owner = np.concatenate(starts), np.concatenate(owners)
+    starts.clear(), owners.clear()
+    view = np.lib.stride_tricks.sliding_window_view(data, span)
+    cells = -(-total // MEET)
+    cell = np.empty(total, np.int32)
+    for at in range(0, total, MEET):
+        cell[at : at + MEET] = _row_hashes(view[start[at : at + MEET]]) % np.uint64(cells)
+    for c in range(cells):
+        at = np.flatnonzero(cell == c)
+        at = at[np.argsort(doc[owner[at]], kind="stable")]
+        _, first, same = np.unique(view[start[at]].view(f"V{span}").ravel(), return_index=True, return_inverse=True)
+        owner[at] = owner[at][first][same.ravel()]
+    for (s, t), (which, from_, kinds) in zip(cut, held, strict=True):
+        of = np.repeat(np.arange(t - s), windows[s:t])
+        step = _starts(np.zeros(t - s, np.int64), windows[s:t])
+        yield _gone(record[s:t], of, step, doc[owner[kinds[from_[which[of]] + step]]] < doc[s:t][of], span)
+
+
+def _row_hashes(rows: np.ndarray) -> np.ndarray:
+    """A hash of each row of bytes."""
+    wide = np.zeros((len(rows), -(-rows.shape[1] // 8) * 8), np.uint8)
+    wide[:, : rows.shape[1]] = rows
+    out = np.zeros(len(rows), np.uint64)
+    for column in wide.view(np.uint64).T:
+        out = W.mix(out ^ column) + np.uint64(1)
+    return out
+
+
+def _parts(weight: np.ndarray) -> list[tuple[int, int]]:
+    """Runs of places whose weights add up to at most `PART`, or that are one place."""
+    ends, out, at = np.cumsum(weight), [], 0
+    while at < len(weight):
+        upto = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + PART, "right")))
+        out.append((at, upto))
+        at = upto
+    return out
+
+
+def _ranges(table: pa.Table, span: int, count: int) -> pa.Table:
+    """Byte ranges to remove from a bucket's stretches, packed by document."""
+    codec = pa.Codec("zstd")
+    parts = [P.expand(d, n, _STRETCH) for d, n in zip(table["packed"].to_pylist(), table["n"].to_pylist(), strict=True)]
+    record = np.concatenate(parts)
+    sizes = [int((p["windows"].astype(np.int64) + span - 1).sum()) for p in parts]
+    data = np.empty(sum(sizes), np.uint8)
+    at = 0
+    for x, n in zip(table["strings"], sizes, strict=True):
+        data[at : at + n] = np.frombuffer(codec.decompress(x.as_buffer(), n), np.uint8)
+        at += n
+    length = record["windows"].astype(np.int64) + span - 1
+    begin = np.cumsum(length) - length
+    order = np.argsort(record["key"], kind="stable")
+    record, begin, length = record[order], begin[order], length[order]
+    first, n = P.runs(record["key"])
+    packer, found = P.Packer(_RANGE, count), []
+    weight = np.add.reduceat(length, first) if len(first) else first
+    for s, t in _parts(weight):
+        a, b = int(first[s]), int(first[t - 1] + n[t - 1])
+        settle = _many if weight[s:t].sum() > PART else _some
+        for fields in settle(record[a:b], data, begin[a:b], length[a:b], span):
+            found += packer.add(*fields)
+    found += packer.flush()
     return pa.Table.from_batches(found) if found else _empty(P.SHAPE)
 
 
@@ -325,8 +429,8 @@ def dedup(documents: DataFrame, span: int = 50) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) for each row."""
     spark = documents.sparkSession
     ship_package(spark)
-    count = P.buckets(spark)
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    count = P.buckets(spark, docs)
     known = docs.where("doc_id IS NOT NULL")
     own = known.select("doc_id", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("sha")).groupBy("doc_id").agg(F.min("sha").alias("sha"))
     own = store(own, "digests")

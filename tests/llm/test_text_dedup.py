@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import tracemalloc
 from collections import defaultdict
 
 import numpy as np
@@ -173,6 +174,51 @@ def test_prefix_order():
         assert keys == sorted(keys)
 
 
+def stretches_table(texts, span):
+    """A bucket of all stretches of the texts, ten texts a row, and each window's smallest text."""
+    out, least = [], {}
+    for i, t in enumerate(texts):
+        for k in range(len(t) - span + 1):
+            least.setdefault(t[k : k + span], i)
+    for at in range(0, len(texts), 10):
+        own = texts[at : at + 10]
+        cut = W.Bytes(np.frombuffer(b"".join(own), np.uint8), np.r_[0, np.cumsum([len(t) for t in own])])
+        key, text, first, windows = suffix_dedup._minimizers(cut, span)
+        record = np.empty(len(key), suffix_dedup._STRETCH)
+        record["key"], record["doc"], record["at"], record["windows"] = key, text + at, first, windows
+        strings = b"".join(own[t][a : a + w + span - 1] for t, a, w in zip(text, first, windows, strict=True))
+        out.append((0, len(record), P.squeeze(record), pa.Codec("zstd").compress(strings, asbytes=True)))
+    columns = zip(*out, strict=True)
+    return pa.table({c: pa.array(list(v), k) for c, v, k in zip(("bucket", "n", "packed", "strings"), columns, (pa.int32(), pa.int32(), pa.binary(), pa.binary()), strict=True)}), least
+
+
+def test_stretches_of_a_common_line_are_sorted_in_parts(monkeypatch):
+    """A line that all texts hold, between words of which some are shared by few: memory follows the part, not the line."""
+    rng = random.Random(8)
+    line = "the same line stands in each of these texts, whatever is around it, for ever"
+    ends = ["".join(rng.choices("klmnopqrst", k=30)) for _ in range(900)]
+    texts = [f"{rng.choice(ends)} {line} {rng.choice(ends)}".encode() for _ in range(3000)]
+    table, least = stretches_table(texts, 50)
+    want = {(i, k + b) for i, t in enumerate(texts) for k in range(len(t) - 49) if least[t[k : k + 50]] < i for b in range(50)}
+    monkeypatch.setattr(suffix_dedup, "PART", 1 << 13, raising=False)
+    monkeypatch.setattr(suffix_dedup, "MEET", 5000, raising=False)
+    tracemalloc.start()
+    found = P.unpack(suffix_dedup._ranges(table, 50, 4), suffix_dedup._RANGE)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert {(d, b) for d, s, e in found.tolist() for b in range(s, e)} == want
+    assert peak < 400 * sum(map(len, texts)) / 10, peak
+
+
+def test_buckets_follow_the_input(spark, tmp_path, monkeypatch):
+    named = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spark.range(20000).selectExpr("id AS doc_id", "uuid() AS text").write.parquet(f"{tmp_path}/t")
+    rows = spark.read.parquet(f"{tmp_path}/t").select("text")
+    assert P.buckets(spark, rows) == named == P.buckets(spark, spark.createDataFrame([(1, "x")], "doc_id long, text string"))
+    monkeypatch.setattr(P, "SHARE", 1000)
+    assert P.buckets(spark, rows) >= 700
+
+
 def test_line_dedup(spark, docs):
     rng = random.Random(3)
     pool = ["".join(rng.choice("abcdefgh ") for _ in range(rng.choice([1, 5, 60, 90]))) for _ in range(30)]
