@@ -63,9 +63,12 @@ _POINT = np.dtype([("key", np.uint64), ("node", np.int64), ("comp", np.int64), (
 #: A count that may stand for a larger one.
 FULL = 0xFFFF
 #: Members of the sets that a chunk of a group holds.
-MEMBERS = 2_000_000
-#: Points that a map task holds before it sends them on.
-BLOCK = 100_000
+MEMBERS = 1_000_000
+#: Pairs of points that a tree is asked for at a time; all of them may pass its bounds.
+ASKED = 1 << 20
+#: Points, and bytes of their sets' parts, that a map task holds before it sends them on.
+BLOCK = 50_000
+PART_BYTES = 1 << 24
 
 
 def word_runs(texts: W.Bytes, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -135,7 +138,7 @@ class Parts:
         weight = np.cumsum(self.n[x] + self.n[y])
         start = 0
         while start < len(x):
-            end = max(start + 1, int(np.searchsorted(weight, (weight[start - 1] if start else 0) + 2_000_000, "right")))
+            end = max(start + 1, int(np.searchsorted(weight, (weight[start - 1] if start else 0) + 500_000, "right")))
             a, b = x[start:end], y[start:end]
             least = np.minimum(limit[a], limit[b])
             joined, rest = [], []
@@ -294,6 +297,12 @@ def fold(counts: np.ndarray) -> np.ndarray:
     return counts.reshape(len(counts), FOLDED, -1).sum(2, dtype=np.int32)
 
 
+def slices(asks: np.ndarray, points: np.ndarray) -> Iterator[slice]:
+    """Runs of `asks` that make at most `ASKED` pairs with the points, or are one."""
+    step = max(1, ASKED // len(points))
+    return (slice(at, at + step) for at in range(0, len(asks), step))
+
+
 class RTree:
     """Points packed by size and position into boxes, level by level."""
 
@@ -341,7 +350,7 @@ class RTree:
 
 def _points(batches: Iterator[pa.RecordBatch], count: int) -> Iterator[pa.RecordBatch]:
     """Packed points of each bucket, and the parts of the sets among them."""
-    held, parts = [], {}
+    held, parts, kept = [], {}, 0
 
     def flush() -> Iterator[pa.RecordBatch]:
         rows = np.concatenate(held)
@@ -369,9 +378,10 @@ def _points(batches: Iterator[pa.RecordBatch], count: int) -> Iterator[pa.Record
         rows["counts"] = np.minimum(unpack_counts(batch.column("counts").to_pylist()), FULL)
         parts.update(zip(column("node").tolist(), batch.column("part").to_pylist(), strict=True))
         held.append(rows)
-        if sum(map(len, held)) >= BLOCK:
+        kept += batch.column("part").nbytes
+        if sum(map(len, held)) >= BLOCK or kept >= PART_BYTES:
             yield from flush()
-            held, parts = [], {}
+            held, parts, kept = [], {}, 0
     if held:
         yield from flush()
 
@@ -427,13 +437,17 @@ def _search(table: pa.Table, percent: float) -> pa.Table:
         for points in (stays, asks):
             if len(points) and len(asks):
                 tree = RTree(points)
-                q, p = tree.pairs(asks, percent)
-                elsewhere = asks["home"][q] != tree.points["home"][p]  # sets of one home meet there, once
-                q, p = q[elsewhere], p[elsewhere]
-                x, y = np.searchsorted(nodes, asks["node"][q]), np.searchsorted(nodes, tree.points["node"][p])
-                waiting.append(np.minimum(x, y) * len(nodes) + np.maximum(x, y))
-        if sum(map(len, waiting)) > 200_000:
-            sieve()
+                place = np.searchsorted(nodes, tree.points["node"])
+                for some in slices(asks, points):
+                    own = asks[some]
+                    q, p = tree.pairs(own, percent)
+                    elsewhere = own["home"][q] != tree.points["home"][p]  # sets of one home meet there, once
+                    x, y = np.searchsorted(nodes, own["node"])[q[elsewhere]], place[p[elsewhere]]
+                    apart = root[x] != root[y]
+                    x, y = x[apart], y[apart]
+                    waiting.append(np.minimum(x, y) * len(nodes) + np.maximum(x, y))
+                    if sum(map(len, waiting)) > 200_000:
+                        sieve()
     if waiting:
         sieve()
     tied = np.flatnonzero(root != np.arange(len(nodes)))
@@ -450,30 +464,43 @@ def _meet(table: pa.Table, percent: float) -> pa.Table:
     for a, n in zip(first.tolist(), size.tolist(), strict=True):
         rows = order[a : a + n]
         held = table.select(["comp", "part", "rest"]).take(pa.array(rows))
-        sets = [np.frombuffer(p + q, np.uint64) for p, q in zip(held["part"].to_pylist(), held["rest"].to_pylist(), strict=True)]
-        out.append(_joins(sets, held["comp"].to_numpy(), side[rows], percent))
+        comp, sets = held["comp"].to_numpy(), []
+        for at in range(0, n, 256):  # few sets at a time are held twice
+            some = held.slice(at, 256)
+            sets += [np.frombuffer(p + q, np.uint64) for p, q in zip(some["part"].to_pylist(), some["rest"].to_pylist(), strict=True)]
+        del held
+        out.append(_joins(sets, comp, side[rows], percent))
     edges = np.concatenate(out)
     return pa.table({"a": edges[:, 0], "b": edges[:, 1]})
 
 
+def _numbered(flat: np.ndarray) -> tuple[np.ndarray, int]:
+    """Each value's number in the order of the distinct ones, and how many these are."""
+    order = np.argsort(flat)
+    held = flat[order]
+    number = np.cumsum(np.r_[False, held[1:] != held[:-1]], dtype=np.int32)
+    del held
+    out = np.empty(len(flat), np.int64)  # an index, which any other kind would be turned into again and again
+    out[order] = number
+    return out, int(number[-1]) + 1 if len(number) else 0
+
+
 def _joins(sets: list[np.ndarray], comp: np.ndarray, side: np.ndarray, percent: float) -> np.ndarray:
     """Edges between the components that links of the sets join; if there are two sides, links across them."""
     size = np.array([len(v) for v in sets], np.int64)
     begin = np.cumsum(size) - size
-    flat = np.concatenate(sets)
-    group = (W.mix(flat) >> np.uint64(32)).astype(np.int64) % GROUPS
-    values, flat = np.unique(flat, return_inverse=True)
     points = np.zeros(len(sets), _POINT)
     points["size"], points["comp"], points["node"] = size, comp, np.arange(len(sets))
-    counts = np.bincount(np.repeat(np.arange(len(sets)), size) * GROUPS + group, minlength=len(sets) * GROUPS)
-    points["counts"] = np.minimum(counts, FULL).reshape(-1, GROUPS)
+    for i, own in enumerate(sets):
+        points["counts"][i] = np.minimum(np.bincount((W.mix(own) >> np.uint64(32)).astype(np.int64) % GROUPS, minlength=GROUPS), FULL)
+    flat, values = _numbered(np.concatenate(sets))
     across = bool(side.any())
     tree, asks = RTree(points[side == 0]), points[side == 1] if across else points
     named, label = np.unique(comp, return_inverse=True)
-    mark, edges = np.zeros(len(values), bool), []
-    for at in range(0, len(asks), 256):
-        q, p = tree.pairs(asks[at : at + 256], percent)
-        q, p = asks["node"][at : at + 256][q], tree.points["node"][p]
+    mark, edges = np.zeros(values, bool), []
+    for some in slices(asks, tree.points):
+        q, p = tree.pairs(asks[some], percent)
+        q, p = asks["node"][some][q], tree.points["node"][p]
         if not across:
             q, p = q[q < p], p[q < p]
         order = np.argsort(q, kind="stable")
@@ -499,8 +526,8 @@ def groups(documents: DataFrame, percent: float = 80, width: int = 5, runs: Runs
     """(doc_id, n_shingles, component_id) for each row."""
     spark = documents.sparkSession
     ship_package(spark)
-    count = P.buckets(spark)
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    count = P.buckets(spark, docs)
     nodes = store(docs.mapInArrow(lambda it: _nodes(it, width, runs), "doc_id long, size long, node long, counts binary, part binary"), "nodes")
     used = docs.where("doc_id IS NOT NULL AND text IS NOT NULL")
     # shingles in the first parts of very many sets come last in the order

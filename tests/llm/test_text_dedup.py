@@ -378,6 +378,27 @@ def test_blocks_send_forests_and_groups_of_any_size_keep_all_links(spark, docs,
     assert edges.num_rows == n - 1 and set(edges["b"].to_pylist()) == set(ids[1:])
 
 
+def test_a_block_of_many_near_sets_is_searched_in_bounded_memory(monkeypatch):
+    """All pairs of the block pass its tree; they are sieved some at a time."""
+    rng, n = np.random.default_rng(3), 1200
+    base = rng.integers(0, 2**64, 60, dtype=np.uint64)
+    sets = [np.unique(np.r_[np.delete(base, rng.integers(0, 60, 2)), rng.integers(0, 2**64, 2, dtype=np.uint64)]) for _ in range(n)]
+    size = np.array([len(v) for v in sets])
+    parts = jaccard_join.parts_of(np.concatenate(sets), np.r_[0, np.cumsum(size)], size)
+    counts = jaccard_join.pack_counts(np.stack([np.bincount((W.mix(v) >> np.uint64(32)).astype(np.int64) % 128, minlength=128) for v in sets]))
+    ids = list(range(1, n + 1))
+    batch = pa.RecordBatch.from_pydict({"token": [5] * n, "node": ids, "comp": ids, "home": ids, "size": pa.array(size, pa.int32()), "counts": counts, "part": parts,
+                                        "asks": pa.array([-1] * n, pa.int8()), "chunk": pa.array([0] * n, pa.int32())})
+    monkeypatch.setattr(jaccard_join, "ASKED", 1 << 15, raising=False)
+    table = pa.Table.from_batches(list(jaccard_join._points([batch], 1)))
+    tracemalloc.start()
+    edges = jaccard_join._search(table, 80)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert edges.num_rows == n - 1 and set(edges["b"].to_pylist()) == set(ids[1:])
+    assert peak < 30 * n * n, peak
+
+
 def test_sets_of_a_group_join_as_brute_force_says():
     rng = np.random.default_rng(4)
     pool = np.sort(rng.integers(0, 2**64, 400, dtype=np.uint64))
